@@ -149,3 +149,202 @@ reg("g_country_deposits_discord",
 reg("g_top3_player_deposits",
     "SELECT player_id, CAST(top_deposit_amount AS DOUBLE) AS top_deposit_amount, "
     "CAST(rank_position AS BIGINT) AS rank_position FROM g_top3_player_deposits")
+
+# ---------------------------------------------------------------- scalar functions
+WS = r"'[ \t\n\f\r]+'"
+reg("fn_clean_string_lower",
+    f"SELECT doc_id, trim(regexp_replace(lower(text), {WS}, ' ', 'g'), ' ') AS text_clean FROM documents")
+reg("fn_clean_string_keep",
+    f"SELECT doc_id, trim(regexp_replace(text, {WS}, ' ', 'g'), ' ') AS text_clean FROM documents")
+reg("fn_country_iso2",
+    "SELECT version_id, CASE WHEN length(trim(country_code, ' ')) = 2 THEN upper(trim(country_code, ' ')) END "
+    "AS country_code FROM raw_players")
+reg("fn_parse_timestamp", "SELECT id, TRY_CAST(NULLIF(redeemed_at, '') AS TIMESTAMP) AS redeemed_at FROM raw_affiliates")
+reg("fn_parse_bool", """
+SELECT version_id,
+       CASE WHEN lower(is_kyc_approved) IN ('true', '1', 't', 'y', 'yes') THEN TRUE
+            WHEN lower(is_kyc_approved) IN ('false', '0', 'f', 'n', 'no') THEN FALSE END AS is_kyc_approved
+FROM raw_players""")
+reg("fn_parse_numeric", r"""
+SELECT id, CAST(TRY_CAST(regexp_replace(amount, '[^0-9.\-]+', '', 'g') AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM raw_transactions""")
+reg("fn_txn_sign", """
+SELECT id, type, CAST(CASE WHEN lower(type) = 'deposit' THEN amount WHEN lower(type) = 'withdraw' THEN -amount END
+                      AS DOUBLE) AS signed_amount
+FROM br_transactions""")
+reg("fn_kyc_filter", """
+SELECT t.id, t.player_id, (p.is_kyc_approved = TRUE AND t."timestamp" >= p.kyc_approved_at) AS passes_gate
+FROM br_transactions t JOIN sl_players p ON p.id = t.player_id""")
+reg("fn_cast_int64", """
+SELECT o_orderkey,
+       CAST(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS DECIMAL(38,0)) AS BIGINT) AS total_int
+FROM orders""")
+reg("fn_ts_to_date", "SELECT id, player_id, CAST(txn_timestamp AS DATE) AS txn_date FROM sl_transactions")
+reg("fn_approved_at", """
+SELECT version_id, CASE WHEN is_kyc_approved THEN coalesce(updated_at, created_at) END AS approved_at
+FROM br_players""")
+reg("fn_conditional_amounts", """
+SELECT id, player_id,
+       CAST(CASE WHEN lower(type) = 'deposit' THEN amount ELSE 0 END AS DOUBLE) AS deposit_amount,
+       CAST(CASE WHEN lower(type) = 'withdraw' THEN -amount ELSE 0 END AS DOUBLE) AS withdrawal_amount
+FROM sl_transactions""")
+reg("fn_coerce_bool", """
+SELECT version_id,
+       CASE WHEN lower(trim(is_kyc_approved)) IN ('true', 'yes', 'y', '1') THEN TRUE
+            WHEN lower(trim(is_kyc_approved)) IN ('false', 'no', 'n', '0') THEN FALSE END AS is_kyc_approved
+FROM raw_players""")
+reg("fn_parse_datetime_utc", """
+SELECT version_id, TRY_CAST(NULLIF(trim(created_at), '') AS TIMESTAMP) AS created_at,
+       TRY_CAST(NULLIF(trim(is_kyc_approved), '') AS TIMESTAMP) AS not_a_date
+FROM raw_players""")
+reg("fn_blank_to_null", r"""
+SELECT version_id,
+       CASE WHEN NOT regexp_matches(affiliate_id, '^\s*$') THEN affiliate_id END AS affiliate_id,
+       CASE WHEN NOT regexp_matches(is_kyc_approved, '^\s*$') THEN is_kyc_approved END AS is_kyc_approved
+FROM raw_players""")
+reg("fn_normalize_code", r"""
+SELECT id, NULLIF(upper(regexp_replace(code, '^\s+|\s+$', '', 'g')), '') AS code,
+       NULLIF(upper(regexp_replace(origin, '^\s+|\s+$', '', 'g')), '') AS origin
+FROM raw_affiliates""")
+reg("fn_to_int_or_null", """
+SELECT TRY_CAST(TRY_CAST(player_id AS DECIMAL(38,0)) AS BIGINT) AS player_id,
+       TRY_CAST(TRY_CAST(amount AS DECIMAL(38,0)) AS BIGINT) AS amount_raw_int,
+       TRY_CAST(TRY_CAST(substr(amount, 2) AS DECIMAL(38,0)) AS BIGINT) AS amount_int
+FROM raw_transactions""")
+reg("fn_null_safe_neq", "SELECT id, is_kyc_approved IS DISTINCT FROM TRUE AS not_approved FROM sl_players")
+reg("fn_first_non_null", "SELECT id, coalesce(kyc_approved_at, updated_at, created_at) AS best_date FROM sl_players")
+reg("fn_timestamp_offset", """
+SELECT id, player_id, txn_timestamp + to_minutes(CAST((player_id % 10) * 1440 + id % 1440 AS BIGINT)) AS shifted_ts
+FROM sl_transactions""")
+
+# ---------------------------------------------------------------- projections and filters
+BRT = 'id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount'
+reg("pf_typed_projection",
+    'SELECT id, "timestamp" AS txn_ts, player_id, type AS txn_type, CAST(amount AS DOUBLE) AS amount FROM br_transactions')
+reg("pf_star_except", "SELECT * EXCLUDE (version_id) FROM br_players")
+reg("pf_filter_ci_eq", f"SELECT {BRT} FROM br_transactions WHERE lower(type) = 'deposit'")
+reg("pf_bool_time_filter",
+    "SELECT id, version_id, updated_at FROM br_players WHERE is_kyc_approved = TRUE AND updated_at > created_at")
+reg("pf_not_in", f"SELECT {BRT} FROM br_transactions WHERE lower(type) NOT IN ('deposit', 'withdraw')")
+reg("pf_null_filter", "SELECT id, country_code, is_kyc_approved FROM sl_players "
+                      "WHERE country_code IS NOT NULL AND is_kyc_approved IS NOT NULL")
+reg("pf_conditional_update",
+    "SELECT id, code, CASE WHEN origin IS NULL THEN 'unknown' ELSE origin END AS origin, redeemed_at FROM br_affiliates")
+reg("pf_add_missing_column", "SELECT *, CAST(NULL AS BIGINT) AS owner_player_id FROM br_affiliates")
+
+# ---------------------------------------------------------------- joins
+reg("jn_inner_gate", """
+SELECT t.id, t.player_id, t."timestamp" FROM br_transactions t JOIN sl_players p ON p.id = t.player_id
+WHERE p.is_kyc_approved = TRUE AND t."timestamp" >= p.kyc_approved_at""")
+reg("jn_left_bridge", "SELECT affiliate_id, player_id FROM sl_affiliate_player_bridge")
+reg("jn_three_way", """
+SELECT p.id AS player_id, p.country_code, a.origin, CAST(t.amount AS DOUBLE) AS amount, t.type
+FROM sl_players p LEFT JOIN sl_affiliates a ON a.id = p.affiliate_id JOIN sl_transactions t ON t.player_id = p.id
+WHERE p.is_kyc_approved = TRUE AND lower(a.origin) = 'discord' AND lower(t.type) = 'deposit'""")
+reg("jn_anti", """
+SELECT p.id, p.affiliate_id FROM sl_players p
+WHERE p.affiliate_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sl_affiliates a WHERE a.id = p.affiliate_id)""")
+reg("jn_semi", """
+SELECT p.id, p.affiliate_id FROM sl_players p
+WHERE EXISTS (SELECT 1 FROM sl_affiliates a WHERE a.id = p.affiliate_id)""")
+reg("jn_anti_count", """
+SELECT 'players_unknown_affiliate' AS check_name, COUNT(*) AS orphans FROM sl_players p
+WHERE p.affiliate_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sl_affiliates a WHERE a.id = p.affiliate_id)
+UNION ALL
+SELECT 'transactions_unapproved_player', COUNT(*) FROM br_transactions t
+WHERE t.player_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM sl_players p WHERE p.id = t.player_id AND p.is_kyc_approved = TRUE)
+UNION ALL
+SELECT 'affiliates_without_player', COUNT(*) FROM br_affiliates a
+WHERE NOT EXISTS (SELECT 1 FROM br_players p WHERE p.affiliate_id = a.id)""")
+reg("jn_lookup_flag", """
+SELECT t.id, t.player_id, coalesce(p.is_kyc_approved, FALSE) AS is_kyc_approved
+FROM br_transactions t LEFT JOIN sl_players p ON p.id = t.player_id""")
+reg("jn_lookup_fill", """
+SELECT a.id, a.code, a.origin, coalesce(a.redeemed_at, f.first_player_at) AS redeemed_at
+FROM sl_affiliates a LEFT JOIN (
+  SELECT affiliate_id, MIN(created_at) AS first_player_at FROM sl_players
+  WHERE affiliate_id IS NOT NULL AND created_at IS NOT NULL GROUP BY affiliate_id) f ON f.affiliate_id = a.id""")
+reg("jn_left_audit", """
+SELECT p.id, p.affiliate_id, a.id AS id__r, a.redeemed_at
+FROM sl_players p LEFT JOIN sl_affiliates a ON a.id = p.affiliate_id
+WHERE p.affiliate_id IS NOT NULL AND (a.id IS NULL OR a.redeemed_at IS NULL)""")
+reg("jn_inner_violation", """
+SELECT t.id, t.player_id, t."timestamp" FROM br_transactions t JOIN sl_players p ON p.id = t.player_id
+WHERE p.is_kyc_approved IS DISTINCT FROM TRUE OR t."timestamp" < p.kyc_approved_at""")
+
+# ---------------------------------------------------------------- aggregates
+reg("ag_sum_by_keys", """
+SELECT player_id, CAST("timestamp" AS DATE) AS txn_date, CAST(SUM(amount) AS DOUBLE) AS amount_sum,
+       COUNT(*) AS txn_count
+FROM br_transactions GROUP BY 1, 2""")
+reg("ag_count_sum", """
+SELECT p.country_code, COUNT(*) AS txn_count, CAST(SUM(t.amount) AS DOUBLE) AS amount_sum
+FROM sl_players p JOIN sl_transactions t ON t.player_id = p.id GROUP BY 1""")
+reg("ag_min_by_code", """
+SELECT affiliate_id, MIN(created_at) AS first_created_at FROM br_players
+WHERE affiliate_id IS NOT NULL AND created_at IS NOT NULL GROUP BY 1""")
+reg("ag_having_count", "SELECT id, COUNT(*) AS cnt FROM br_transactions GROUP BY id HAVING COUNT(*) > 1")
+reg("ag_having_distinct", """
+SELECT id, COUNT(DISTINCT is_kyc_approved) AS combos FROM br_players GROUP BY id
+HAVING COUNT(DISTINCT is_kyc_approved) > 1""")
+reg("ag_nunique_vs_rows", """
+SELECT 'br_affiliates' AS table_name, COUNT(DISTINCT id) AS distinct_keys, COUNT(*) AS row_count FROM br_affiliates
+UNION ALL SELECT 'br_players', COUNT(DISTINCT id), COUNT(*) FROM br_players
+UNION ALL SELECT 'br_transactions', COUNT(DISTINCT id), COUNT(*) FROM br_transactions""")
+reg("ag_dup_stats", """
+SELECT COUNT(*) AS duplicated_values, CAST(coalesce(SUM(n), 0) AS BIGINT) AS rows_with_duplicates
+FROM (SELECT id, COUNT(*) AS n FROM br_transactions WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1)""")
+_MX = "coalesce(MAX(TRY_CAST(TRY_CAST({c} AS DECIMAL(38,0)) AS BIGINT)), 0)"
+reg("ag_max_id", f"""
+SELECT 'raw_affiliates' AS table_name, {_MX.format(c='id')} AS max_id FROM raw_affiliates
+UNION ALL SELECT 'raw_players', {_MX.format(c='id')} FROM raw_players
+UNION ALL SELECT 'raw_transactions', {_MX.format(c='id')} FROM raw_transactions
+UNION ALL SELECT 'no_numeric_ids', {_MX.format(c='is_kyc_approved')} FROM raw_players""")
+reg("ag_row_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in [
+        "raw_affiliates", "raw_players", "raw_transactions", "br_affiliates", "br_players", "br_transactions",
+        "sl_affiliates", "sl_players", "sl_affiliate_player_bridge", "sl_transactions",
+        "g_player_daily_balance", "g_country_deposits_discord", "g_top3_player_deposits"]))
+reg("ag_distinct_values", r"""
+SELECT DISTINCT code FROM (
+  SELECT NULLIF(upper(regexp_replace(country_code, '^\s+|\s+$', '', 'g')), '') AS code FROM raw_players)
+WHERE code IS NOT NULL""")
+
+# ---------------------------------------------------------------- windows
+reg("wn_dedup_latest", f"""
+SELECT {BRT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "timestamp" DESC NULLS LAST, amount DESC NULLS LAST,
+                               player_id ASC NULLS FIRST, type ASC NULLS FIRST) AS rn
+  FROM br_transactions) WHERE rn = 1""")
+reg("wn_topn_per_group", """
+SELECT player_id, CAST(amount AS DOUBLE) AS amount, CAST(rn AS BIGINT) AS rank_position FROM (
+  SELECT player_id, amount, row_number() OVER (PARTITION BY player_id ORDER BY amount DESC NULLS LAST) AS rn
+  FROM br_transactions) WHERE rn <= 5""")
+reg("wn_count_partition", """
+SELECT id, affiliate_id, COUNT(id) OVER (PARTITION BY affiliate_id) AS players_of_affiliate FROM sl_players""")
+_KF = """
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "timestamp" ASC NULLS FIRST, player_id ASC NULLS FIRST,
+                               amount ASC NULLS FIRST, type ASC NULLS FIRST) AS rn
+  FROM br_transactions"""
+reg("wn_keep_first", f"SELECT {BRT} FROM ({_KF}) WHERE rn = 1")
+reg("wn_keep_first_removed", f"SELECT id FROM ({_KF}) WHERE rn > 1")
+reg("wn_mark_all_duplicates", """
+SELECT id, player_id, CAST(amount AS DOUBLE) AS amount, COUNT(*) OVER (PARTITION BY id) > 1 AS is_duplicate
+FROM br_transactions""")
+
+# ---------------------------------------------------------------- sort / set
+ORACLES["so_order_output"] = ORACLES["g_top3_player_deposits"] + "\nORDER BY player_id, rank_position"
+reg("so_preview", "SELECT * FROM sl_players ORDER BY id ASC NULLS FIRST LIMIT 5")
+reg("st_union_all", """
+SELECT l FROM pairs GROUP BY l HAVING COUNT(DISTINCT r) > 1
+UNION ALL
+SELECT r FROM pairs GROUP BY r HAVING COUNT(DISTINCT l) > 1""", """
+pairs AS (SELECT affiliate_id AS l, player_id AS r FROM sl_affiliate_player_bridge
+          WHERE affiliate_id IS NOT NULL AND player_id IS NOT NULL)""")
+reg("st_union_by_name", """
+SELECT id, code, origin, redeemed_at FROM sl_affiliates
+UNION ALL
+SELECT DISTINCT p.affiliate_id AS id, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP)
+FROM sl_players p
+WHERE p.affiliate_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sl_affiliates a WHERE a.id = p.affiliate_id)""")

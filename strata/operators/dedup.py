@@ -66,14 +66,18 @@ def mark_duplicates(df: DataFrame, keys, flag: str = "is_duplicate") -> DataFram
 
 
 # WN-04
-def keep_first(df: DataFrame, keys, order_col: str) -> tuple[DataFrame, DataFrame]:
-    """Split into (first row per key by ``order_col``, the removed rows).
+def keep_first(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
+    """Split into (first row per key under ``order``, the removed rows).
 
-    ``order_col`` must be unique (an input-order number).  The winner per key is
-    found with a ``min`` aggregate (partial, skew-safe) and joined back.
+    ``order`` is a column or list of columns that is unique within a key (an
+    input-position column, or enough columns to be unique).  The winner per key
+    is a ``min`` over the order struct — a partial aggregate, so a hot key is
+    reduced map-side — and joined back; AQE splits a skewed join partition.
     """
     ks = _names(keys)
-    first = df.groupBy(*ks).agg(F.min(order_col).alias("_first"))
-    cond = [df[k].eqNullSafe(first[k]) for k in ks]
-    tagged = df.join(first, cond, "inner").select(df["*"], (df[order_col] == first["_first"]).alias("_keep"))
-    return (tagged.where("_keep").drop("_keep"), tagged.where(~F.col("_keep")).drop("_keep"))
+    ords = _cols(order)
+    tagged = df.withColumn("_ord", F.struct(*ords))
+    first = tagged.groupBy(*ks).agg(F.min("_ord").alias("_first"))
+    cond = [tagged[k].eqNullSafe(first[k]) for k in ks]
+    j = tagged.join(first, cond, "inner").select(tagged["*"], (tagged["_ord"] == first["_first"]).alias("_keep"))
+    return (j.where("_keep").drop("_keep", "_ord"), j.where(~F.col("_keep")).drop("_keep", "_ord"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import cleaning as fn
 from strata.operators.dedup import deduplicate, top_n
+from strata.operators.joins import gate
 
 NUMERIC = fn.DEFAULT_NUMERIC
 
@@ -111,11 +112,8 @@ def sl_transactions(br_t: DataFrame, sl_p: DataFrame) -> DataFrame:
     rows first (filter pushdown).  Broadcast is left to AQE's measured size;
     a hot player on the transaction side is split by AQE skew join.
     """
-    p = (sl_p.where(F.col("is_kyc_approved") == F.lit(True))
-             .select(F.col("id").alias("_pid"), "is_kyc_approved", "kyc_approved_at"))
-    j = br_t.join(p, br_t.player_id == p._pid, "inner")
-    return (j.where(fn.kyc_txn_filter(F.col("timestamp"), F.col("is_kyc_approved"), F.col("kyc_approved_at")))
-             .select("id", F.col("timestamp").alias("txn_timestamp"), "player_id", "type", "amount"))
+    return (gate(br_t, sl_p, ts_col="timestamp")
+            .select("id", F.col("timestamp").alias("txn_timestamp"), "player_id", "type", "amount"))
 
 
 # ---------------------------------------------------------------- gold

@@ -60,3 +60,421 @@ for _name, _layers in [("br_affiliates", "bronze"), ("br_players", "bronze"), ("
         f.__doc__ = f"Layer model {n}."
         return f
     query(_name)(_mk())
+
+
+# ---------------------------------------------------------------- scalar functions (§2.2)
+from strata.functions import cleaning as fn  # noqa: E402
+from strata.operators import aggregates as AG  # noqa: E402
+from strata.operators import dedup as WN  # noqa: E402
+from strata.operators import joins as JN  # noqa: E402
+from strata.operators import projection as PF  # noqa: E402
+from strata.sources.tables import read_table  # noqa: E402
+
+
+@query("fn_clean_string_lower")
+def _fn01(spark, sf_dir):
+    """clean_string(text, lower) over whole documents."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", fn.clean_string("text").alias("text_clean"))
+
+
+@query("fn_clean_string_keep")
+def _fn02(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", fn.clean_string("text", to_lower=False).alias("text_clean"))
+
+
+@query("fn_country_iso2")
+def _fn03(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return r.select("version_id", fn.normalize_country_iso2("country_code").alias("country_code"))
+
+
+@query("fn_parse_timestamp")
+def _fn04(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_affiliates"]
+    return r.select("id", fn.parse_timestamp_safe("redeemed_at").alias("redeemed_at"))
+
+
+@query("fn_parse_bool")
+def _fn05(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return r.select("version_id", fn.parse_bool_safe("is_kyc_approved").alias("is_kyc_approved"))
+
+
+@query("fn_parse_numeric")
+def _fn06(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_transactions"]
+    return r.select("id", fn.parse_numeric_safe("amount", dtype=binding.DRIVER_AMOUNT).alias("amount"))
+
+
+@query("fn_txn_sign")
+def _fn07(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return b.select("id", "type", fn.normalize_txn_sign("type", "amount").alias("signed_amount"))
+
+
+@query("fn_kyc_filter")
+def _fn08(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    t, p = d["br_transactions"], d["sl_players"]
+    j = t.join(p.select(F.col("id").alias("_pid"), "is_kyc_approved", "kyc_approved_at"),
+               t.player_id == F.col("_pid"))
+    return j.select("id", "player_id",
+                    fn.kyc_txn_filter("timestamp", "is_kyc_approved", "kyc_approved_at").alias("passes_gate"))
+
+
+@query("fn_cast_int64")
+def _fn09(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    txt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    return o.select("o_orderkey", fn.to_int64(txt).alias("total_int"))
+
+
+@query("fn_ts_to_date")
+def _fn10(spark, sf_dir):
+    t = D(spark, sf_dir, "silver")["sl_transactions"]
+    return t.select("id", "player_id", fn.txn_day("txn_timestamp").alias("txn_date"))
+
+
+@query("fn_approved_at")
+def _fn11(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_players"]
+    return b.select("version_id", fn.approved_at("is_kyc_approved", "updated_at", "created_at").alias("approved_at"))
+
+
+@query("fn_conditional_amounts")
+def _fn12(spark, sf_dir):
+    t = D(spark, sf_dir, "silver")["sl_transactions"]
+    dep, wd = fn.conditional_amounts("type", "amount")
+    return t.select("id", "player_id", dep.alias("deposit_amount"), wd.alias("withdrawal_amount"))
+
+
+@query("fn_coerce_bool")
+def _fn13(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return r.select("version_id", fn.coerce_bool("is_kyc_approved").alias("is_kyc_approved"))
+
+
+@query("fn_parse_datetime_utc")
+def _fn14(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return r.select("version_id", fn.parse_datetime_utc("created_at").alias("created_at"),
+                    fn.parse_datetime_utc("is_kyc_approved").alias("not_a_date"))
+
+
+@query("fn_blank_to_null")
+def _fn15(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return fn.blank_to_null(r.select("version_id", "affiliate_id", "is_kyc_approved"),
+                            ["affiliate_id", "is_kyc_approved"])
+
+
+@query("fn_normalize_code")
+def _fn16(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_affiliates"]
+    return r.select("id", fn.normalize_code("code").alias("code"), fn.normalize_code("origin").alias("origin"))
+
+
+@query("fn_to_int_or_null")
+def _fn17(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_transactions"]
+    return r.select(fn.to_int64("player_id").alias("player_id"),
+                    fn.to_int64("amount").alias("amount_raw_int"),
+                    fn.to_int64(F.substring("amount", 2, 1 << 20)).alias("amount_int"))
+
+
+@query("fn_null_safe_neq")
+def _fn18(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"]
+    return p.select("id", fn.is_not_true("is_kyc_approved").alias("not_approved"))
+
+
+@query("fn_first_non_null")
+def _fn19(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"]
+    return p.select("id", fn.first_non_null("kyc_approved_at", "updated_at", "created_at").alias("best_date"))
+
+
+@query("fn_timestamp_offset")
+def _fn20(spark, sf_dir):
+    t = D(spark, sf_dir, "silver")["sl_transactions"]
+    return t.select("id", "player_id",
+                    fn.offset("txn_timestamp", F.col("player_id") % 10, F.col("id") % 1440).alias("shifted_ts"))
+
+
+# ---------------------------------------------------------------- projections and filters (§2.3)
+@query("pf_typed_projection")
+def _pf01(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return b.select("id", F.col("timestamp").alias("txn_ts"), "player_id",
+                    F.col("type").alias("txn_type"), "amount")
+
+
+@query("pf_star_except")
+def _pf02(spark, sf_dir):
+    return D(spark, sf_dir, "bronze")["br_players"].drop("version_id")
+
+
+@query("pf_filter_ci_eq")
+def _pf03(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return b.where(F.lower("type") == "deposit")
+
+
+@query("pf_bool_time_filter")
+def _pf04(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_players"]
+    return b.where((F.col("is_kyc_approved") == F.lit(True)) & (F.col("updated_at") > F.col("created_at"))) \
+            .select("id", "version_id", "updated_at")
+
+
+@query("pf_not_in")
+def _pf05(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return b.where(~F.lower("type").isin("deposit", "withdraw"))
+
+
+@query("pf_null_filter")
+def _pf06(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"]
+    return p.dropna(subset=["country_code", "is_kyc_approved"]).select("id", "country_code", "is_kyc_approved")
+
+
+@query("pf_conditional_update")
+def _pf07(spark, sf_dir):
+    a = D(spark, sf_dir, "bronze")["br_affiliates"]
+    return PF.set_where(a, "origin", F.col("origin").isNull(), "unknown")
+
+
+@query("pf_add_missing_column")
+def _pf08(spark, sf_dir):
+    a = D(spark, sf_dir, "bronze")["br_affiliates"]
+    a = PF.ensure_column(PF.ensure_column(a, "owner_player_id", "bigint"), "code", "string")
+    return a.withColumn("_helper", F.lit(1)).drop("_helper")
+
+
+# ---------------------------------------------------------------- joins (§2.4)
+@query("jn_inner_gate")
+def _jn01(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return JN.gate(d["br_transactions"], d["sl_players"], "timestamp").select("id", "player_id", "timestamp")
+
+
+@query("jn_left_bridge")
+def _jn02(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return d["sl_affiliate_player_bridge"].select("affiliate_id", "player_id")
+
+
+@query("jn_three_way")
+def _jn03(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    p, a, t = d["sl_players"], d["sl_affiliates"], d["sl_transactions"]
+    aff = a.where(F.lower("origin") == "discord").select(F.col("id").alias("_aid"), "origin")
+    tt = t.where(F.lower("type") == "deposit").select(F.col("player_id").alias("_pid"), "amount", "type")
+    j = (p.where(F.col("is_kyc_approved") == F.lit(True))
+          .join(aff, F.col("affiliate_id") == F.col("_aid"))
+          .join(tt, F.col("id") == F.col("_pid")))
+    return j.select(F.col("id").alias("player_id"), "country_code", "origin", "amount", "type")
+
+
+@query("jn_anti")
+def _jn04(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return JN.orphans(d["sl_players"], d["sl_affiliates"], "affiliate_id", "id").select("id", "affiliate_id")
+
+
+@query("jn_semi")
+def _jn05(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return JN.keep_known(d["sl_players"], d["sl_affiliates"], "affiliate_id", "id").select("id", "affiliate_id")
+
+
+@query("jn_anti_count")
+def _jn06(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    approved = d["sl_players"].where(F.col("is_kyc_approved") == F.lit(True))
+    parts = [
+        JN.orphan_count(d["sl_players"], d["sl_affiliates"], "affiliate_id", "id").select(
+            F.lit("players_unknown_affiliate").alias("check_name"), "orphans"),
+        JN.orphan_count(d["br_transactions"], approved, "player_id", "id").select(
+            F.lit("transactions_unapproved_player").alias("check_name"), "orphans"),
+        JN.orphan_count(d["br_affiliates"], d["br_players"], "id", "affiliate_id", null_is_orphan=True).select(
+            F.lit("affiliates_without_player").alias("check_name"), "orphans"),
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query("jn_lookup_flag")
+def _jn07(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return JN.lookup(d["br_transactions"].select("id", "player_id"), d["sl_players"], "player_id", "id",
+                     ["is_kyc_approved"], default=False)
+
+
+@query("jn_lookup_fill")
+def _jn08(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    first = AG.min_by_key(d["sl_players"], "affiliate_id", "created_at", "first_player_at")
+    return JN.fill_from(d["sl_affiliates"], "redeemed_at", first, "id", "first_player_at", "affiliate_id")
+
+
+@query("jn_left_audit")
+def _jn09(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    p = d["sl_players"].select("id", "affiliate_id", "created_at")
+    a = d["sl_affiliates"].select("id", "redeemed_at")
+    m = JN.mismatches(p, a, ("affiliate_id", "id"),
+                      lambda l, r: l["affiliate_id"].isNotNull() & (r["id__r"].isNull() | r["redeemed_at"].isNull()))
+    return m.select("id", "affiliate_id", "id__r", "redeemed_at")
+
+
+@query("jn_inner_violation")
+def _jn10(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return JN.gate_violations(d["br_transactions"], d["sl_players"], "timestamp").select("id", "player_id", "timestamp")
+
+
+# ---------------------------------------------------------------- aggregates (§2.5)
+@query("ag_sum_by_keys")
+def _ag01(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return (b.groupBy("player_id", fn.txn_day("timestamp").alias("txn_date"))
+             .agg(F.sum("amount").alias("amount_sum"), F.count(F.lit(1)).alias("txn_count")))
+
+
+@query("ag_count_sum")
+def _ag02(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    per_player = d["sl_transactions"].groupBy(F.col("player_id").alias("_pid")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_s"))
+    j = d["sl_players"].join(per_player, F.col("id") == F.col("_pid"))
+    return j.groupBy("country_code").agg(F.sum("_n").alias("txn_count"), F.sum("_s").alias("amount_sum"))
+
+
+@query("ag_min_by_code")
+def _ag03(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_players"]
+    return AG.min_by_key(b, "affiliate_id", "created_at", "first_created_at")
+
+
+@query("ag_having_count")
+def _ag04(spark, sf_dir):
+    return AG.duplicate_keys(D(spark, sf_dir, "bronze")["br_transactions"], "id")
+
+
+@query("ag_having_distinct")
+def _ag05(spark, sf_dir):
+    return AG.multi_valued(D(spark, sf_dir, "bronze")["br_players"], "id", "is_kyc_approved")
+
+
+@query("ag_nunique_vs_rows")
+def _ag06(spark, sf_dir):
+    d = D(spark, sf_dir, "bronze")
+    parts = [AG.nunique_vs_rows(d[n], "id").select(F.lit(n).alias("table_name"), "*")
+             for n in ("br_affiliates", "br_players", "br_transactions")]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query("ag_dup_stats")
+def _ag07(spark, sf_dir):
+    return AG.duplicate_stats(D(spark, sf_dir, "bronze")["br_transactions"], "id")
+
+
+@query("ag_max_id")
+def _ag08(spark, sf_dir):
+    d = D(spark, sf_dir, "raw")
+    parts = [AG.max_id(d[n], "id").select(F.lit(n).alias("table_name"), "max_id")
+             for n in ("raw_affiliates", "raw_players", "raw_transactions")]
+    parts.append(AG.max_id(d["raw_players"], "is_kyc_approved").select(F.lit("no_numeric_ids").alias("table_name"), "max_id"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+@query("ag_row_counts")
+def _ag09(spark, sf_dir):
+    d = D(spark, sf_dir, "gold")
+    return AG.row_counts({k: v for k, v in d.items()})
+
+
+@query("ag_distinct_values")
+def _ag10(spark, sf_dir):
+    r = D(spark, sf_dir, "raw")["raw_players"]
+    return AG.distinct_codes(r, "country_code")
+
+
+# ---------------------------------------------------------------- windows (§2.6)
+TXN_ORDER = ["timestamp", "player_id", "amount", "type"]
+
+
+@query("wn_dedup_latest")
+def _wn01(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    return WN.deduplicate(b, "id", [F.col("timestamp").desc(), F.col("amount").desc()],
+                          [F.col("player_id"), F.col("type")])
+
+
+@query("wn_topn_per_group")
+def _wn02(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    r = WN.top_n(b.select("player_id", "amount"), "player_id", [F.col("amount").desc()], 5, "rank_position")
+    return r
+
+
+@query("wn_count_partition")
+def _wn03(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"].select("id", "affiliate_id")
+    return WN.count_over(p, "affiliate_id", "id", "players_of_affiliate")
+
+
+@query("wn_keep_first")
+def _wn04(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    kept, _removed = WN.keep_first(b, "id", TXN_ORDER)
+    return kept
+
+
+@query("wn_keep_first_removed")
+def _wn04b(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"]
+    _kept, removed = WN.keep_first(b, "id", TXN_ORDER)
+    return removed.select("id")
+
+
+@query("wn_mark_all_duplicates")
+def _wn05(spark, sf_dir):
+    b = D(spark, sf_dir, "bronze")["br_transactions"].select("id", "player_id", "amount")
+    return WN.mark_duplicates(b, "id")
+
+
+# ---------------------------------------------------------------- sort / set (§2.7)
+@query("so_order_output")
+def _so01(spark, sf_dir):
+    g = D(spark, sf_dir, "gold")["g_top3_player_deposits"]
+    return g.orderBy("player_id", "rank_position")
+
+
+@query("so_preview")
+def _so02(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"]
+    return PF.preview(p, ["id"], 5)
+
+
+@query("st_union_all")
+def _st01(spark, sf_dir):
+    b = D(spark, sf_dir, "silver")["sl_affiliate_player_bridge"]
+    pairs = b.where(F.col("affiliate_id").isNotNull() & F.col("player_id").isNotNull())
+    left = AG.multi_valued(pairs, "affiliate_id", "player_id").select(F.col("affiliate_id").alias("l"))
+    right = AG.multi_valued(pairs, "player_id", "affiliate_id").select(F.col("player_id").alias("l"))
+    return left.unionAll(right)
+
+
+@query("st_union_by_name")
+def _st02(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    dangling = JN.orphans(d["sl_players"], d["sl_affiliates"], "affiliate_id", "id") \
+        .select(F.col("affiliate_id").alias("id")).distinct()
+    return PF.append_rows(d["sl_affiliates"], dangling)
