@@ -348,3 +348,113 @@ UNION ALL
 SELECT DISTINCT p.affiliate_id AS id, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP)
 FROM sl_players p
 WHERE p.affiliate_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sl_affiliates a WHERE a.id = p.affiliate_id)""")
+
+# ---------------------------------------------------------------- data-quality checks
+reg("dq_unique", "SELECT id, COUNT(*) AS n_records FROM br_players WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1")
+reg("dq_not_null", "SELECT * FROM sl_players WHERE country_code IS NULL")
+reg("dq_values_in_ci", f"SELECT {BRT} FROM br_transactions WHERE lower(CAST(type AS VARCHAR)) NOT IN ('deposit', 'withdraw')")
+reg("dq_ref_integrity", """
+SELECT c.affiliate_id AS fk FROM sl_players c LEFT JOIN sl_affiliates p ON c.affiliate_id = p.id
+WHERE c.affiliate_id IS NOT NULL AND p.id IS NULL""")
+reg("dq_ref_integrity_nullable", """
+SELECT c.affiliate_id AS fk FROM br_players c LEFT JOIN (SELECT id FROM br_affiliates) p ON c.affiliate_id = p.id
+WHERE c.affiliate_id IS NOT NULL AND p.id IS NULL""")
+reg("dq_functional_dependency", """
+SELECT id, COUNT(DISTINCT {'v': is_kyc_approved}) AS combos FROM br_players GROUP BY id
+HAVING COUNT(DISTINCT {'v': is_kyc_approved}) > 1""")
+reg("dq_functional_dependency_multi", """
+SELECT id, COUNT(DISTINCT {'a': country_code, 'b': is_kyc_approved, 'c': created_at}) AS combos
+FROM br_players GROUP BY id
+HAVING COUNT(DISTINCT {'a': country_code, 'b': is_kyc_approved, 'c': created_at}) > 1""")
+reg("dq_unique_by_key", "SELECT id, player_id, COUNT(*) AS cnt FROM br_transactions GROUP BY id, player_id HAVING COUNT(*) > 1")
+reg("dq_txn_signs", f"""
+SELECT {BRT} FROM br_transactions
+WHERE (lower(type) = 'deposit' AND amount < 0) OR (lower(type) = 'withdraw' AND amount > 0)""")
+reg("dq_one_to_one", """
+SELECT l FROM pairs GROUP BY l HAVING COUNT(DISTINCT r) > 1
+UNION ALL
+SELECT r FROM pairs GROUP BY r HAVING COUNT(DISTINCT l) > 1""", """
+pairs AS (SELECT affiliate_id AS l, player_id AS r FROM sl_affiliate_player_bridge
+          WHERE affiliate_id IS NOT NULL AND player_id IS NOT NULL)""")
+reg("dq_no_txn_before_kyc", """
+SELECT t.id, t.txn_timestamp, t.player_id, t.type, CAST(t.amount AS DOUBLE) AS amount
+FROM sl_transactions t JOIN sl_players p ON p.id = t.player_id
+WHERE (p.is_kyc_approved IS DISTINCT FROM TRUE) OR (t.txn_timestamp < p.kyc_approved_at)""")
+reg("dq_kyc_left_audit", """
+SELECT t.id, t.player_id, t."timestamp" FROM br_transactions t LEFT JOIN sl_players p ON p.id = t.player_id
+WHERE (p.is_kyc_approved IS DISTINCT FROM TRUE) OR (t."timestamp" < p.kyc_approved_at)""")
+reg("dq_min_rows", """
+SELECT row_count, CAST(1000 AS BIGINT) AS min_rows FROM (SELECT COUNT(*) AS row_count FROM sl_transactions) WHERE row_count < 1000
+UNION ALL
+SELECT row_count, CAST(2000 AS BIGINT) FROM (SELECT COUNT(*) AS row_count FROM sl_players) WHERE row_count < 2000""")
+
+
+def _dq_row(layer, table, check, cols, count_sql):
+    return (f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{check}' AS check_name, '{cols}' AS columns, "
+            f"CAST(({count_sql}) AS BIGINT) AS violations")
+
+
+def _uniq(t, c):
+    return f"SELECT COUNT(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)"
+
+
+def _nn(t, c):
+    return f"SELECT COUNT(*) FROM {t} WHERE {c} IS NULL"
+
+
+def _ref(t, c, parent, pk):
+    return (f"SELECT COUNT(*) FROM {t} c WHERE c.{c} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{c})")
+
+
+def _ubk(t, cols):
+    return f"SELECT COUNT(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING COUNT(*) > 1)"
+
+
+_REPORT = [
+    _dq_row("bronze", "br_affiliates", "unique", "id", _uniq("br_affiliates", "id")),
+    _dq_row("bronze", "br_affiliates", "not_null", "id", _nn("br_affiliates", "id")),
+    _dq_row("bronze", "br_players", "unique", "id", _uniq("br_players", "id")),
+    _dq_row("bronze", "br_players", "not_null", "id", _nn("br_players", "id")),
+    _dq_row("bronze", "br_players", "not_null", "country_code", _nn("br_players", "country_code")),
+    _dq_row("bronze", "br_transactions", "unique", "id", _uniq("br_transactions", "id")),
+    _dq_row("bronze", "br_transactions", "not_null", "id", _nn("br_transactions", "id")),
+    _dq_row("bronze", "br_transactions", "values_in_ci", "type",
+            "SELECT COUNT(*) FROM br_transactions WHERE lower(type) NOT IN ('deposit', 'withdraw')"),
+    _dq_row("silver", "sl_affiliates", "unique", "id", _uniq("sl_affiliates", "id")),
+    _dq_row("silver", "sl_affiliates", "not_null", "id", _nn("sl_affiliates", "id")),
+    _dq_row("silver", "sl_affiliates", "functional_dependency", "id",
+            "SELECT COUNT(*) FROM (SELECT id FROM sl_affiliates GROUP BY id "
+            "HAVING COUNT(DISTINCT {'a': code, 'b': origin, 'c': redeemed_at}) > 1)"),
+    _dq_row("silver", "sl_players", "ref_integrity_nullable", "affiliate_id",
+            _ref("sl_players", "affiliate_id", "sl_affiliates", "id")),
+    _dq_row("silver", "sl_players", "unique", "id", _uniq("sl_players", "id")),
+    _dq_row("silver", "sl_players", "not_null", "id", _nn("sl_players", "id")),
+    _dq_row("silver", "sl_players", "not_null", "country_code", _nn("sl_players", "country_code")),
+    _dq_row("silver", "sl_affiliate_player_bridge", "one_to_one", "affiliate_id,player_id",
+            "SELECT (SELECT COUNT(*) FROM (SELECT affiliate_id FROM sl_affiliate_player_bridge "
+            "WHERE affiliate_id IS NOT NULL AND player_id IS NOT NULL GROUP BY affiliate_id "
+            "HAVING COUNT(DISTINCT player_id) > 1)) + (SELECT COUNT(*) FROM (SELECT player_id "
+            "FROM sl_affiliate_player_bridge WHERE affiliate_id IS NOT NULL AND player_id IS NOT NULL "
+            "GROUP BY player_id HAVING COUNT(DISTINCT affiliate_id) > 1))"),
+    _dq_row("silver", "sl_affiliate_player_bridge", "ref_integrity", "player_id",
+            _ref("sl_affiliate_player_bridge", "player_id", "sl_players", "id")),
+    _dq_row("silver", "sl_transactions", "no_txn_before_kyc", "txn_timestamp",
+            "SELECT COUNT(*) FROM sl_transactions t JOIN sl_players p ON p.id = t.player_id "
+            "WHERE p.is_kyc_approved IS DISTINCT FROM TRUE OR t.txn_timestamp < p.kyc_approved_at"),
+    _dq_row("silver", "sl_transactions", "ref_integrity", "player_id",
+            _ref("sl_transactions", "player_id", "sl_players", "id")),
+    _dq_row("silver", "sl_transactions", "not_null", "amount", _nn("sl_transactions", "amount")),
+    _dq_row("gold", "g_player_daily_balance", "unique_by_key", "player_id,txn_date",
+            _ubk("g_player_daily_balance", "player_id, txn_date")),
+    _dq_row("gold", "g_player_daily_balance", "not_null", "deposits", _nn("g_player_daily_balance", "deposits")),
+    _dq_row("gold", "g_player_daily_balance", "not_null", "withdrawals", _nn("g_player_daily_balance", "withdrawals")),
+    _dq_row("gold", "g_country_deposits_discord", "not_null", "country_code",
+            _nn("g_country_deposits_discord", "country_code")),
+    _dq_row("gold", "g_top3_player_deposits", "unique_by_key", "player_id,rank_position",
+            _ubk("g_top3_player_deposits", "player_id, rank_position")),
+    _dq_row("gold", "g_top3_player_deposits", "not_null", "top_deposit_amount",
+            _nn("g_top3_player_deposits", "top_deposit_amount")),
+]
+reg("dq_report", "SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'warn' END AS status FROM (\n"
+    + "\nUNION ALL\n".join(_REPORT) + "\n)")

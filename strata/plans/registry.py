@@ -478,3 +478,85 @@ def _st02(spark, sf_dir):
     dangling = JN.orphans(d["sl_players"], d["sl_affiliates"], "affiliate_id", "id") \
         .select(F.col("affiliate_id").alias("id")).distinct()
     return PF.append_rows(d["sl_affiliates"], dangling)
+
+
+# ---------------------------------------------------------------- data-quality checks (§2.10)
+from strata.operators import quality as DQ  # noqa: E402
+
+
+@query("dq_unique")
+def _dq01(spark, sf_dir):
+    return DQ.unique(D(spark, sf_dir, "bronze")["br_players"], "id")
+
+
+@query("dq_not_null")
+def _dq02(spark, sf_dir):
+    return DQ.not_null(D(spark, sf_dir, "silver")["sl_players"], "country_code")
+
+
+@query("dq_values_in_ci")
+def _dq03(spark, sf_dir):
+    return DQ.values_in_ci(D(spark, sf_dir, "bronze")["br_transactions"], "type", ["Deposit", "Withdraw"])
+
+
+@query("dq_ref_integrity")
+def _dq04(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return DQ.ref_integrity(d["sl_players"], "affiliate_id", d["sl_affiliates"], "id")
+
+
+@query("dq_ref_integrity_nullable")
+def _dq05(spark, sf_dir):
+    d = D(spark, sf_dir, "bronze")
+    return DQ.ref_integrity_nullable(d["br_players"], "affiliate_id", d["br_affiliates"], "id")
+
+
+@query("dq_functional_dependency")
+def _dq06(spark, sf_dir):
+    return DQ.functional_dependency(D(spark, sf_dir, "bronze")["br_players"], "id", "is_kyc_approved")
+
+
+@query("dq_functional_dependency_multi")
+def _dq06b(spark, sf_dir):
+    return DQ.functional_dependency(D(spark, sf_dir, "bronze")["br_players"], "id",
+                                    "country_code,is_kyc_approved,created_at")
+
+
+@query("dq_unique_by_key")
+def _dq07(spark, sf_dir):
+    return DQ.unique_by_key(D(spark, sf_dir, "bronze")["br_transactions"], "id, player_id")
+
+
+@query("dq_txn_signs")
+def _dq08(spark, sf_dir):
+    return DQ.txn_signs_consistent(D(spark, sf_dir, "bronze")["br_transactions"])
+
+
+@query("dq_one_to_one")
+def _dq09(spark, sf_dir):
+    return DQ.one_to_one(D(spark, sf_dir, "silver")["sl_affiliate_player_bridge"], "affiliate_id", "player_id")
+
+
+@query("dq_no_txn_before_kyc")
+def _dq10(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return DQ.no_txn_before_kyc(d["sl_transactions"], d["sl_players"], "txn_timestamp")
+
+
+@query("dq_kyc_left_audit")
+def _dq12(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return DQ.no_txn_before_kyc(d["br_transactions"], d["sl_players"], "timestamp", unknown_is_violation=True) \
+             .select("id", "player_id", "timestamp")
+
+
+@query("dq_min_rows")
+def _dq13(spark, sf_dir):
+    d = D(spark, sf_dir, "silver")
+    return DQ.min_rows(d["sl_transactions"], 1000).unionAll(DQ.min_rows(d["sl_players"], 2000))
+
+
+@query("dq_report")
+def _dq14(spark, sf_dir):
+    """All checks bound to bronze, silver and gold; soft fail (status warn)."""
+    return DQ.dq_report(D(spark, sf_dir, "gold"))
