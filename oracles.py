@@ -458,3 +458,67 @@ _REPORT = [
 ]
 reg("dq_report", "SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'warn' END AS status FROM (\n"
     + "\nUNION ALL\n".join(_REPORT) + "\n)")
+
+# ---------------------------------------------------------------- cleaning job
+CLEAN_CTES = """
+c_players AS (
+  SELECT id, affiliate_id, country_code,
+         CASE WHEN lower(trim(is_kyc_approved)) IN ('true', 'yes', 'y', '1') THEN TRUE
+              WHEN lower(trim(is_kyc_approved)) IN ('false', 'no', 'n', '0') THEN FALSE END AS is_kyc_approved,
+         created_at, updated_at, version_id
+  FROM raw_players
+),
+c_players_ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version_id) AS rn FROM c_players),
+c_players_kept AS (SELECT * EXCLUDE (rn) FROM c_players_ranked WHERE rn = 1),
+c_txn AS (
+  SELECT id, TRY_CAST(NULLIF(trim("timestamp"), '') AS TIMESTAMP) AS "timestamp", player_id, type, amount
+  FROM raw_transactions
+),
+c_txn_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY "timestamp", player_id, amount, type) AS rn FROM c_txn
+),
+c_txn_first AS (SELECT * EXCLUDE (rn) FROM c_txn_ranked WHERE rn = 1),
+c_aff_ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY id) AS rn FROM raw_affiliates),
+c_aff_first AS (SELECT * EXCLUDE (rn) FROM c_aff_ranked WHERE rn = 1),
+c_aff_code_ranked AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY id) AS rn FROM c_aff_first),
+c_aff_kept AS (SELECT * EXCLUDE (rn) FROM c_aff_code_ranked WHERE rn = 1)
+"""
+
+
+def creg(name, body):
+    reg(name, body, CLEAN_CTES)
+
+
+creg("cl_coerce_types", "SELECT * FROM c_txn")
+creg("cl_unique_ids", """
+SELECT 'unique_ids' AS rule, 'affiliates' AS table_name, COUNT(*) AS rows_affected FROM c_aff_ranked WHERE rn > 1
+UNION ALL SELECT 'unique_ids', 'players', COUNT(*) FROM c_players_ranked WHERE rn > 1
+UNION ALL SELECT 'unique_ids', 'transactions', COUNT(*) FROM c_txn_ranked WHERE rn > 1""")
+creg("cl_orphan_txn", """
+SELECT * FROM c_txn_first t WHERE t.player_id IN (SELECT id FROM c_players_kept WHERE id IS NOT NULL)""")
+creg("cl_unique_codes", "SELECT * FROM c_aff_kept")
+creg("cl_null_unknown_codes", """
+SELECT id, version_id,
+       CASE WHEN affiliate_id IS NOT NULL AND affiliate_id NOT IN (SELECT id FROM c_aff_first WHERE id IS NOT NULL)
+            THEN NULL ELSE affiliate_id END AS affiliate_id
+FROM c_players_kept""")
+creg("cl_drop_bad_owner", """
+SELECT * FROM c_aff_kept WHERE id IN (SELECT id FROM c_players_kept WHERE id IS NOT NULL)""")
+reg("cl_drop_not_approved", """
+SELECT t.id, t.player_id FROM br_transactions t JOIN sl_players p ON p.id = t.player_id
+WHERE coalesce(p.is_kyc_approved, FALSE)""")
+reg("cl_drop_before_approval", """
+SELECT t.id, t.player_id, t."timestamp" FROM br_transactions t JOIN sl_players p ON p.id = t.player_id
+WHERE NOT coalesce(t."timestamp" < p.kyc_approved_at, FALSE)""")
+creg("clean_domain", """
+SELECT t.* FROM c_txn_first t JOIN c_players_kept p ON p.id = t.player_id
+WHERE coalesce(p.is_kyc_approved, FALSE)""")
+creg("clean_audit", """
+SELECT 'unique_ids' AS rule, 'affiliates' AS table_name, COUNT(*) AS rows_affected FROM c_aff_ranked WHERE rn > 1
+UNION ALL SELECT 'unique_codes', 'affiliates', COUNT(*) FROM c_aff_code_ranked WHERE rn > 1
+UNION ALL SELECT 'unique_ids', 'players', COUNT(*) FROM c_players_ranked WHERE rn > 1
+UNION ALL SELECT 'unique_ids', 'transactions', COUNT(*) FROM c_txn_ranked WHERE rn > 1
+UNION ALL SELECT 'orphan_txn', 'transactions', COUNT(*) FROM c_txn_first t
+          WHERE t.player_id IS NULL OR t.player_id NOT IN (SELECT id FROM c_players_kept WHERE id IS NOT NULL)
+UNION ALL SELECT 'drop_not_approved', 'transactions', COUNT(*) FROM c_txn_first t JOIN c_players_kept p ON p.id = t.player_id
+          WHERE NOT coalesce(p.is_kyc_approved, FALSE)""")

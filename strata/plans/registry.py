@@ -560,3 +560,87 @@ def _dq13(spark, sf_dir):
 def _dq14(spark, sf_dir):
     """All checks bound to bronze, silver and gold; soft fail (status warn)."""
     return DQ.dq_report(D(spark, sf_dir, "gold"))
+
+
+# ---------------------------------------------------------------- cleaning job (§2.9)
+from strata.plans import cleaning_job as CL  # noqa: E402
+
+# Input order of the bound raw tables (the "file order" that decides keep-first).
+CLEAN_ORDER = {"affiliates": ["id"], "players": ["version_id"],
+               "transactions": ["timestamp", "player_id", "amount", "type"]}
+IDS_ONLY = CL.Roles(aff_code=None, txn_player_fk=None, ply_kyc_bool=None, txn_date=None)
+
+
+def _raw(spark, sf_dir):
+    d = D(spark, sf_dir, "raw")
+    return d["raw_affiliates"], d["raw_players"], d["raw_transactions"]
+
+
+@query("cl_coerce_types")
+def _cl01(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    _p, t2 = CL.coerce_types(p, t, CL.Roles())
+    return t2
+
+
+@query("cl_unique_ids")
+def _cl02(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    return CL.clean_domain(a, p, t, IDS_ONLY, CLEAN_ORDER).audit
+
+
+@query("cl_orphan_txn")
+def _cl03(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    roles = CL.Roles(aff_code=None, ply_kyc_bool=None)
+    return CL.clean_domain(a, p, t, roles, CLEAN_ORDER).transactions
+
+
+@query("cl_unique_codes")
+def _cl04(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    return CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER).affiliates
+
+
+@query("cl_null_unknown_codes")
+def _cl05(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    roles = CL.Roles(aff_code="id", ply_redeemed_code="affiliate_id")
+    return CL.clean_domain(a, p, t, roles, CLEAN_ORDER).players.select("id", "version_id", "affiliate_id")
+
+
+@query("cl_drop_bad_owner")
+def _cl06(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    return CL.clean_domain(a, p, t, CL.Roles(aff_owner="id"), CLEAN_ORDER).affiliates
+
+
+@query("cl_drop_not_approved")
+def _cl07(spark, sf_dir):
+    """Against sl_players, without the other rules."""
+    d = D(spark, sf_dir, "silver")
+    roles = CL.Roles(txn_id=None, txn_date=None)
+    lt = CL.label_transactions(d["br_transactions"], d["sl_players"], roles, [])
+    return lt.where(F.col("_rule").isNull()).select("id", "player_id")
+
+
+@query("cl_drop_before_approval")
+def _cl08(spark, sf_dir):
+    """Before-approval rule alone, approval date = sl_players.kyc_approved_at."""
+    d = D(spark, sf_dir, "silver")
+    roles = CL.Roles(txn_id=None, ply_kyc_bool=None, ply_kyc_date="kyc_approved_at")
+    lt = CL.label_transactions(d["br_transactions"], d["sl_players"], roles, [])
+    return lt.where(F.col("_rule").isNull()).select("id", "player_id", "timestamp")
+
+
+@query("clean_domain")
+def _cl09(spark, sf_dir):
+    """Whole cleaning job with the reference's roles; surviving transactions."""
+    a, p, t = _raw(spark, sf_dir)
+    return CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER).transactions
+
+
+@query("clean_audit")
+def _cl10(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    return CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER).audit
