@@ -522,3 +522,36 @@ UNION ALL SELECT 'orphan_txn', 'transactions', COUNT(*) FROM c_txn_first t
           WHERE t.player_id IS NULL OR t.player_id NOT IN (SELECT id FROM c_players_kept WHERE id IS NOT NULL)
 UNION ALL SELECT 'drop_not_approved', 'transactions', COUNT(*) FROM c_txn_first t JOIN c_players_kept p ON p.id = t.player_id
           WHERE NOT coalesce(p.is_kyc_approved, FALSE)""")
+
+# ---------------------------------------------------------------- history snapshot
+SNAP_CTES = """
+s_ranked AS (
+  SELECT * EXCLUDE (version_id), row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST,
+         created_at DESC NULLS LAST, version_id DESC) AS rn FROM br_players
+),
+s_ranked_before AS (
+  SELECT * EXCLUDE (version_id), row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST,
+         created_at DESC NULLS LAST, version_id DESC) AS rn
+  FROM br_players WHERE updated_at < TIMESTAMP '1998-01-01 00:00:00'
+),
+s_cur AS (SELECT * EXCLUDE (rn) FROM s_ranked WHERE rn = 1),
+s_hist AS (
+  SELECT * EXCLUDE (rn),
+         md5(coalesce(CAST(id AS VARCHAR), '') || '|' || coalesce(CAST(updated_at AS VARCHAR), '')) AS dbt_scd_id,
+         updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM s_ranked_before WHERE rn = 1
+)
+"""
+reg("players_snapshot_initial", """
+SELECT *, md5(coalesce(CAST(id AS VARCHAR), '') || '|' || coalesce(CAST(updated_at AS VARCHAR), '')) AS dbt_scd_id,
+       updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+FROM s_cur""", SNAP_CTES)
+reg("players_snapshot_merge", """
+SELECT h.* EXCLUDE (dbt_valid_to),
+       CASE WHEN c.updated_at > h.dbt_updated_at THEN c.updated_at END AS dbt_valid_to
+FROM s_hist h LEFT JOIN s_cur c ON c.id = h.id
+UNION ALL
+SELECT c.*, md5(coalesce(CAST(c.id AS VARCHAR), '') || '|' || coalesce(CAST(c.updated_at AS VARCHAR), '')),
+       c.updated_at, c.updated_at, CAST(NULL AS TIMESTAMP)
+FROM s_cur c LEFT JOIN s_hist h ON h.id = c.id
+WHERE h.id IS NULL OR c.updated_at > h.dbt_updated_at""", SNAP_CTES)

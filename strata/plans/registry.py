@@ -644,3 +644,31 @@ def _cl09(spark, sf_dir):
 def _cl10(spark, sf_dir):
     a, p, t = _raw(spark, sf_dir)
     return CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER).audit
+
+
+# ---------------------------------------------------------------- history snapshot (§2.11)
+from strata.operators import snapshot as SN  # noqa: E402
+
+SNAPSHOT_CUT = "1998-01-01 00:00:00"
+
+
+def _latest_players(br: DataFrame, before: str | None = None) -> DataFrame:
+    if before is not None:
+        br = br.where(F.col("updated_at") < F.lit(before).cast("timestamp_ntz"))
+    latest = WN.deduplicate(br, "id", [F.col("updated_at").desc_nulls_last(), F.col("created_at").desc_nulls_last()],
+                            binding.driver_tie_break())
+    return latest.drop("version_id")
+
+
+@query("players_snapshot_initial")
+def _sn02(spark, sf_dir):
+    br = D(spark, sf_dir, "bronze")["br_players"]
+    return SN.snapshot_initial(_latest_players(br))
+
+
+@query("players_snapshot_merge")
+def _sn01(spark, sf_dir):
+    """History of versions before the cut, merged with the latest versions."""
+    br = D(spark, sf_dir, "bronze")["br_players"]
+    history = SN.snapshot_initial(_latest_players(br, SNAPSHOT_CUT))
+    return SN.snapshot_merge(history, _latest_players(br))
