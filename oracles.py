@@ -555,3 +555,36 @@ SELECT c.*, md5(coalesce(CAST(c.id AS VARCHAR), '') || '|' || coalesce(CAST(c.up
        c.updated_at, c.updated_at, CAST(NULL AS TIMESTAMP)
 FROM s_cur c LEFT JOIN s_hist h ON h.id = c.id
 WHERE h.id IS NULL OR c.updated_at > h.dbt_updated_at""", SNAP_CTES)
+
+# ---------------------------------------------------------------- sources, sinks, pipeline
+ORACLES["src_csv_scan"] = ORACLES["br_players"]
+reg("src_csv_dir", """
+SELECT 'affiliates' AS table_name, COUNT(*) AS row_count FROM raw_affiliates
+UNION ALL SELECT 'players', COUNT(*) FROM raw_players
+UNION ALL SELECT 'transactions', COUNT(*) FROM raw_transactions""")
+reg("src_drop_unnamed", "SELECT * FROM raw_affiliates")
+reg("src_csv_to_parquet", "SELECT * FROM raw_transactions")
+reg("src_load_truncate", "SELECT 'raw_transactions' AS table_name, COUNT(*) AS row_count FROM raw_transactions")
+reg("src_load_append", "SELECT 'raw_transactions' AS table_name, 2 * COUNT(*) AS row_count FROM raw_transactions")
+creg("snk_csv", """
+SELECT t.id, strftime(t."timestamp", '%Y-%m-%d %H:%M:%S') || '+00:00' AS "timestamp", t.player_id, t.type, t.amount
+FROM c_txn_first t JOIN c_players_kept p ON p.id = t.player_id
+WHERE coalesce(p.is_kyc_approved, FALSE)""")
+ORACLES["snk_table"] = ORACLES["sl_players"]
+ORACLES["snk_view"] = ORACLES["g_player_daily_balance"]
+reg("snk_partitioned", """
+SELECT id, txn_timestamp, player_id, type, CAST(amount AS DOUBLE) AS amount,
+       CAST(txn_timestamp AS DATE) AS txn_timestamp_date
+FROM sl_transactions""")
+reg("run_medallion", """
+SELECT 'bronze' AS layer, 'br_affiliates' AS table_name, COUNT(*) AS row_count FROM br_affiliates
+UNION ALL SELECT 'bronze', 'br_players', COUNT(*) FROM br_players
+UNION ALL SELECT 'bronze', 'br_transactions', COUNT(*) FROM br_transactions
+UNION ALL SELECT 'silver', 'sl_affiliates', COUNT(*) FROM sl_affiliates
+UNION ALL SELECT 'silver', 'sl_players', COUNT(*) FROM sl_players
+UNION ALL SELECT 'silver', 'sl_affiliate_player_bridge', COUNT(*) FROM sl_affiliate_player_bridge
+UNION ALL SELECT 'silver', 'sl_transactions', COUNT(*) FROM sl_transactions
+UNION ALL SELECT 'gold', 'g_player_daily_balance', COUNT(*) FROM g_player_daily_balance
+UNION ALL SELECT 'gold', 'g_country_deposits_discord', COUNT(*) FROM g_country_deposits_discord
+UNION ALL SELECT 'gold', 'g_top3_player_deposits', COUNT(*) FROM g_top3_player_deposits
+UNION ALL SELECT 'snapshot', 'players_snapshot', COUNT(DISTINCT id) FROM br_players""")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans import binding
+from strata.plans import layers as L
 from strata.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -672,3 +673,111 @@ def _sn01(spark, sf_dir):
     br = D(spark, sf_dir, "bronze")["br_players"]
     history = SN.snapshot_initial(_latest_players(br, SNAPSHOT_CUT))
     return SN.snapshot_merge(history, _latest_players(br))
+
+
+# ---------------------------------------------------------------- sources and sinks (§2.1), pipeline (§2.13)
+import uuid  # noqa: E402
+
+from strata.plans.pipeline import run_medallion  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sources import io as IO  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:8]}"
+
+
+@query("src_csv_scan")
+def _src01(spark, sf_dir):
+    """raw players → CSV → typed read back → bronze."""
+    raw = D(spark, sf_dir, "raw")["raw_players"]
+    path = IO.write_raw_csv(raw, _scratch(spark, "players.csv"))
+    back = IO.read_raw_csv(spark, path, raw.columns)
+    return L.br_players(back)
+
+
+@query("src_csv_dir")
+def _src02(spark, sf_dir):
+    d = D(spark, sf_dir, "raw")
+    src, dst = _scratch(spark, "csv-in"), _scratch(spark, "landing")
+    for n in ("affiliates", "players", "transactions"):
+        IO.write_raw_csv(d[f"raw_{n}"], f"{src}/{n}.csv")
+    landed = IO.ingest_dir(spark, src, dst)
+    parts = [spark.read.parquet(uri).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(stem).alias("table_name"), "row_count") for stem, uri in landed.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query("src_drop_unnamed")
+def _src03(spark, sf_dir):
+    raw = D(spark, sf_dir, "raw")["raw_affiliates"]
+    with_index = raw.select(F.col("id").alias("Unnamed: 0"), "*", F.lit(None).cast("string").alias("unnamed_7"))
+    return IO.drop_unnamed(with_index)
+
+
+@query("src_csv_to_parquet")
+def _src04(spark, sf_dir):
+    raw = D(spark, sf_dir, "raw")["raw_transactions"]
+    csv = IO.write_raw_csv(raw, _scratch(spark, "transactions.csv"))
+    return spark.read.parquet(IO.csv_to_parquet(spark, csv, _scratch(spark, "transactions.parquet")))
+
+
+def _load_twice(spark, sf_dir, mode):
+    raw = D(spark, sf_dir, "raw")["raw_transactions"]
+    uri = _scratch(spark, "raw_transactions.parquet")
+    raw.write.parquet(uri)
+    loc = _scratch(spark, "tbl_transactions")
+    name = f"raw_transactions_{mode}_{uuid.uuid4().hex[:6]}"
+    IO.load_table(spark, uri, name, location=loc, mode="overwrite")
+    IO.load_table(spark, uri, name, location=loc, mode=mode)
+    return spark.table(name).agg(F.count(F.lit(1)).alias("row_count")) \
+        .select(F.lit("raw_transactions").alias("table_name"), "row_count")
+
+
+@query("src_load_truncate")
+def _src06(spark, sf_dir):
+    return _load_twice(spark, sf_dir, "overwrite")
+
+
+@query("src_load_append")
+def _src07(spark, sf_dir):
+    return _load_twice(spark, sf_dir, "append")
+
+
+@query("snk_csv")
+def _snk09(spark, sf_dir):
+    a, p, t = _raw(spark, sf_dir)
+    cleaned = CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER).transactions
+    path = IO.write_csv(cleaned, _scratch(spark, "transactions_clean.csv"))
+    return IO.read_raw_csv(spark, path, cleaned.columns)
+
+
+@query("snk_table")
+def _snk10(spark, sf_dir):
+    p = D(spark, sf_dir, "silver")["sl_players"]
+    return spark.read.parquet(IO.write_table(p, _scratch(spark, "sl_players")))
+
+
+@query("snk_view")
+def _snk11(spark, sf_dir):
+    g = D(spark, sf_dir, "gold")["g_player_daily_balance"]
+    return IO.as_view(g, "g_player_daily_balance")
+
+
+@query("snk_partitioned")
+def _snk12(spark, sf_dir):
+    t = D(spark, sf_dir, "silver")["sl_transactions"]
+    path = IO.write_table(t, _scratch(spark, "sl_transactions"), partition_by_day="txn_timestamp")
+    return spark.read.parquet(path)
+
+
+@query("run_medallion")
+def _pl01(spark, sf_dir):
+    """Whole pipeline from a CSV folder of the bound raw tables; rows per written table."""
+    d = D(spark, sf_dir, "raw")
+    src = _scratch(spark, "medallion-src")
+    for n in ("affiliates", "players", "transactions"):
+        IO.write_raw_csv(d[f"raw_{n}"], f"{src}/{n}.csv")
+    return run_medallion(spark, src, _scratch(spark, "medallion-out"), checks="warn",
+                         amount_type=binding.DRIVER_AMOUNT, player_keep=("version_id",),
+                         tie_break=[F.col("version_id").cast("bigint").desc()])
