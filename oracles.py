@@ -588,3 +588,159 @@ UNION ALL SELECT 'gold', 'g_player_daily_balance', COUNT(*) FROM g_player_daily_
 UNION ALL SELECT 'gold', 'g_country_deposits_discord', COUNT(*) FROM g_country_deposits_discord
 UNION ALL SELECT 'gold', 'g_top3_player_deposits', COUNT(*) FROM g_top3_player_deposits
 UNION ALL SELECT 'snapshot', 'players_snapshot', COUNT(DISTINCT id) FROM br_players""")
+
+# ---------------------------------------------------------------- table extension
+_SEED = 42
+_NOW = "TIMESTAMP '2025-09-01 00:00:00'"
+_ALPHA = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_ORIGINS = "['web', 'ios', 'android', 'partner', 'campaign', 'YouTube', 'Discord', 'X']"
+_COUNTRIES = "['CO', 'US', 'MX', 'BR', 'AR', 'CL', 'PE', 'ES', 'GB', 'DE', 'FR', 'CA', 'IN', 'PH', 'AU']"
+_TYPES = "['deposit', 'withdrawal', 'bet', 'win']"
+
+
+def U(tag: str, idx: str = "id") -> str:
+    """md5 draw: first 8 hex digits of md5('<seed>|<id>|<tag>') as an integer."""
+    return f"('0x' || substr(md5('{_SEED}|' || CAST({idx} AS VARCHAR) || '|{tag}'), 1, 8))::BIGINT"
+
+
+_CODE = " || ".join(f"substr('{_ALPHA}', CAST({U(f'code{k}')} % 36 + 1 AS INTEGER), 1)" for k in range(8))
+
+EXT_CTES = CLEAN_CTES.rstrip() + rf""",
+e_a0 AS (
+  SELECT TRY_CAST(TRY_CAST(id AS DECIMAL(38,0)) AS BIGINT) AS id,
+         trim(regexp_replace(lower(code), '[ \t\n\f\r]+', ' ', 'g'), ' ') AS code,
+         trim(regexp_replace(lower(origin), '[ \t\n\f\r]+', ' ', 'g'), ' ') AS origin,
+         TRY_CAST(NULLIF(redeemed_at, '') AS TIMESTAMP) AS redeemed_at
+  FROM c_aff_kept
+),
+e_p0 AS (
+  SELECT TRY_CAST(TRY_CAST(id AS DECIMAL(38,0)) AS BIGINT) AS id,
+         TRY_CAST(TRY_CAST(affiliate_id AS DECIMAL(38,0)) AS BIGINT) AS affiliate_id,
+         CASE WHEN length(trim(country_code, ' ')) = 2 THEN upper(trim(country_code, ' ')) END AS country_code,
+         CASE WHEN lower(CAST(is_kyc_approved AS VARCHAR)) IN ('true', '1', 't', 'y', 'yes') THEN TRUE
+              WHEN lower(CAST(is_kyc_approved AS VARCHAR)) IN ('false', '0', 'f', 'n', 'no') THEN FALSE
+         END AS is_kyc_approved,
+         TRY_CAST(NULLIF(created_at, '') AS TIMESTAMP) AS created_at,
+         TRY_CAST(NULLIF(updated_at, '') AS TIMESTAMP) AS updated_at
+  FROM c_players_kept
+),
+e_t0 AS (
+  SELECT TRY_CAST(TRY_CAST(t.id AS DECIMAL(38,0)) AS BIGINT) AS id,
+         TRY_CAST(NULLIF(CAST(t."timestamp" AS VARCHAR), '') AS TIMESTAMP) AS "timestamp",
+         TRY_CAST(TRY_CAST(t.player_id AS DECIMAL(38,0)) AS BIGINT) AS player_id,
+         trim(regexp_replace(lower(t.type), '[ \t\n\f\r]+', ' ', 'g'), ' ') AS type,
+         TRY_CAST(regexp_replace(t.amount, '[^0-9.\-]+', '', 'g') AS DECIMAL(18,2)) AS amount
+  FROM c_txn_first t JOIN c_players_kept p ON p.id = t.player_id
+  WHERE coalesce(p.is_kyc_approved, FALSE)
+),
+e_n AS (
+  SELECT *, CAST(ceil(2.0 * greatest(a_rows, p_rows, t_rows)) AS BIGINT) AS n FROM (
+    SELECT (SELECT coalesce(max(id), 0) FROM e_a0) AS a_max, (SELECT count(*) FROM e_a0) AS a_rows,
+           (SELECT coalesce(max(id), 0) FROM e_p0) AS p_max, (SELECT count(*) FROM e_p0) AS p_rows,
+           (SELECT coalesce(max(id), 0) FROM e_t0) AS t_max, (SELECT count(*) FROM e_t0) AS t_rows)
+),
+e_a_new AS (SELECT a_max + unnest(range(1, n - a_rows + 1)) AS id FROM e_n),
+e_a_ext1 AS (
+  SELECT id, NULLIF(upper(regexp_replace(code, '^\s+|\s+$', '', 'g')), '') AS code,
+         CASE WHEN NOT regexp_matches(origin, '^\s*$') THEN origin END AS origin, redeemed_at
+  FROM (SELECT id, code, origin, redeemed_at FROM e_a0
+        UNION ALL
+        SELECT id, {_CODE}, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP) FROM e_a_new)
+),
+e_p_new AS (SELECT p_max + unnest(range(1, n - p_rows + 1)) AS id FROM e_n),
+e_p_ext AS (
+  SELECT id, affiliate_id, country_code, is_kyc_approved, created_at, updated_at FROM e_p0
+  UNION ALL
+  SELECT id, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), {U('kyc')} % 100 < 75,
+         {_NOW} + to_minutes(-(({U('created_d')} % 120) * 1440 + {U('created_m')} % 1440)), CAST(NULL AS TIMESTAMP)
+  FROM e_p_new
+),
+e_a_idx AS (SELECT id, code, row_number() OVER (ORDER BY id) - 1 AS gidx FROM e_a_ext1
+            WHERE code IS NOT NULL AND id IS NOT NULL),
+e_a_cnt AS (SELECT count(*) AS n_codes FROM e_a_idx),
+e_p_code AS (
+  SELECT p.*, x.code AS affiliate_code_redeemed
+  FROM e_p_ext p CROSS JOIN e_a_cnt c
+  LEFT JOIN e_a_idx x ON x.gidx = CASE WHEN {U('has_code', 'p.id')} % 100 < 60 THEN {U('code_pick', 'p.id')} % c.n_codes END
+),
+e_a_ext2 AS (
+  SELECT id, code, coalesce(origin, {_ORIGINS}[CAST({U('origin')} % 8 + 1 AS INTEGER)]) AS origin, redeemed_at
+  FROM e_a_ext1
+),
+e_first_use AS (
+  SELECT affiliate_code_redeemed AS c, min(coalesce(created_at, updated_at)) AS first_at FROM e_p_code
+  WHERE affiliate_code_redeemed IS NOT NULL AND coalesce(created_at, updated_at) IS NOT NULL GROUP BY 1
+),
+e_a_ext3 AS (
+  SELECT a.id, a.code, a.origin,
+         CASE WHEN a.redeemed_at IS NULL AND f.first_at IS NOT NULL
+              THEN f.first_at + to_minutes({U('redeem_m', 'a.id')} % 1440) ELSE a.redeemed_at END AS redeemed_at
+  FROM e_a_ext2 a LEFT JOIN e_first_use f ON a.code = f.c
+),
+e_by_code AS (SELECT code AS c, max(id) AS aid FROM e_a_ext3 WHERE code IS NOT NULL GROUP BY 1),
+e_p3 AS (
+  SELECT p.id, coalesce(p.affiliate_id, b.aid) AS affiliate_id,
+         coalesce(p.country_code, {_COUNTRIES}[CAST({U('country', 'p.id')} % 15 + 1 AS INTEGER)]) AS country_code,
+         p.is_kyc_approved, p.created_at,
+         coalesce(p.updated_at,
+                  coalesce(p.created_at, {_NOW} + to_minutes(-({U('upd_base', 'p.id')} % 120) * 1440))
+                  + to_minutes(({U('upd_d', 'p.id')} % 30) * 1440 + {U('upd_m', 'p.id')} % 1440)) AS updated_at,
+         p.affiliate_code_redeemed
+  FROM e_p_code p LEFT JOIN e_by_code b ON p.affiliate_code_redeemed = b.c
+),
+e_kyc AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS gidx FROM e_p3
+          WHERE is_kyc_approved = TRUE AND id IS NOT NULL),
+e_kyc_n AS (SELECT count(*) AS n_kyc FROM e_kyc),
+e_t_new AS (SELECT t_max + unnest(range(1, n - t_rows + 1)) AS id FROM e_n),
+e_t_ext AS (
+  SELECT * FROM e_t0
+  UNION ALL
+  SELECT t.id,
+         {_NOW} + to_minutes(-30 * 1440 + ({U('txn_d', 't.id')} % 60) * 1440 + {U('txn_m', 't.id')} % 1440),
+         k.id, {_TYPES}[CAST({U('txn_type', 't.id')} % 4 + 1 AS INTEGER)],
+         CAST({U('amount', 't.id')} % 4999 + 1 AS DECIMAL(18,2))
+  FROM e_t_new t CROSS JOIN e_kyc_n c LEFT JOIN e_kyc k ON k.gidx = {U('txn_player', 't.id')} % c.n_kyc
+),
+e_codes AS (
+  SELECT id AS aid, min(NULLIF(upper(regexp_replace(code, '^\s+|\s+$', '', 'g')), '')) AS acode
+  FROM e_a_ext3 WHERE id IS NOT NULL AND code IS NOT NULL GROUP BY id
+),
+e_code_bad AS (
+  SELECT p.* FROM e_p3 p LEFT JOIN e_codes c ON p.affiliate_id = c.aid
+  WHERE p.affiliate_id IS NOT NULL AND p.affiliate_code_redeemed IS NOT NULL
+    AND NULLIF(upper(regexp_replace(p.affiliate_code_redeemed, '^\s+|\s+$', '', 'g')), '') IS DISTINCT FROM c.acode
+)"""
+
+
+def ereg(name, body):
+    reg(name, body, EXT_CTES)
+
+
+ereg("ex_new_ids", "SELECT id FROM e_a_ext3")
+ereg("ex_random_code", "SELECT id, code FROM e_a_ext3 WHERE id > (SELECT a_max FROM e_n)")
+ereg("ex_choice_from_pool", "SELECT id, origin FROM e_a_ext3 UNION ALL SELECT id, country_code FROM e_p3")
+ereg("ex_weighted_bool", "SELECT id, is_kyc_approved FROM e_p3 WHERE id > (SELECT p_max FROM e_n)")
+ereg("ex_choice_from_table", "SELECT id, affiliate_code_redeemed FROM e_p3")
+ereg("ex_created_approved_dates", f"""
+SELECT id, is_kyc_approved, created_at,
+       CASE WHEN is_kyc_approved = TRUE THEN created_at + to_minutes(({U('approved_d')} % 10) * 1440) END
+         AS kyc_verified_at
+FROM e_p3 WHERE id > (SELECT p_max FROM e_n)""")
+ereg("ex_redeemed_at", "SELECT id, redeemed_at FROM e_a_ext3")
+ereg("ex_affiliate_id_from_code", "SELECT id, affiliate_id FROM e_p3")
+ereg("ex_updated_at", "SELECT id, created_at, updated_at FROM e_p3")
+ereg("ex_transactions", 'SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM e_t_ext')
+ereg("extend_domain", """
+SELECT 'affiliates' AS table_name, COUNT(*) AS row_count FROM e_a_ext3
+UNION ALL SELECT 'players', COUNT(*) FROM e_p3
+UNION ALL SELECT 'transactions', COUNT(*) FROM e_t_ext""")
+_UQ = "SELECT COUNT(*) FROM (SELECT id FROM {t} WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1)"
+_MR = "SELECT CASE WHEN (SELECT COUNT(*) FROM {t}) < (SELECT n FROM e_n) THEN 1 ELSE 0 END"
+ereg("ex_validation", " UNION ALL ".join(
+    [f"SELECT '{name}' AS table_name, '{chk}' AS check_name, CAST(({q.format(t=t)}) AS BIGINT) AS violations"
+     for name, t in (("affiliates", "e_a_ext3"), ("players", "e_p3"), ("transactions", "e_t_ext"))
+     for chk, q in (("unique", _UQ), ("min_rows", _MR))]
+    + ["SELECT 'players', 'code_consistent', CAST((SELECT COUNT(*) FROM e_code_bad) AS BIGINT)",
+       "SELECT 'transactions', 'kyc_left_audit', CAST((SELECT COUNT(*) FROM e_t_ext t LEFT JOIN e_p3 p "
+       "ON p.id = t.player_id WHERE p.is_kyc_approved IS DISTINCT FROM TRUE) AS BIGINT)"]))
+ereg("dq_code_consistent", "SELECT id, affiliate_id, affiliate_code_redeemed FROM e_code_bad")

@@ -781,3 +781,106 @@ def _pl01(spark, sf_dir):
     return run_medallion(spark, src, _scratch(spark, "medallion-out"), checks="warn",
                          amount_type=binding.DRIVER_AMOUNT, player_keep=("version_id",),
                          tie_break=[F.col("version_id").cast("bigint").desc()])
+
+
+# ---------------------------------------------------------------- table extension (§2.12)
+from strata.operators import extend as EX  # noqa: E402
+
+EX_SEED, EX_NOW = 42, "2025-09-01 00:00:00"
+
+
+def _ex_input(spark, sf_dir):
+    """The cleaned domain (clean_domain), typed by the bronze models."""
+    a, p, t = _raw(spark, sf_dir)
+    res = CL.clean_domain(a, p, t, CL.Roles(), CLEAN_ORDER)
+    return (L.br_affiliates(res.affiliates), L.br_players(res.players),
+            L.br_transactions(res.transactions, binding.DRIVER_AMOUNT))
+
+
+def _ext(spark, sf_dir, keep_code=False):
+    a, p, t = _ex_input(spark, sf_dir)
+    return EX.extend_domain(a, p, t, seed=EX_SEED, now=EX_NOW, keep_code=keep_code), (a, p, t)
+
+
+@query("ex_new_ids")
+def _ex01(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.affiliates.select("id")
+
+
+@query("ex_random_code")
+def _ex02(spark, sf_dir):
+    ext, (a, _p, _t) = _ext(spark, sf_dir)
+    mx = a.agg(F.max("id")).first()[0]
+    return ext.affiliates.where(F.col("id") > mx).select("id", "code")
+
+
+@query("ex_choice_from_pool")
+def _ex03(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.affiliates.select("id", "origin").unionAll(
+        ext.players.select("id", F.col("country_code").alias("origin")))
+
+
+@query("ex_weighted_bool")
+def _ex04(spark, sf_dir):
+    ext, (_a, p, _t) = _ext(spark, sf_dir)
+    mx = p.agg(F.max("id")).first()[0]
+    return ext.players.where(F.col("id") > mx).select("id", "is_kyc_approved")
+
+
+@query("ex_choice_from_table")
+def _ex05(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir, keep_code=True)
+    return ext.players.select("id", "affiliate_code_redeemed")
+
+
+@query("ex_created_approved_dates")
+def _ex06(spark, sf_dir):
+    ext, (_a, p, _t) = _ext(spark, sf_dir)
+    mx = p.agg(F.max("id")).first()[0]
+    new = ext.players.where(F.col("id") > mx).select("id", "is_kyc_approved")
+    return EX.created_approved_dates(new, EX_SEED, EX_NOW, approved="kyc_verified_at")
+
+
+@query("ex_redeemed_at")
+def _ex07(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.affiliates.select("id", "redeemed_at")
+
+
+@query("ex_affiliate_id_from_code")
+def _ex08(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.players.select("id", "affiliate_id")
+
+
+@query("ex_updated_at")
+def _ex09(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.players.select("id", "created_at", "updated_at")
+
+
+@query("ex_transactions")
+def _ex10(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return ext.transactions
+
+
+@query("extend_domain")
+def _ex11(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return AG.row_counts({"affiliates": ext.affiliates, "players": ext.players, "transactions": ext.transactions})
+
+
+@query("ex_validation")
+def _ex11b(spark, sf_dir):
+    ext, _ = _ext(spark, sf_dir)
+    return EX.validate_extension(ext, ext.new_counts["target"])
+
+
+@query("dq_code_consistent")
+def _dq11(spark, sf_dir):
+    """Players whose redeemed code disagrees with their affiliate's code (extended domain)."""
+    ext, _ = _ext(spark, sf_dir, keep_code=True)
+    return DQ.code_consistent(ext.players, ext.affiliates).select("id", "affiliate_id", "affiliate_code_redeemed")
