@@ -86,7 +86,8 @@ def _label(*pairs: tuple[Column, str]) -> Column:
 def label_players(p: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
     """Players with ``_rule`` (removing rule or NULL) — rule 2."""
     lp = _first_flag(p, roles.ply_id, order)
-    return lp.withColumn("_rule", _label((~F.col(f"_first_{roles.ply_id}"), "unique_ids")))
+    fid = f"_first_{roles.ply_id}"
+    return lp.withColumn("_rule", _label((~F.col(fid), "unique_ids"))).drop(fid)
 
 
 def label_affiliates(a: DataFrame, players_kept: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
