@@ -89,15 +89,26 @@ def driver_tie_break():
     return [F.col("version_id").desc()]
 
 
-def domain(spark: SparkSession, sf_dir: str, layers: str = "bronze,silver,gold") -> dict[str, DataFrame]:
-    """Raw, bronze, silver and gold DataFrames over the bound driver tables (lazy)."""
+def domain(spark: SparkSession, sf_dir: str, layers: str = "bronze,silver,gold",
+           materialize: str = "") -> dict[str, DataFrame]:
+    """Raw, bronze, silver and gold DataFrames over the bound driver tables.
+
+    Lazy by default.  Layers named in ``materialize`` (e.g. ``"silver"``) are
+    written once (Parquet in the shared checkpoint folder) and later layers are
+    built on the written tables, as the pipeline does: for consumers that scan
+    a layer many times.
+    """
     from strata.plans import layers as L
+    from strata.sources.io import materialize as write_once
+
+    def m(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return {k: write_once(v, k) for k, v in frames.items()} if layer in materialize else frames
 
     ra, rp, rt = raw_domain(spark, sf_dir)
     out: dict[str, DataFrame] = {"raw_affiliates": ra, "raw_players": rp, "raw_transactions": rt}
-    out.update(L.bronze(ra, rp, rt, DRIVER_AMOUNT, player_keep=("version_id",)))
+    out.update(m("bronze", L.bronze(ra, rp, rt, DRIVER_AMOUNT, player_keep=("version_id",))))
     if "silver" in layers or "gold" in layers:
-        out.update(L.silver(out, driver_tie_break()))
+        out.update(m("silver", L.silver(out, driver_tie_break())))
     if "gold" in layers:
-        out.update(L.gold(out))
+        out.update(m("gold", L.gold(out)))
     return out

@@ -52,14 +52,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Uses ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) when the
-    cluster names one; only when neither is set (local runs, tests) a scratch
-    folder is created and registered.
+    cluster names one.  Only a ``local`` master without either gets a scratch
+    folder of its own; on a cluster a missing setting is an error, since a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -167,6 +167,22 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+# lineage cut: a written table in the shared checkpoint folder
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the session's shared checkpoint folder
+    and return the scan of it.  Consumers that read a table many times (the
+    check report, the next layer) then scan columnar files with pushdown instead
+    of recomputing the lineage; a lost executor recomputes nothing upstream."""
+    import uuid
+
+    from strata.session import scratch_path
+
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 # versioned folder writes (snapshot history: never overwrite what is being read)
 def write_versioned(df: DataFrame, base: str) -> str:
     """Write ``df`` to ``<base>/v=<ms>`` and point ``<base>/_current`` at it."""
