@@ -5,6 +5,9 @@ Scale notes
 * ``deduplicate`` / ``top_n`` use ``row_number() <= n``; Spark plans this as a
   partial ``WindowGroupLimit`` before the shuffle, so a hot key ships at most
   ``n`` rows per map partition, never its whole group.
+* ``first_per_key`` returns the first row per key from one aggregate
+  (``min`` over a struct of order and row), partial before the shuffle and
+  with no join back, when the removed rows themselves are not needed.
 * ``keep_first``, ``mark_duplicates`` and ``count_over`` avoid unbounded window
   partitions altogether: they aggregate per key (map-side partial aggregation)
   and join the small per-key result back; AQE splits skewed join partitions.
@@ -81,3 +84,24 @@ def keep_first(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
     cond = [tagged[k].eqNullSafe(first[k]) for k in ks]
     j = tagged.join(first, cond, "inner").select(tagged["*"], (tagged["_ord"] == first["_first"]).alias("_keep"))
     return (j.where("_keep").drop("_keep", "_ord"), j.where(~F.col("_keep")).drop("_keep", "_ord"))
+
+
+# WN-04 (kept rows only)
+def first_per_key(df: DataFrame, keys, order, dup_col: str | None = None) -> DataFrame:
+    """First row per key under ``order`` (unique within a key) and, in ``dup_col``,
+    how many other rows the key had.
+
+    One grouped aggregate over ``min(struct(order, row))``: map-side partial
+    aggregation leaves one row per key and map partition, so a key holding a
+    third of the table never reaches one task whole, and the input is scanned
+    once (no join back).  NULL keys form one group, as with ``keep_first``.
+    """
+    ks = _names(keys)
+    rest = [c for c in df.columns if c not in ks]
+    packed = F.struct(F.struct(*_cols(order)).alias("o"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("r"))
+    aggs = [F.min(packed).alias("_m")]
+    if dup_col:
+        aggs.append((F.count(F.lit(1)) - 1).alias(dup_col))
+    g = df.groupBy(*ks).agg(*aggs)
+    out = [F.col(f"`{c}`") if c in ks else F.col("_m.r").getField(c).alias(c) for c in df.columns]
+    return g.select(*out, *([dup_col] if dup_col else []))

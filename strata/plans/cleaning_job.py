@@ -14,7 +14,9 @@ Rules run in a fixed order and each sees the survivors of the former ones:
 Column roles are explicit (``Roles``); a missing role skips its rules.  Instead
 of materialising a frame per rule, every row is labelled with the first rule
 that removes it — one join for transactions, one pass per key for the others —
-so survivors and the audit come from the same plan.
+so survivors and the audit come from the same plan.  On the two tables that
+grow with the data (players, transactions) rule 2 keeps the first row per id
+from one partial aggregate and only counts the dropped rows (``_dups``).
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import coerce_bool, parse_datetime_utc
-from strata.operators.dedup import keep_first
+from strata.operators.dedup import first_per_key, keep_first
 
 
 @dataclass(frozen=True)
@@ -83,11 +85,17 @@ def _label(*pairs: tuple[Column, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def _first_rows(df: DataFrame, key: str | None, order: Sequence) -> DataFrame:
+    """First row per ``key`` with ``_dups`` = rows of the key dropped (rule 2 on a
+    large table: one partial aggregate, the dropped rows only counted)."""
+    if not key or key not in df.columns:
+        return df.withColumn("_dups", F.lit(0).cast("bigint"))
+    return first_per_key(df, key, order, "_dups")
+
+
 def label_players(p: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
-    """Players with ``_rule`` (removing rule or NULL) — rule 2."""
-    lp = _first_flag(p, roles.ply_id, order)
-    fid = f"_first_{roles.ply_id}"
-    return lp.withColumn("_rule", _label((~F.col(fid), "unique_ids"))).drop(fid)
+    """First row per player id (rule 2), ``_dups`` counting the dropped ones."""
+    return _first_rows(p, roles.ply_id, order).withColumn("_rule", F.lit(None).cast("string"))
 
 
 def label_affiliates(a: DataFrame, players_kept: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
@@ -124,12 +132,12 @@ def null_unknown_codes(players: DataFrame, affiliates_kept: DataFrame, roles: Ro
 
 
 def label_transactions(t: DataFrame, players_kept: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
-    """Transactions labelled by rules 2, 3, 7, 8 with one join to the kept players."""
-    lt = _first_flag(t, roles.txn_id, order)
-    fid = f"_first_{roles.txn_id}"
+    """First transaction per id (rule 2, ``_dups`` = dropped duplicates), labelled
+    by rules 3, 7, 8 with one join to the kept players."""
+    lt = _first_rows(t, roles.txn_id, order)
     fk = roles.txn_player_fk
     if not (fk and roles.ply_id and fk in t.columns):
-        return lt.withColumn("_rule", _label((~F.col(fid), "unique_ids"))).drop(fid)
+        return lt.withColumn("_rule", F.lit(None).cast("string"))
     sel = [F.col(roles.ply_id).alias("_pid")]
     if roles.ply_kyc_bool:
         sel.append(F.col(roles.ply_kyc_bool).alias("_pflag"))
@@ -137,13 +145,13 @@ def label_transactions(t: DataFrame, players_kept: DataFrame, roles: Roles, orde
         sel.append(F.col(roles.ply_kyc_date).alias("_pdate"))
     p = players_kept.select(*sel).where(F.col("_pid").isNotNull())
     j = lt.join(p, lt[fk] == p["_pid"], "left")
-    rules = [(~F.col(fid), "unique_ids"), (F.col("_pid").isNull(), "orphan_txn")]
+    rules = [(F.col("_pid").isNull(), "orphan_txn")]
     if roles.ply_kyc_bool:
         rules.append((~F.coalesce(F.col("_pflag"), F.lit(False)), "drop_not_approved"))
     if "_pdate" in [c for c in j.columns] and roles.txn_date:
         rules.append((F.coalesce(F.col(roles.txn_date) < F.col("_pdate"), F.lit(False)), "drop_before_approval"))
     out = j.withColumn("_rule", _label(*rules))
-    return out.drop(fid, *[c for c in ("_pid", "_pflag", "_pdate") if c in out.columns])
+    return out.drop(*[c for c in ("_pid", "_pflag", "_pdate") if c in out.columns])
 
 
 def clean_domain(a: DataFrame, p: DataFrame, t: DataFrame, roles: Roles = Roles(),
@@ -156,17 +164,19 @@ def clean_domain(a: DataFrame, p: DataFrame, t: DataFrame, roles: Roles = Roles(
     order_cols = order_cols or {}
     p, t = coerce_types(p, t, roles)
     lp = label_players(p, roles, order_cols.get("players", [roles.ply_id]))
-    players_kept = lp.where(F.col("_rule").isNull()).drop("_rule")
+    players_kept = lp.where(F.col("_rule").isNull()).drop("_rule", "_dups")
     la = label_affiliates(a, players_kept, roles, order_cols.get("affiliates", [roles.aff_id]))
     aff_kept = la.where(F.col("_rule").isNull()).drop("_rule")
     players_final = null_unknown_codes(players_kept, aff_kept, roles)
     lt = label_transactions(t, players_final, roles, order_cols.get("transactions", [roles.txn_id]))
-    txn_kept = lt.where(F.col("_rule").isNull()).drop("_rule")
+    txn_kept = lt.where(F.col("_rule").isNull()).drop("_rule", "_dups")
 
     def counts(df: DataFrame, table: str, rules: list[str]) -> DataFrame | None:
         if not rules:
             return None
-        agg = df.agg(*[F.count_if(F.col("_rule") == r).alias(r) for r in rules])
+        # rule 2 drops are counted in ``_dups`` where the table keeps first rows only
+        agg = df.agg(*[F.coalesce(F.sum("_dups"), F.lit(0)).alias(r) if r == "unique_ids" and "_dups" in df.columns
+                       else F.count_if(F.col("_rule") == r).alias(r) for r in rules])
         rows = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).cast("bigint").alias("rows_affected"))
                                    for r in rules]))
         return agg.select(rows.alias("_r")).select("_r.rule", F.lit(table).alias("table_name"), "_r.rows_affected")
