@@ -8,6 +8,8 @@ per player, dangling links).  ``version_id`` is an extra, stable tie-break.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,26 +91,66 @@ def driver_tie_break():
     return [F.col("version_id").desc()]
 
 
+class Domain(Mapping):
+    """Read-only mapping name → DataFrame whose entries are built on first access
+    (and memoised) from the entries they depend on, so a query pays driver-side
+    analysis only for the tables it uses."""
+
+    def __init__(self, factories: dict[str, Callable[["Domain"], DataFrame]]):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name](self)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
+
+
 def domain(spark: SparkSession, sf_dir: str, layers: str = "bronze,silver,gold",
-           materialize: str = "") -> dict[str, DataFrame]:
-    """Raw, bronze, silver and gold DataFrames over the bound driver tables.
+           materialize: str = "") -> Domain:
+    """Raw, bronze, silver and gold tables over the bound driver tables.
 
-    Lazy by default.  Layers named in ``materialize`` (e.g. ``"silver"``) are
-    written once (Parquet in the shared checkpoint folder) and later layers are
-    built on the written tables, as the pipeline does: for consumers that scan
-    a layer many times.
+    Lazy: an entry is built when first used.  Layers named in ``materialize``
+    (e.g. ``"silver"``) are written once (Parquet in the shared checkpoint
+    folder) and later layers are built on the written tables, as the pipeline
+    does: for consumers that scan a layer many times.
     """
     from strata.plans import layers as L
     from strata.sources.io import materialize as write_once
 
-    def m(layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {k: write_once(v, k) for k, v in frames.items()} if layer in materialize else frames
-
-    ra, rp, rt = raw_domain(spark, sf_dir)
-    out: dict[str, DataFrame] = {"raw_affiliates": ra, "raw_players": rp, "raw_transactions": rt}
-    out.update(m("bronze", L.bronze(ra, rp, rt, DRIVER_AMOUNT, player_keep=("version_id",))))
+    tie = driver_tie_break()
+    f: dict[str, tuple[str, Callable[[Domain], DataFrame]]] = {
+        "raw_affiliates": ("raw", lambda d: raw_affiliates(spark, sf_dir)),
+        "raw_players": ("raw", lambda d: raw_players(spark, sf_dir)),
+        "raw_transactions": ("raw", lambda d: raw_transactions(spark, sf_dir)),
+        "br_affiliates": ("bronze", lambda d: L.br_affiliates(d["raw_affiliates"])),
+        "br_players": ("bronze", lambda d: L.br_players(d["raw_players"], ("version_id",))),
+        "br_transactions": ("bronze", lambda d: L.br_transactions(d["raw_transactions"], DRIVER_AMOUNT)),
+        "sl_affiliates": ("silver", lambda d: L.sl_affiliates(d["br_affiliates"])),
+        "sl_players": ("silver", lambda d: L.sl_players(d["br_players"], tie)),
+        "sl_affiliate_player_bridge": ("silver", lambda d: L.sl_affiliate_player_bridge(d["sl_affiliates"],
+                                                                                         d["sl_players"])),
+        "sl_transactions": ("silver", lambda d: L.sl_transactions(d["br_transactions"], d["sl_players"])),
+        "g_player_daily_balance": ("gold", lambda d: L.player_daily_balance(d["sl_transactions"])),
+        "g_country_deposits_discord": ("gold", lambda d: L.country_deposits(d["sl_players"], d["sl_affiliates"],
+                                                                             d["sl_transactions"])),
+        "g_top3_player_deposits": ("gold", lambda d: L.top_player_deposits(d["sl_transactions"])),
+    }
+    wanted = {"raw", "bronze"}
     if "silver" in layers or "gold" in layers:
-        out.update(m("silver", L.silver(out, driver_tie_break())))
+        wanted.add("silver")
     if "gold" in layers:
-        out.update(m("gold", L.gold(out)))
-    return out
+        wanted.add("gold")
+
+    def wrap(name: str, layer: str, fn: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
+        if layer in materialize:
+            return lambda d: write_once(fn(d), name)
+        return fn
+
+    return Domain({name: wrap(name, layer, fn) for name, (layer, fn) in f.items() if layer in wanted})
