@@ -5,7 +5,7 @@ Sub-packages:
   operators  DataFrame → DataFrame building blocks (dedup, joins, checks, snapshot, extension)
   sources    CSV / Parquet / table readers and writers
   plans      the layer models, the cleaning job and the end-to-end pipeline
-  streaming  incremental (append) ingest with Structured Streaming
+  streaming  empty: the reference has no stream processing (loads are full replacements)
 """
 
 __version__ = "0.1.0"
