@@ -89,8 +89,9 @@ def sl_affiliate_player_bridge(a: DataFrame, p: DataFrame) -> DataFrame:
                                  F.count(F.lit(1)).alias("_rows"))
     base = a.select("id", "code", "origin", "redeemed_at")
     ac = base.join(cnt, base.id == cnt._aid, "left")
-    linked = (ac.where(F.col("_rows").isNotNull()).drop("_rows")
-                .join(pk, "_aid", "inner"))
+    # players stream on the left side: a sort-merge join buffers only the
+    # right side's rows of a key, here one affiliate row
+    linked = pk.join(ac.where(F.col("_rows").isNotNull()).drop("_rows"), "_aid", "inner")
     unlinked = (ac.where(F.col("_rows").isNull())
                   .select(*base.columns, F.lit(None).cast("bigint").alias("player_id"),
                           F.lit(0).cast("bigint").alias("player_ref_count")))
