@@ -15,13 +15,35 @@ from pyspark.sql import functions as F
 from strata.functions.cleaning import is_not_true, kyc_txn_filter
 
 
+# Salt of the approval-gate join (1 = unsalted).  See ``gate``.
+GATE_SALT = 2
+
+
 # JN-01
 def gate(txn: DataFrame, players: DataFrame, ts_col: str = "timestamp", fk: str = "player_id",
-         pk: str = "id", flag: str = "is_kyc_approved", approved: str = "kyc_approved_at") -> DataFrame:
-    """Transactions whose player is approved and whose time is at/after approval."""
+         pk: str = "id", flag: str = "is_kyc_approved", approved: str = "kyc_approved_at",
+         salt: int = GATE_SALT) -> DataFrame:
+    """Transactions whose player is approved and whose time is at/after approval.
+
+    The join key is salted: each approved player row is repeated ``salt`` times
+    and each transaction picks one copy by a hash of its own columns.  A
+    sort-merge join then partitions by (player, salt), which does not satisfy
+    the player-keyed aggregates and windows that consume the gate, so they get
+    their own exchange with partial aggregation / partial top-n before it, and
+    AQE may split a skewed join partition without adding a shuffle.  Unsalted,
+    a player holding a third of all transactions would pass the join and every
+    player-keyed operator after it in one task.  Only the small side grows
+    (``salt`` copies of the approved players); when AQE finds it small enough
+    it broadcasts it instead.
+    """
     p = (players.where(F.col(flag) == F.lit(True))
                 .select(F.col(pk).alias("_gk"), F.col(flag).alias("_gflag"), F.col(approved).alias("_gat")))
-    j = txn.join(p, txn[fk] == p["_gk"], "inner")
+    if salt > 1:
+        p = p.withColumn("_gs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+        t = txn.withColumn("_ts", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in txn.columns]), F.lit(salt)))
+        j = t.join(p, (t[fk] == p["_gk"]) & (t["_ts"] == p["_gs"]), "inner").drop("_ts", "_gs")
+    else:
+        j = txn.join(p, txn[fk] == p["_gk"], "inner")
     return j.where(kyc_txn_filter(F.col(ts_col), F.col("_gflag"), F.col("_gat"))).drop("_gk", "_gflag", "_gat")
 
 
