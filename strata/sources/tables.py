@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Scans of the read-only driver tables, per session: a DataFrame is only a plan,
+# so reusing it saves the file listing and footer read of each new reader.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` — the scan prunes columns and pushes filters."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 # SRC-08: named sources with a physical alias (``players`` → ``players_1000``).
