@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import blank_to_null, first_non_null, normalize_code, offset
+from strata.operators.joins import left_join
 from strata.session import checkpoint_dir
 
 # Fixed values (must equal the reference behaviour).
@@ -125,7 +126,8 @@ def choose_from_table(df: DataFrame, id_col: str, seed: int, tag: str, keys: Dat
         pick = F.when(where, pick)
     d = df.withColumn("_pick", pick)
     src = numbered.select(F.col("_gidx"), *[F.col(c).alias(v) for c, v in take.items()])
-    return d.join(src, d["_pick"] == src["_gidx"], "left").drop("_pick", "_gidx")
+    # rows outside ``where`` have a NULL pick: spread, not all in one partition
+    return left_join(d, src, "_pick", "_gidx").drop("_pick", "_gidx")
 
 
 # EX-01
@@ -208,14 +210,14 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
     best = first_non_null("created_at", "updated_at")
     first_use = (p_code.where(F.col("affiliate_code_redeemed").isNotNull() & best.isNotNull())
                        .groupBy(F.col("affiliate_code_redeemed").alias("_c")).agg(F.min(best).alias("_first")))
-    a_ext = a_ext.join(first_use, a_ext["code"] == first_use["_c"], "left")
+    a_ext = left_join(a_ext, first_use, "code", "_c")
     fill = F.col("redeemed_at").isNull() & F.col("_first").isNotNull()
     a_ext = a_ext.withColumn("redeemed_at", F.when(fill, offset(F.col("_first"), 0, draw(seed, "id", "redeem_m") % MINUTES_PER_DAY))
                              .otherwise(F.col("redeemed_at"))).drop("_c", "_first")
 
     # players.affiliate_id ← affiliate of the redeemed code (EX-08)
     by_code = a_ext.where(F.col("code").isNotNull()).groupBy(F.col("code").alias("_c")).agg(F.max("id").alias("_aid"))
-    p_code = p_code.join(by_code, p_code["affiliate_code_redeemed"] == by_code["_c"], "left") \
+    p_code = left_join(p_code, by_code, "affiliate_code_redeemed", "_c") \
                    .withColumn("affiliate_id", F.coalesce("affiliate_id", "_aid")).drop("_c", "_aid")
 
     # players.country_code from the pool (EX-03), updated_at after created_at (EX-09)

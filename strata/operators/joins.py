@@ -15,6 +15,27 @@ from pyspark.sql import functions as F
 from strata.functions.cleaning import is_not_true, kyc_txn_filter
 
 
+# Hash buckets over which rows with a NULL left join key are spread.  See ``left_join``.
+NULL_KEY_BUCKETS = 1024
+
+
+def left_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, how: str = "left") -> DataFrame:
+    """``left`` joined with ``right`` on ``left[lkey] = right[rkey]``, NULL keys spread.
+
+    A NULL key never matches, yet hash partitioning sends every NULL-key row
+    to one shuffle partition: a nullable foreign key that is NULL in a third of
+    the rows would make that one task.  The rows get a second join key — a
+    hash bucket of the row where the key is NULL, 0 otherwise, 0 on the right —
+    which spreads them over ``NULL_KEY_BUCKETS`` partitions and changes no
+    match.
+    """
+    bucket = F.when(F.col(f"`{lkey}`").isNull(),
+                    F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(NULL_KEY_BUCKETS)))
+    lb = left.withColumn("_nbl", F.coalesce(bucket, F.lit(0).cast("bigint")))
+    rb = right.withColumn("_nbr", F.lit(0).cast("bigint"))
+    return lb.join(rb, (lb[lkey] == rb[rkey]) & (lb["_nbl"] == rb["_nbr"]), how).drop("_nbl", "_nbr")
+
+
 # Salt of the approval-gate join (1 = unsalted).  See ``gate``.
 GATE_SALT = 2
 
@@ -57,8 +78,7 @@ def gate_violations(txn: DataFrame, players: DataFrame, ts_col: str = "txn_times
     violation too (left-join audit).
     """
     p = players.select(F.col(pk).alias("_gk"), F.col(flag).alias("_gflag"), F.col(approved).alias("_gat"))
-    how = "left" if unknown_is_violation else "inner"
-    j = txn.join(p, txn[fk] == p["_gk"], how)
+    j = left_join(txn, p, fk, "_gk") if unknown_is_violation else txn.join(p, txn[fk] == p["_gk"], "inner")
     bad = is_not_true(F.col("_gflag")) | (F.col(ts_col) < F.col("_gat"))
     return j.where(bad).drop("_gk", "_gflag", "_gat")
 
@@ -94,7 +114,7 @@ def lookup(df: DataFrame, parent: DataFrame, fk: str, pk: str, cols: Sequence[st
     """
     sel = [F.col(pk).alias("_lk")] + [F.col(c).alias(f"_lv_{c}") for c in cols]
     p = parent.select(*sel)
-    j = df.join(p, df[fk] == p["_lk"], "left")
+    j = left_join(df, p, fk, "_lk")
     out = [df[c] for c in df.columns]
     for c in cols:
         v = F.col(f"_lv_{c}")
@@ -106,7 +126,7 @@ def lookup(df: DataFrame, parent: DataFrame, fk: str, pk: str, cols: Sequence[st
 def fill_from(df: DataFrame, col: str, lookup_df: DataFrame, on: str, value: str, lookup_on: str | None = None) -> DataFrame:
     """Fill NULLs of ``col`` from ``lookup_df[value]`` matched on ``df[on] = lookup_df[lookup_on]``."""
     lk = lookup_df.select(F.col(lookup_on or on).alias("_fk"), F.col(value).alias("_fv"))
-    j = df.join(lk, df[on] == lk["_fk"], "left")
+    j = left_join(df, lk, on, "_fk")
     return j.select(*[F.coalesce(df[c], F.col("_fv")).alias(c) if c == col else df[c] for c in df.columns])
 
 
@@ -117,7 +137,7 @@ def mismatches(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate
     lk, rk = on
     r = right.select(*[F.col(c).alias(c + suffix if c in left.columns else c) for c in right.columns])
     rk2 = rk + suffix if rk in left.columns else rk
-    j = left.join(r, left[lk] == r[rk2], "left")
+    j = left_join(left, r, lk, rk2)
     return j.where(predicate(left, r))
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import gate_violations, orphans
+from strata.operators.joins import gate_violations, left_join, orphans
 
 
 def _names(xs) -> list[str]:
@@ -119,7 +119,7 @@ def code_consistent(players: DataFrame, affiliates: DataFrame, code_col: str = "
 
     codes = (affiliates.where(F.col(pk).isNotNull() & F.col(aff_code).isNotNull())
                        .groupBy(F.col(pk).alias("_aid")).agg(F.min(normalize_code(aff_code)).alias("_acode")))
-    j = players.join(codes, players[fk] == codes["_aid"], "left")
+    j = left_join(players, codes, fk, "_aid")
     bad = (F.col(fk).isNotNull() & F.col(code_col).isNotNull()
            & ~normalize_code(code_col).eqNullSafe(F.col("_acode")))
     return j.where(bad).drop("_aid", "_acode")

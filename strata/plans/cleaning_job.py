@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.cleaning import coerce_bool, parse_datetime_utc
 from strata.operators.dedup import first_per_key, keep_first
+from strata.operators.joins import left_join
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def label_affiliates(a: DataFrame, players_kept: DataFrame, roles: Roles, order:
         dropped = dropped.unionByName(sc.where(~F.col(fcode)).drop(fcode).withColumn("_rule", F.lit("unique_codes")))
     if roles.aff_owner and roles.ply_id and roles.aff_owner in a.columns:
         ids = players_kept.select(F.col(roles.ply_id).alias("_owner_id")).where(F.col("_owner_id").isNotNull())
-        j = survivors.join(ids, survivors[roles.aff_owner] == ids["_owner_id"], "left")
+        j = left_join(survivors, ids, roles.aff_owner, "_owner_id")
         survivors = j.withColumn("_rule", _label((F.col("_owner_id").isNull(), "drop_bad_owner"))).drop("_owner_id")
     else:
         survivors = survivors.withColumn("_rule", F.lit(None).cast("string"))
@@ -125,7 +126,7 @@ def null_unknown_codes(players: DataFrame, affiliates_kept: DataFrame, roles: Ro
     if not (c and roles.aff_code and c in players.columns):
         return players.withColumn("_code_nulled", F.lit(False))
     codes = affiliates_kept.select(F.col(roles.aff_code).alias("_known")).where(F.col("_known").isNotNull()).distinct()
-    j = players.join(codes, players[c] == codes["_known"], "left")
+    j = left_join(players, codes, c, "_known")
     unknown = F.col(c).isNotNull() & F.col("_known").isNull()
     return j.select(*[F.when(unknown, F.lit(None)).otherwise(F.col(x)).alias(x) if x == c else F.col(x)
                       for x in players.columns], unknown.alias("_code_nulled"))
@@ -144,7 +145,7 @@ def label_transactions(t: DataFrame, players_kept: DataFrame, roles: Roles, orde
     if roles.ply_kyc_date and roles.ply_kyc_date in players_kept.columns:
         sel.append(F.col(roles.ply_kyc_date).alias("_pdate"))
     p = players_kept.select(*sel).where(F.col("_pid").isNotNull())
-    j = lt.join(p, lt[fk] == p["_pid"], "left")
+    j = left_join(lt, p, fk, "_pid")
     rules = [(F.col("_pid").isNull(), "orphan_txn")]
     if roles.ply_kyc_bool:
         rules.append((~F.coalesce(F.col("_pflag"), F.lit(False)), "drop_not_approved"))

@@ -55,3 +55,17 @@ def test_hot_player_topn_and_balance(spark, hot):
     assert "partial_sum" in bplan
     total = bal.agg(F.sum("deposits")).first()[0]
     assert total == t.where("type = 'deposit'").agg(F.sum("amount")).first()[0]
+
+
+def test_left_join_spreads_null_keys(spark):
+    from strata.operators.joins import NULL_KEY_BUCKETS, left_join
+    left = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50)
+                                    .cast("bigint").alias("fk"))
+    right = spark.range(40).select(F.col("id").alias("pk"), (F.col("id") * 10).alias("v"))
+    got = left_join(left, right, "fk", "pk")
+    want = left.join(right, left.fk == right.pk, "left")
+    assert _rows(got.select("id", "fk", "pk", "v")) == _rows(want.select("id", "fk", "pk", "v"))
+    # the join is keyed on (fk, bucket): NULL-key rows hash to many partitions instead of one
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_nbl" in plan and "_nbr" in plan
+    assert NULL_KEY_BUCKETS > 1
