@@ -32,7 +32,9 @@ def left_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, how: str
     bucket = F.when(F.col(f"`{lkey}`").isNull(),
                     F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(NULL_KEY_BUCKETS)))
     lb = left.withColumn("_nbl", F.coalesce(bucket, F.lit(0).cast("bigint")))
-    rb = right.withColumn("_nbr", F.lit(0).cast("bigint"))
+    # always 0, but not a literal: a literal would be folded into the join
+    # condition and drop out of the hash-partitioning keys
+    rb = right.withColumn("_nbr", F.pmod(F.xxhash64(F.col(f"`{rkey}`")), F.lit(1)))
     return lb.join(rb, (lb[lkey] == rb[rkey]) & (lb["_nbl"] == rb["_nbr"]), how).drop("_nbl", "_nbr")
 
 
