@@ -110,3 +110,11 @@ def test_is_not_true_first_non_null_offset(spark):
 def test_txn_day_is_utc_day(spark):
     df = spark.range(1).select(fn.txn_day(fn.parse_timestamp_safe(F.lit("2024-03-01 23:30:00-02:00"))).alias("d"))
     assert df.first().d == dt.date(2024, 3, 2)
+
+
+def test_strict_parsers_raise(spark):
+    for f in (lambda c: fn.parse_numeric_safe(c, strict=True), lambda c: fn.to_int64(c, strict=True)):
+        with pytest.raises(Exception):
+            one_col(spark, ["-"], f)
+    assert one_col(spark, ["$12.50"], lambda c: fn.parse_numeric_safe(c, strict=True)) == [Decimal("12.5")]
+    assert one_col(spark, ["1.0"], lambda c: fn.to_int64(c, strict=True)) == [1]

@@ -90,3 +90,24 @@ def test_hot_key_dedup_stays_partial(spark):
     assert "WindowGroupLimit" in plan
     assert out.count() == n - n // 3 + 1
     assert out.where("k = 0").first().v == n - 3
+
+
+def test_first_per_key_matches_keep_first(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 2, "b"), (None, 4, "n1"), (None, 5, "n2"), (3, 9, None)],
+                               "k long, pos long, v string")
+    kept, removed = WN.keep_first(df, "k", "pos")
+    first = WN.first_per_key(df, "k", "pos", "dups")
+    assert first.columns == ["k", "pos", "v", "dups"]
+    assert sorted(map(str, first.drop("dups").collect())) == sorted(map(str, kept.collect()))
+    assert first.agg(F.sum("dups")).first()[0] == removed.count() == 2
+
+
+def test_first_per_key_hot_key_is_partial(spark):
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               F.col("id").alias("pos"))
+    first = WN.first_per_key(df, "k", "pos", "dups")
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
+    hot = first.where("k = 0").first()
+    assert (hot.pos, hot.dups) == (0, n // 3 - 1)
