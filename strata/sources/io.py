@@ -185,20 +185,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 # versioned folder writes (snapshot history: never overwrite what is being read)
 def write_versioned(df: DataFrame, base: str) -> str:
-    """Write ``df`` to ``<base>/v=<ms>`` and point ``<base>/_current`` at it."""
-    spark = df.sparkSession
-    version = f"v={int(time.time() * 1000)}"
-    target = f"{base.rstrip('/')}/{version}"
+    """Write ``df`` to a new folder ``<base>/v=<ms>`` and return it.
+
+    Nothing is overwritten or deleted, so a failed or lost job cannot damage
+    the version being read.  A version counts once its write committed (the
+    ``_SUCCESS`` marker of the output committer).
+    """
+    target = f"{base.rstrip('/')}/v={int(time.time() * 1000)}"
     df.write.mode("errorifexists").parquet(target)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite") \
-         .text(f"{base.rstrip('/')}/_current")
     return target
 
 
 def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
-    """Current version of a versioned folder, or None when nothing was written yet."""
-    cur = f"{base.rstrip('/')}/_current"
-    if not exists(spark, cur):
+    """Newest committed version of a versioned folder, or None when there is none.
+
+    Folders of failed writes carry no ``_SUCCESS`` marker and are skipped.
+    """
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    committed = [st.getPath().getName() for st in fs.listStatus(p)
+                 if st.isDirectory() and st.getPath().getName().startswith("v=")
+                 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    if not committed:
         return None
-    version = spark.read.text(cur).first()[0]
-    return spark.read.parquet(f"{base.rstrip('/')}/{version}")
+    latest = max(committed, key=lambda v: int(v[2:]))
+    return spark.read.parquet(f"{base.rstrip('/')}/{latest}")

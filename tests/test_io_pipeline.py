@@ -89,6 +89,12 @@ def test_versioned_write_never_overwrites(spark, scratch):
     v2 = IO.write_versioned(cur.union(spark.range(3, 5)), base)
     assert v1 != v2 and os.path.exists(v1.replace("file:", ""))
     assert IO.read_versioned(spark, base).count() == 5
+    # a version whose write did not commit (no _SUCCESS marker) is ignored
+    broken = f"{base}/v=99999999999999"
+    os.makedirs(broken)
+    with open(f"{broken}/part-00000.parquet", "w") as f:
+        f.write("partial")
+    assert IO.read_versioned(spark, base).count() == 5
 
 
 def test_source_registry_alias(spark, scratch):
