@@ -4,9 +4,11 @@
 check with its violation count.  Checks never stop a run: a failing check is
 reported with status ``warn`` (or ``fail`` for severity ``error``).
 
-Scale notes: row-level checks of one table (not-null, allowed values, signs)
-are folded into a single aggregate over one scan; key-level checks on the
-same key columns share one grouped aggregate; cross-table checks are
+Scale notes: key-level checks on the same key columns share one grouped
+aggregate, and the row-level checks of the table (not-null, allowed values,
+signs) are counted inside the first of them, so a table is scanned once for
+both kinds (one plain aggregate when it has no key-level check); each
+aggregate yields all its report rows at once.  Cross-table checks are
 anti-joins or one grouped join.  Every count is a partial/final aggregate.
 """
 
@@ -201,25 +203,32 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check] | None = Non
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
 
+    def rows(agg: DataFrame, pairs: list[tuple[Check, str]]) -> DataFrame:
+        """One report row per (check, count column) of a one-row aggregate."""
+        recs = F.array(*[F.struct(*meta(c, F.coalesce(F.col(col), F.lit(0)))) for c, col in pairs])
+        return agg.select(F.explode(recs).alias("_r")).select("_r.*")
+
     for tname, cs in by_table.items():
         df = tables[tname]
-        # 1) row-level checks: one aggregate over one scan of the table
         rl = [c for c in cs if c.kind in _ROW_LEVEL]
-        if rl:
-            agg = df.agg(*[F.count_if(_row_pred(c)).alias(f"_c{i}") for i, c in enumerate(rl)])
-            for i, c in enumerate(rl):
-                parts.append(agg.select(*meta(c, F.col(f"_c{i}"))))
-        # 2) key-level checks sharing key columns: one grouped aggregate per key set
+        row_aggs = [F.count_if(_row_pred(c)).alias(f"_c{i}") for i, c in enumerate(rl)]
         groups: OrderedDict[tuple, list[Check]] = OrderedDict()
         for c in cs:
             if c.kind in _KEY_LEVEL:
                 groups.setdefault(tuple(c.columns), []).append(c)
-        for keys, kcs in groups.items():
+        if not groups and rl:
+            # 1) row-level checks only: one aggregate over one scan of the table
+            parts.append(rows(df.agg(*row_aggs), [(c, f"_c{i}") for i, c in enumerate(rl)]))
+        # 2) key-level checks sharing key columns: one grouped aggregate per key
+        #    set; the first one also counts the row-level checks (per group, then
+        #    summed), so such a table is scanned once for both kinds
+        for gi, (keys, kcs) in enumerate(groups.items()):
             aggs = [F.count(F.lit(1)).alias("_n")]
             for j, c in enumerate(kcs):
                 if c.kind == "functional_dependency":
                     aggs.append(F.count_distinct(F.struct(*[F.col(v) for v in c.args["dependents"]])).alias(f"_fd{j}"))
-            g = df.groupBy(*keys).agg(*aggs)
+            with_rows = gi == 0 and rl
+            g = df.groupBy(*keys).agg(*aggs, *(row_aggs if with_rows else []))
             flags = []
             for j, c in enumerate(kcs):
                 if c.kind == "unique":
@@ -228,9 +237,11 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check] | None = Non
                     flags.append(F.count_if(F.col("_n") > 1).alias(f"_k{j}"))
                 else:
                     flags.append(F.count_if(F.col(f"_fd{j}") > 1).alias(f"_k{j}"))
-            gagg = g.agg(*flags)
-            for j, c in enumerate(kcs):
-                parts.append(gagg.select(*meta(c, F.col(f"_k{j}"))))
+            pairs = [(c, f"_k{j}") for j, c in enumerate(kcs)]
+            if with_rows:
+                flags += [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(rl))]
+                pairs += [(c, f"_c{i}") for i, c in enumerate(rl)]
+            parts.append(rows(g.agg(*flags), pairs))
         # 3) cross-table and pair checks
         for c in cs:
             if c.kind in _ROW_LEVEL or c.kind in _KEY_LEVEL:
