@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import run_concurrently
 from strata.sources.tables import read_table
 
 # Fixed values of the binding (FIXTURES §3).
@@ -112,6 +113,14 @@ class Domain(Mapping):
         return len(self._factories)
 
 
+# Tables of a layer in dependency order: each wave only needs earlier waves.
+WAVES = {
+    "bronze": [["br_affiliates", "br_players", "br_transactions"]],
+    "silver": [["sl_affiliates", "sl_players"], ["sl_affiliate_player_bridge", "sl_transactions"]],
+    "gold": [["g_player_daily_balance", "g_country_deposits_discord", "g_top3_player_deposits"]],
+}
+
+
 def domain(spark: SparkSession, sf_dir: str, layers: str = "bronze,silver,gold",
            materialize: str = "") -> Domain:
     """Raw, bronze, silver and gold tables over the bound driver tables.
@@ -153,4 +162,10 @@ def domain(spark: SparkSession, sf_dir: str, layers: str = "bronze,silver,gold",
             return lambda d: write_once(fn(d), name)
         return fn
 
-    return Domain({name: wrap(name, layer, fn) for name, (layer, fn) in f.items() if layer in wanted})
+    dom = Domain({name: wrap(name, layer, fn) for name, (layer, fn) in f.items() if layer in wanted})
+    # write materialised layers up front, independent tables as concurrent jobs
+    for layer in ("bronze", "silver", "gold"):
+        if layer in materialize and layer in wanted:
+            for wave in WAVES[layer]:
+                run_concurrently([lambda n=n: dom[n] for n in wave])
+    return dom

@@ -11,7 +11,7 @@ written tables.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from strata.operators import quality as DQ
 from strata.operators import snapshot as SN
 from strata.operators.dedup import deduplicate
 from strata.plans import layers as L
-from strata.session import configure
+from strata.session import configure, run_concurrently
 from strata.sources import io
 
 log = logging.getLogger("strata.pipeline")
@@ -30,18 +30,23 @@ PARTITIONED = {"br_transactions": "timestamp", "sl_transactions": "txn_timestamp
 
 
 def _write_layer(spark: SparkSession, frames: dict[str, DataFrame], out: str, layer: str) -> dict[str, DataFrame]:
-    read_back = {}
-    for name, df in frames.items():
-        path = f"{out}/{layer}/{name}"
-        if name == "g_player_daily_balance":
-            io.write_table(df, path, partition_by_day="txn_date", day_col="txn_date")
-        else:
-            io.write_table(df, path, partition_by_day=PARTITIONED.get(name))
-        t = spark.read.parquet(path)
-        if name in PARTITIONED:
-            t = t.drop(f"{PARTITIONED[name]}_date")
-        read_back[name] = t.select(*df.columns)
-    return read_back
+    """Write the (mutually independent) tables of one layer as concurrent jobs
+    and return their scans."""
+    def write(name: str, df: DataFrame) -> Callable[[], DataFrame]:
+        def run() -> DataFrame:
+            path = f"{out}/{layer}/{name}"
+            if name == "g_player_daily_balance":
+                io.write_table(df, path, partition_by_day="txn_date", day_col="txn_date")
+            else:
+                io.write_table(df, path, partition_by_day=PARTITIONED.get(name))
+            t = spark.read.parquet(path)
+            if name in PARTITIONED:
+                t = t.drop(f"{PARTITIONED[name]}_date")
+            return t.select(*df.columns)
+        return run
+
+    names = list(frames)
+    return dict(zip(names, run_concurrently([write(n, frames[n]) for n in names])))
 
 
 def _checks(spark: SparkSession, tables: dict[str, DataFrame], layer: str, out: str, mode: str) -> DataFrame:
@@ -87,8 +92,12 @@ def run_medallion(spark: SparkSession, src_dir: str, out_dir: str, checks: str =
     io.write_versioned(SN.snapshot_merge(hist, cur), f"{out}/snapshots/players_snapshot")
 
     # silver
-    sl = L.silver(br, tie_break)
-    sl = _write_layer(spark, sl, out, "silver")
+    # silver in two waves: the dimensions, then the tables built on their written form
+    sl = _write_layer(spark, {"sl_affiliates": L.sl_affiliates(br["br_affiliates"]),
+                              "sl_players": L.sl_players(br["br_players"], tie_break)}, out, "silver")
+    sl.update(_write_layer(spark, {
+        "sl_affiliate_player_bridge": L.sl_affiliate_player_bridge(sl["sl_affiliates"], sl["sl_players"]),
+        "sl_transactions": L.sl_transactions(br["br_transactions"], sl["sl_players"])}, out, "silver"))
     reports.append(_checks(spark, sl, "silver", out, checks))
 
     # gold

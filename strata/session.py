@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +75,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{id(spark)}"
+
+
+def run_concurrently(thunks: Sequence[Callable[[], object]], max_jobs: int = 8) -> list:
+    """Run independent Spark actions (e.g. the writes of one layer) as concurrent
+    jobs of the same session and return their results in order.
+
+    Jobs submitted from several driver threads share the executors, so a job
+    that cannot use every core (a scan of few large files) leaves room for
+    the others.  Only independent work belongs in one call.
+    """
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=min(max_jobs, len(thunks))) as pool:
+        return list(pool.map(lambda t: t(), thunks))
