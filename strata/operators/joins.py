@@ -34,7 +34,9 @@ def left_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, how: str
     lb = left.withColumn("_nbl", F.coalesce(bucket, F.lit(0).cast("bigint")))
     # always 0, but not a literal: a literal would be folded into the join
     # condition and drop out of the hash-partitioning keys
-    rb = right.withColumn("_nbr", F.pmod(F.xxhash64(F.col(f"`{rkey}`")), F.lit(1)))
+    # (non-nullable, so no ``isnotnull`` is inferred on it)
+    rb = right.withColumn("_nbr", F.coalesce(F.pmod(F.xxhash64(F.col(f"`{rkey}`")), F.lit(1).cast("bigint")),
+                                             F.lit(0).cast("bigint")))
     return lb.join(rb, (lb[lkey] == rb[rkey]) & (lb["_nbl"] == rb["_nbr"]), how).drop("_nbl", "_nbr")
 
 
@@ -63,7 +65,11 @@ def gate(txn: DataFrame, players: DataFrame, ts_col: str = "timestamp", fk: str
                 .select(F.col(pk).alias("_gk"), F.col(flag).alias("_gflag"), F.col(approved).alias("_gat")))
     if salt > 1:
         p = p.withColumn("_gs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
-        t = txn.withColumn("_ts", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in txn.columns]), F.lit(salt)))
+        # non-nullable (coalesce): a nullable salt makes Catalyst infer an
+        # ``isnotnull`` on it and push it below the projection, evaluating the
+        # whole row expression twice
+        t = txn.withColumn("_ts", F.coalesce(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in txn.columns]),
+                                                    F.lit(salt).cast("bigint")), F.lit(0).cast("bigint")))
         j = t.join(p, (t[fk] == p["_gk"]) & (t["_ts"] == p["_gs"]), "inner").drop("_ts", "_gs")
     else:
         j = txn.join(p, txn[fk] == p["_gk"], "inner")
