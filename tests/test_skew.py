@@ -69,3 +69,10 @@ def test_left_join_spreads_null_keys(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_nbl" in plan and "_nbr" in plan
     assert NULL_KEY_BUCKETS > 1
+
+
+def test_salt_is_computed_once(hot):
+    """The salt is non-nullable: no inferred ``isnotnull`` re-evaluates it below the projection."""
+    txn, players = hot
+    plan = gate(txn, players, salt=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("xxhash64") == 1
