@@ -106,6 +106,9 @@ class Domain(Mapping):
             self._built[name] = self._factories[name](self)
         return self._built[name]
 
+    def __contains__(self, name: object) -> bool:   # without building the entry
+        return name in self._factories
+
     def __iter__(self):
         return iter(self._factories)
 
