@@ -145,3 +145,13 @@ def test_extend_domain_sample(spark, sample_raw):
     ext2 = EX.extend_domain(a, p, t, n=200, seed=42, now="2025-09-01 00:00:00", keep_code=True)
     key = lambda df: sorted(tuple(map(str, x)) for x in df.collect())
     assert key(ext.transactions) == key(ext2.transactions)
+
+
+def test_load_table_into_catalog(spark, sample_dir, scratch):
+    landed = IO.ingest_dir(spark, sample_dir, _p(scratch, "landing"))
+    name = f"raw_players_{uuid.uuid4().hex[:6]}"
+    assert IO.load_table(spark, landed["players"], name) == 11
+    assert IO.load_table(spark, landed["players"], name) == 11            # truncate + load
+    assert IO.load_table(spark, landed["players"], name, mode="append") == 22
+    assert spark.table(name).columns == ["id", "affiliate_id", "country_code", "is_kyc_approved",
+                                         "created_at", "updated_at"]
