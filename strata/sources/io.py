@@ -184,22 +184,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 # versioned folder writes (snapshot history: never overwrite what is being read)
+COMMIT_MARKER = "_COMMITTED"
+
 def write_versioned(df: DataFrame, base: str) -> str:
     """Write ``df`` to a new folder ``<base>/v=<ms>`` and return it.
 
     Nothing is overwritten or deleted, so a failed or lost job cannot damage
-    the version being read.  A version counts once its write committed (the
-    ``_SUCCESS`` marker of the output committer).
+    the version being read.  A version counts once its write returned: the
+    driver then creates the marker file ``_COMMITTED`` in it (our own marker,
+    independent of the output committer's ``_SUCCESS`` setting; readers skip
+    ``_`` files).
     """
     target = f"{base.rstrip('/')}/v={int(time.time() * 1000)}"
     df.write.mode("errorifexists").parquet(target)
+    fs, p = _fs(df.sparkSession, target)
+    fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMIT_MARKER)).close()
     return target
 
 
 def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
     """Newest committed version of a versioned folder, or None when there is none.
 
-    Folders of failed writes carry no ``_SUCCESS`` marker and are skipped.
+    Folders of failed writes carry no ``_COMMITTED`` marker and are skipped.
     """
     fs, p = _fs(spark, base)
     if not fs.exists(p):
@@ -207,7 +213,7 @@ def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
     jvm = spark.sparkContext._jvm
     committed = [st.getPath().getName() for st in fs.listStatus(p)
                  if st.isDirectory() and st.getPath().getName().startswith("v=")
-                 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+                 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER))]
     if not committed:
         return None
     latest = max(committed, key=lambda v: int(v[2:]))

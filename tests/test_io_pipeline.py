@@ -155,3 +155,14 @@ def test_load_table_into_catalog(spark, sample_dir, scratch):
     assert IO.load_table(spark, landed["players"], name, mode="append") == 22
     assert spark.table(name).columns == ["id", "affiliate_id", "country_code", "is_kyc_approved",
                                          "created_at", "updated_at"]
+
+
+def test_versioned_without_success_markers(spark, scratch):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        base = _p(scratch, "ver-nomark")
+        IO.write_versioned(spark.range(4), base)
+        assert IO.read_versioned(spark, base).count() == 4
+    finally:
+        conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
