@@ -17,7 +17,7 @@ from strata.session import scratch_path
 
 WHITESPACE = r"\x20\x09-\x0D"
 #: Text bytes that one vectorised step works on; bounds a Python worker's memory.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

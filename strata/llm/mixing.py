@@ -23,13 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ._common import WHITESPACE, write_table
+from ._common import WHITESPACE, shuffle_partitions, write_table
 
 #: Multipliers of the index permutations: primes above any block count below 2**61, so coprime to it.
 PRIMES = (2305843009213693951, 4611686018427387847, 9223372036854775783)
 WORD = rf"[^{WHITESPACE}]+"
 #: Documents in one bucket of the running sums.
 BUCKET = 2048
+#: Shards in one chunk of the draw.
+CHUNK = 256
 
 
 def _size(text: Column) -> Column:
@@ -86,18 +88,27 @@ def block_reads(sources: DataFrame, block: int, shard: int, cap: float, seed: in
          .withColumn("hi", F.sum("slots").over(order)).withColumn("lo", F.col("hi") - F.col("slots"))
          .withColumn("all_slots", F.max("hi").over(all_)))
     # Shard k owns the slots [k * shard, (k + 1) * shard) of a line on which source s is repeated
-    # in proportion; its own uniform offset shifts the equal steps of the draw.
-    shards = s.select(F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("all_slots") / shard).cast("long") - 1)).alias("k"),
-                      "source", "lo", "hi", "n_blocks", "slots", "all_slots")
+    # in proportion; its own uniform offset shifts the equal steps of the draw.  Shards are made and
+    # summed in chunks, so that no task makes or orders all of them.
+    n_shards = F.ceil(F.col("all_slots") / shard).cast("long")
+    n = shuffle_partitions(sources.sparkSession)
+    shards = (s.withColumn("n_shards", n_shards)
+              .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n_shards - 1) div {CHUNK})"))).filter("n_shards > 0")
+              .repartition(n, "source", "chunk")
+              .withColumn("k", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(chunk * {CHUNK} + {CHUNK}, n_shards) - 1)"))))
     u = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1 << 40)).cast("double") / float(1 << 40)
     width = F.least(F.lit(float(shard)), F.col("all_slots") - F.col("k") * float(shard))
     point = lambda edge: F.ceil(edge / F.col("all_slots") * F.col("width") - F.col("u"))
     drawn = (shards.withColumn("u", u).withColumn("width", width)
-             .withColumn("n", (point(F.col("hi")) - point(F.col("lo"))).cast("long")))
-    run = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    drawn = drawn.withColumn("from", F.sum("n").over(run) - F.col("n")).filter("n > 0")
-    slot = drawn.select("source", "n_blocks", "k",
-                        F.explode(F.expr("sequence(`from`, `from` + n - 1)")).alias("i"))
+             .withColumn("n", (point(F.col("hi")) - point(F.col("lo"))).cast("long")).filter("n > 0"))
+    chunks = drawn.groupBy("source", "chunk").agg(F.sum("n").alias("m"))
+    chunks = chunks.withColumn("base", F.sum("m").over(Window.partitionBy("source").orderBy("chunk")) - F.col("m"))
+    run = Window.partitionBy("source", "chunk").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    drawn = (drawn.withColumn("run", F.sum("n").over(run) - F.col("n")).alias("d")
+             .join(chunks.alias("c"), F.expr("d.source <=> c.source AND d.chunk = c.chunk"))
+             .select("d.source", "d.k", "d.n", "d.n_blocks", (F.col("d.run") + F.col("c.base")).alias("from")))
+    slot = (drawn.repartition(n, "source", "k")
+            .select("source", "n_blocks", "k", F.explode(F.expr("sequence(`from`, `from` + n - 1)")).alias("i")))
     # Never beyond cap passes: the few slots that rounding adds past the last pass have no block.
     slot = slot.filter(F.col("i") < F.col("n_blocks") * int(cap))
     a = F.element_at(F.array(*[F.lit(p) for p in PRIMES]), (F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(len(PRIMES))) + 1).cast("int"))
@@ -122,7 +133,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
               .withColumn("from_word", F.greatest(F.lit(0).cast("long"), F.col("block") * block - F.col("start")))
               .withColumn("n_words", F.least(F.col("size"), (F.col("block") + 1) * block - F.col("start")) - F.col("from_word"))
               .withColumn("offset", F.col("start") + F.col("from_word") - F.col("block") * block))
-    segments = (pieces.alias("p").join(reads.alias("r"), F.expr("p.block = r.block AND p.source <=> r.source"))
+    segments = (pieces.alias("p").join(reads.alias("r").hint("merge"), F.expr("p.block = r.block AND p.source <=> r.source"))
                 .select("p.doc_id", "p.text_id", "p.source", "r.pass", F.col("r.k").alias("shard"), F.col("r.i").alias("slot"),
                         "p.block", "p.offset", "p.from_word", "p.n_words"))
     return segments, sources, base
