@@ -27,95 +27,119 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import components, shuffle_partitions, write_table
 
-BLOCKS = 3
+#: Independent rotations, each with its own codes.
+ROTATIONS = 4
 #: Members of one filter that meet in one task; more are cut into blocks of this size.
 BLOCK_SIZE = 1024
 SEED = 20_240
 
 
-class Filters:
-    """Directions for vectors of ``dim`` components: ``size`` choices in each block."""
+class Code:
+    """Directions for vectors of ``dim`` components: ``size`` choices in each of ``blocks`` blocks."""
 
-    def __init__(self, dim: int, size: int, cosine: float, recall: float):
-        rng = np.random.default_rng(SEED + dim)
+    def __init__(self, dim: int, blocks: int, size: int, seed: int):
+        rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-        parts = np.array_split(np.arange(dim), min(BLOCKS, dim))
-        self.parts, self.codes = parts, []
-        for p in parts:
+        self.parts = np.array_split(np.arange(dim), min(blocks, dim))
+        self.codes = []
+        for p in self.parts:
             c = rng.standard_normal((size, len(p)))
-            self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(len(parts)))
+            self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) / np.sqrt(len(self.parts)))
         self.size = size
-        a = rng.standard_normal((1500, dim))
-        b = rng.standard_normal((1500, dim))
-        a /= np.linalg.norm(a, axis=1, keepdims=True)
-        b -= (a * b).sum(1, keepdims=True) * a
-        b = cosine * a + np.sqrt(1 - cosine ** 2) * b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
-        # A pair shares a filter iff the best direction for its worse member is good enough.
-        best = np.concatenate([np.minimum(self._all(x), self._all(y)).max(axis=1) for x, y in zip(np.split(a, 30), np.split(b, 30))])
-        self.threshold = float(np.quantile(best, 1 - recall))
 
-    def _products(self, u: np.ndarray) -> list[np.ndarray]:
+    def products(self, u: np.ndarray) -> list[np.ndarray]:
         r = u @ self.rotation
         return [r[:, p] @ c.T for p, c in zip(self.parts, self.codes)]
 
-    def _all(self, u: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(u), 1))
-        for p in self._products(u):
-            out = (out[:, :, None] + p[:, None, :]).reshape(len(u), -1)
-        return out
-
-    def decode(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of every direction above the threshold, by row and ascending filter."""
-        products = self._products(u)
-        rest = np.cumsum([0, *[p.max(axis=1) for p in products[:0:-1]]], axis=0) if len(products) == 1 else \
-            np.cumsum(np.array([np.zeros(len(u)), *[p.max(axis=1) for p in products[:0:-1]]]), axis=0)[::-1]
+    def best_shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair the best, over all directions, of the smaller of its two inner products."""
+        x, y = (np.zeros((len(a), 1)) for _ in "ab")
+        for p, q in zip(self.products(a), self.products(b)):
+            x, y = ((s[:, :, None] + t[:, None, :]).reshape(len(a), -1) for s, t in ((x, p), (y, q)))
+        return np.minimum(x, y).max(axis=1)
+
+    def decode(self, u: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, direction) above the threshold; partial sums that cannot reach it any more are left out."""
+        products = self.products(u)
+        rest = np.zeros((len(products) + 1, len(u)))
+        for k in range(len(products) - 1, 0, -1):
+            rest[k] = rest[k + 1] + products[k].max(axis=1)
         row, code, total = np.arange(len(u)), np.zeros(len(u), np.int64), np.zeros(len(u))
         for k, p in enumerate(products):
             t = total[:, None] + p[row]
-            i, j = np.nonzero(t + (rest[k][row][:, None] if k + 1 < len(products) else 0.0) >= self.threshold)
+            i, j = np.nonzero(t + rest[k + 1][row][:, None] >= threshold)
             row, code, total = row[i], code[i] * self.size + j, t[i, j]
         return row, code
 
 
+class Filters:
+    """The codes of all rotations under one threshold, tuned on simulated pairs."""
+
+    def __init__(self, dim: int, blocks: int, size: int, cosine: float, recall: float, pairs: int = 1000):
+        self.codes = [Code(dim, blocks, size, SEED + 100 * dim + r) for r in range(ROTATIONS)]
+        rng = np.random.default_rng(SEED)
+        a, b = rng.standard_normal((2, pairs, dim))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = cosine * a + np.sqrt(1 - cosine ** 2) * b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+        step = max(1, (1 << 21) // size ** len(self.codes[0].parts))
+        best = [np.max([c.best_shared(a[i:i + step], b[i:i + step]) for c in self.codes], axis=0) for i in range(0, pairs, step)]
+        self.threshold = float(np.quantile(np.concatenate(best), 1 - recall))
+
+    def decode(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) of every direction above the threshold, by row and ascending filter."""
+        got = [c.decode(u, self.threshold) for c in self.codes]
+        per = self.codes[0].size ** len(self.codes[0].parts)
+        row = np.concatenate([r for r, _ in got])
+        code = np.concatenate([f + k * per for k, (_, f) in enumerate(got)])
+        order = np.lexsort((code, row))
+        return row[order], code[order]
+
+
 @functools.lru_cache(maxsize=16)
-def _filters(dim: int, size: int, cosine: float, recall: float) -> Filters:
-    return Filters(dim, size, cosine, recall)
+def _filters(dim: int, blocks: int, size: int, cosine: float, recall: float) -> Filters:
+    return Filters(dim, blocks, size, cosine, recall)
+
+
+def code_shape(n: int) -> tuple[int, int]:
+    """(blocks, choices in a block) for ``n`` vectors: about n / 32 directions a rotation."""
+    size = round((n / 32) ** 0.5)
+    return (2, max(8, size)) if size <= 400 else (3, round((n / 32) ** (1 / 3)))
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
+    raw = raw.astype(float)
     x = raw / np.abs(raw).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _decoder(size: int, cosine: float, recall: float):
-    """Rows (label, dim, filter, id, weight, unit vector, all its filters) of (id, label, weight, embedding)."""
+def _decoder(blocks: int, size: int, cosine: float, recall: float):
+    """Rows (label, dim, filter, id, weight, vector, all its filters) of (id, label, weight, embedding)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                ids, label, weight, emb = (c.slice(at, 512) for c in batch.columns)
+            for at in range(0, len(batch), 128):
+                ids, label, weight, emb = (c.slice(at, 128) for c in batch.columns)
                 length = emb.value_lengths().to_numpy()
                 for dim in np.unique(length):
                     pick = np.flatnonzero(length == dim)
-                    u = _unit(np.array(emb.take(pa.array(pick)).flatten().to_numpy(), float).reshape(len(pick), dim))
-                    row, code = _filters(int(dim), size, cosine, recall).decode(u)
+                    raw = np.array(emb.take(pa.array(pick)).flatten().to_numpy()).reshape(len(pick), dim)
+                    row, code = _filters(int(dim), blocks, size, cosine, recall).decode(_unit(raw))
                     mine = np.split(code, np.cumsum(np.bincount(row, minlength=len(pick)))[:-1])
-                    vec = [x.tobytes() for x in u]
-                    lists = [x.astype(np.int64).tobytes() for x in mine]
-                    for a in range(0, len(row), 4096):
-                        r = row[a:a + 4096]
-                        back = pa.array(pick[r])
-                        yield pa.RecordBatch.from_arrays(
-                            [label.take(back).cast(pa.string()), pa.array(np.full(len(r), dim, np.int32)), pa.array(code[a:a + 4096]),
-                             ids.take(back), weight.take(back), pa.array([vec[i] for i in r.tolist()]), pa.array([lists[i] for i in r.tolist()])],
-                            ["label", "dim", "filter", "id", "weight", "unit", "filters"])
+                    vec, lists, back = [x.tobytes() for x in raw], [x.tobytes() for x in mine], pa.array(pick[row])
+                    yield pa.RecordBatch.from_arrays(
+                        [label.take(back).cast(pa.string()), pa.array(np.full(len(row), dim, np.int32)), pa.array(code),
+                         ids.take(back), weight.take(back), pa.array([vec[i] for i in row.tolist()], pa.binary()),
+                         pa.array([lists[i] for i in row.tolist()], pa.binary())],
+                        ["label", "dim", "filter", "id", "weight", "vector", "filters"])
     return run
 
 
-def _links(cosine: float):
+def _links(cosine: float, kind: str):
     """Per member of a filter (or of two of its blocks): the weight of what it links with there for the
     first time, and the smallest id it is connected with there."""
 
@@ -149,11 +173,11 @@ def _links(cosine: float):
             key = [table.column(k).to_numpy() for k in ("code", "filter", "i", "j")]
             cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
             ids, weight = table.column("id").to_numpy(), table.column("weight").to_numpy().astype(float)
-            unit, lists, part = table.column("unit"), table.column("filters"), table.column("part").to_numpy()
+            vector, lists, part = table.column("vector"), table.column("filters"), table.column("part").to_numpy()
             out: list[tuple] = []
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(ids)]):
                 if b - a > 1:
-                    u = np.frombuffer(b"".join(unit.slice(a, b - a).to_pylist())).reshape(b - a, -1)
+                    u = _unit(np.frombuffer(b"".join(vector.slice(a, b - a).to_pylist()), kind).reshape(b - a, -1))
                     if key[2][a] == key[3][a]:
                         side = np.zeros(b - a, int)
                     else:
@@ -186,7 +210,7 @@ def _same_group(a: pa.RecordBatch, b: pa.RecordBatch) -> bool:
     return all(a.column(a.schema.get_field_index(k))[-1] == b.column(b.schema.get_field_index(k))[0] for k in ("code", "filter", "i", "j"))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.99) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.97) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector."""
     n = shuffle_partitions(vectors.sparkSession)
     good = (F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.coalesce(F.size("embedding"), F.lit(0)) > 0)
@@ -195,11 +219,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     rows = vectors.select("vec_id", "label", "embedding", F.coalesce(good, F.lit(False)).alias("good"))
     classes = write_table(rows.filter("good").dropDuplicates(["vec_id", "label", "embedding"]).groupBy("label", "embedding")
                           .agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "vector-classes")
-    size = int(min(512, max(8, round(classes.count() ** (1 / BLOCKS)))))
-    entries = classes.select(F.col("rep").cast("long").alias("id"), "label", "weight", "embedding").mapInArrow(
-        _decoder(size, cosine, recall), "label string, dim int, filter long, id long, weight long, unit binary, filters binary")
+    kind = "f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "f8"
+    entries = classes.select(F.col("rep").cast("long").alias("id"), "label", "weight",
+                             F.col("embedding").cast(T.ArrayType(T.FloatType() if kind == "f4" else T.DoubleType())).alias("embedding"))
+    entries = entries.mapInArrow(_decoder(*code_shape(classes.count()), cosine, recall),
+                                 "label string, dim int, filter long, id long, weight long, vector binary, filters binary")
     # one number for label and length, so that a group is told by numbers alone
-    entries = write_table(entries.withColumn("code", F.xxhash64("label", "dim")).drop("label", "dim"), "filter-entries")
+    entries = entries.withColumn("code", F.xxhash64("label", "dim")).drop("label", "dim")
     members = entries.groupBy("code", "filter").agg(F.count("*").alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / BLOCK_SIZE).cast("int")
     met = (entries.join(members, ["code", "filter"]).withColumn("blocks", blocks)
@@ -207,7 +233,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("other", "blocks", "members")
            .repartition(n, "code", "filter", "i", "j").sortWithinPartitions("code", "filter", "i", "j"))
-    found = write_table(met.mapInArrow(_links(cosine), "id long, n long, low long"), "vector-links")
+    found = write_table(met.mapInArrow(_links(cosine, kind), "id long, n long, low long"), "vector-links")
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     comp = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     of_class = (classes.select("label", "embedding", "rep", "weight")
