@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sentencepiece_bpe, token_records
+from . import (embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, secrets_scan, sentencepiece_bpe,
+               suffix_dedup, token_records)
 from ._common import documents
 
 
@@ -34,8 +35,40 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return quality.score(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(documents(spark, sf_dir))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets_scan.digests(secrets_scan.scan(docs, secrets_scan.train(docs)))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_sentencepiece, op4_mixing, op10_token_records)
+    f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_sentencepiece, op4_mixing, op5_quality, op6_fingerprints,
+                            op7_embedding_dedup, op8_secrets, op9_suffix_dedup, op10_token_records, pipeline)
 }
 
 ORACLES: dict[str, str] = {

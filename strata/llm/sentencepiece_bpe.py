@@ -258,21 +258,24 @@ def model(path: str) -> Model:
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """``docs`` with a column ``ids`` (array of int): the ids of ``text``."""
+    """``docs`` with columns ``ids`` (array of int, the ids of ``text``) and ``exact`` (whether decoding
+    them gives ``text`` back: not so where the text has U+2581, the model's own sign for a space)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             for a, b, _, _ in text_slices(texts):
-                ids = m.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+                some = [t or "" for t in texts.slice(a, b - a).to_pylist()]
+                ids = m.encode(some)
                 at = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = np.concatenate(ids).astype(np.int32)
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], [*part.schema.names, "ids"])
+                exact = [m.decode(x) == t for x, t in zip(ids, some)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pa.array(exact)],
+                                                 [*batch.schema.names, "ids", "exact"])
 
-    base = docs.drop("ids")
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    base = docs.drop("ids", "exact")
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType())]))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
