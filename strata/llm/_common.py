@@ -164,27 +164,28 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 
 # --- connected components --------------------------------------------------------------
 
+def _stars(e: DataFrame) -> bool:
+    """Whether every component of the edges (a > b) is a star around its smallest id."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                      F.struct(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("r"))
+    odd = ends.groupBy("r.x").agg(F.sum("r.up").alias("up"), F.max("r.down").alias("down")).filter("up > 1 OR up = 1 AND down = 1")
+    return odd.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id of ``edges`` (columns a, b), the component being the
     smallest id reachable.  Alternating large-star and small-star rounds, each one
     written to the shared folder; no row is collected."""
-    state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
     e = write_table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .filter("a <> b").distinct(), "edges")
-    old = state(e)
-    while True:
+    while not _stars(e):
         both = e.union(e.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        new = write_table(small.select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
-                          .union(small.select("u", "m")).distinct(), "edges")
-        now = state(new)
+        small = large.join(low, "u").select("u", F.explode(F.array(F.struct(F.col("v").alias("a"), "m"), F.struct(F.col("u").alias("a"), "m"))).alias("x"))
+        new = write_table(small.select("x.a", F.col("x.m").alias("b")).filter("a <> b").distinct(), "edges")
         drop_table(e)
         e = new
-        if now == old:
-            break
-        old = now
     top = e.select(F.col("b").alias("id")).distinct()
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(top.select("id", "id"))

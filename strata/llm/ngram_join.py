@@ -13,8 +13,8 @@ List lengths come from a count of the shingles that are frequent somewhere in th
 which lists count as long, any common order gives the same links.
 
 Equal sets are one class.  The result wants components, not pairs: a first pass checks
-each posting against its two predecessors on the list; the second pass compares, inside lists that
-still hold several components, what is not yet connected, in blocks of ``BLOCK``
+each posting against its two predecessors and the first of its list, then the largest component of each
+list against the others on it; the second pass compares, inside lists that still hold several components, what is not yet connected, in blocks of ``BLOCK``
 postings.  Parity bitmaps of the sets bound the overlap from above before any set is fetched.
 
 Words are runs without ASCII white space, A-Z lowered.  Defined cases: a document with fewer words
@@ -40,6 +40,8 @@ HOT = 1 << 16
 #: Postings of one list that meet in one task, twice.
 BLOCK = 512
 BITS = 1024
+#: Document ids up to which they are broadcast to pick texts; beyond it the texts are shuffled.
+SMALL = 1 << 20
 
 
 def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -56,12 +58,14 @@ def _frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some: list[np.ndarray] = []
+            size = 0
             for i, s in _sets(batch.column(0), k):
                 some.append(s)
-                if sum(map(len, some[-64:])) > 1 << 15 or i + 1 == len(batch) or len(some) == 512:
+                size += len(s)
+                if size > 1 << 21 or i + 1 == len(batch):
                     h, n = np.unique(np.concatenate(some), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2])], ["h", "n"])
-                    some = []
+                    some, size = [], 0
 
     top = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(HOT)
     rows = top.toArrow()  # at most HOT rows
@@ -111,33 +115,52 @@ def _outline(docs: DataFrame, k: int, percent: int, hot: tuple[np.ndarray, np.nd
             .mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bitmap binary, short array<long>"))
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted (key, n, doc) postings those with a neighbour on their list, and the two documents
-    before them on it.  The first and the last list of a range may go on in another one and stay."""
-    names = ["key", "n", "doc", "p1", "p2"]
-    held: list[np.ndarray] | None = None
-    first = None
-    for batch in batches:
-        key, n, doc = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(key):
-            continue
-        first = key[0] if first is None else first
-        lead = 0
+def _merged(percent: int):
+    """Of sorted (key, n, doc) postings those with a neighbour on their list whose size allows a link
+    (sorted by size, a posting without one has no partner there), with the sizes' nearest documents: the two
+    before on the list and the list's first one.  The first and the last list of a range may go on in
+    another one and stay."""
+    names = ["key", "n", "doc", "p1", "p2", "p3"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        first = None
+        lead_n = lead_doc = 0  # of the list that goes on
+        for batch in batches:
+            key, n, doc = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if not len(key):
+                continue
+            first = key[0] if first is None else first
+            skip = 0
+            if held is not None:
+                key, n, doc = (np.concatenate(x) for x in zip(held, (key, n, doc)))
+                skip = len(held[0]) - 1  # rows decided with the batch before
+            same = np.append(False, key[1:] == key[:-1])
+            two = np.append([False, False], key[2:] == key[:-2])[:len(key)]
+            begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
+            n0, doc0 = n[begin], doc[begin]
+            if held is not None:
+                on = begin == 0  # the list of the first held row began before
+                n0, doc0 = np.where(on, lead_n, n0), np.where(on, lead_doc, doc0)
+            lead_n, lead_doc = n0[max(0, len(key) - 3)], doc0[max(0, len(key) - 3)]
+            fits = lambda m: 100 * m >= percent * n
+            p1 = same & fits(np.roll(n, 1))
+            p2 = two & fits(np.roll(n, 2))
+            p3 = same & fits(n0)
+            keep = p1 | np.append(p1[1:], False) | (key == first)
+            keep[:skip], keep[-1] = False, False
+            at = np.flatnonzero(keep)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[at]), pa.array(n[at]), pa.array(doc[at]), pa.array(doc[at - 1], mask=~p1[at]),
+                 pa.array(doc[at - 2], mask=~p2[at]), pa.array(doc0[at], mask=~p3[at])], names)
+            last = pa.RecordBatch.from_arrays(
+                [pa.array(x[-1:]) for x in (key, n, doc)] + [pa.array(np.roll(doc, k)[-1:], mask=~m[-1:]) for k, m in ((1, p1), (2, p2))]
+                + [pa.array(doc0[-1:], mask=~p3[-1:])], names)
+            held = [x[-3:] for x in (key, n, doc)]
         if held is not None:
-            key, n, doc = (np.concatenate(x) for x in zip(held, (key, n, doc)))
-            lead = len(held[0]) - 1  # rows decided with the batch before
-        same = np.append(False, key[1:] == key[:-1])
-        two = np.append([False, False], key[2:] == key[:-2])[:len(key)]
-        keep = same | np.append(same[1:], False) | (key == first)
-        keep[:lead], keep[-1] = False, False
-        at = np.flatnonzero(keep)
-        yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(n[at]), pa.array(doc[at]),
-                                          pa.array(doc[at - 1], mask=~same[at]), pa.array(doc[at - 2], mask=~two[at])], names)
-        held = [x[-3:] for x in (key, n, doc)]
-    if held is not None:
-        key, n, doc = held
-        before = [doc[-2] if len(key) > 1 and key[-2] == key[-1] else None, doc[-3] if len(key) > 2 and key[-3] == key[-1] else None]
-        yield pa.RecordBatch.from_arrays([pa.array(key[-1:]), pa.array(n[-1:]), pa.array(doc[-1:]), *(pa.array([x], pa.int64()) for x in before)], names)
+            yield last
+
+    return run
 
 
 def _near(percent: int, n1: np.ndarray, n2: np.ndarray, apart: np.ndarray) -> np.ndarray:
@@ -237,7 +260,9 @@ def _links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = write_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ngram-ids")
+    if ids.count() <= SMALL:
+        ids = F.broadcast(ids)  # checked: 8 bytes each
     held = write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
                        .select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "ngram-sets")
     left, right = held.toDF("a", "x"), held.toDF("b", "y")
@@ -254,18 +279,43 @@ def join_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     sizes = reps.select("doc_id", "n", "bitmap")
     postings = reps.select(F.explode("short").alias("key"), "n", F.col("doc_id").alias("doc"))
     lists = write_table(postings.repartitionByRange(n_parts, "key", "n", "doc").sortWithinPartitions("key", "n", "doc")
-                        .mapInArrow(_merged, "key long, n long, doc long, p1 long, p2 long"), "ngram-lists")
-
-    # First pass: neighbours on a list.
-    pairs = (lists.select(F.col("doc").alias("d"), F.explode(F.array("p1", "p2")).alias("p")).filter("p IS NOT NULL AND p <> d")
-             .select(F.least("d", "p").alias("a"), F.greatest("d", "p").alias("b")).distinct())
-    pairs = _with_bitmaps(pairs, sizes).mapInArrow(_possible(percent), "a long, b long")
-    edges = write_table(_links(docs, write_table(pairs, "ngram-pairs"), k, percent), "ngram-links")
+                        .mapInArrow(_merged(percent), "key long, n long, doc long, p1 long, p2 long, p3 long"), "ngram-lists")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Edges among the pairs (d, p): bitmaps first, then the sets."""
+        pairs = pairs.filter("d <> p").select(F.least("d", "p").alias("a"), F.greatest("d", "p").alias("b")).distinct()
+        near = write_table(_with_bitmaps(pairs, sizes).mapInArrow(_possible(percent), "a long, b long"), "ngram-pairs")
+        return _links(docs, near, k, percent)
+
+    def with_components(comp: DataFrame) -> DataFrame:
+        placed = lists.select("key", "n", "doc").join(comp.withColumnRenamed("id", "doc"), "doc", "left")
+        return placed.withColumn("comp", F.coalesce("component", "doc")).drop("component")
+
+    def extended(comp: DataFrame, edges: DataFrame) -> DataFrame:
+        """Components after more edges: those of the components joined by them."""
+        if edges.isEmpty():
+            return comp
+        of = lambda c: comp.toDF(c, f"{c}_comp")
+        between = (edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                   .select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")))
+        merged = write_table(components(between), "ngram-merged").toDF("component", "now")
+        moved = comp.join(merged, "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+        alone = merged.select(F.col("component").alias("id"), "now").join(comp, "id", "left_anti")
+        return write_table(moved.union(alone), "ngram-components")
+
+    # First pass: neighbours on a list, and its first document; then the largest component of a list against the rest.
+    edges = write_table(verified(lists.select(F.col("doc").alias("d"), F.explode(F.array("p1", "p2", "p3")).alias("p")).filter("p IS NOT NULL")), "ngram-links")
     comp = write_table(components(edges), "ngram-components")
+    placed = with_components(comp)
+    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead"))
+    tops = (parts.groupBy("key").agg(F.max(F.struct("c", "comp", "lead")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+            .select("key", F.col("top.comp").alias("top"), F.col("top.lead.doc").alias("p"), F.col("top.lead.n").alias("pn")))
+    fits = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
+    more = write_table(verified(placed.join(tops, "key").filter("comp <> top").filter(fits).select(F.col("doc").alias("d"), "p")), "ngram-links")
+    comp = extended(comp, more)
 
     # Second pass: what shares a list and is not connected yet.
-    placed = (lists.select("key", "n", "doc").join(comp.withColumnRenamed("id", "doc"), "doc", "left")
-              .withColumn("comp", F.coalesce("component", "doc")).drop("component"))
+    placed = with_components(comp)
     mixed = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
              .filter("low < high").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
     active = (placed.join(mixed, "key").join(sizes.select(F.col("doc_id").alias("doc"), "n", "bitmap"), ["doc", "n"])
@@ -275,9 +325,7 @@ def join_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
               .select("key", "i", "j", "part", "n", "doc", "comp", "bitmap")
               .repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
     late = write_table(active.mapInArrow(_apart(percent), "a long, b long").distinct(), "ngram-late-pairs")
-    more = write_table(_links(docs, late, k, percent), "ngram-late-links")
-    if not more.isEmpty():
-        comp = write_table(components(edges.union(more)), "ngram-components")
+    comp = extended(comp, write_table(_links(docs, late, k, percent), "ngram-links"))
     drop_table(lists)
 
     o, c = outline.select("doc_id", *whole).alias("o"), classes.join(comp, F.col("rep") == F.col("id"), "left").alias("c")
