@@ -40,6 +40,8 @@ HOT = 1 << 16
 #: Postings of one list that meet in one task, twice.
 BLOCK = 512
 BITS = 1024
+#: Rounds that check the largest component of each list against the rest; they only save work later.
+HEAD_ROUNDS = 3
 #: Document ids up to which they are broadcast to pick texts; beyond it the texts are shuffled.
 SMALL = 1 << 20
 
@@ -306,13 +308,14 @@ def join_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     # First pass: neighbours on a list, and its first document; then the largest component of a list against the rest.
     edges = write_table(verified(lists.select(F.col("doc").alias("d"), F.explode(F.array("p1", "p2", "p3")).alias("p")).filter("p IS NOT NULL")), "ngram-links")
     comp = write_table(components(edges), "ngram-components")
-    placed = with_components(comp)
-    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead"))
-    tops = (parts.groupBy("key").agg(F.max(F.struct("c", "comp", "lead")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-            .select("key", F.col("top.comp").alias("top"), F.col("top.lead.doc").alias("p"), F.col("top.lead.n").alias("pn")))
-    fits = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
-    more = write_table(verified(placed.join(tops, "key").filter("comp <> top").filter(fits).select(F.col("doc").alias("d"), "p")), "ngram-links")
-    comp = extended(comp, more)
+    for _ in range(HEAD_ROUNDS):
+        placed = with_components(comp)
+        parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc")).alias("lead"))
+        tops = (parts.groupBy("key").agg(F.max(F.struct("c", "comp", "lead")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+                .select("key", F.col("top.comp").alias("top"), F.col("top.lead.doc").alias("p"), F.col("top.lead.n").alias("pn")))
+        fits = f"100 * least(n, pn) >= {percent} * greatest(n, pn)"
+        more = write_table(verified(placed.join(tops, "key").filter("comp <> top").filter(fits).select(F.col("doc").alias("d"), "p")), "ngram-links")
+        comp = extended(comp, more)
 
     # Second pass: what shares a list and is not connected yet.
     placed = with_components(comp)
