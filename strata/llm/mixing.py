@@ -157,9 +157,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
             .toDF("_mix_doc", "_mix_text", "_mix_pass", "_runs"))
     words = F.regexp_extract_all("text", F.lit(rf"[{WHITESPACE}]*[^{WHITESPACE}]+"), F.lit(0))
     out = docs.join(runs, F.expr("doc_id <=> _mix_doc") & F.xxhash64("text").eqNullSafe(F.col("_mix_text")))
-    text = F.array_join(F.transform("_runs", lambda r: F.array_join(
-        F.slice(F.col("_words"), (r["from_word"] + 1).cast("int"), r["n_words"].cast("int")), "")), "")
-    out = out.withColumn("_words", words).withColumn("text", F.btrim(text, F.lit(" \t\n\x0b\f\r")))
+    # a lambda variable holds the words, so that they are split once and not for every run
+    text = F.get(F.transform(F.array(words), lambda w: F.array_join(F.transform("_runs", lambda r: F.array_join(
+        F.slice(w, (r["from_word"] + 1).cast("int"), r["n_words"].cast("int")), "")), "")), 0)
+    out = out.withColumn("text", F.btrim(text, F.lit(" \t\n\x0b\f\r")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
