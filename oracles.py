@@ -26,7 +26,8 @@ raw_players AS (
          CASE WHEN c.c_custkey % 10 < (CASE (c.c_custkey // 10) % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 8 END)
               THEN CAST(c.c_custkey // 10 AS VARCHAR) END AS affiliate_id,
          CASE WHEN c.c_nationkey = 24 THEN 'BRA'
-              ELSE ' ' || substr('debrgbaufrcausmxarclpeesinphcodebrgbaufrcausmxarcl', c.c_nationkey * 2 + 1, 2)
+              ELSE ' ' || ['at', 'be', 'ch', 'cz', 'dk', 'ee', 'fi', 'gr', 'hr', 'hu', 'ie', 'it', 'lt', 'lv', 'nl',
+                       'at', 'be', 'ch', 'cz', 'dk', 'ee', 'fi', 'gr', 'hr', 'hu'][c.c_nationkey + 1]
          END AS country_code,
          CASE o.o_orderstatus WHEN 'F' THEN 'TRUE' WHEN 'O' THEN 'no' WHEN 'P' THEN '' END AS is_kyc_approved,
          CAST(MIN(o.o_orderdate) OVER (PARTITION BY o.o_custkey) AS VARCHAR) AS created_at,
@@ -599,8 +600,8 @@ _TYPES = "['deposit', 'withdrawal', 'bet', 'win']"
 
 
 def U(tag: str, idx: str = "id") -> str:
-    """md5 draw: first 8 hex digits of md5('<seed>|<id>|<tag>') as an integer."""
-    return f"('0x' || substr(md5('{_SEED}|' || CAST({idx} AS VARCHAR) || '|{tag}'), 1, 8))::BIGINT"
+    """md5 draw: first 15 hex digits of md5('<seed>|<id>|<tag>') as an integer."""
+    return f"('0x' || substr(md5('{_SEED}|' || CAST({idx} AS VARCHAR) || '|{tag}'), 1, 15))::BIGINT"
 
 
 _CODE = " || ".join(f"substr('{_ALPHA}', CAST({U(f'code{k}')} % 36 + 1 AS INTEGER), 1)" for k in range(8))

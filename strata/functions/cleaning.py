@@ -55,15 +55,19 @@ def clean_string(c, to_lower: bool = True) -> Column:
 
 # FN-03
 def normalize_country_iso2(c) -> Column:
-    """Upper-cased trimmed code when it has exactly two characters, else NULL."""
-    t = F.trim(_as_text(c))
+    """Upper-cased code, white space of any kind stripped, when it has exactly two characters, else NULL."""
+    t = _strip(_as_text(c))
     return F.when(F.length(t) == 2, F.upper(t))
 
 
 def _to_utc_ntz(text: Column, strict: bool) -> Column:
     # Zoned text ("...+00:00") is converted to UTC via the (UTC) session zone;
     # zone-less text is taken as UTC wall clock. Result: timestamp_ntz.
-    ts = text.cast("timestamp") if strict else text.try_cast("timestamp")
+    # The cast reads text without a date ("12:30:00", "T1") as a time of the current
+    # day: only text that begins with a year is a timestamp.
+    dated = text.rlike(r"^\s*\d{4}(-|\s*$)")
+    ts = (F.when(text.isNull() | dated, text.cast("timestamp")).otherwise(F.raise_error(F.concat(F.lit("not a timestamp: "), text)))
+          if strict else F.when(dated, text.try_cast("timestamp")))
     return ts.cast("timestamp_ntz")
 
 

@@ -72,18 +72,23 @@ def mark_duplicates(df: DataFrame, keys, flag: str = "is_duplicate") -> DataFram
 def keep_first(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
     """Split into (first row per key under ``order``, the removed rows).
 
-    ``order`` is a column or list of columns that is unique within a key (an
-    input-position column, or enough columns to be unique).  The winner per key
-    is a ``min`` over the order struct — a partial aggregate, so a hot key is
+    ``order`` is a column or list of columns (an input-position column, or enough
+    columns to be unique within a key).  Ties go to the smallest row, and of identical
+    rows one stays, so exactly one row per key is kept whatever the order.  The winner per
+    key is a ``min`` over the order struct — a partial aggregate, so a hot key is
     reduced map-side — and joined back; AQE splits a skewed join partition.
     """
     ks = _names(keys)
     ords = _cols(order)
-    tagged = df.withColumn("_ord", F.struct(*ords))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    tagged = df.withColumn("_ord", F.struct(F.struct(*ords).alias("o"), F.struct(*cols).alias("r")))
     first = tagged.groupBy(*ks).agg(F.min("_ord").alias("_first"))
     cond = [tagged[k].eqNullSafe(first[k]) for k in ks]
     j = tagged.join(first, cond, "inner").select(tagged["*"], (tagged["_ord"] == first["_first"]).alias("_keep"))
-    return (j.where("_keep").drop("_keep", "_ord"), j.where(~F.col("_keep")).drop("_keep", "_ord"))
+    # the winners of a key are identical rows: one is kept, its copies are removed rows
+    won = j.where("_keep").groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    copies = won.withColumn("_i", F.explode(F.expr("sequence(1, _n)"))).where("_i > 1").drop("_n", "_i")
+    return won.drop("_n"), j.where(~F.col("_keep")).drop("_keep", "_ord").unionByName(copies)
 
 
 # WN-04 (kept rows only)

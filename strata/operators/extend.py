@@ -3,7 +3,7 @@ target size with plausible rows, as set-based Spark plans.
 
 Randomness is a pure function of (seed, row id, column tag)::
 
-    u = conv(substr(md5("<seed>|<id>|<tag>"), 1, 8), 16, 10)   # 0 .. 2^32-1
+    u = conv(substr(md5("<seed>|<id>|<tag>"), 1, 15), 16, 10)   # 0 .. 2^60-1
 
 so results do not depend on partitioning or task order and any SQL engine with
 ``md5`` reproduces them.  "now" is an argument.
@@ -52,10 +52,10 @@ BUCKET_WIDTH = 1 << 20         # key-range width per bucket (keys unique → ≤
 
 
 def draw(seed: int, id_col, tag: str) -> Column:
-    """Uniform 32-bit draw for (seed, id, tag)."""
+    """Uniform 60-bit draw for (seed, id, tag): 15 hex digits, far above any key count."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), c.cast("string"), F.lit(tag)))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
 # EX-03
@@ -76,24 +76,27 @@ def random_code(seed: int, id_col, tag: str = "code", length: int = CODE_LENGTH)
     return F.concat(*chars)
 
 
-def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame, seed: int,
-                 max_rounds: int = 32) -> DataFrame:
+def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame, seed: int) -> DataFrame:
     """Assign ``random_code`` to ``df`` rows so no code collides with ``existing``
-    codes or with another new row; colliding rows are re-drawn with a salted tag
-    (the smallest id keeps a code shared by several new rows)."""
-    known = existing.select(normalize_code(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
-    cur = df.withColumn(code_col, random_code(seed, id_col))
-    for r in range(1, max_rounds + 1):
+    codes or with another new row.  The smallest id keeps a code that several rows drew; each
+    round settles the others' first holders and re-draws the clashing rows alone, with a
+    salted tag, until none is left.  Every round is written once."""
+    from strata.sources.io import materialize
+
+    taken = existing.select(normalize_code(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
+    cur, done, r = df.withColumn(code_col, random_code(seed, id_col)), None, 0
+    while True:
+        r += 1
         first = cur.groupBy(code_col).agg(F.min(id_col).alias("_first"))
-        j = (cur.join(first, code_col).join(known, F.col(code_col) == F.col("_code"), "left")
-                .withColumn("_clash", F.col("_code").isNotNull() | (F.col(id_col) != F.col("_first")))
-                .drop("_first", "_code"))
-        if j.where("_clash").limit(1).count() == 0:
-            return cur
-        cur = j.withColumn(code_col, F.when(F.col("_clash"), random_code(seed, id_col, f"code_r{r}_"))
-                           .otherwise(F.col(code_col))).drop("_clash")
-        cur = cur.checkpoint() if r % 4 == 0 else cur
-    raise RuntimeError("could not draw collision-free codes")
+        j = materialize(cur.join(first, code_col).join(taken, F.col(code_col) == F.col("_code"), "left")
+                        .withColumn("_clash", F.col("_code").isNotNull() | (F.col(id_col) != F.col("_first")))
+                        .drop("_first", "_code"), "unique-codes")
+        settled, clash = j.where(~F.col("_clash")).drop("_clash"), j.where("_clash").drop("_clash")
+        done = settled if done is None else done.unionByName(settled)
+        if clash.isEmpty():
+            return done.select(*cur.columns)
+        taken = taken.union(settled.select(F.col(code_col).alias("_code")))
+        cur = clash.withColumn(code_col, random_code(seed, id_col, f"code_r{r}_"))
 
 
 # EX-05

@@ -18,7 +18,8 @@ from strata.sources.tables import read_table
 
 # Fixed values of the binding (FIXTURES §3).
 ORIGIN_BY_NATION_MOD4 = {0: "Discord", 1: "YouTube", 2: "X"}  # 3 → NULL
-COUNTRY_PAIRS = "debrgbaufrcausmxarclpeesinphcodebrgbaufrcausmxarcl"
+NATION_CODES = ["at", "be", "ch", "cz", "dk", "ee", "fi", "gr", "hr", "hu", "ie", "it", "lt", "lv", "nl",
+                 "at", "be", "ch", "cz", "dk", "ee", "fi", "gr", "hr", "hu"]  # by nation key, lower case on purpose
 THREE_LETTER_NATION = 24
 THREE_LETTER_CODE = "BRA"
 KYC_BY_STATUS = {"F": "TRUE", "O": "no", "P": ""}
@@ -54,7 +55,7 @@ def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = F.floor(F.col("c_custkey") / 10)
     limit = F.when(g % 4 == 0, 0).when(g % 4 == 1, 1).otherwise(8)
     country = F.when(F.col("c_nationkey") == THREE_LETTER_NATION, F.lit(THREE_LETTER_CODE)).otherwise(
-        F.concat(F.lit(" "), F.substring(F.lit(COUNTRY_PAIRS), F.col("c_nationkey") * 2 + 1, F.lit(2))))
+        F.concat(F.lit(" "), F.element_at(F.array(*[F.lit(x) for x in NATION_CODES]), (F.col("c_nationkey") + 1).cast("int"))))
     return j.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.when(F.col("c_custkey") % 10 < limit, g.cast("string")).alias("affiliate_id"),

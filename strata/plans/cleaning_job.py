@@ -160,15 +160,21 @@ def clean_domain(a: DataFrame, p: DataFrame, t: DataFrame, roles: Roles = Roles(
     """Run rules 1-8; returns kept tables and the audit (rule, table_name, rows).
 
     ``order_cols`` gives each table's input order (``affiliates``, ``players``,
-    ``transactions``), unique within a key; it decides which duplicate is "first".
+    ``transactions``); it decides which duplicate is "first", so it must be given for
+    every table whose ids are made unique.
     """
     order_cols = order_cols or {}
+    for table, key, df in (("affiliates", roles.aff_id, a), ("players", roles.ply_id, p), ("transactions", roles.txn_id, t)):
+        if key and key in df.columns and not order_cols.get(table):
+            raise ValueError(f"order_cols[{table!r}] is missing: the input order decides which duplicate stays")
     p, t = coerce_types(p, t, roles)
     lp = label_players(p, roles, order_cols.get("players", [roles.ply_id]))
     players_kept = lp.where(F.col("_rule").isNull()).drop("_rule", "_dups")
     la = label_affiliates(a, players_kept, roles, order_cols.get("affiliates", [roles.aff_id]))
     aff_kept = la.where(F.col("_rule").isNull()).drop("_rule")
-    players_final = null_unknown_codes(players_kept, aff_kept, roles)
+    # rule 5 runs before rule 6: codes of affiliates that only lack an owner are known
+    known = la.where(F.col("_rule").isNull() | (F.col("_rule") == "drop_bad_owner")).drop("_rule")
+    players_final = null_unknown_codes(players_kept, known, roles)
     lt = label_transactions(t, players_final, roles, order_cols.get("transactions", [roles.txn_id]))
     txn_kept = lt.where(F.col("_rule").isNull()).drop("_rule", "_dups")
 

@@ -182,7 +182,7 @@ def _fn17(spark, sf_dir):
     r = D(spark, sf_dir, "raw")["raw_transactions"]
     return r.select(fn.to_int64("player_id").alias("player_id"),
                     fn.to_int64("amount").alias("amount_raw_int"),
-                    fn.to_int64(F.substring("amount", 2, 1 << 20)).alias("amount_int"))
+                    fn.to_int64(F.expr("substring(amount, 2)")).alias("amount_int"))
 
 
 @query("fn_null_safe_neq")
@@ -572,7 +572,7 @@ def _dq14(spark, sf_dir):
 from strata.plans import cleaning_job as CL  # noqa: E402
 
 # Input order of the bound raw tables (the "file order" that decides keep-first).
-CLEAN_ORDER = {"affiliates": ["id"], "players": ["version_id"],
+CLEAN_ORDER = {"affiliates": ["id", "code"], "players": ["version_id"],
                "transactions": ["timestamp", "player_id", "amount", "type"]}
 IDS_ONLY = CL.Roles(aff_code=None, txn_player_fk=None, ply_kyc_bool=None, txn_date=None)
 

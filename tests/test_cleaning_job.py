@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.plans.cleaning_job import Roles, clean_domain
 
 ORDER = {k: ["_input_order"] for k in ("affiliates", "players", "transactions")}
+ID_ORDER = {k: ["id"] for k in ORDER}
 
 
 @pytest.fixture(scope="module")
@@ -66,7 +67,7 @@ def test_before_approval_rule_with_date_role(spark):
                                ("3", "2020-01-01 00:00:00", "2"), ("4", "2024-03-01 00:00:00", "9")],
                               "id string, timestamp string, player_id string")
     roles = Roles(ply_kyc_date="approved")
-    cr = clean_domain(a, p, t, roles)
+    cr = clean_domain(a, p, t, roles, ID_ORDER)
     assert sorted(r.id for r in cr.transactions.collect()) == ["2", "3"]
     audit = {(r.rule, r.table_name): r.rows_affected for r in cr.audit.collect()}
     assert audit[("drop_before_approval", "transactions")] == 1
@@ -81,7 +82,7 @@ def test_owner_and_code_rules(spark):
                               "id string, is_kyc_approved string, redeemed string")
     t = spark.createDataFrame([("1", "2024-01-01 00:00:00", "1")], "id string, timestamp string, player_id string")
     roles = Roles(aff_owner="owner", ply_redeemed_code="redeemed")
-    cr = clean_domain(a, p, t, roles)
+    cr = clean_domain(a, p, t, roles, ID_ORDER)
     assert sorted(r.id for r in cr.affiliates.collect()) == ["1"]
     codes = {r.id: r.redeemed for r in cr.players.collect()}
     assert codes == {"1": "AAA", "2": None, "3": None}
@@ -91,6 +92,23 @@ def test_owner_and_code_rules(spark):
     assert audit[("null_unknown_codes", "players")] == 2
 
 
+def test_duplicate_ids_and_rule_order(spark):
+    """One row per id whatever the order, of identical rows too; a code known only from an
+    affiliate that lacks its owner stays with the player; a missing order is an error."""
+    a = spark.createDataFrame([("1", "AAA", "1"), ("1", "BBB", "1"), ("2", "CCC", "99"), ("3", "DDD", "2"), ("3", "DDD", "2")],
+                              "id string, code string, owner string")
+    p = spark.createDataFrame([("1", "TRUE", "CCC"), ("2", "TRUE", "BBB")], "id string, is_kyc_approved string, redeemed string")
+    t = spark.createDataFrame([("1", "2024-01-01 00:00:00", "1")], "id string, timestamp string, player_id string")
+    roles = Roles(aff_owner="owner", ply_redeemed_code="redeemed")
+    cr = clean_domain(a, p, t, roles, ID_ORDER)
+    assert sorted((r.id, r.code) for r in cr.affiliates.collect()) == [("1", "AAA"), ("3", "DDD")]
+    assert {r.id: r.redeemed for r in cr.players.collect()} == {"1": "CCC", "2": None}
+    audit = {(r.rule, r.table_name): r.rows_affected for r in cr.audit.collect()}
+    assert audit[("unique_ids", "affiliates")] == 2 and audit[("null_unknown_codes", "players")] == 1
+    with pytest.raises(ValueError):
+        clean_domain(a, p, t, roles, {"players": ["id"]})
+
+
 def test_driver_counts(spark):
     """Not-approved rule alone against sl_players drops 3,713 rows at sf0.001 (FIXTURES §3)."""
     import __spark_entry__ as E

@@ -118,3 +118,24 @@ def test_strict_parsers_raise(spark):
             one_col(spark, ["-"], f)
     assert one_col(spark, ["$12.50"], lambda c: fn.parse_numeric_safe(c, strict=True)) == [Decimal("12.5")]
     assert one_col(spark, ["1.0"], lambda c: fn.to_int64(c, strict=True)) == [1]
+
+
+def test_text_without_a_date_is_no_timestamp(spark):
+    vals = ["12:30:00", "T1", "2024-01-10 17:07:01+00:00", "2024-01-10", "x", None]
+    want = [None, None, dt.datetime(2024, 1, 10, 17, 7, 1), dt.datetime(2024, 1, 10), None, None]
+    assert one_col(spark, vals, fn.parse_timestamp_safe) == want
+    assert one_col(spark, vals, fn.parse_datetime_utc) == want
+
+
+def test_country_code_strips_any_white_space(spark):
+    assert one_col(spark, ["\tBR", "br\n", " b r", "BRA"], fn.normalize_country_iso2) == ["BR", "BR", None, None]
+
+
+def test_redraw_settles_all_codes(spark, monkeypatch):
+    """A tiny code space forces several rounds; all codes end up distinct and unknown before."""
+    from strata.operators import extend as EX
+    tiny = lambda seed, id_col, tag="code": (EX.draw(seed, id_col, tag) % 60).cast("string")
+    monkeypatch.setattr(EX, "random_code", tiny)
+    have = spark.createDataFrame([(str(i),) for i in range(20)], "code string")
+    got = [r.code for r in EX.unique_codes(spark.range(30), "id", "code", have, 7).collect()]
+    assert len(set(got)) == len(got) == 30 and not {str(i) for i in range(20)} & set(got)
