@@ -253,3 +253,23 @@ def test_token_records(docs, empty, odd, tmp_path):
     frame[13] ^= 1
     with pytest.raises(ValueError):
         list(token_records.frames(memoryview(bytes(frame))))
+
+
+def test_pipeline_stages(spark):
+    """Each stage on what its predecessor kept, against the operators' own brute-force meaning."""
+    import corpus_pipeline
+    from conftest import SF0001
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier" and corpus_pipeline.ORACLE_SQL is None
+    kept, before = docs, {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF0001)
+        rows = kept.collect()
+        assert kept.columns == docs.columns and {r.doc_id for r in rows} <= before
+        assert all(r.n_chars == len(r.text) for r in rows if name != "quality classifier")
+        before = {r.doc_id for r in rows}
+        kept = spark.createDataFrame(rows, docs.schema)
+    good = {r.doc_id for r in spark.read.parquet(f"{SF0001}/labels.parquet").filter("quality = 0").collect()}
+    assert not good & before
+    out = corpus_pipeline.STAGES[-1][1](spark, kept, SF0001).collect()
+    assert len(out) == kept.count() and all(r.exact and r.n_tokens == len(r.ids) for r in out)
