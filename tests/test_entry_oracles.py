@@ -17,17 +17,18 @@ def test_entry_flagship(spark):
     assert df.count() == 225
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_library_query_has_an_oracle():
+    from strata.plans import registry
+    assert set(registry.QUERIES) <= set(ORACLES) <= set(QUERIES)
 
 
-def test_no_forbidden_calls_in_queries():
-    import inspect
+def test_no_forbidden_calls_in_the_package():
+    import pathlib
 
-    from strata.plans import registry
-    src = inspect.getsource(registry)
-    assert "localCheckpoint" not in src
-    assert ".sample(" not in src
+    import strata
+    for path in pathlib.Path(strata.__file__).parent.rglob("*.py"):
+        src = path.read_text()
+        assert not any(x in src for x in ("localCheckpoint", ".sample(", "crossJoin", ".rdd")), path
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +37,7 @@ def duck():
     return connect(SF0001)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, key):
     from tools.check_oracles import compare_one
     status, msg, _n = compare_one(spark, duck, QUERIES, ORACLES, key, SF0001)
