@@ -744,4 +744,32 @@ ereg("ex_validation", " UNION ALL ".join(
     + ["SELECT 'players', 'code_consistent', CAST((SELECT COUNT(*) FROM e_code_bad) AS BIGINT)",
        "SELECT 'transactions', 'kyc_left_audit', CAST((SELECT COUNT(*) FROM e_t_ext t LEFT JOIN e_p3 p "
        "ON p.id = t.player_id WHERE p.is_kyc_approved IS DISTINCT FROM TRUE) AS BIGINT)"]))
+ROLE_CTES = EXT_CTES + rf""",
+er_p AS (
+  SELECT p.*, CASE WHEN is_kyc_approved = TRUE THEN created_at + to_minutes(
+           CASE WHEN id > (SELECT p_max FROM e_n) THEN ({U('approved_d')} % 10) * 1440 ELSE 3 * 1440 END) END AS kyc_verified_at
+  FROM e_p3 p
+),
+er_t AS (
+  SELECT id, "timestamp", player_id, type, amount FROM e_t0
+  UNION ALL
+  SELECT t.id, coalesce(p.kyc_verified_at, {_NOW} + to_minutes(-30 * 1440))
+               + to_minutes(({U('txn_d', 't.id')} % 60) * 1440 + {U('txn_m', 't.id')} % 1440),
+         t.player_id, t.type, t.amount
+  FROM e_t_ext t JOIN er_p p ON p.id = t.player_id WHERE t.id > (SELECT t_max FROM e_n)
+),
+er_owner AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS gidx FROM e_p0 WHERE id IS NOT NULL),
+er_a AS (
+  SELECT a.id, CASE WHEN a.id > n.a_max THEN o.id END AS owner_player_id
+  FROM e_a_ext3 a CROSS JOIN e_n n LEFT JOIN er_owner o
+    ON o.gidx = {U('owner', 'a.id')} % (SELECT count(*) FROM er_owner)
+)"""
+reg("ex_owner", "SELECT id, owner_player_id FROM er_a", ROLE_CTES)
+reg("ex_approval_dates", "SELECT id, kyc_verified_at FROM er_p", ROLE_CTES)
+reg("ex_transactions_after_approval",
+    'SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM er_t', ROLE_CTES)
+reg("ex_validation_dates", """
+SELECT 'transactions' AS table_name, 'kyc_left_audit' AS check_name, COUNT(*) AS violations
+FROM er_t t LEFT JOIN er_p p ON p.id = t.player_id
+WHERE p.is_kyc_approved IS DISTINCT FROM TRUE OR t."timestamp" < p.kyc_verified_at""", ROLE_CTES)
 ereg("dq_code_consistent", "SELECT id, affiliate_id, affiliate_code_redeemed FROM e_code_bad")

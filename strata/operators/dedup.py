@@ -10,7 +10,8 @@ Scale notes
   with no join back, when the removed rows themselves are not needed.
 * ``keep_first``, ``mark_duplicates`` and ``count_over`` avoid unbounded window
   partitions altogether: they aggregate per key (map-side partial aggregation)
-  and join the small per-key result back; AQE splits skewed join partitions.
+  and join the small per-key result back; rows without a key are spread over hash
+  buckets, and AQE splits skewed join partitions.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.joins import NULL_KEY_BUCKETS
+
 
 def _cols(xs) -> list[Column]:
     if isinstance(xs, (str, Column)):
@@ -31,6 +34,24 @@ def _names(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
+def _join_back(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` joined null-safe with one row per key, the rows without any key spread: they
+    carry a hash bucket as a second join key, and the one per-key row they share is
+    repeated for every bucket."""
+    no_key = F.lit(True)
+    for k in keys:
+        no_key = no_key & F.col(f"`{k}`").isNull()
+    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_KEY_BUCKETS))
+    left = df.withColumn("_nbl", F.coalesce(F.when(no_key, row).cast("bigint"), F.lit(0).cast("bigint")))
+    buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(NULL_KEY_BUCKETS - 1).cast("bigint"))
+    right = (per_key.withColumn("_nbr", F.explode(F.when(no_key, buckets).otherwise(F.array(F.lit(0).cast("bigint")))))
+             .withColumnsRenamed({k: f"_pk_{k}" for k in keys}))
+    cond = left["_nbl"] == right["_nbr"]
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"_pk_{k}"])
+    return left.join(right, cond).drop("_nbl", "_nbr", *[f"_pk_{k}" for k in keys])
+
+
 # WN-01
 def deduplicate(df: DataFrame, keys, order: Sequence, tie_break: Sequence = ()) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` (+ optional tie-break)."""
@@ -54,18 +75,15 @@ def count_over(df: DataFrame, keys, value: str, name: str) -> DataFrame:
     key never has to fit one window partition.
     """
     ks = _names(keys)
-    cnt = df.groupBy(*ks).agg(F.count(value).alias(name))
-    cond = [df[k].eqNullSafe(cnt[k]) for k in ks]
-    return df.join(cnt, cond, "inner").select(df["*"], cnt[name])
+    return _join_back(df, df.groupBy(*ks).agg(F.count(value).alias(name)), ks)
 
 
 # WN-05
 def mark_duplicates(df: DataFrame, keys, flag: str = "is_duplicate") -> DataFrame:
     """Flag every row whose key occurs more than once (pandas ``duplicated(keep=False)``)."""
     ks = _names(keys)
-    cnt = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
-    cond = [df[k].eqNullSafe(cnt[k]) for k in ks]
-    return df.join(cnt, cond, "inner").select(df["*"], (cnt["_n"] > 1).alias(flag))
+    j = _join_back(df, df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")), ks)
+    return j.withColumn(flag, F.col("_n") > 1).drop("_n")
 
 
 # WN-04
@@ -83,8 +101,7 @@ def keep_first(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
     cols = [F.col(f"`{c}`") for c in df.columns]
     tagged = df.withColumn("_ord", F.struct(F.struct(*ords).alias("o"), F.struct(*cols).alias("r")))
     first = tagged.groupBy(*ks).agg(F.min("_ord").alias("_first"))
-    cond = [tagged[k].eqNullSafe(first[k]) for k in ks]
-    j = tagged.join(first, cond, "inner").select(tagged["*"], (tagged["_ord"] == first["_first"]).alias("_keep"))
+    j = _join_back(tagged, first, ks).withColumn("_keep", F.col("_ord") == F.col("_first")).drop("_first")
     # the winners of a key are identical rows: one is kept, its copies are removed rows
     won = j.where("_keep").groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     copies = won.withColumn("_i", F.explode(F.expr("sequence(1, _n)"))).where("_i > 1").drop("_n", "_i")

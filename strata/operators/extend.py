@@ -13,12 +13,14 @@ Scale notes
 * New rows come from ``spark.range`` (distributed), never from driver lists.
 * A uniform pick from an existing table (``choose_from_table``) numbers the
   candidate keys 0..N-1 in key order without a global single-partition window:
-  keys are range-bucketed (bucket width bounded, keys unique → bounded bucket
-  size), numbered per bucket, shifted by bucket offsets (a table of at most
-  ``MAX_BUCKETS`` rows, broadcast under that proven bound), and the draws are
-  equi-joined on the global number.  Draws are uniform, so the join has no
-  hot key.
-* Only scalars (max id, row counts, key range) reach the driver.
+  keys are range-partitioned by the quantiles of the data (an outlier key widens
+  no partition), numbered inside their sorted partition, and shifted by the
+  partition's offset (one row per shuffle partition, broadcast under that
+  bound); the draws are equi-joined on the global number.  Draws are uniform,
+  so the join has no hot key.
+* Tables that several branches read are written once as Parquet (``materialize``),
+  so their readers prune columns and a lost executor recomputes one step.
+* Only scalars (max id, row counts) reach the driver.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.cleaning import blank_to_null, first_non_null, normalize_code, offset
 from strata.operators.joins import left_join
-from strata.session import checkpoint_dir
+from strata.sources.io import materialize
 
 # Fixed values (must equal the reference behaviour).
 CODE_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -47,9 +50,6 @@ TXN_BASE_DAYS = 30             # transactions without an approval date start at
 AMOUNT_MAX = 4999              # amounts 1 .. 4999
 MINUTES_PER_DAY = 1440
 
-MAX_BUCKETS = 1 << 16          # bound of the broadcast bucket-offset table
-BUCKET_WIDTH = 1 << 20         # key-range width per bucket (keys unique → ≤ 1M keys per bucket)
-
 
 def draw(seed: int, id_col, tag: str) -> Column:
     """Uniform 60-bit draw for (seed, id, tag): 15 hex digits, far above any key count."""
@@ -81,8 +81,6 @@ def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame,
     codes or with another new row.  The smallest id keeps a code that several rows drew; each
     round settles the others' first holders and re-draws the clashing rows alone, with a
     salted tag, until none is left.  Every round is written once."""
-    from strata.sources.io import materialize
-
     taken = existing.select(normalize_code(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
     cur, done, r = df.withColumn(code_col, random_code(seed, id_col)), None, 0
     while True:
@@ -101,20 +99,21 @@ def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame,
 
 # EX-05
 def index_keys(df: DataFrame, key: str, out: str = "_gidx") -> tuple[DataFrame, int]:
-    """Number the unique numeric keys of ``df`` 0..N-1 in key order; returns (df + out, N)."""
-    stats = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("n")).first()
-    n = int(stats["n"] or 0)
-    if n == 0:
-        return df.withColumn(out, F.lit(None).cast("bigint")), 0
-    lo, hi = int(stats["lo"]), int(stats["hi"])
-    width = max(BUCKET_WIDTH, math.ceil((hi - lo + 1) / MAX_BUCKETS))
-    b = df.where(F.col(key).isNotNull()).withColumn("_b", F.expr(f"(`{key}` - {lo}) div {width}"))
-    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_sz"))          # ≤ MAX_BUCKETS rows
+    """Number the unique numeric keys of ``df`` 0..N-1 in key order; returns (df + out, N).
+
+    NULL keys get no number and are left out.
+    """
+    # partition << 33 | place in the partition, fixed by writing it
+    ranged = materialize(df.where(F.col(key).isNotNull()).repartitionByRange(key).sortWithinPartitions(key)
+                         .withColumn("_at", F.monotonically_increasing_id()), "key-order")
+    b = ranged.withColumn("_b", F.shiftright("_at", 33))
+    sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_sz"))          # one row per shuffle partition
+    n = int(sizes.agg(F.sum("_sz")).first()[0] or 0)
     offsets = sizes.withColumn("_off", F.sum("_sz").over(Window.orderBy("_b").rowsBetween(
         Window.unboundedPreceding, -1))).select("_b", F.coalesce("_off", F.lit(0)).alias("_off"))
-    within = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(key)))
-    numbered = within.join(F.broadcast(offsets), "_b").withColumn(out, F.col("_off") + F.col("_rn") - 1)
-    return numbered.drop("_b", "_rn", "_off"), n
+    numbered = b.join(F.broadcast(offsets), "_b").withColumn(
+        out, F.col("_off") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    return numbered.drop("_b", "_at", "_off"), n
 
 
 def choose_from_table(df: DataFrame, id_col: str, seed: int, tag: str, keys: DataFrame, key: str,
@@ -123,7 +122,7 @@ def choose_from_table(df: DataFrame, id_col: str, seed: int, tag: str, keys: Dat
     ``keys`` (unique numeric ``key``) and attach ``take`` = {source col: new name}."""
     numbered, n = index_keys(keys.select(key, *[c for c in take if c != key]), key)
     if n == 0:
-        return df.select("*", *[F.lit(None).alias(v) for v in take.values()])
+        return df.select("*", *[F.lit(None).cast(keys.schema[c].dataType).alias(v) for c, v in take.items()])
     pick = draw(seed, id_col, tag) % n
     if where is not None:
         pick = F.when(where, pick)
@@ -172,15 +171,34 @@ def created_approved_dates(df: DataFrame, seed: int, now, flag: str = "is_kyc_ap
     return out
 
 
+def fill_by_name(seed: int, id_col, name: str, dtype: T.DataType) -> Column:
+    """Value of a further transaction column by its type and name: text named after a
+    currency or a type from that pool, numbers named after an amount or a value 1 .. 4999,
+    other numbers 0 .. 999, anything else NULL."""
+    low = name.lower()
+    if isinstance(dtype, T.StringType) and "currency" in low:
+        return choose_from_pool(seed, id_col, name, CURRENCY_POOL)
+    if isinstance(dtype, T.StringType) and "type" in low:
+        return choose_from_pool(seed, id_col, name, TXN_TYPE_POOL)
+    if isinstance(dtype, T.NumericType):
+        u = draw(seed, id_col, name)
+        return (u % AMOUNT_MAX + 1 if "amount" in low or "value" in low else u % 1000).cast(dtype)
+    return F.lit(None).cast(dtype)
+
+
 def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None, seed: int = 42,
                   now: str = "2025-09-01 00:00:00", factor: float = 2.0,
-                  keep_code: bool = False) -> Extended:
+                  keep_code: bool = False, owner: str | None = None, approved: str | None = None) -> Extended:
     """Grow affiliates, players and transactions to at least ``n`` rows each
-    (default ``factor`` × the largest input table)."""
+    (default ``factor`` × the largest input table).
+
+    Roles: ``owner`` names the affiliates' owner column (new affiliates get a random
+    input player), ``approved`` the players' approval date (set for new approved players;
+    new transactions start at it).  Without an approved player there are no new transactions.
+    """
     spark = a.sparkSession
-    checkpoint_dir(spark)
-    # inputs are read several times (scalars, key numbering, unions): cut their lineage once
-    a, p = a.checkpoint(), p.checkpoint()
+    # inputs are read several times (scalars, key numbering, unions): written once
+    a, p, t = materialize(a, "ext-affiliates"), materialize(p, "ext-players"), materialize(t, "ext-transactions")
     s = _scalars(a, p, t)
     if n is None:
         n = int(math.ceil(factor * max(s["a_rows"], s["p_rows"], s["t_rows"])))
@@ -190,21 +208,27 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
     # affiliates: new ids + collision-free codes (EX-01, EX-02)
     a_new = new_ids(spark, s["a_max"], n - s["a_rows"])
     a_new = unique_codes(a_new, "id", "code", a, seed)
+    if owner:
+        a_new = choose_from_table(a_new, "id", seed, "owner", p, "id", {"id": owner})
+        a_new = a_new.withColumn(owner, F.col(owner).cast(a.schema[owner].dataType))
     a_ext = a.unionByName(a_new, allowMissingColumns=True)
 
     # players: new ids, created date, approval flag (EX-01, EX-04, EX-06)
     p_new = new_ids(spark, s["p_max"], n - s["p_rows"]) \
         .withColumn("is_kyc_approved", weighted_bool(seed, "id", "kyc", KYC_TRUE_PERCENT))
-    p_new = created_approved_dates(p_new, seed, now).withColumn("created_at", F.col("created_at").cast(ts_type))
+    p_new = created_approved_dates(p_new, seed, now, approved=approved)
+    for c in ["created_at", *([approved] if approved else [])]:
+        p_new = p_new.withColumn(c, F.col(c).cast(p.schema[c].dataType))
     p_ext = p.unionByName(p_new, allowMissingColumns=True)
 
     # normalise blanks and codes
-    a_ext = blank_to_null(a_ext, ["origin"]).withColumn("code", normalize_code("code")).checkpoint()
+    a_ext = materialize(blank_to_null(a_ext, ["origin"]).withColumn("code", normalize_code("code")), "ext-affiliates")
 
     # temporary redeemed code: ~60 % of players get a random existing affiliate code (EX-04, EX-05)
     p_code = choose_from_table(p_ext, "id", seed, "code_pick", a_ext.where(F.col("code").isNotNull()), "id",
                                {"code": "affiliate_code_redeemed"},
                                where=weighted_bool(seed, "id", "has_code", CODE_PERCENT))
+    p_code = materialize(p_code, "ext-players")
 
     # affiliates.origin from the pool (EX-03)
     a_ext = a_ext.withColumn("origin", F.coalesce("origin", choose_from_pool(seed, "id", "origin", ORIGIN_POOL)))
@@ -217,6 +241,7 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
     fill = F.col("redeemed_at").isNull() & F.col("_first").isNotNull()
     a_ext = a_ext.withColumn("redeemed_at", F.when(fill, offset(F.col("_first"), 0, draw(seed, "id", "redeem_m") % MINUTES_PER_DAY))
                              .otherwise(F.col("redeemed_at"))).drop("_c", "_first")
+    a_ext = materialize(a_ext, "ext-affiliates")
 
     # players.affiliate_id ← affiliate of the redeemed code (EX-08)
     by_code = a_ext.where(F.col("code").isNotNull()).groupBy(F.col("code").alias("_c")).agg(F.max("id").alias("_aid"))
@@ -232,26 +257,24 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
                         upd_base, draw(seed, "id", "upd_d") % UPDATE_MAX_DAYS,
                         draw(seed, "id", "upd_m") % MINUTES_PER_DAY).cast(ts_type))))
 
-    p_code = p_code.checkpoint()
+    p_code = materialize(p_code, "ext-players")
 
     # transactions of approved players only (EX-10)
-    kyc = p_code.where(F.col("is_kyc_approved") == F.lit(True)).select("id")
+    kyc = p_code.where(F.col("is_kyc_approved") == F.lit(True)).select("id", *([approved] if approved else []))
     t_new = new_ids(spark, s["t_max"], n - s["t_rows"])
-    t_new = choose_from_table(t_new, "id", seed, "txn_player", kyc, "id", {"id": "player_id"})
+    t_new = choose_from_table(t_new, "id", seed, "txn_player", kyc, "id",
+                              {"id": "player_id"} | ({approved: "_approved"} if approved else {}))
+    t_new = t_new.where(F.col("player_id").isNotNull())
     base = offset(now_c, 0, -TXN_BASE_DAYS * MINUTES_PER_DAY)
+    if approved:
+        base = F.coalesce(F.col("_approved"), base)
     t_new = (t_new.withColumn("timestamp", offset(base, draw(seed, "id", "txn_d") % TXN_MAX_DAYS,
                                                   draw(seed, "id", "txn_m") % MINUTES_PER_DAY).cast(t.schema["timestamp"].dataType))
                   .withColumn("type", choose_from_pool(seed, "id", "txn_type", TXN_TYPE_POOL))
                   .withColumn("amount", (draw(seed, "id", "amount") % AMOUNT_MAX + 1).cast(t.schema["amount"].dataType)))
     extra = [c for c in t.columns if c not in ("id", "player_id", "timestamp", "type", "amount")]
     for c in extra:
-        dt = t.schema[c].dataType.simpleString()
-        if "currency" in c.lower():
-            t_new = t_new.withColumn(c, choose_from_pool(seed, "id", c, CURRENCY_POOL))
-        elif dt.startswith(("int", "bigint", "double", "decimal", "float")):
-            t_new = t_new.withColumn(c, (draw(seed, "id", c) % 1000).cast(dt))
-        else:
-            t_new = t_new.withColumn(c, F.lit(None).cast(dt))
+        t_new = t_new.withColumn(c, fill_by_name(seed, "id", c, t.schema[c].dataType))
     t_ext = t.unionByName(t_new.select(*t.columns))
 
     players = p_code if keep_code else p_code.drop("affiliate_code_redeemed")
@@ -259,8 +282,9 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
                     t_ext, p_code, {"target": n})
 
 
-def validate_extension(ext: Extended, n: int) -> DataFrame:
-    """Unique ids, code consistency, approval rule and target counts (EX-11)."""
+def validate_extension(ext: Extended, n: int, approved: str | None = None) -> DataFrame:
+    """Unique ids, code consistency, approval rule and target counts (EX-11).  The approval
+    rule compares dates where ``approved`` names the players' approval date."""
     from strata.operators import quality as DQ
 
     players = ext.players_with_code
@@ -272,7 +296,8 @@ def validate_extension(ext: Extended, n: int) -> DataFrame:
                      .select(F.lit(name).alias("table_name"), F.lit("min_rows").alias("check_name"), "violations"))
     parts.append(DQ.code_consistent(players, ext.affiliates).agg(F.count(F.lit(1)).alias("violations"))
                  .select(F.lit("players").alias("table_name"), F.lit("code_consistent").alias("check_name"), "violations"))
-    gate_players = players.withColumn("kyc_approved_at", F.lit(None).cast(players.schema["created_at"].dataType))
+    gate_players = players.withColumn("kyc_approved_at", F.col(approved) if approved
+                                      else F.lit(None).cast(players.schema["created_at"].dataType))
     parts.append(DQ.no_txn_before_kyc(ext.transactions, gate_players, "timestamp", unknown_is_violation=True)
                  .agg(F.count(F.lit(1)).alias("violations"))
                  .select(F.lit("transactions").alias("table_name"), F.lit("kyc_left_audit").alias("check_name"),

@@ -109,8 +109,11 @@ def keep_known(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFra
 def orphan_count(child: DataFrame, parent: DataFrame, fk: str, pk: str, null_is_orphan: bool = False) -> DataFrame:
     """One-row count of child rows without parent (``null_is_orphan`` like pandas ``isin``)."""
     keys = parent.select(F.col(pk).alias("_pk"))
-    c = child if null_is_orphan else child.where(F.col(fk).isNotNull())
-    return c.join(keys, c[fk] == keys["_pk"], "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
+    c = child.select(fk).where(F.col(fk).isNotNull())
+    out = c.join(keys, c[fk] == keys["_pk"], "left_anti")
+    if null_is_orphan:                 # counted without joining: a NULL key matches nothing
+        out = out.unionAll(child.select(fk).where(F.col(fk).isNull()))
+    return out.agg(F.count(F.lit(1)).alias("orphans"))
 
 
 # JN-07
@@ -147,7 +150,3 @@ def mismatches(left: DataFrame, right: DataFrame, on: tuple[str, str], predicate
     rk2 = rk + suffix if rk in left.columns else rk
     j = left_join(left, r, lk, rk2)
     return j.where(predicate(left, r))
-
-
-def null_safe_eq(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)

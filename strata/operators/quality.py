@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.cleaning import is_not_true
 from strata.operators.joins import gate_violations, left_join, orphans
 
 
@@ -175,6 +176,37 @@ def reference_checks() -> list[Check]:
 
 _ROW_LEVEL = {"not_null", "values_in_ci", "txn_signs_consistent"}
 _KEY_LEVEL = {"unique", "unique_by_key", "functional_dependency"}
+_PARENT_LEVEL = {"ref_integrity", "ref_integrity_nullable", "no_txn_before_kyc"}
+
+
+def _parent_key(c: Check) -> tuple[str, str, str]:
+    """(foreign key, parent table, parent key) of a check against a parent table."""
+    if c.kind == "no_txn_before_kyc":
+        return "player_id", c.args["players"], "id"
+    return c.columns[0], c.args["parent"], c.args["pk"]
+
+
+def _parent_counts(df: DataFrame, parent: DataFrame, fk: str, pk: str, cs: Sequence[Check]) -> DataFrame:
+    """Violations of all ``cs`` (columns _p0, _p1, …) from one left join with their parent.
+
+    Equal to the standalone checks for a parent with repeated keys too: an orphan comes
+    once, a matched row once per parent row as in their inner join.
+    """
+    gated = any(c.kind == "no_txn_before_kyc" for c in cs)
+    p = parent.select(F.col(pk).alias("_gk"), *([F.col("is_kyc_approved").alias("_gflag"),
+                                                 F.col("kyc_approved_at").alias("_gat")] if gated else []))
+    known = F.col("_gk").isNotNull()
+    aggs = []
+    for i, c in enumerate(cs):
+        if c.kind == "no_txn_before_kyc":
+            bad = is_not_true(F.col("_gflag")) | (F.col(c.columns[0]) < F.col("_gat"))
+            if not c.args.get("unknown_is_violation", False):
+                bad = known & bad
+        else:
+            bad = F.col(fk).isNotNull() & ~known
+        aggs.append(F.count_if(bad).alias(f"_p{i}"))
+    need = dict.fromkeys([fk, *[c.columns[0] for c in cs if c.kind == "no_txn_before_kyc"]])
+    return left_join(df.select(*need), p, fk, "_gk").agg(*aggs)
 
 
 def _row_pred(c: Check) -> Column:
@@ -242,17 +274,20 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check] | None = Non
                 flags += [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(rl))]
                 pairs += [(c, f"_c{i}") for i, c in enumerate(rl)]
             parts.append(rows(g.agg(*flags), pairs))
-        # 3) cross-table and pair checks
+        # 3) checks against a parent table: one join per (foreign key, parent)
+        parents: OrderedDict[tuple, list[Check]] = OrderedDict()
+        for c in cs:
+            if c.kind in _PARENT_LEVEL:
+                parents.setdefault(_parent_key(c), []).append(c)
+        for (fk, parent, pk), pcs in parents.items():
+            parts.append(rows(_parent_counts(df, tables[parent], fk, pk, pcs),
+                              [(c, f"_p{i}") for i, c in enumerate(pcs)]))
+        # 4) pair checks and the rest
         for c in cs:
-            if c.kind in _ROW_LEVEL or c.kind in _KEY_LEVEL:
+            if c.kind in _ROW_LEVEL or c.kind in _KEY_LEVEL or c.kind in _PARENT_LEVEL:
                 continue
-            if c.kind in ("ref_integrity", "ref_integrity_nullable"):
-                v = ref_integrity(df, c.columns[0], tables[c.args["parent"]], c.args["pk"])
-            elif c.kind == "one_to_one":
+            if c.kind == "one_to_one":
                 v = one_to_one(df, c.columns[0], c.columns[1])
-            elif c.kind == "no_txn_before_kyc":
-                v = no_txn_before_kyc(df, tables[c.args["players"]], ts_col=c.columns[0],
-                                      unknown_is_violation=c.args.get("unknown_is_violation", False))
             elif c.kind == "min_rows":
                 v = min_rows(df, c.args["n"])
             elif c.kind == "code_consistent":

@@ -11,11 +11,13 @@ Merge rules for a new ``current`` (unique by key):
   new key, or later version of an open key        → new open version
   anything else                                   → unchanged
   keys absent from ``current``                    → stay open
+  rows without key                                → a version per distinct row, never closed
 
-One full outer join of the open versions with ``current`` (both unique per key,
-so no hot key), emitting up to two rows per key; closed history passes through
-untouched.  Write the result to a new location (``sources.io.write_versioned``)
-— never overwrite the history being read.
+One full outer join of the open versions with ``current`` (both unique per key;
+rows without key meet by a hash of their values, so there is no hot key), emitting
+up to two rows per key; closed history passes through untouched.  A stored history
+appends ``snapshot_changes`` of each run (``sources.io.append_history``): closed
+versions are written once and never again.
 """
 
 from __future__ import annotations
@@ -39,34 +41,60 @@ def snapshot_initial(current: DataFrame, key: str = "id", updated_at: str = "upd
                           .alias("dbt_valid_to"))
 
 
+def _schema_union(history: DataFrame, current: DataFrame) -> dict:
+    """Source columns of both sides with their types; raises when a type differs."""
+    old = {f.name: f.dataType for f in history.schema if f.name not in META}
+    new = {f.name: f.dataType for f in current.schema}
+    changed = [c for c in old if c in new and old[c].simpleString() != new[c].simpleString()]
+    if changed:
+        raise ValueError("column types differ from the history: " + ", ".join(
+            f"{c} {old[c].simpleString()} -> {new[c].simpleString()}" for c in changed))
+    return old | new
+
+
+def snapshot_changes(open_: DataFrame, current: DataFrame, key: str = "id",
+                     updated_at: str = "updated_at") -> DataFrame:
+    """What a run adds to the history: all open versions after it, and the versions that it closes.
+
+    ``open_`` holds the open versions before the run.  Columns new in ``current`` are
+    NULL in older versions, columns it lacks are NULL in new ones.
+    """
+    types = _schema_union(open_, current)
+    old_cols, cur_cols = [c for c in open_.columns if c not in META], current.columns
+    shared = [c for c in old_cols if c in cur_cols]
+    no_key = F.col(f"`{key}`").isNull()
+    # a row without key is known by its values: one version per distinct row
+    current = current.where(~no_key).unionByName(current.where(no_key).distinct())
+    ident = F.coalesce(F.when(no_key, F.xxhash64(*[F.col(f"`{c}`") for c in shared])), F.lit(0).cast("bigint"))
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns], ident.alias(f"{prefix}_ident"),
+                         F.lit(True).alias(f"{prefix}_row"))
+
+    o, c = side(open_, "o_"), side(current, "c_")
+    j = o.join(c, o[f"o_{key}"].eqNullSafe(c[f"c_{key}"]) & (o["o__ident"] == c["c__ident"]), "full_outer")
+    has_open, has_cur = F.col("o__row").isNotNull(), F.col("c__row").isNotNull()
+    cu = F.col(f"`c_{updated_at}`")
+    newer = F.coalesce(cu > F.col("o_dbt_updated_at"), F.lit(False))
+
+    def version(prefix: str, have: list[str], *meta: Column) -> Column:
+        cols = [(F.col(f"`{prefix}{x}`") if x in have else F.lit(None).cast(t)).alias(x) for x, t in types.items()]
+        return F.struct(*cols, *[m.alias(n) for n, m in zip(META, meta)])
+
+    old_version = version("o_", old_cols, F.col("o_dbt_scd_id"), F.col("o_dbt_updated_at"),
+                          F.col("o_dbt_valid_from"), F.when(has_cur & newer, cu))
+    new_version = version("c_", cur_cols, scd_id(F.col(f"`c_{key}`"), cu), cu, cu,
+                          F.lit(None).cast(open_.schema["dbt_valid_to"].dataType))
+    rows = F.array_compact(F.array(F.when(has_open, old_version),
+                                   F.when(has_cur & (~has_open | newer), new_version)))
+    return j.select(F.explode(rows).alias("v")).select("v.*")
+
+
 def snapshot_merge(history: DataFrame | None, current: DataFrame, key: str = "id",
                    updated_at: str = "updated_at") -> DataFrame:
     """Merge ``current`` into ``history`` (SN-01); ``history=None`` is the first run."""
     if history is None:
         return snapshot_initial(current, key, updated_at)
-    cols = [c for c in history.columns if c not in META]
+    changes = snapshot_changes(history.where(F.col("dbt_valid_to").isNull()), current, key, updated_at)
     closed = history.where(F.col("dbt_valid_to").isNotNull())
-    open_ = history.where(F.col("dbt_valid_to").isNull())
-
-    o = open_.select(*[F.col(c).alias(f"o_{c}") for c in open_.columns])
-    c = current.select(*[F.col(x).alias(f"c_{x}") for x in cols])
-    j = o.join(c, o[f"o_{key}"] == c[f"c_{key}"], "full_outer")
-
-    has_open = F.col(f"o_{key}").isNotNull() | F.col("o_dbt_scd_id").isNotNull()
-    has_cur = F.col(f"c_{key}").isNotNull()
-    newer = F.coalesce(F.col(f"c_{updated_at}") > F.col("o_dbt_updated_at"), F.lit(False))
-
-    old_version = F.struct(*[F.col(f"o_{x}").alias(x) for x in cols],
-                           F.col("o_dbt_scd_id").alias("dbt_scd_id"),
-                           F.col("o_dbt_updated_at").alias("dbt_updated_at"),
-                           F.col("o_dbt_valid_from").alias("dbt_valid_from"),
-                           F.when(has_cur & newer, F.col(f"c_{updated_at}")).alias("dbt_valid_to"))
-    cu = F.col(f"c_{updated_at}")
-    new_version = F.struct(*[F.col(f"c_{x}").alias(x) for x in cols],
-                           scd_id(F.col(f"c_{key}"), cu).alias("dbt_scd_id"),
-                           cu.alias("dbt_updated_at"), cu.alias("dbt_valid_from"),
-                           F.lit(None).cast(history.schema["dbt_valid_to"].dataType).alias("dbt_valid_to"))
-    rows = F.array_compact(F.array(F.when(has_open, old_version),
-                                   F.when(has_cur & (~has_open | newer), new_version)))
-    merged = j.select(F.explode(rows).alias("v")).select("v.*")
-    return closed.select(*cols, *META).unionByName(merged)
+    return closed.unionByName(changes, allowMissingColumns=True).select(*changes.columns)

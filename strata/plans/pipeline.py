@@ -65,31 +65,33 @@ def _checks(spark: SparkSession, tables: dict[str, DataFrame], layer: str, out:
 
 def run_medallion(spark: SparkSession, src_dir: str, out_dir: str, checks: str = "warn",
                   amount_type: str = L.NUMERIC, player_keep: Sequence[str] = (),
-                  tie_break: Sequence = (), sources: dict[str, str] | None = None) -> DataFrame:
+                  tie_break: Sequence = (), sources: dict[str, str] | None = None,
+                  database: str | None = None) -> DataFrame:
     """Run every layer.  ``sources`` maps the logical raw names (affiliates,
-    players, transactions) to CSV stems in ``src_dir`` (default: same name)."""
+    players, transactions) to CSV stems in ``src_dir`` (default: same name).
+    With ``database`` every written table is registered there by name."""
     configure(spark)
     out = out_dir.rstrip("/")
     sources = sources or {"affiliates": "affiliates", "players": "players", "transactions": "transactions"}
 
-    # ingest → land → load (replace)
+    # ingest → land; the raw tables are views of the landed files
     landed = io.ingest_dir(spark, src_dir, f"{out}/landing")
     raw = {}
     for logical, stem in sources.items():
-        io.load_table(spark, landed[stem], f"raw_{logical}", location=f"{out}/raw/{logical}")
-        raw[logical] = spark.read.parquet(f"{out}/raw/{logical}")
+        raw[logical] = io.as_view(spark.read.parquet(landed[stem]), f"raw_{logical}")
 
     # bronze
     br = _write_layer(spark, L.bronze(raw["affiliates"], raw["players"], raw["transactions"], amount_type,
                                       player_keep), out, "bronze")
     reports = [_checks(spark, br, "bronze", out, checks)]
 
-    # snapshot of players (latest version per id), versioned write
+    # snapshot of players (latest version per id): a run appends its changes
     cur = deduplicate(br["br_players"], "id", [F.col("updated_at").desc_nulls_last(),
                                                F.col("created_at").desc_nulls_last()], tie_break)
     cur = cur.drop(*player_keep)
-    hist = io.read_versioned(spark, f"{out}/snapshots/players_snapshot")
-    io.write_versioned(SN.snapshot_merge(hist, cur), f"{out}/snapshots/players_snapshot")
+    open_ = io.read_history(spark, f"{out}/snapshots/players_snapshot", open_only=True)
+    changes = SN.snapshot_initial(cur) if open_ is None else SN.snapshot_changes(open_, cur)
+    io.append_history(changes, f"{out}/snapshots/players_snapshot")
 
     # silver
     # silver in two waves: the dimensions, then the tables built on their written form
@@ -109,7 +111,12 @@ def run_medallion(spark: SparkSession, src_dir: str, out_dir: str, checks: str =
         for name, df in frames.items():
             counts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
                           .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
-    snap = io.read_versioned(spark, f"{out}/snapshots/players_snapshot")
+    if database:
+        for layer, frames in (("bronze", br), ("silver", sl), ("gold", gd)):
+            for name in frames:
+                io.register(spark, database, name, f"{out}/{layer}/{name}")
+    snap = io.read_history(spark, f"{out}/snapshots/players_snapshot")
+    snap = changes.limit(0) if snap is None else snap
     counts.append(snap.agg(F.count(F.lit(1)).alias("row_count"))
                   .select(F.lit("snapshot").alias("layer"), F.lit("players_snapshot").alias("table_name"), "row_count"))
     result = counts[0]

@@ -733,8 +733,8 @@ def _load_twice(spark, sf_dir, mode):
     raw.write.parquet(uri)
     loc = _scratch(spark, "tbl_transactions")
     name = f"raw_transactions_{mode}_{uuid.uuid4().hex[:6]}"
-    IO.load_table(spark, uri, name, location=loc, mode="overwrite")
-    IO.load_table(spark, uri, name, location=loc, mode=mode)
+    IO.load_table(spark, uri, name, location=loc, mode="overwrite", count=False)
+    IO.load_table(spark, uri, name, location=loc, mode=mode, count=False)
     return spark.table(name).agg(F.count(F.lit(1)).alias("row_count")) \
         .select(F.lit("raw_transactions").alias("table_name"), "row_count")
 
@@ -884,6 +884,38 @@ def _ex11b(spark, sf_dir):
     return EX.validate_extension(ext, ext.new_counts["target"])
 
 
+def _ext_roles(spark, sf_dir):
+    """The extension with an owner of each affiliate and an approval date of each player:
+    three days after registration for the approved players of the input."""
+    a, p, t = _ex_input(spark, sf_dir)
+    a = a.withColumn("owner_player_id", F.lit(None).cast("bigint"))
+    p = p.withColumn("kyc_verified_at", F.when(F.col("is_kyc_approved"), fn.offset(F.col("created_at"), 3, 0)))
+    return EX.extend_domain(a, p, t, seed=EX_SEED, now=EX_NOW, owner="owner_player_id", approved="kyc_verified_at")
+
+
+@query("ex_owner")
+def _ex05b(spark, sf_dir):
+    return _ext_roles(spark, sf_dir).affiliates.select("id", "owner_player_id")
+
+
+@query("ex_approval_dates")
+def _ex06b(spark, sf_dir):
+    return _ext_roles(spark, sf_dir).players.select("id", "kyc_verified_at")
+
+
+@query("ex_transactions_after_approval")
+def _ex10b(spark, sf_dir):
+    return _ext_roles(spark, sf_dir).transactions
+
+
+@query("ex_validation_dates")
+def _ex11c(spark, sf_dir):
+    """Input transactions before their player's approval date are the violations."""
+    ext = _ext_roles(spark, sf_dir)
+    return EX.validate_extension(ext, ext.new_counts["target"], "kyc_verified_at").where(
+        "check_name = 'kyc_left_audit'")
+
+
 @query("dq_code_consistent")
 def _dq11(spark, sf_dir):
     """Players whose redeemed code disagrees with their affiliate's code (extended domain)."""

@@ -19,31 +19,45 @@ UNNAMED = re.compile(r"^Unnamed", re.IGNORECASE)
 
 # SRC-01
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 with_order: bool = False) -> DataFrame:
+                 with_order: bool = False, multi_line: bool = False) -> DataFrame:
     """Headered CSV as all-string columns.  Fails if the path does not exist.
 
-    ``columns`` fixes the schema (all strings) so nothing is inferred; without it
-    the header decides the names.  ``with_order`` adds ``_input_order`` — a
-    struct of (file, block start, row id) that restores line order for
-    keep-first rules.
+    Quotes inside a quoted field are doubled, a backslash is a plain character, and an
+    empty field is NULL, quoted or not.  The
+    header decides the names (every file's header is checked against the first); ``columns``
+    selects from them by name and fails for a missing one.  ``multi_line`` reads line
+    breaks inside quoted fields; such a file cannot be split, so one task reads each
+    file.  ``with_order`` adds ``_input_order`` — a struct of (file, block start, row id)
+    that restores line order for keep-first rules.
     """
-    r = (spark.read.option("header", True).option("mode", "FAILFAST")
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    df = (spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
+          .option("escape", '"').option("enforceSchema", False).option("multiLine", multi_line)
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     if columns:
-        r = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    else:
-        r = r.option("inferSchema", False)
-    df = r.csv(path)
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"columns not in the header of {path}: {', '.join(missing)}")
     if with_order:
         df = df.withColumn("_input_order", F.struct(
             F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row")))
+    if columns:
+        df = df.select(*[F.col(f"`{c}`") for c in columns], *(["_input_order"] if with_order else []))
     return df
 
 
-def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Headered CSV keeping blanks as they are (NULL → empty field, '' → quoted)."""
-    (df.write.mode(mode).option("header", True)
+def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite", multi_line: bool = False) -> str:
+    """Headered CSV keeping blanks as they are (NULL → empty field, '' → quoted), quotes doubled.
+
+    A value with a line break fails the write unless ``multi_line``: only a reader with
+    ``multi_line`` reads it back.
+    """
+    if not multi_line:
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: F.when(F.col(f"`{c}`").rlike(r"[\r\n]"), F.raise_error(F.lit(
+            f"line break in column {c}: write and read this CSV with multi_line"))).otherwise(F.col(f"`{c}`"))
+            for c in text}) if text else df
+    (df.write.mode(mode).option("header", True).option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
@@ -95,8 +109,9 @@ def ingest_dir(spark: SparkSession, src: str, dst: str) -> dict[str, str]:
 
 # SRC-06 / SRC-07
 def load_table(spark: SparkSession, uri: str, name: str, location: str | None = None,
-               mode: str = "overwrite") -> int:
-    """Load landed Parquet into table ``name`` (replace or append) and return its row count.
+               mode: str = "overwrite", count: bool = True) -> int | None:
+    """Load landed Parquet into table ``name`` (replace or append) and return its row
+    count (None without ``count``).
 
     With ``location`` the table is a Parquet folder exposed as a view; without
     it a catalog table (``saveAsTable``).
@@ -107,7 +122,17 @@ def load_table(spark: SparkSession, uri: str, name: str, location: str | None =
         spark.read.parquet(location).createOrReplaceTempView(name)
     else:
         df.write.mode(mode).saveAsTable(name)
-    return spark.table(name).count()
+    return spark.table(name).count() if count else None
+
+
+def register(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Name the Parquet folder ``path`` as external table ``database.name``; an older table of
+    that name is replaced in the catalog, and its files stay."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    spark.catalog.createTable(f"`{database}`.`{name}`", path=path, source="parquet")
+    if any("=" in p.getPath().getName() for p in _fs(spark, path)[0].listStatus(_fs(spark, path)[1])):
+        spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
 
 
 # SRC-09
@@ -218,3 +243,43 @@ def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
         return None
     latest = max(committed, key=lambda v: int(v[2:]))
     return spark.read.parquet(f"{base.rstrip('/')}/{latest}")
+
+
+# stored history: a run writes its open versions and the versions that it closed
+def _committed(spark: SparkSession, base: str) -> list[int]:
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(st.getPath().getName()[8:]) for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith("run_seq=")
+                  and fs.exists(path(st.getPath(), COMMIT_MARKER)))
+
+
+def append_history(changes: DataFrame, base: str, closed_at: str = "dbt_valid_to") -> str:
+    """Write one run's rows to a new folder ``<base>/run_seq=<n>``, open and closed apart.
+
+    Nothing written before is read or rewritten; the run counts once its marker file stands.
+    """
+    spark = changes.sparkSession
+    seq = max([0, *_committed(spark, base)]) + 1
+    fs, p = _fs(spark, f"{base.rstrip('/')}/run_seq={seq}")
+    state = F.when(F.col(closed_at).isNull(), F.lit("open")).otherwise(F.lit("closed"))
+    changes.withColumn("run_state", state).write.mode("overwrite").partitionBy("run_state").parquet(p.toString())
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMIT_MARKER)).close()
+    return p.toString()
+
+
+def read_history(spark: SparkSession, base: str, open_only: bool = False) -> DataFrame | None:
+    """The stored history: the open versions of the newest run and the closed ones of all
+    runs (partition pruning skips the rest), or None when no run wrote a row."""
+    runs = _committed(spark, base)
+    fs, _ = _fs(spark, base)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = base.rstrip("/")
+    parts = [f"{root}/run_seq={n}/run_state={s}" for n in runs for s in ("open", "closed")
+             if (s == "closed" and not open_only) or (s == "open" and n == runs[-1])]
+    parts = [x for x in parts if fs.exists(path(x))]
+    if not parts:
+        return None
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*parts).drop("run_seq", "run_state")
