@@ -25,8 +25,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
-    return ngram_join.keep_one(docs)
+    """One document of each group stays; five-word shingles, similarity 0.8 or more."""
+    return ngram_join.keep_one(docs, k=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -273,3 +273,43 @@ def test_pipeline_stages(spark):
     assert not good & before
     out = corpus_pipeline.STAGES[-1][1](spark, kept, SF0001).collect()
     assert len(out) == kept.count() and all(r.exact and r.n_tokens == len(r.ids) for r in out)
+
+
+def groups_of(rows, k, percent):
+    """Smallest id of each id's group, by comparing all pairs of shingle sets, and the similarities of the pairs that link."""
+    sets = {}
+    for i, t in rows:
+        w = words_of((t or "").translate(LOW))
+        sets[i] = {tuple(w[a:a + k]) for a in range(max(1, len(w) - k + 1))} if w else set()
+    low, found = {i: i for i in sets}, []
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1:]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                found.append(both / (len(sets[i]) + len(sets[j]) - both))
+                a, b = sorted((low[i], low[j]))
+                low = {d: a if c == b else c for d, c in low.items()}
+    return low, found
+
+
+def test_pipeline_near_copies_from_0_80_go(spark):
+    """Pairs with a 5-word similarity between 0.80 and 0.85: cut ends, and single words changed."""
+    import corpus_pipeline
+    rng = random.Random(11)
+    texts = []
+    for lacking in (50, 55, 59, 60, 75):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        texts += [" ".join(w), " ".join(w[:300 - lacking])]
+    for changed in (21, 22, 24):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(1000)]
+        other = list(w)
+        for a in range(changed):
+            other[20 + 40 * a] = "changed"
+        texts += [" ".join(w), " ".join(other).upper()]
+    rows = list(enumerate([*texts, None, ""]))
+    low, found = groups_of(rows, 5, 80)
+    assert sum(0.80 <= x < 0.85 for x in found) == 5 and len(groups_of(rows, 4, 85)[1]) == 0
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, d, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(low.values()))
