@@ -50,11 +50,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
              .filter(F.length("line") >= min_chars)
              .select("doc_id", "text_id", "pos", F.xxhash64("line").alias("h1"),
                      F.xxhash64(F.lit("line"), "line").alias("h2")))
-    # Equal (hash, document) rows share a range, a hot hash spans many ranges.
-    ranged = write_table(keyed.repartitionByRange("h1", "h2", "doc_id")
-                         .sortWithinPartitions("h1", "h2", "doc_id", "pos"), "line-ranges")
+    # Equal (hash, document) rows share a range, a hot hash spans many ranges; the window reads them as sorted.
     first = F.row_number().over(Window.partitionBy("h1", "h2", "doc_id").orderBy("pos", "text_id")) == 1
-    holders = (ranged.withColumn("first", first).filter("first")
+    ranged = write_table(keyed.repartitionByRange("h1", "h2", "doc_id")
+                         .sortWithinPartitions("h1", "h2", "doc_id", "pos", "text_id").withColumn("first", first), "line-ranges")
+    holders = (ranged.filter("first")
                .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
                .filter(F.col("n") >= min_docs).drop("n"))
     gone = ranged.join(holders, ["h1", "h2"]).filter("doc_id < last")

@@ -313,3 +313,18 @@ def test_pipeline_near_copies_from_0_80_go(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = corpus_pipeline.near_duplicates(spark, d, "").collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(low.values()))
+
+
+def test_line_dedup_marks_first_lines_in_the_range_plan(spark, monkeypatch):
+    plans = {}
+
+    def written(df, name, write=line_dedup.write_table):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(line_dedup, "write_table", written)
+    d = spark.createDataFrame([(i, "a line that many documents hold\n" * 2 + str(i)) for i in range(9)], "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(d).collect()}
+    assert got == {i: 2 * (i < 8) for i in range(9)}
+    plan = plans["line-ranges"]
+    assert plan.count("Window [") == 1 and plan.count("Exchange ") == 1 and "rangepartitioning" in plan
