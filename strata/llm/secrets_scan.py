@@ -4,8 +4,9 @@ The models (first-order, over the letters, digits and marks of tokens) are train
 samples the corpus labels itself: values matched by the patterns are random strings, runs
 of letters outside them ordinary identifiers.  Transition counts cover every document;
 what reaches the driver is one row per class and character pair.  A run of token
-characters with letters and digits, apart from the pattern matches, is reported as
-``markov`` when its ratio is high in total and per character.
+characters, or what the pattern matches leave of it, is reported as ``markov`` when its
+ratio is high in total and per character; what has no letter is a number or a rule, of
+which the identifier model has no counts, and is not scored.
 
 Defined cases: null and empty texts have no spans; spans are code points of the whole
 text, end exclusive; repeated rows and doc_ids give repeated results; a corpus without any
@@ -28,6 +29,7 @@ from ._common import text_slices
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+LETTER = re.compile("[A-Za-z]")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -98,9 +100,17 @@ class Slice:
             o = self.origin[i]
             yield i, int(self.points[a] - o), int(self.points[b] - o), self.data[a:b].tobytes().decode()
 
-    def _free(self, found: tuple[int, int, int, str]) -> bool:
-        i, a, b, _ = found
-        return all(b <= x or a >= y for x, _, y in self.base[i])
+    def _outside(self, i: int, a: int, b: int, raw: str) -> Iterator[tuple[int, int, int, str]]:
+        """The parts of a run that no pattern match covers."""
+        at = a
+        for x, _, y in self.base[i]:
+            if x >= b:
+                break
+            if x - at >= MIN_RUN:
+                yield i, at, x, raw[at - a:x - a]
+            at = max(at, y)
+        if b - at >= MIN_RUN:
+            yield i, at, b, raw[at - a:]
 
     def identifiers(self) -> tuple[np.ndarray, np.ndarray]:
         """Byte bounds of the runs of letters alone (marks allowed)."""
@@ -112,9 +122,8 @@ class Slice:
     def candidates(self) -> list[tuple[int, int, int, str]]:
         if not len(self.start):
             return []
-        some = ((self.end - self.start >= MIN_RUN) & (self.digits[self.end] > self.digits[self.start])
-                & (self.letters[self.end] > self.letters[self.start]))
-        return [x for x in self._placed(self.start[some], self.end[some]) if self._free(x)]
+        some = self.end - self.start >= MIN_RUN
+        return [x for found in self._placed(self.start[some], self.end[some]) for x in self._outside(*found) if LETTER.search(x[3])]
 
 
 def _pairs(raw: np.ndarray, inside: np.ndarray) -> np.ndarray:

@@ -328,3 +328,17 @@ def test_line_dedup_marks_first_lines_in_the_range_plan(spark, monkeypatch):
     assert got == {i: 2 * (i < 8) for i in range(9)}
     plan = plans["line-ranges"]
     assert plan.count("Window [") == 1 and plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+
+
+def test_secrets_without_digit_and_beside_matches(spark):
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    drawn = lambda chars, n: "".join(rng.choices(chars, k=n))
+    words = ["internationalization", "responsibilities", "implementation", "characteristics", "configuration", "documentation"]
+    rows = [(i, " ".join(rng.choices(words, k=30)) + f' password="{drawn(letters + "0123456789", 40)}"') for i in range(200)]
+    token, left, right = drawn(letters, 32), drawn(letters[26:46] + letters[:26], 30) + "Z", "Z" + drawn(letters, 30)
+    texts = [f"the {token} end", f"x {left}{'0123456789abcdef' * 2}{right} y", " ".join(words * 3), "20261202152701812917587 " + "-" * 40]
+    want = [[("markov", 4, 36)], [("markov", 2, 33), ("hex", 33, 65), ("markov", 65, 96)], [], []]
+    d = spark.createDataFrame([*rows, *((1000 + i, t) for i, t in enumerate(texts))], "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets_scan.scan(d, secrets_scan.train(d)).collect()}
+    assert [got[1000 + i] for i in range(4)] == want
