@@ -71,15 +71,19 @@ class Encoder:
     Its pre-tokenizer always cuts before a single space, around a single line break, and
     between a letter and an ASCII mark other than the apostrophe.  A text is cut there and
     each distinct piece is encoded once; new pieces go to the library as lines of one string.
-    Texts with other white space, or runs of it, go to the library whole.
+    Texts with other white space, or runs of it, and texts that hold the string of an added
+    token go to the library whole.  ``added_tokens``: such a string gets the token's id, as the
+    library's plain call has it; otherwise those of special tokens are ordinary text.
     """
 
     PLAIN = re.compile(r"\S+(?:[ \n]\S+)*", re.UNICODE)
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         line = self._whole("\n")
@@ -125,7 +129,7 @@ class Encoder:
         out: list = [None] * len(texts)
         plain = []
         for i, t in enumerate(texts):
-            if self.cuts and self.PLAIN.fullmatch(t):
+            if self.cuts and self.PLAIN.fullmatch(t) and not (self.added and self.added.search(t)):
                 plain.append(i)
             else:
                 out[i] = self._whole(t)
@@ -144,22 +148,23 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
+def _encoder(path: str, added_tokens: bool) -> Encoder:
+    if (path, added_tokens) not in _ENCODERS:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has one task a core already
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, added_tokens] = Encoder(path, added_tokens)
+    return _ENCODERS[path, added_tokens]
 
 
-def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, records_per_file: int = 8192) -> None:
+def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, records_per_file: int = 8192,
+                  added_tokens: bool = True) -> None:
     """Encode every text and write the record files below ``path``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(tokenizer)
+        enc = _encoder(tokenizer, added_tokens)
         end = np.array([end_id], enc.kind).tobytes()
         for batch in batches:
             ids = batch.column(0)
@@ -213,9 +218,10 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     return spark.read.parquet(index_path)
 
 
-def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None) -> DataFrame:
+def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None,
+                  added_tokens: bool = True) -> DataFrame:
     """Write record files and index below ``path`` (by default a fresh shared folder); returns the index."""
     spark = docs.sparkSession
     path = path or f"{scratch_path(spark, 'llm')}/records-{uuid.uuid4().hex[:12]}"
-    write_records(docs, f"{path}/records", tokenizer, end_id)
+    write_records(docs, f"{path}/records", tokenizer, end_id, added_tokens=added_tokens)
     return write_index(spark, f"{path}/records", f"{path}/index")

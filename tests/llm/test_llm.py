@@ -342,3 +342,21 @@ def test_secrets_without_digit_and_beside_matches(spark):
     d = spark.createDataFrame([*rows, *((1000 + i, t) for i, t in enumerate(texts))], "doc_id long, text string")
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets_scan.scan(d, secrets_scan.train(d)).collect()}
     assert [got[1000 + i] for i in range(4)] == want
+
+
+def test_token_records_follow_the_plain_library_call(spark):
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "plain text", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\ty", "<|endoftext|", None]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_records.encode_corpus(d, path).collect()}
+    start = 0
+    for i, t in enumerate(texts):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+        assert got[i] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    enc, rng = token_records.Encoder(path, added_tokens=True), random.Random(6)
+    parts = ["a", "é", " ", "\n", ",", "word", "<|endoftext|>", "<|endof", "text|>"]
+    mixed = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
+    assert [x.tolist() for x in enc.encode(mixed)] == [tok.encode(t, add_special_tokens=False).ids for t in mixed]
