@@ -360,3 +360,76 @@ def test_token_records_follow_the_plain_library_call(spark):
     parts = ["a", "é", " ", "\n", ",", "word", "<|endoftext|>", "<|endof", "text|>"]
     mixed = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(2000)]
     assert [x.tolist() for x in enc.encode(mixed)] == [tok.encode(t, add_special_tokens=False).ids for t in mixed]
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage's rows on a fixture where each has something to drop, and the whole run."""
+    import corpus_pipeline
+    import sentencepiece
+    rng = random.Random(12)
+    vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(3000)]
+    sentence = lambda n: " ".join(rng.choices(vocab, k=n))
+    common, texts, bad = ["Shared licence line number one", "shared LICENCE line number two "], [], set()
+    for i in range(240):
+        if i % 6 == 5:
+            bad.add(i)
+            texts.append("%%% ".join(sentence(60).split()) + "%%%")
+        elif i % 6 == 4:  # 0.82 with five words, below 0.85
+            texts.append(" ".join(texts[-1].split()[:100 - 17]))
+        elif i % 6 == 3:
+            texts.append(sentence(100))
+        else:
+            texts.append(sentence(80) + "\n" + common[i % 2] + "\n" + sentence(20))
+    rows = [(i, t, "en", "abc"[i % 3], len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i not in bad)) for i in range(240)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, stages = spark.read.parquet(f"{tmp_path}/documents.parquet"), [f for _, f in corpus_pipeline.STAGES]
+    held = lambda d: (r := d.collect(), spark.createDataFrame(r, docs.schema))
+
+    got, kept = held(stages[0](spark, docs, str(tmp_path)))
+    assert sorted(map(tuple, got)) == [r for r in rows if r[0] not in bad]
+
+    key = lambda x: x.strip(SPACES).translate(LOW)
+    holders = collections.defaultdict(set)
+    for r in got:
+        for x in r.text.split("\n"):
+            holders[key(x)].add(r.doc_id)
+    stays = lambda i, x: len(key(x)) < 20 or len(holders[key(x)]) < 3 or max(holders[key(x)]) == i
+    want = {r.doc_id: "\n".join(x for x in r.text.split("\n") if stays(r.doc_id, x)) for r in got}
+    assert any(want[r.doc_id] != r.text for r in got)
+    got, kept = held(stages[1](spark, kept, str(tmp_path)))
+    assert {r.doc_id: (r.text, r.n_chars) for r in got} == {i: (t, len(t)) for i, t in want.items()} and len(got) == len(want)
+
+    low, found = groups_of([(r.doc_id, r.text) for r in got], 5, 80)
+    assert len(found) == 40 and all(0.80 <= x < 0.85 for x in found)
+    want = {r.doc_id: tuple(r) for r in got if low[r.doc_id] == r.doc_id}
+    got, kept = held(stages[2](spark, kept, str(tmp_path)))
+    assert {r.doc_id: tuple(r) for r in got} == want and len(got) == len(want) == 160
+
+    words, total = {r.doc_id: words_of(r.text) for r in got}, collections.Counter()
+    for r in got:
+        total[r.source] += len(words[r.doc_id])
+    all_words, weight = 1.5 * sum(total.values()), {"a": 5.0, "b": 2.0, "c": 1.0}
+    target, open_ = {}, set(total)
+    while open_:
+        level = (all_words - sum(target.values())) / sum(weight[x] for x in open_)
+        full = {x for x in open_ if level * weight[x] > 2 * total[x]}
+        target |= {x: 2.0 * total[x] if full else level * weight[x] for x in full or open_}
+        open_ = open_ - full if full else set()
+    got, kept = held(stages[3](spark, kept, str(tmp_path)))
+    taken, read = collections.Counter(), collections.Counter()
+    for r in got:
+        w = words_of(r.text)
+        assert (r.lang, r.source, r.n_chars) == ("en", "abc"[r.doc_id % 3], len(r.text))
+        assert not collections.Counter(w) - collections.Counter(words[r.doc_id])
+        taken[r.source] += len(w)
+        read[r.doc_id] += len(w)
+    assert all(taken[x] == pytest.approx(target[x], rel=0.05) for x in total) and taken.keys() == total.keys()
+    assert all(n <= 2 * len(words[i]) for i, n in read.items())
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    coded = lambda some: sorted((r.doc_id, r.lang, r.source, r.n_tokens, r.exact, tuple(r.ids)) for r in some)
+    pieces = [(r, sp.encode(r.text)) for r in got]
+    want = sorted((r.doc_id, r.lang, r.source, len(ids), sp.decode(ids) == r.text, tuple(ids)) for r, ids in pieces)
+    assert coded(stages[4](spark, kept, str(tmp_path)).collect()) == want
+    assert coded(corpus_pipeline.run(spark, str(tmp_path)).collect()) == want
