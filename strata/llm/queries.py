@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, secrets_scan, sentencepiece_bpe,
-               suffix_dedup, token_records)
+from . import (conversation_repair, embedding_dedup, filter_audit, fingerprints, line_dedup, mixing, ngram_join, permutation_index,
+               quality, secrets_scan, sentencepiece_bpe, suffix_dedup, token_records)
 from ._common import documents
 
 
@@ -61,6 +61,19 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.report(conversation_repair.repair(rows))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -68,10 +81,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_sentencepiece, op4_mixing, op5_quality, op6_fingerprints,
-                            op7_embedding_dedup, op8_secrets, op9_suffix_dedup, op10_token_records, pipeline)
+                            op7_embedding_dedup, op8_secrets, op9_suffix_dedup, op10_token_records, op11_conversation_repair,
+                            op12_filter_audit, op13_permutation_index, pipeline)
 }
 
 ORACLES: dict[str, str] = {
+    "op12_filter_audit": filter_audit.ORACLE,
     "op2_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
