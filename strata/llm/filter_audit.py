@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import IS_SPACE, splitmix, text_slices
+from ._common import IS_SPACE, splitmix, text_slices, write_table
 
 FILTERS = "ABCDE"
 MARKS = b"#$%&*|"
@@ -186,7 +186,9 @@ def masks(documents: DataFrame) -> DataFrame:
     fails = [F.col("words") < MIN_WORDS, 100 * F.col("distinct") < MIN_DISTINCT_PERCENT * F.col("words"),
              100 * F.col("capitals") > MAX_CAPITAL_PERCENT * F.col("chars"), F.col("marks") > 0]
     own = sum(f.cast("int") * (1 << i) for i, f in enumerate(fails))
-    rows = measured(documents).select("doc_id", "part", "digest", own.alias("own")).groupBy("digest", "doc_id", "part", "own").agg(F.count("*").alias("n"))
+    rows = measured(documents).select("doc_id", "part", "digest", own.alias("own"))
+    # the one pass over the texts; everything after it reads these short rows
+    rows = write_table(rows.groupBy("digest", "doc_id", "part", "own").agg(F.count("*").alias("n")), "filter-rows")
     known = rows.filter("doc_id IS NOT NULL")
     first = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("is_first", F.lit(True))
     copy = F.col("is_first").isNull().cast("int") * (1 << FILTERS.index("E"))
