@@ -577,18 +577,40 @@ reg("snk_partitioned", """
 SELECT id, txn_timestamp, player_id, type, CAST(amount AS DOUBLE) AS amount,
        CAST(txn_timestamp AS DATE) AS txn_timestamp_date
 FROM sl_transactions""")
-reg("run_medallion", """
-SELECT 'bronze' AS layer, 'br_affiliates' AS table_name, COUNT(*) AS row_count FROM br_affiliates
-UNION ALL SELECT 'bronze', 'br_players', COUNT(*) FROM br_players
-UNION ALL SELECT 'bronze', 'br_transactions', COUNT(*) FROM br_transactions
-UNION ALL SELECT 'silver', 'sl_affiliates', COUNT(*) FROM sl_affiliates
-UNION ALL SELECT 'silver', 'sl_players', COUNT(*) FROM sl_players
-UNION ALL SELECT 'silver', 'sl_affiliate_player_bridge', COUNT(*) FROM sl_affiliate_player_bridge
-UNION ALL SELECT 'silver', 'sl_transactions', COUNT(*) FROM sl_transactions
-UNION ALL SELECT 'gold', 'g_player_daily_balance', COUNT(*) FROM g_player_daily_balance
-UNION ALL SELECT 'gold', 'g_country_deposits_discord', COUNT(*) FROM g_country_deposits_discord
-UNION ALL SELECT 'gold', 'g_top3_player_deposits', COUNT(*) FROM g_top3_player_deposits
-UNION ALL SELECT 'snapshot', 'players_snapshot', COUNT(DISTINCT id) FROM br_players""")
+
+
+def _content(layer: str, table: str, columns: str, source: str | None = None) -> str:
+    """Row count and content hash of a table: ``name:kind`` columns, kind s (text, numbers, dates) or t (timestamps)."""
+    parts = []
+    for c in sorted(columns.split()):
+        name, kind = c.split(":")
+        text = f'epoch_us("{name}")' if kind == "t" else f'"{name}"'
+        parts.append(f"coalesce('=' || CAST({text} AS VARCHAR), '~')")
+    row = " || chr(31) || ".join(parts)
+    return (f"SELECT '{layer}' AS layer, '{table}' AS table_name, COUNT(*) AS row_count, "
+            f"coalesce(SUM(('0x' || substr(md5({row}), 1, 15))::BIGINT), 0)::HUGEINT::VARCHAR AS content_hash FROM {source or table}")
+
+
+_PLAYER = "id:s affiliate_id:s country_code:s is_kyc_approved:s created_at:t updated_at:t"
+reg("run_medallion", " UNION ALL ".join([
+    _content("bronze", "br_affiliates", "id:s code:s origin:s redeemed_at:t"),
+    _content("bronze", "br_players", _PLAYER + " version_id:s"),
+    _content("bronze", "br_transactions", "id:s timestamp:t player_id:s type:s amount:s"),
+    _content("silver", "sl_affiliates", "id:s code:s origin:s redeemed_at:t"),
+    _content("silver", "sl_players", _PLAYER + " kyc_approved_at:t"),
+    _content("silver", "sl_affiliate_player_bridge", "affiliate_id:s code:s origin:s redeemed_at:t player_id:s "
+             "is_violation_unlinked_redeemed:s player_ref_count:s is_violation_affiliate_not_1to1:s"),
+    _content("silver", "sl_transactions", "id:s txn_timestamp:t player_id:s type:s amount:s"),
+    _content("gold", "g_player_daily_balance", "player_id:s txn_date:s deposits:s withdrawals:s"),
+    _content("gold", "g_country_deposits_discord", "country_code:s deposit_count:s deposit_sum:s"),
+    _content("gold", "g_top3_player_deposits", "player_id:s top_deposit_amount:s rank_position:s"),
+    _content("snapshot", "players_snapshot", _PLAYER + " dbt_scd_id:s dbt_updated_at:t dbt_valid_from:t dbt_valid_to:t", "s_initial"),
+]), SNAP_CTES.rstrip() + """,
+s_initial AS (
+  SELECT *, md5(coalesce(CAST(id AS VARCHAR), '') || '|' || coalesce(CAST(updated_at AS VARCHAR), '')) AS dbt_scd_id,
+         updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+  FROM s_cur)
+""")
 
 # ---------------------------------------------------------------- table extension
 _SEED = 42

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.cleaning import normalize_code, to_int64
 
@@ -57,6 +58,26 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def canonical_row(df: DataFrame) -> Column:
+    """A row as one text, columns in name order: integers, booleans, dates and decimals in plain digits, timestamps as
+    microseconds, nested values as JSON, NULL apart from every value."""
+    def text(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.unix_micros(c.cast("timestamp"))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            c = F.to_json(c)
+        return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("~"))
+    return F.concat_ws("\x1f", *[text(f) for f in sorted(df.schema.fields, key=lambda f: f.name)])
+
+
+def content_metrics(df: DataFrame) -> list[Column]:
+    """Row count and content hash as aggregates: the sum of 60 bits of every row's md5 does not depend on the order of rows
+    and tells repeated rows.  Usable in ``agg`` and, while a table is written, in ``observe``."""
+    bits = F.conv(F.substring(F.md5(canonical_row(df)), 1, 15), 16, 10).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(bits).cast("decimal(38,0)"), F.lit(0)).cast("string").alias("content_hash")]
+
+
 # AG-10
 def distinct_codes(df: DataFrame, col: str, out: str = "code") -> DataFrame:
     return df.select(normalize_code(col).alias(out)).where(F.col(out).isNotNull()).distinct()

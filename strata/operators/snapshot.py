@@ -13,11 +13,10 @@ Merge rules for a new ``current`` (unique by key):
   keys absent from ``current``                    → stay open
   rows without key                                → a version per distinct row, never closed
 
-One full outer join of the open versions with ``current`` (both unique per key;
-rows without key meet by a hash of their values, so there is no hot key), emitting
-up to two rows per key; closed history passes through untouched.  A stored history
-appends ``snapshot_changes`` of each run (``sources.io.append_history``): closed
-versions are written once and never again.
+``snapshot_delta`` joins ``current`` with the open versions (both unique per key; rows without key meet by a
+hash of their values, so there is no hot key) and gives only what a run adds: new versions and closings.  A stored
+history (``sources.history``) appends it.  ``snapshot_merge`` gives the whole history after a run from one full outer join; closed
+versions are dealt by a hash of the whole row and pass through.  Both evaluate ``current`` once.
 """
 
 from __future__ import annotations
@@ -33,10 +32,26 @@ def scd_id(key: Column, updated_at: Column) -> Column:
     return F.md5(F.concat(text(key), F.lit("|"), text(updated_at)))
 
 
+def _identity(key: str, cols: list[str]) -> Column:
+    """Join key of a row: a hash of its key, or of its values where there is none.  One number, so that a side dealt
+    by it meets the other without another exchange; ``_same`` then compares the keys themselves."""
+    return F.when(F.col(f"`{key}`").isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in cols])).otherwise(F.xxhash64(F.col(f"`{key}`")))
+
+
+def _one_row_a_version(current: DataFrame, key: str, cols: list[str] | None = None) -> DataFrame:
+    """``current`` with its identity and equal rows once (only rows without key can be equal)."""
+    return current.withColumn("_ident", _identity(key, cols or current.columns)).repartition("_ident").distinct()
+
+
+def _same(key: str) -> Column:
+    o, c = F.col(f"`o_{key}`"), F.col(f"`c_{key}`")
+    return F.coalesce(o == c, o.isNull() & c.isNull())  # not an equality to the planner: the identity alone deals
+
+
 def snapshot_initial(current: DataFrame, key: str = "id", updated_at: str = "updated_at") -> DataFrame:
-    """First run: every current row becomes an open version (SN-02)."""
+    """First run: every current row becomes an open version (SN-02), equal rows without key one."""
     u = F.col(updated_at)
-    return current.select("*", scd_id(F.col(key), u).alias("dbt_scd_id"), u.alias("dbt_updated_at"),
+    return _one_row_a_version(current, key).drop("_ident").select("*", scd_id(F.col(key), u).alias("dbt_scd_id"), u.alias("dbt_updated_at"),
                           u.alias("dbt_valid_from"), F.lit(None).cast(current.schema[updated_at].dataType)
                           .alias("dbt_valid_to"))
 
@@ -52,42 +67,49 @@ def _schema_union(history: DataFrame, current: DataFrame) -> dict:
     return old | new
 
 
-def snapshot_changes(open_: DataFrame, current: DataFrame, key: str = "id",
-                     updated_at: str = "updated_at") -> DataFrame:
-    """What a run adds to the history: all open versions after it, and the versions that it closes.
+def _side(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns], F.lit(True).alias(f"{prefix}_row"))
 
-    ``open_`` holds the open versions before the run.  Columns new in ``current`` are
-    NULL in older versions, columns it lacks are NULL in new ones.
-    """
-    types = _schema_union(open_, current)
-    old_cols, cur_cols = [c for c in open_.columns if c not in META], current.columns
-    shared = [c for c in old_cols if c in cur_cols]
-    no_key = F.col(f"`{key}`").isNull()
-    # a row without key is known by its values: one version per distinct row
-    current = current.where(~no_key).unionByName(current.where(no_key).distinct())
-    ident = F.coalesce(F.when(no_key, F.xxhash64(*[F.col(f"`{c}`") for c in shared])), F.lit(0).cast("bigint"))
-
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns], ident.alias(f"{prefix}_ident"),
-                         F.lit(True).alias(f"{prefix}_row"))
-
-    o, c = side(open_, "o_"), side(current, "c_")
-    j = o.join(c, o[f"o_{key}"].eqNullSafe(c[f"c_{key}"]) & (o["o__ident"] == c["c__ident"]), "full_outer")
-    has_open, has_cur = F.col("o__row").isNotNull(), F.col("c__row").isNotNull()
-    cu = F.col(f"`c_{updated_at}`")
-    newer = F.coalesce(cu > F.col("o_dbt_updated_at"), F.lit(False))
-
-    def version(prefix: str, have: list[str], *meta: Column) -> Column:
-        cols = [(F.col(f"`{prefix}{x}`") if x in have else F.lit(None).cast(t)).alias(x) for x, t in types.items()]
+
+class _Pair:
+    """Columns of a joined (old version, current row) pair."""
+
+    def __init__(self, old: DataFrame, current: DataFrame, key: str, updated_at: str):
+        self.types, self.key = _schema_union(old, current), key
+        self.old_cols, self.cur_cols = [c for c in old.columns if c not in META], current.columns
+        self.shared = [c for c in self.old_cols if c in self.cur_cols]
+        self.open_type = old.schema["dbt_valid_to"].dataType
+        self.has_old, self.has_cur = F.col("o__row").isNotNull(), F.col("c__row").isNotNull()
+        self.updated = F.col(f"`c_{updated_at}`")
+        self.newer = F.coalesce(self.updated > F.col("o_dbt_updated_at"), F.lit(False))
+
+    def version(self, prefix: str, have: list[str], *meta: Column) -> Column:
+        cols = [(F.col(f"`{prefix}{x}`") if x in have else F.lit(None).cast(t)).alias(x) for x, t in self.types.items()]
         return F.struct(*cols, *[m.alias(n) for n, m in zip(META, meta)])
 
-    old_version = version("o_", old_cols, F.col("o_dbt_scd_id"), F.col("o_dbt_updated_at"),
-                          F.col("o_dbt_valid_from"), F.when(has_cur & newer, cu))
-    new_version = version("c_", cur_cols, scd_id(F.col(f"`c_{key}`"), cu), cu, cu,
-                          F.lit(None).cast(open_.schema["dbt_valid_to"].dataType))
-    rows = F.array_compact(F.array(F.when(has_open, old_version),
-                                   F.when(has_cur & (~has_open | newer), new_version)))
-    return j.select(F.explode(rows).alias("v")).select("v.*")
+    def old(self, valid_to: Column) -> Column:
+        return self.version("o_", self.old_cols, F.col("o_dbt_scd_id"), F.col("o_dbt_updated_at"), F.col("o_dbt_valid_from"), valid_to)
+
+    def new(self) -> Column:
+        return self.version("c_", self.cur_cols, scd_id(F.col(f"`c_{self.key}`"), self.updated), self.updated, self.updated,
+                            F.lit(None).cast(self.open_type))
+
+
+def snapshot_delta(open_: DataFrame | None, current: DataFrame, key: str = "id", updated_at: str = "updated_at") -> DataFrame:
+    """What a run adds to the history: the versions it opens, and the versions it closes with their end.
+
+    ``open_`` holds the open versions before the run (None: no run before).  Columns new in ``current`` are NULL in
+    older versions, columns it lacks are NULL in new ones.
+    """
+    if open_ is None:
+        return snapshot_initial(current, key, updated_at)
+    p = _Pair(open_, current, key, updated_at)
+    o = _side(open_.withColumn("_ident", _identity(key, p.shared)), "o_")
+    c = _side(_one_row_a_version(current, key, p.shared), "c_")
+    j = c.join(o, (F.col("c__ident") == F.col("o__ident")) & _same(key), "left")
+    opened = ~p.has_old | p.newer
+    rows = F.array_compact(F.array(F.when(p.has_old & p.newer, p.old(p.updated)), F.when(opened, p.new())))
+    return j.where(opened).select(F.explode(rows).alias("v")).select("v.*")
 
 
 def snapshot_merge(history: DataFrame | None, current: DataFrame, key: str = "id",
@@ -95,6 +117,13 @@ def snapshot_merge(history: DataFrame | None, current: DataFrame, key: str = "id
     """Merge ``current`` into ``history`` (SN-01); ``history=None`` is the first run."""
     if history is None:
         return snapshot_initial(current, key, updated_at)
-    changes = snapshot_changes(history.where(F.col("dbt_valid_to").isNull()), current, key, updated_at)
-    closed = history.where(F.col("dbt_valid_to").isNotNull())
-    return closed.unionByName(changes, allowMissingColumns=True).select(*changes.columns)
+    p = _Pair(history, current, key, updated_at)
+    closed = F.col("dbt_valid_to").isNotNull()
+    # closed versions meet nothing; they are dealt by a hash of the whole row, not by their key
+    spread = F.when(closed, F.xxhash64(*[F.col(f"`{c}`") for c in history.columns])).otherwise(_identity(key, p.shared))
+    o = _side(history.withColumn("_ident", spread), "o_")
+    c = _side(_one_row_a_version(current, key, p.shared), "c_")
+    j = o.join(c, (F.col("o__ident") == F.col("c__ident")) & F.col("o_dbt_valid_to").isNull() & _same(key), "full_outer")
+    ends = F.when(p.has_cur & p.newer, p.updated).otherwise(F.col("o_dbt_valid_to"))
+    rows = F.array_compact(F.array(F.when(p.has_old, p.old(ends)), F.when(p.has_cur & (~p.has_old | p.newer), p.new())))
+    return j.select(F.explode(rows).alias("v")).select("v.*")

@@ -8,9 +8,9 @@ never a machine-local temp folder.
 from __future__ import annotations
 
 import re
-import time
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,11 +149,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 # SRC-10
 def write_table(df: DataFrame, path: str, partition_by_day: str | None = None, mode: str = "overwrite",
-                day_col: str | None = None) -> str:
+                day_col: str | None = None, observe: tuple[Observation, Sequence[Column]] | None = None) -> str:
     """Full-refresh Parquet table; optionally partitioned by the day of a timestamp column.
 
     The day column (``<ts>_date`` unless named) is added so readers can prune
-    directories with a date predicate.
+    directories with a date predicate.  ``observe`` takes aggregates (counts, hashes) from the rows as they are written, in the
+    tasks of the write itself.
     """
     w = df
     parts = []
@@ -165,6 +166,8 @@ def write_table(df: DataFrame, path: str, partition_by_day: str | None = None, m
         # cluster rows by day before writing (few files per folder); the
         # rebalance hint lets AQE split a hot day over several tasks
         w = w.hint("rebalance", day)
+    if observe:
+        w = w.observe(observe[0], *observe[1])
     writer = w.write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
@@ -206,80 +209,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-# versioned folder writes (snapshot history: never overwrite what is being read)
-COMMIT_MARKER = "_COMMITTED"
-
-def write_versioned(df: DataFrame, base: str) -> str:
-    """Write ``df`` to a new folder ``<base>/v=<ms>`` and return it.
-
-    Nothing is overwritten or deleted, so a failed or lost job cannot damage
-    the version being read.  A version counts once its write returned: the
-    driver then creates the marker file ``_COMMITTED`` in it (our own marker,
-    independent of the output committer's ``_SUCCESS`` setting; readers skip
-    ``_`` files).
-    """
-    target = f"{base.rstrip('/')}/v={int(time.time() * 1000)}"
-    df.write.mode("errorifexists").parquet(target)
-    fs, p = _fs(df.sparkSession, target)
-    fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMIT_MARKER)).close()
-    return target
-
-
-def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
-    """Newest committed version of a versioned folder, or None when there is none.
-
-    Folders of failed writes carry no ``_COMMITTED`` marker and are skipped.
-    """
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    committed = [st.getPath().getName() for st in fs.listStatus(p)
-                 if st.isDirectory() and st.getPath().getName().startswith("v=")
-                 and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER))]
-    if not committed:
-        return None
-    latest = max(committed, key=lambda v: int(v[2:]))
-    return spark.read.parquet(f"{base.rstrip('/')}/{latest}")
-
-
-# stored history: a run writes its open versions and the versions that it closed
-def _committed(spark: SparkSession, base: str) -> list[int]:
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(st.getPath().getName()[8:]) for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith("run_seq=")
-                  and fs.exists(path(st.getPath(), COMMIT_MARKER)))
-
-
-def append_history(changes: DataFrame, base: str, closed_at: str = "dbt_valid_to") -> str:
-    """Write one run's rows to a new folder ``<base>/run_seq=<n>``, open and closed apart.
-
-    Nothing written before is read or rewritten; the run counts once its marker file stands.
-    """
-    spark = changes.sparkSession
-    seq = max([0, *_committed(spark, base)]) + 1
-    fs, p = _fs(spark, f"{base.rstrip('/')}/run_seq={seq}")
-    state = F.when(F.col(closed_at).isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    changes.withColumn("run_state", state).write.mode("overwrite").partitionBy("run_state").parquet(p.toString())
-    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, COMMIT_MARKER)).close()
-    return p.toString()
-
-
-def read_history(spark: SparkSession, base: str, open_only: bool = False) -> DataFrame | None:
-    """The stored history: the open versions of the newest run and the closed ones of all
-    runs (partition pruning skips the rest), or None when no run wrote a row."""
-    runs = _committed(spark, base)
-    fs, _ = _fs(spark, base)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    root = base.rstrip("/")
-    parts = [f"{root}/run_seq={n}/run_state={s}" for n in runs for s in ("open", "closed")
-             if (s == "closed" and not open_only) or (s == "open" and n == runs[-1])]
-    parts = [x for x in parts if fs.exists(path(x))]
-    if not parts:
-        return None
-    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*parts).drop("run_seq", "run_state")

@@ -151,27 +151,6 @@ def test_snapshot_null_key_and_columns(spark):
         SN.snapshot_merge(h, spark.createDataFrame([(1, 5, DAY[1])], "id long, v int, updated_at timestamp_ntz"))
 
 
-def test_stored_history_appends(spark, scratch):
-    base = f"{scratch}/hist-{uuid.uuid4().hex[:6]}"
-    assert IO.read_history(spark, base) is None
-    runs = [[(1, "a", DAY[0]), (2, "x", DAY[0])], [(1, "b", DAY[1])], [(1, "c", DAY[2]), (3, "z", DAY[2])]]
-    expect, stamps = None, {}
-    for rows in runs:
-        cur = spark.createDataFrame(rows, VERSION)
-        open_ = IO.read_history(spark, base, open_only=True)
-        IO.append_history(SN.snapshot_initial(cur) if open_ is None else SN.snapshot_changes(open_, cur), base)
-        expect = SN.snapshot_merge(expect, cur)
-        for f, m in stamps.items():
-            assert os.stat(f).st_mtime_ns == m          # nothing written before is touched
-        stamps = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{base}/*/*/*.parquet")}
-    key = lambda df: sorted(str(tuple(r)) for r in df.collect())
-    assert key(IO.read_history(spark, base)) == key(expect)
-    assert expect.count() == 5
-    # a run without its marker does not count
-    spark.range(1).withColumn("run_state", F.lit("closed")).write.partitionBy("run_state").parquet(f"{base}/run_seq=9")
-    assert key(IO.read_history(spark, base)) == key(expect)
-
-
 def test_rows_without_key_are_spread(spark):
     df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("k"), F.col("id").alias("x"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -81,22 +81,6 @@ def test_partitioned_table_prunes_by_date(spark, scratch):
     assert "PushedFilters" in plan and "txn_timestamp" in plan
 
 
-def test_versioned_write_never_overwrites(spark, scratch):
-    base = _p(scratch, "ver")
-    assert IO.read_versioned(spark, base) is None
-    v1 = IO.write_versioned(spark.range(3), base)
-    cur = IO.read_versioned(spark, base)
-    v2 = IO.write_versioned(cur.union(spark.range(3, 5)), base)
-    assert v1 != v2 and os.path.exists(v1.replace("file:", ""))
-    assert IO.read_versioned(spark, base).count() == 5
-    # a version whose write did not commit (no _SUCCESS marker) is ignored
-    broken = f"{base}/v=99999999999999"
-    os.makedirs(broken)
-    with open(f"{broken}/part-00000.parquet", "w") as f:
-        f.write("partial")
-    assert IO.read_versioned(spark, base).count() == 5
-
-
 def test_source_registry_alias(spark, scratch):
     from strata.sources.tables import source
     path = _p(scratch, "src")
@@ -106,6 +90,7 @@ def test_source_registry_alias(spark, scratch):
 
 def test_run_medallion_on_sample(spark, sample_dir, scratch):
     from strata.plans.pipeline import run_medallion
+    from strata.sources.release import Release
     out = _p(scratch, "medallion")
     counts = {(r.layer, r.table_name): r.row_count for r in run_medallion(spark, sample_dir, out).collect()}
     assert counts[("silver", "sl_transactions")] == 3
@@ -113,11 +98,14 @@ def test_run_medallion_on_sample(spark, sample_dir, scratch):
     assert counts[("silver", "sl_players")] == 10
     assert counts[("snapshot", "players_snapshot")] == 10
     # written, day-partitioned gold table
-    g = spark.read.parquet(f"{out}/gold/g_player_daily_balance")
-    assert g.count() == 3
+    release = Release(spark, out)
+    g = release.read("gold/g_player_daily_balance")
+    assert g.count() == 3 and g.columns == ["player_id", "txn_date", "deposits", "withdrawals"]
+    assert any(d.startswith("txn_date=") for d in os.listdir(release.tables()["gold/g_player_daily_balance"]["path"]))
     # a second run merges the unchanged snapshot without new versions
-    counts2 = {(r.layer, r.table_name): r.row_count for r in run_medallion(spark, sample_dir, out).collect()}
-    assert counts2[("snapshot", "players_snapshot")] == 10
+    second = run_medallion(spark, sample_dir, out).collect()
+    assert {(r.layer, r.table_name): r.row_count for r in second} == counts
+    assert release.log.last()[0] == 2
 
 
 def test_extend_domain_sample(spark, sample_raw):
@@ -155,14 +143,3 @@ def test_load_table_into_catalog(spark, sample_dir, scratch):
     assert IO.load_table(spark, landed["players"], name, mode="append") == 22
     assert spark.table(name).columns == ["id", "affiliate_id", "country_code", "is_kyc_approved",
                                          "created_at", "updated_at"]
-
-
-def test_versioned_without_success_markers(spark, scratch):
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        base = _p(scratch, "ver-nomark")
-        IO.write_versioned(spark.range(4), base)
-        assert IO.read_versioned(spark, base).count() == 4
-    finally:
-        conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
