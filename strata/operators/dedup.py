@@ -10,8 +10,9 @@ Scale notes
   with no join back, when the removed rows themselves are not needed.
 * ``keep_first``, ``mark_duplicates`` and ``count_over`` avoid unbounded window
   partitions altogether: they aggregate per key (map-side partial aggregation)
-  and join the small per-key result back; rows without a key are spread over hash
-  buckets, and AQE splits skewed join partitions.
+  and join the small per-key result back.  Rows without a key are spread over hash
+  buckets.  The row counts of that aggregate tell the hot keys: one above ``hot_rows`` is dealt over count / hot_rows
+  tasks, with as many copies of its per-key row, so the largest task is bounded without AQE's skew handling too.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import NULL_KEY_BUCKETS
+from strata.operators.joins import HOT_ROWS, NULL_KEY_BUCKETS, hot_keys, spread
 
 
 def _cols(xs) -> list[Column]:
@@ -34,22 +35,25 @@ def _names(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def _join_back(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` joined null-safe with one row per key, the rows without any key spread: they
-    carry a hash bucket as a second join key, and the one per-key row they share is
-    repeated for every bucket."""
+def _join_back(df: DataFrame, per_key: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """``df`` joined null-safe with one row per key and its row count ``_rows`` (dropped).
+
+    The rows without any key carry a hash bucket as a second join key, and the one per-key row they share is
+    repeated for every bucket; keys with more than ``hot_rows`` rows are dealt in the same way over as
+    many buckets as their count needs."""
     no_key = F.lit(True)
     for k in keys:
         no_key = no_key & F.col(f"`{k}`").isNull()
-    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_KEY_BUCKETS))
-    left = df.withColumn("_nbl", F.coalesce(F.when(no_key, row).cast("bigint"), F.lit(0).cast("bigint")))
+    left, right = spread(df, per_key, hot_keys(per_key.where(~no_key), keys, "_rows", hot_rows), keys, keys)
+    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id()), F.lit(NULL_KEY_BUCKETS))
+    left = left.withColumn("_ls", F.coalesce(F.when(no_key, row).otherwise(F.col("_ls")), F.lit(0)).cast("bigint"))
     buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(NULL_KEY_BUCKETS - 1).cast("bigint"))
-    right = (per_key.withColumn("_nbr", F.explode(F.when(no_key, buckets).otherwise(F.array(F.lit(0).cast("bigint")))))
-             .withColumnsRenamed({k: f"_pk_{k}" for k in keys}))
-    cond = left["_nbl"] == right["_nbr"]
+    right = (right.withColumn("_rs", F.explode(F.when(no_key, buckets).otherwise(F.array("_rs"))))
+             .drop("_rows").withColumnsRenamed({k: f"_pk_{k}" for k in keys}))
+    cond = left["_ls"] == right["_rs"]
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[f"_pk_{k}"])
-    return left.join(right, cond).drop("_nbl", "_nbr", *[f"_pk_{k}" for k in keys])
+    return left.join(right, cond).drop("_ls", "_rs", *[f"_pk_{k}" for k in keys])
 
 
 # WN-01
@@ -68,40 +72,41 @@ def top_n(df: DataFrame, keys, order: Sequence, n: int = 3, rank_col: str = "rn"
 
 
 # WN-03
-def count_over(df: DataFrame, keys, value: str, name: str) -> DataFrame:
+def count_over(df: DataFrame, keys, value: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Append ``count(value) over (partition by keys)`` as ``name``.
 
     Computed as a per-key aggregate joined back (null-safe on the keys), so a hot
     key never has to fit one window partition.
     """
     ks = _names(keys)
-    return _join_back(df, df.groupBy(*ks).agg(F.count(value).alias(name)), ks)
+    return _join_back(df, df.groupBy(*ks).agg(F.count(value).alias(name), F.count(F.lit(1)).alias("_rows")), ks, hot_rows)
 
 
 # WN-05
-def mark_duplicates(df: DataFrame, keys, flag: str = "is_duplicate") -> DataFrame:
+def mark_duplicates(df: DataFrame, keys, flag: str = "is_duplicate", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Flag every row whose key occurs more than once (pandas ``duplicated(keep=False)``)."""
     ks = _names(keys)
-    j = _join_back(df, df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")), ks)
-    return j.withColumn(flag, F.col("_n") > 1).drop("_n")
+    n = F.count(F.lit(1))
+    j = _join_back(df, df.groupBy(*ks).agg((n > 1).alias("_many"), n.alias("_rows")), ks, hot_rows)
+    return j.withColumn(flag, F.col("_many")).drop("_many")
 
 
 # WN-04
-def keep_first(df: DataFrame, keys, order) -> tuple[DataFrame, DataFrame]:
+def keep_first(df: DataFrame, keys, order, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Split into (first row per key under ``order``, the removed rows).
 
     ``order`` is a column or list of columns (an input-position column, or enough
     columns to be unique within a key).  Ties go to the smallest row, and of identical
     rows one stays, so exactly one row per key is kept whatever the order.  The winner per
     key is a ``min`` over the order struct — a partial aggregate, so a hot key is
-    reduced map-side — and joined back; AQE splits a skewed join partition.
+    reduced map-side — and joined back, hot keys dealt by their counts.
     """
     ks = _names(keys)
     ords = _cols(order)
     cols = [F.col(f"`{c}`") for c in df.columns]
     tagged = df.withColumn("_ord", F.struct(F.struct(*ords).alias("o"), F.struct(*cols).alias("r")))
-    first = tagged.groupBy(*ks).agg(F.min("_ord").alias("_first"))
-    j = _join_back(tagged, first, ks).withColumn("_keep", F.col("_ord") == F.col("_first")).drop("_first")
+    first = tagged.groupBy(*ks).agg(F.min("_ord").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    j = _join_back(tagged, first, ks, hot_rows).withColumn("_keep", F.col("_ord") == F.col("_first")).drop("_first")
     # the winners of a key are identical rows: one is kept, its copies are removed rows
     won = j.where("_keep").groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     copies = won.withColumn("_i", F.explode(F.expr("sequence(1, _n)"))).where("_i > 1").drop("_n", "_i")

@@ -40,14 +40,51 @@ def left_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str, how: str
     return lb.join(rb, (lb[lkey] == rb[rkey]) & (lb["_nbl"] == rb["_nbr"]), how).drop("_nbl", "_nbr")
 
 
+# A key with more rows than this is dealt over several tasks.
+HOT_ROWS = 1_000_000
+# Hot keys that are told apart.  Of any table at most 1/4096 of its rows can belong to the next one.
+MAX_HOT = 4096
+
+
+def hot_keys(per_key: DataFrame, keys: Sequence[str], rows: str, bound: int = HOT_ROWS) -> DataFrame:
+    """(_hk, _copies) of the keys that hold more than ``bound`` rows, from a table with one row per key and its row
+    count: the hash of the key, and over how many tasks it is dealt.  At most ``MAX_HOT`` rows of two numbers."""
+    hot = (per_key.where(F.col(rows) > bound).select(F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("_hk"), F.ceil(F.col(rows) / bound).cast("int").alias("_copies"))
+           .orderBy(F.desc("_copies"), "_hk").limit(MAX_HOT))
+    return hot.groupBy("_hk").agg(F.max("_copies").alias("_copies"))    # keys of one hash share the larger number
+
+
+def spread(left: DataFrame, right: DataFrame, hot: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a many-to-one join with a second join key: ``_ls`` on the left picks one of the copies that a hot key's
+    row gets on the right (``_rs``), 0 for other keys.
+
+    The salt follows the row's values and its partition, so that equal rows are dealt as well, and a lost task
+    computes the same again.  The hot keys are joined by broadcast: their number has a fixed bound.
+    """
+    def copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        h = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+        return df.withColumn("_hk", h).join(F.broadcast(hot), "_hk", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).drop("_hk")
+
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id())
+    ls = F.when(F.col("_copies") > 1, F.pmod(row, F.col("_copies"))).otherwise(F.lit(0).cast("bigint"))
+    rs = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_copies") - 1).cast("bigint")))
+    return (copies(left, lkeys).withColumn("_ls", F.coalesce(ls, F.lit(0).cast("bigint"))).drop("_copies"),
+            copies(right, rkeys).withColumn("_rs", rs).drop("_copies"))
+
+
 # Salt of the approval-gate join (1 = unsalted).  See ``gate``.
 GATE_SALT = 2
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(``key``, rows): one partial aggregate over the key column alone."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+
+
 # JN-01
 def gate(txn: DataFrame, players: DataFrame, ts_col: str = "timestamp", fk: str = "player_id",
          pk: str = "id", flag: str = "is_kyc_approved", approved: str = "kyc_approved_at",
-         salt: int = GATE_SALT) -> DataFrame:
+         salt: int = GATE_SALT, counts: DataFrame | None = None, bound: int = HOT_ROWS) -> DataFrame:
     """Transactions whose player is approved and whose time is at/after approval.
 
     The join key is salted: each approved player row is repeated ``salt`` times
@@ -60,10 +97,16 @@ def gate(txn: DataFrame, players: DataFrame, ts_col: str = "timestamp", fk: str
     player-keyed operator after it in one task.  Only the small side grows
     (``salt`` copies of the approved players); when AQE finds it small enough
     it broadcasts it instead.
+
+    ``counts`` (``fk`` and ``rows``, one row per player, see ``key_counts``) makes the salt a measured one: a player with
+    more than ``bound`` transactions is dealt over rows / bound tasks, ordinary players are not repeated.
     """
     p = (players.where(F.col(flag) == F.lit(True))
                 .select(F.col(pk).alias("_gk"), F.col(flag).alias("_gflag"), F.col(approved).alias("_gat")))
-    if salt > 1:
+    if counts is not None:
+        t, p = spread(txn, p, hot_keys(counts, [fk], "rows", bound), [fk], ["_gk"])
+        j = t.join(p, (t[fk] == p["_gk"]) & (t["_ls"] == p["_rs"]), "inner").drop("_ls", "_rs")
+    elif salt > 1:
         p = p.withColumn("_gs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         # non-nullable (coalesce): a nullable salt makes Catalyst infer an
         # ``isnotnull`` on it and push it below the projection, evaluating the

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import cleaning as fn
 from strata.operators.dedup import deduplicate, top_n
-from strata.operators.joins import gate
+from strata.operators.joins import HOT_ROWS, gate, hot_keys, key_counts, spread
 
 NUMERIC = fn.DEFAULT_NUMERIC
 
@@ -74,14 +74,14 @@ def sl_players(br: DataFrame, tie_break: Sequence = ()) -> DataFrame:
 
 
 # SL-03
-def sl_affiliate_player_bridge(a: DataFrame, p: DataFrame) -> DataFrame:
+def sl_affiliate_player_bridge(a: DataFrame, p: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Affiliates ⟕ players on ``p.affiliate_id = a.id`` with the two violation flags.
 
     ``a`` is unique by ``id`` (sl_affiliates).  Instead of one outer join plus an
     unbounded window over ``affiliate_id`` (a popular affiliate would land in one
     task), the per-affiliate player count is a partial aggregate; matched pairs
-    come from an inner join (AQE can split a hot affiliate), unmatched
-    affiliates from the count being absent.
+    come from an inner join in which an affiliate with more than ``hot_rows`` players is dealt over several tasks (the
+    count tells which), unmatched affiliates from the count being absent.
     """
     pk = p.select(F.col("affiliate_id").alias("_aid"), F.col("id").alias("player_id")) \
           .where(F.col("_aid").isNotNull())
@@ -91,7 +91,9 @@ def sl_affiliate_player_bridge(a: DataFrame, p: DataFrame) -> DataFrame:
     ac = base.join(cnt, base.id == cnt._aid, "left")
     # players stream on the left side: a sort-merge join buffers only the
     # right side's rows of a key, here one affiliate row
-    linked = pk.join(ac.where(F.col("_rows").isNotNull()).drop("_rows"), "_aid", "inner")
+    l, r = spread(pk, ac.where(F.col("_rows").isNotNull()).drop("_rows").withColumnRenamed("_aid", "_ref"),
+                  hot_keys(cnt, ["_aid"], "_rows", hot_rows), ["_aid"], ["_ref"])
+    linked = l.join(r, (l["_aid"] == r["_ref"]) & (l["_ls"] == r["_rs"]), "inner")
     unlinked = (ac.where(F.col("_rows").isNull())
                   .select(*base.columns, F.lit(None).cast("bigint").alias("player_id"),
                           F.lit(0).cast("bigint").alias("player_ref_count")))
@@ -106,14 +108,16 @@ def sl_affiliate_player_bridge(a: DataFrame, p: DataFrame) -> DataFrame:
 
 
 # SL-04
-def sl_transactions(br_t: DataFrame, sl_p: DataFrame) -> DataFrame:
+def sl_transactions(br_t: DataFrame, sl_p: DataFrame, measured: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Transactions of approved players at or after their approval time.
 
     Many-to-one join on ``player_id``; the players side is reduced to approved
-    rows first (filter pushdown).  Broadcast is left to AQE's measured size;
-    a hot player on the transaction side is split by AQE skew join.
+    rows first (filter pushdown).  Broadcast is left to AQE's measured size.  With ``measured`` (for a written table, where
+    counting reads one column) a hot player's transactions are dealt by their count; else a fixed salt
+    and AQE's skew join split them.
     """
-    return (gate(br_t, sl_p, ts_col="timestamp")
+    counts = key_counts(br_t, "player_id") if measured else None
+    return (gate(br_t, sl_p, ts_col="timestamp", counts=counts, bound=hot_rows)
             .select("id", F.col("timestamp").alias("txn_timestamp"), "player_id", "type", "amount"))
 
 

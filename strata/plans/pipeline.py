@@ -118,7 +118,7 @@ def run_medallion(spark: SparkSession, src_dir: str, out_dir: str, checks: str =
     sl = opened(dims)
     facts = _layer(spark, run, "silver", "silver", lambda: {
         "sl_affiliate_player_bridge": L.sl_affiliate_player_bridge(sl["sl_affiliates"], sl["sl_players"]),
-        "sl_transactions": L.sl_transactions(br["br_transactions"], sl["sl_players"])})
+        "sl_transactions": L.sl_transactions(br["br_transactions"], sl["sl_players"], measured=True)})
     released["silver"] = dims | facts
     sl.update(opened(facts))
     reports |= _checks(spark, run, sl, "silver", checks)
