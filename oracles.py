@@ -198,6 +198,11 @@ reg("fn_parse_datetime_utc", """
 SELECT version_id, TRY_CAST(NULLIF(trim(created_at), '') AS TIMESTAMP) AS created_at,
        TRY_CAST(NULLIF(trim(is_kyc_approved), '') AS TIMESTAMP) AS not_a_date
 FROM raw_players""")
+reg("fn_parse_datetime_formats", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 4 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS us,
+       CASE WHEN o_orderkey % 7 <> 6 AND o_orderkey % 3 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS named,
+       CASE WHEN o_orderkey % 11 <> 10 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '19 hours 5 minutes' END AS timed
+FROM orders""")
 reg("fn_blank_to_null", r"""
 SELECT version_id,
        CASE WHEN NOT regexp_matches(affiliate_id, '^\s*$') THEN affiliate_id END AS affiliate_id,
@@ -626,7 +631,16 @@ def U(tag: str, idx: str = "id") -> str:
     return f"('0x' || substr(md5('{_SEED}|' || CAST({idx} AS VARCHAR) || '|{tag}'), 1, 15))::BIGINT"
 
 
-_CODE = " || ".join(f"substr('{_ALPHA}', CAST({U(f'code{k}')} % 36 + 1 AS INTEGER), 1)" for k in range(8))
+def _code_number(x: str) -> str:
+    """Four rounds on the halves of a number below 36^8: (l, r) -> (r, l + f(round, r))."""
+    h = 36 ** 4
+    left, right = f"({x} // {h})", f"({x} % {h})"
+    for r in range(1, 5):
+        left, right = right, f"(({left} + ('0x' || substr(md5('{_SEED}|{r}|' || CAST({right} AS VARCHAR)), 1, 15))::BIGINT % {h}) % {h})"
+    return f"{left} * {h} + {right}"
+
+
+_CODE = " || ".join(f"substr('{_ALPHA}', CAST(num // {36 ** (7 - k)} % 36 + 1 AS INTEGER), 1)" for k in range(8))
 
 EXT_CTES = CLEAN_CTES.rstrip() + rf""",
 e_a0 AS (
@@ -662,7 +676,7 @@ e_n AS (
            (SELECT coalesce(max(id), 0) FROM e_p0) AS p_max, (SELECT count(*) FROM e_p0) AS p_rows,
            (SELECT coalesce(max(id), 0) FROM e_t0) AS t_max, (SELECT count(*) FROM e_t0) AS t_rows)
 ),
-e_a_new AS (SELECT a_max + unnest(range(1, n - a_rows + 1)) AS id FROM e_n),
+e_a_new AS (SELECT id, {_code_number(f'(id % {36 ** 8})')} AS num FROM (SELECT a_max + unnest(range(1, n - a_rows + 1)) AS id FROM e_n)),
 e_a_ext1 AS (
   SELECT id, NULLIF(upper(regexp_replace(code, '^\s+|\s+$', '', 'g')), '') AS code,
          CASE WHEN NOT regexp_matches(origin, '^\s*$') THEN origin END AS origin, redeemed_at

@@ -10,7 +10,10 @@ on malformed text under ANSI mode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference behaviour).
@@ -138,10 +141,54 @@ def coerce_bool(c) -> Column:
 
 
 # FN-14
-def parse_datetime_utc(c) -> Column:
-    """Unparseable (or blank) → NULL; result in UTC without zone."""
+# The date formats told apart, as pattern and shape (month before day where both could be meant), and
+# the time of day that may follow.  Text that begins with "yyyy-" needs no format.
+DATE_SHAPES = {
+    "M/d/yyyy": r"(\d{1,2})/(\d{1,2})/\d{4}", "d/M/yyyy": r"(\d{1,2})/(\d{1,2})/\d{4}",
+    "M-d-yyyy": r"(\d{1,2})-(\d{1,2})-\d{4}", "d-M-yyyy": r"(\d{1,2})-(\d{1,2})-\d{4}",
+    "M.d.yyyy": r"(\d{1,2})\.(\d{1,2})\.\d{4}", "d.M.yyyy": r"(\d{1,2})\.(\d{1,2})\.\d{4}",
+    "yyyy/M/d": r"\d{4}/\d{1,2}/\d{1,2}", "yyyyMMdd": r"\d{8}",
+    "MMM d, yyyy": r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMMM d, yyyy": r"[A-Za-z]{4,9} \d{1,2}, \d{4}",
+    "d MMM yyyy": r"\d{1,2} [A-Za-z]{3} \d{4}", "d MMMM yyyy": r"\d{1,2} [A-Za-z]{4,9} \d{4}",
+}
+TIME_SHAPES = {"": "", " H:mm": r" \d{1,2}:\d{2}", " H:mm:ss": r" \d{1,2}:\d{2}:\d{2}",
+               " h:mm a": r" \d{1,2}:\d{2} [AaPp][Mm]", " h:mm:ss a": r" \d{1,2}:\d{2}:\d{2} [AaPp][Mm]"}
+ISO = "iso"
+
+
+def _shape(fmt: str) -> str:
+    date = next(d for d in sorted(DATE_SHAPES, key=len, reverse=True) if fmt.startswith(d) and fmt[len(d):] in TIME_SHAPES)
+    return f"^{DATE_SHAPES[date]}{TIME_SHAPES[fmt[len(date):]]}$"
+
+
+def guess_datetime_format(value: str | None) -> str:
+    """The format of one text: ``iso`` for text that begins with a year and a dash, or that no known format fits."""
+    text = (value or "").strip()
+    for date, shape in DATE_SHAPES.items():
+        for time, more in TIME_SHAPES.items():
+            m = re.match(f"^{shape}{more}$", text)
+            if m and not (m.groups() and int(m.group(1 if date[0] == "M" else 2)) > 12):
+                return date + time
+    return ISO
+
+
+def infer_datetime_formats(df: DataFrame, cols: Sequence[str], order: Sequence) -> dict[str, str]:
+    """Per column the format of its first non-blank value under ``order``: one aggregate for all columns, one row to the driver."""
+    ords = [F.col(o) if isinstance(o, str) else o for o in order]
+    firsts = [F.min(F.when(~is_blank(c), F.struct(F.struct(*ords).alias("o"), _as_text(c).alias("v")))).alias(c) for c in cols]
+    row = df.agg(*firsts).first() if cols else {}
+    return {c: guess_datetime_format(row[c]["v"] if row[c] is not None else None) for c in cols}
+
+
+def parse_datetime_utc(c, fmt: str = ISO) -> Column:
+    """Unparseable (or blank) → NULL; result in UTC without zone.
+
+    With a format (see ``infer_datetime_formats``) text of any other shape is NULL.
+    """
     s = F.nullif(_strip(_as_text(c)), F.lit(""))
-    return _to_utc_ntz(s, strict=False)
+    if fmt == ISO:
+        return _to_utc_ntz(s, strict=False)
+    return F.when(s.rlike(_shape(fmt)), F.try_to_timestamp(s, F.lit(fmt))).cast("timestamp_ntz")
 
 
 # FN-15

@@ -6,7 +6,7 @@ Randomness is a pure function of (seed, row id, column tag)::
     u = conv(substr(md5("<seed>|<id>|<tag>"), 1, 15), 16, 10)   # 0 .. 2^60-1
 
 so results do not depend on partitioning or task order and any SQL engine with
-``md5`` reproduces them.  "now" is an argument.
+``md5`` reproduces them.  Codes come from a keyed bijection of the id, so they are unique without any comparison.  "now" is an argument.
 
 Scale notes
 -----------
@@ -39,6 +39,7 @@ from strata.sources.io import materialize
 # Fixed values (must equal the reference behaviour).
 CODE_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 CODE_LENGTH = 8
+CODE_ROUNDS = 4
 ORIGIN_POOL = ["web", "ios", "android", "partner", "campaign", "YouTube", "Discord", "X"]
 COUNTRY_POOL = ["CO", "US", "MX", "BR", "AR", "CL", "PE", "ES", "GB", "DE", "FR", "CA", "IN", "PH", "AU"]
 TXN_TYPE_POOL = ["deposit", "withdrawal", "bet", "win"]
@@ -70,31 +71,84 @@ def weighted_bool(seed: int, id_col, tag: str, percent: int) -> Column:
 
 
 # EX-02
-def random_code(seed: int, id_col, tag: str = "code", length: int = CODE_LENGTH) -> Column:
-    chars = [F.substring(F.lit(CODE_ALPHABET), (draw(seed, id_col, f"{tag}{k}") % len(CODE_ALPHABET) + 1).cast("int"),
-                         F.lit(1)) for k in range(length)]
-    return F.concat(*chars)
-
-
-def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame, seed: int) -> DataFrame:
-    """Assign ``random_code`` to ``df`` rows so no code collides with ``existing``
-    codes or with another new row.  The smallest id keeps a code that several rows drew; each
-    round settles the others' first holders and re-draws the clashing rows alone, with a
-    salted tag, until none is left.  Every round is written once."""
-    taken = existing.select(normalize_code(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
-    cur, done, r = df.withColumn(code_col, random_code(seed, id_col)), None, 0
+def _round(seed: int, r: Column, half: Column, size: int) -> Column:
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), r.cast("string"), half.cast("string")))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint") % size
+
+
+def permuted(seed: int, x: Column, length: int = CODE_LENGTH, back: bool = False) -> Column:
+    """A keyed bijection on 0 .. 36^length - 1 (``length`` even), or its inverse: rounds of md5 on two halves, where each
+    round adds a keyed function of one half to the other, so different numbers never meet."""
+    size = len(CODE_ALPHABET) ** (length // 2)
+    rounds = F.array(*[F.lit(r) for r in (range(CODE_ROUNDS, 0, -1) if back else range(1, CODE_ROUNDS + 1))])
+    pair = lambda left, right: F.struct(left.alias("l"), right.alias("r"))
+
+    def step(s: Column, r: Column) -> Column:
+        if back:
+            return pair(F.pmod(s["r"] - _round(seed, r, s["l"], size), F.lit(size)), s["l"])
+        return pair(s["r"], (s["l"] + _round(seed, r, s["r"], size)) % size)
+
+    x = F.pmod(x.cast("bigint"), F.lit(size * size))
+    return F.aggregate(rounds, pair(F.floor(x / size), x % size), step, lambda s: s["l"] * size + s["r"])
+
+
+def code_text(number: Column, length: int = CODE_LENGTH) -> Column:
+    """``number`` in the code alphabet, ``length`` digits."""
+    base = len(CODE_ALPHABET)
+    digit = lambda n, k: F.substring(F.lit(CODE_ALPHABET), (F.floor(n / base ** (length - 1 - k)) % base + 1).cast("int"), F.lit(1))
+    return F.element_at(F.transform(F.array(number), lambda n: F.concat(*[digit(n, k) for k in range(length)])), 1)
+
+
+def code_number(code: Column, length: int = CODE_LENGTH) -> Column:
+    """The number behind a code; NULL for text that no ``code_text`` gives."""
+    base = len(CODE_ALPHABET)
+    value = sum(((F.instr(F.lit(CODE_ALPHABET), F.substring(code, k + 1, 1)) - 1).cast("bigint") * base ** (length - 1 - k) for k in range(length)), F.lit(0).cast("bigint"))
+    return F.when(code.rlike(f"^[{CODE_ALPHABET}]{{{length}}}$"), value)
+
+
+def random_code(seed: int, id_col, length: int = CODE_LENGTH) -> Column:
+    """The code of an id: different ids (below 36^length) have different codes."""
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    return code_text(permuted(seed, c, length), length)
+
+
+def unique_codes(df: DataFrame, id_col: str, code_col: str, existing: DataFrame, seed: int, length: int = CODE_LENGTH,
+                 window: int = 64) -> DataFrame:
+    """Assign codes to ``df`` (unique ids) so that none collides with ``existing`` codes or with another new row.
+
+    New codes cannot meet: they come from a bijection.  The inputs that would give an existing code are computed from
+    the existing codes by its inverse, no new row is drawn and tested.  Row ``id`` uses the first input id, id + span,
+    id + 2 span, ... that gives no existing code, span being the width of the new ids.  Of these attempts
+    ``window`` are looked at in one pass (a second pass runs only for an id that has all of them taken).
+    """
+    size = len(CODE_ALPHABET) ** length
+    lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
+    if lo is None:
+        return df.withColumn(code_col, F.lit(None).cast("string"))
+    span = hi - lo + 1
+    if span > size:
+        raise ValueError(f"{span} ids do not fit {size} codes")
+    number = code_number(normalize_code(code_col), length)
+    at = (existing.select(permuted(seed, number, length, back=True).alias("_x")).where(F.col("_x").isNotNull())
+          .select(F.pmod(F.col("_x") - lo, F.lit(size)).alias("_d")))
+    out, start, pending = df.withColumn("_try", F.lit(0).cast("bigint")), 0, None
     while True:
-        r += 1
-        first = cur.groupBy(code_col).agg(F.min(id_col).alias("_first"))
-        j = materialize(cur.join(first, code_col).join(taken, F.col(code_col) == F.col("_code"), "left")
-                        .withColumn("_clash", F.col("_code").isNotNull() | (F.col(id_col) != F.col("_first")))
-                        .drop("_first", "_code"), "unique-codes")
-        settled, clash = j.where(~F.col("_clash")).drop("_clash"), j.where("_clash").drop("_clash")
-        done = settled if done is None else done.unionByName(settled)
-        if clash.isEmpty():
-            return done.select(*cur.columns)
-        taken = taken.union(settled.select(F.col(code_col).alias("_code")))
-        cur = clash.withColumn(code_col, random_code(seed, id_col, f"code_r{r}_"))
+        near = at.where((F.col("_d") >= start * span) & (F.col("_d") < (start + window) * span))
+        used = near.groupBy((F.col("_d") % span + lo).alias("_id")).agg(F.sort_array(F.collect_set(F.floor(F.col("_d") / span).cast("bigint"))).alias("_js"))
+        if pending is not None:
+            used = used.join(pending, "_id", "left_semi")
+        free = F.aggregate("_js", F.lit(start).cast("bigint"), lambda m, j: F.when(j == m, m + 1).otherwise(m))
+        used = materialize(used.select("_id", free.alias("_free")), "code-attempts")
+        out = out.join(used, (F.col(id_col) == F.col("_id")) & (F.col("_try") == start), "left").withColumn("_try", F.coalesce("_free", "_try")).drop("_id", "_free")
+        start += window
+        pending = used.where(F.col("_free") >= start).select("_id")
+        if pending.isEmpty():
+            break
+        if start * span >= size:
+            raise ValueError("the existing codes leave an id no code")
+    spent = F.raise_error(F.lit("the existing codes leave an id no code")).cast("string")
+    fits = F.col("_try") * span + F.col(id_col) - lo < size
+    return out.withColumn(code_col, F.when(fits, random_code(seed, F.col(id_col) + F.col("_try") * span, length)).otherwise(spent)).drop("_try")
 
 
 # EX-05
@@ -205,7 +259,7 @@ def extend_domain(a: DataFrame, p: DataFrame, t: DataFrame, n: int | None = None
     now_c = F.lit(now).cast("timestamp_ntz")
     ts_type = p.schema["created_at"].dataType
 
-    # affiliates: new ids + collision-free codes (EX-01, EX-02)
+    # affiliates: new ids + codes that neither meet one another nor existing ones (EX-01, EX-02)
     a_new = new_ids(spark, s["a_max"], n - s["a_rows"])
     a_new = unique_codes(a_new, "id", "code", a, seed)
     if owner:

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.cleaning import coerce_bool, parse_datetime_utc
+from strata.functions.cleaning import ISO, coerce_bool, infer_datetime_formats, parse_datetime_utc
 from strata.operators.dedup import first_per_key, keep_first
 from strata.operators.joins import left_join
 
@@ -60,13 +60,19 @@ RULES = ("unique_ids", "orphan_txn", "unique_codes", "null_unknown_codes",
 
 
 # CL-01
-def coerce_types(p: DataFrame, t: DataFrame, roles: Roles) -> tuple[DataFrame, DataFrame]:
+def date_formats(df: DataFrame, cols: Sequence[str | None], order: Sequence) -> dict[str, str]:
+    """Formats of the date columns that exist, from their first non-blank values in input order."""
+    return infer_datetime_formats(df, [c for c in cols if c and c in df.columns], order)
+
+
+def coerce_types(p: DataFrame, t: DataFrame, roles: Roles, p_formats: dict[str, str] | None = None,
+                 t_formats: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     if roles.ply_kyc_bool and roles.ply_kyc_bool in p.columns:
         p = p.withColumn(roles.ply_kyc_bool, coerce_bool(roles.ply_kyc_bool))
     if roles.ply_kyc_date and roles.ply_kyc_date in p.columns:
-        p = p.withColumn(roles.ply_kyc_date, parse_datetime_utc(roles.ply_kyc_date))
+        p = p.withColumn(roles.ply_kyc_date, parse_datetime_utc(roles.ply_kyc_date, (p_formats or {}).get(roles.ply_kyc_date, ISO)))
     if roles.txn_date and roles.txn_date in t.columns:
-        t = t.withColumn(roles.txn_date, parse_datetime_utc(roles.txn_date))
+        t = t.withColumn(roles.txn_date, parse_datetime_utc(roles.txn_date, (t_formats or {}).get(roles.txn_date, ISO)))
     return p, t
 
 
@@ -156,18 +162,21 @@ def label_transactions(t: DataFrame, players_kept: DataFrame, roles: Roles, orde
 
 
 def clean_domain(a: DataFrame, p: DataFrame, t: DataFrame, roles: Roles = Roles(),
-                 order_cols: dict[str, Sequence] | None = None) -> CleanResult:
+                 order_cols: dict[str, Sequence] | None = None, infer_dates: bool = False) -> CleanResult:
     """Run rules 1-8; returns kept tables and the audit (rule, table_name, rows).
 
     ``order_cols`` gives each table's input order (``affiliates``, ``players``,
     ``transactions``); it decides which duplicate is "first", so it must be given for
-    every table whose ids are made unique.
+    every table whose ids are made unique.  With ``infer_dates`` the first non-blank value of a date column in that order fixes
+    its format (one aggregate a table); else dates begin with the year.
     """
     order_cols = order_cols or {}
     for table, key, df in (("affiliates", roles.aff_id, a), ("players", roles.ply_id, p), ("transactions", roles.txn_id, t)):
         if key and key in df.columns and not order_cols.get(table):
             raise ValueError(f"order_cols[{table!r}] is missing: the input order decides which duplicate stays")
-    p, t = coerce_types(p, t, roles)
+    formats = [date_formats(df, cols, order_cols.get(table, [])) if infer_dates else None
+               for df, cols, table in ((p, [roles.ply_kyc_date], "players"), (t, [roles.txn_date], "transactions"))]
+    p, t = coerce_types(p, t, roles, *formats)
     lp = label_players(p, roles, order_cols.get("players", [roles.ply_id]))
     players_kept = lp.where(F.col("_rule").isNull()).drop("_rule", "_dups")
     la = label_affiliates(a, players_kept, roles, order_cols.get("affiliates", [roles.aff_id]))

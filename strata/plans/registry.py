@@ -164,6 +164,20 @@ def _fn14(spark, sf_dir):
                     fn.parse_datetime_utc("is_kyc_approved").alias("not_a_date"))
 
 
+@query("fn_parse_datetime_formats")
+def _fn14_formats(spark, sf_dir):
+    """Order dates written in three formats, each with misfits; the first non-blank value fixes a column's format."""
+    o = read_table(spark, sf_dir, "orders")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    texts = o.select("o_orderkey",
+                     F.when(k % 5 == 4, F.date_format(d, "yyyy-MM-dd")).otherwise(F.date_format(d, " MM/dd/yyyy ")).alias("us"),
+                     F.when(k % 7 == 6, F.date_format(d, "d/M/yyyy")).when(k % 3 == 0, "  ").otherwise(F.date_format(d, "d MMM yyyy")).alias("named"),
+                     F.when(k % 11 == 10, F.date_format(d, "yyyy/MM/dd")).otherwise(F.concat(F.date_format(d, "yyyy/MM/dd"), F.lit(" 7:05 pm"))).alias("timed"))
+    cols = ["us", "named", "timed"]
+    formats = fn.infer_datetime_formats(texts, cols, ["o_orderkey"])
+    return texts.select("o_orderkey", *[fn.parse_datetime_utc(c, formats[c]).alias(c) for c in cols])
+
+
 @query("fn_blank_to_null")
 def _fn15(spark, sf_dir):
     r = D(spark, sf_dir, "raw")["raw_players"]

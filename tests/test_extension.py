@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import glob
-import os
 import uuid
 
 import pytest
@@ -54,15 +52,43 @@ def test_key_numbers_spread_by_quantiles(spark):
     assert sizes["parts"] >= 4 and sizes["most"] < 3 * 20_001 / sizes["parts"]
 
 
-def test_codes_need_several_draws(spark, monkeypatch):
-    monkeypatch.setattr(EX, "CODE_ALPHABET", "ABC")
-    draws = []
-    plain = EX.random_code
-    monkeypatch.setattr(EX, "random_code", lambda s, i, tag="code", length=4: draws.append(tag) or plain(s, i, tag, 4))
-    taken = spark.createDataFrame([("AAAA",), ("BBBB",)], "code string")
-    out = EX.unique_codes(spark.range(1, 41), "id", "code", taken, 7).collect()
-    assert len(draws) > 2
-    assert len({r.code for r in out}) == 40 and not {r.code for r in out} & {"AAAA", "BBBB"}
+def test_codes_are_a_bijection(spark):
+    """Two characters: all 1,296 codes, each once; the inverse leads back."""
+    x = F.col("id")
+    rows = spark.range(-5, 36 ** 2 - 5).select("id", EX.random_code(7, "id", 2).alias("code"), EX.permuted(7, x, 2).alias("n"),
+                                               EX.permuted(7, EX.permuted(7, x, 2), 2, back=True).alias("back"),
+                                               EX.code_number(EX.random_code(7, "id", 2), 2).alias("read")).collect()
+    assert len({r.code for r in rows}) == 36 ** 2 == len({r.n for r in rows})
+    assert all(r.back == r.id % 36 ** 2 and r.read == r.n for r in rows)
+    assert len({r.code for r in spark.range(20_000).select(EX.random_code(1, "id").alias("code")).collect()}) == 20_000
+    big = spark.range(10 ** 12, 10 ** 12 + 500).select("id", EX.permuted(3, EX.permuted(3, x), back=True).alias("back")).collect()
+    assert all(r.back == r.id for r in big)
+    bad = spark.createDataFrame([("a1",), ("A",), ("A1B",), (None,), ("é1",)], "c string").select(EX.code_number(F.col("c"), 2).alias("n"))
+    assert [r.n for r in bad.collect()] == [None] * 5
+
+
+@pytest.mark.parametrize("window", [1, 64])
+def test_codes_avoid_existing_ones(spark, window):
+    everything = [r.code for r in spark.range(36 ** 2).select(EX.random_code(7, "id", 2).alias("code")).collect()]
+    first = set(everything[1:41])                                     # what the new ids would get by themselves
+    taken = sorted(first)[:30] + sorted(set(everything) - first)[:600] + [" aa ", None, "not a code"]
+    have = spark.createDataFrame([(c,) for c in taken], "code string")
+    got = {r.id: r.code for r in EX.unique_codes(spark.range(1, 41), "id", "code", have, 7, length=2, window=window).collect()}
+    known = {(c or "").strip().upper() for c in taken}
+    assert len(set(got.values())) == len(got) == 40 and not set(got.values()) & known
+    assert all(got[i] == everything[i] for i in got if everything[i] not in known)     # others keep their code
+    again = {r.id: r.code for r in EX.unique_codes(spark.range(1, 41).repartition(3), "id", "code", have.repartition(5), 7, length=2, window=window).collect()}
+    assert again == got
+
+
+def test_codes_that_do_not_fit(spark):
+    none = spark.createDataFrame([], "code string")
+    with pytest.raises(ValueError, match="do not fit"):
+        EX.unique_codes(spark.range(2000), "id", "code", none, 7, length=2)
+    everything = spark.range(36 ** 2).select(EX.random_code(7, "id", 2).alias("code"))
+    with pytest.raises(Exception, match="leave an id no code"):
+        EX.unique_codes(spark.range(5), "id", "code", everything, 7, length=2).collect()
+    assert EX.unique_codes(spark.range(0), "id", "code", everything, 7, length=2).count() == 0
 
 
 def test_no_transactions_without_approved_players(spark):

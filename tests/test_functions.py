@@ -131,11 +131,35 @@ def test_country_code_strips_any_white_space(spark):
     assert one_col(spark, ["\tBR", "br\n", " b r", "BRA"], fn.normalize_country_iso2) == ["BR", "BR", None, None]
 
 
-def test_redraw_settles_all_codes(spark, monkeypatch):
-    """A tiny code space forces several rounds; all codes end up distinct and unknown before."""
-    from strata.operators import extend as EX
-    tiny = lambda seed, id_col, tag="code": (EX.draw(seed, id_col, tag) % 60).cast("string")
-    monkeypatch.setattr(EX, "random_code", tiny)
-    have = spark.createDataFrame([(str(i),) for i in range(20)], "code string")
-    got = [r.code for r in EX.unique_codes(spark.range(30), "id", "code", have, 7).collect()]
-    assert len(set(got)) == len(got) == 30 and not {str(i) for i in range(20)} & set(got)
+FORMATS = {"03/02/2024": "M/d/yyyy", "13/02/2024": "d/M/yyyy", "3-2-2024 7:05": "M-d-yyyy H:mm", "31.12.2023": "d.M.yyyy",
+           "2024/02/03 07:05:09": "yyyy/M/d H:mm:ss", "20240203": "yyyyMMdd", "Feb 3, 2024": "MMM d, yyyy", "February 3, 2024": "MMMM d, yyyy",
+           "3 Feb 2024": "d MMM yyyy", " 3 March 2024 7:05 pm ": "d MMMM yyyy h:mm a", "2024-02-03": fn.ISO, "soon": fn.ISO, "": fn.ISO, None: fn.ISO}
+
+
+def test_guess_datetime_format():
+    assert {v: fn.guess_datetime_format(v) for v in FORMATS} == FORMATS
+
+
+def test_first_value_fixes_the_format(spark):
+    rows = [(3, "2024-02-05", "5 Feb 2024", None), (1, None, " ", ""), (2, " 02/03/2024 ", "3 Feb 2024 07:05:09", " "),
+            (4, "14/03/2024", "4 feb 2024 7:05:10", None), (5, "2/4/2024", "2024-02-04", None), (6, "02/30/2024", "x", None)]
+    df = spark.createDataFrame(rows, "pos int, a string, b string, c string").repartition(4)
+    formats = fn.infer_datetime_formats(df, ["a", "b", "c"], ["pos"])
+    assert formats == {"a": "M/d/yyyy", "b": "d MMM yyyy H:mm:ss", "c": fn.ISO}
+    got = {r.pos: (r.a, r.b, r.c) for r in df.select("pos", *[fn.parse_datetime_utc(c, f).alias(c) for c, f in formats.items()]).collect()}
+    day = dt.datetime
+    assert got == {1: (None, None, None), 2: (day(2024, 2, 3), day(2024, 2, 3, 7, 5, 9), None), 3: (None, None, None),
+                   4: (None, day(2024, 2, 4, 7, 5, 10), None), 5: (day(2024, 2, 4), None, None), 6: (None, None, None)}
+    assert fn.infer_datetime_formats(df.limit(0), ["a"], ["pos"]) == {"a": fn.ISO}
+
+
+def test_cleaning_job_infers_dates(spark):
+    from strata.plans.cleaning_job import Roles, clean_domain
+    a = spark.createDataFrame([("1", "AAA")], "id string, code string")
+    p = spark.createDataFrame([("1", "yes", "13.01.2024")], "id string, is_kyc_approved string, approved string")
+    t = spark.createDataFrame([("1", "1", "14/01/2024 10:00"), ("2", "1", "2/1/2024 9:30"), ("3", "1", "2024-01-20")], "id string, player_id string, timestamp string")
+    order = {k: ["id"] for k in ("affiliates", "players", "transactions")}
+    res = clean_domain(a, p, t, Roles(ply_kyc_date="approved"), order, infer_dates=True)
+    assert [(r.id, r.timestamp) for r in res.transactions.orderBy("id").collect()] == [("1", dt.datetime(2024, 1, 14, 10)), ("3", None)]
+    audit = {r.rule: r.rows_affected for r in res.audit.collect()}
+    assert audit["drop_before_approval"] == 1
