@@ -13,14 +13,21 @@ from ._common import _BYTE, _mix, splitmix
 class PieceTable:
     """``encode(list of byte strings) -> list of id arrays`` runs once per piece it does not hold.
 
-    ``limit`` bounds the pieces held; beyond it the table starts anew, which never changes a result.
+    ``limit`` bounds the bytes held; beyond it the table starts anew, which never changes a result.  A worker that lives on
+    after its partition calls ``clear``, so that the table does not stay beside other operators' memory.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], kind: str, limit: int = 2_000_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], kind: str, limit: int = 24 << 20):
         self.encode, self.kind, self.limit = encode, kind, limit
+        self.clear()
+
+    def clear(self) -> None:
         self.powers = splitmix(1 << 12, 99)
         self._reset(1 << 16)
 
+    def held(self) -> int:
+        return sum(a.nbytes for a in (self.slot_key, self.slot_at, self.key, self.start, self.blob))
+
     def _reset(self, slots: int) -> None:
         self.slot_key = np.zeros(slots, np.uint64)
         self.slot_at = np.zeros(slots, np.int32)
@@ -100,7 +107,7 @@ class PieceTable:
         if (at < 0).any():
             miss = np.flatnonzero(at < 0)
             new, first = np.unique(h[miss], return_index=True)
-            if self.n + len(new) > self.limit:
+            if self.n and self.held() > self.limit:
                 self._reset(1 << 16)
                 new, first = np.unique(h, return_index=True)
                 miss = np.arange(len(h))

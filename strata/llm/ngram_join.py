@@ -44,11 +44,13 @@ BITS = 1024
 HEAD_ROUNDS = 3
 #: Document ids up to which they are broadcast to pick texts; beyond it the texts are shuffled.
 SMALL = 1 << 20
+#: Text bytes shingled in one step: word arrays take some 80 bytes for each of them.
+SLICE = 1 << 18
 
 
 def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text."""
-    for a, _, data, offsets in text_slices(texts):
+    for a, _, data, offsets in text_slices(texts, SLICE):
         h, bounds = Words(data, offsets, lower=True).shingles(k)
         for i, (x, y) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
             yield a + i, np.unique(h[x:y])

@@ -88,7 +88,7 @@ class Model:
         for i in range(n):
             if sp.is_unknown(i):
                 self.surface[i], self.unknown, self.unknown_text = sp.decode([i]).encode(), i, sp.decode([i])
-        self.table = PieceTable(self._words, "<u4", 1_500_000)
+        self.table = PieceTable(self._words, "<u4")
         for probe in ("", " a  b", "The  quick\tbrown\n\nfox's  日本語 \U0001f600 ▁x", "aaaaaaa bbbb",
                       *(" " * k + x for k in range(3 * self.spaces + 2) for x in ("", "x"))):
             if self.encode([probe])[0].tolist() != sp.encode(probe) or self.decode(sp.encode(probe)) != sp.decode(sp.encode(probe)):
@@ -273,6 +273,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 exact = [m.decode(x) == t for x, t in zip(ids, some)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pa.array(exact)],
                                                  [*batch.schema.names, "ids", "exact"])
+        m.table.clear()
 
     base = docs.drop("ids", "exact")
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType())]))
@@ -306,5 +307,6 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
                      pa.array([sha(",".join(map(m.decimal.__getitem__, x.tolist())).encode()) for x in ids]),
                      pa.array([sha(m.decode(x).encode()) for x in ids])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        m.table.clear()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -173,6 +173,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, r
                 out = [frame(struct.pack("<Bq", (doc is None) + 2 * enc.wide, doc or 0) + packed.tobytes() + end)[:-1]  # the writer ends the record
                        for doc, packed in zip(ids.slice(a, b - a).to_pylist(), enc.encode(texts))]
                 yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
+        enc.table.clear()
 
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
      .repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first())

@@ -274,3 +274,27 @@ def test_footrule():
         want = np.array([sum(abs(a.get(p, pivots.length) - j) for j, p in enumerate(order[i].tolist())) for a in at])
         d = shard.footrule(order[i])
         assert np.array_equal(d - d[0], want - want[0])
+
+
+def test_piece_table_is_bounded_in_bytes():
+    from strata.llm._pieces import PieceTable
+    calls = []
+
+    def encode(pieces):
+        calls.extend(pieces)
+        return [np.frombuffer(p, np.uint8).astype("<u4") for p in pieces]
+
+    rng = random.Random(6)
+    pieces = [bytes(rng.choices(b"abcdefgh", k=rng.randint(1, 9))) for _ in range(60_000)]
+    for limit in (1 << 20, 1 << 28):
+        t = PieceTable(encode, "<u4", limit)
+        calls.clear()
+        for a in range(0, len(pieces), 3000):
+            some = pieces[a:a + 3000]
+            start = np.cumsum([0, *map(len, some)])[:-1]
+            ids, count = t.ids(np.frombuffer(b"".join(some), np.uint8), start)
+            assert ids.tolist() == list(b"".join(some)) and count.tolist() == [len(p) for p in some]
+            assert t.held() <= 3 * limit
+        assert (len(calls) == len(set(pieces))) == (limit == 1 << 28)
+    t.clear()
+    assert t.n == 0 and t.held() < 2 << 20
