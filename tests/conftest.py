@@ -15,7 +15,7 @@ if ROOT not in sys.path:
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
 
-# The three raw sample tables of the reference (its only shipped data), as text.
+# Fixed values (golden input): the three shipped raw sample tables, as text.
 AFFILIATES_CSV = """id,code,origin,redeemed_at
 1,DWEHSP,YouTube,2024-01-10 17:07:01+00:00
 2,QGKTBC,Discord,2024-02-13 05:40:50+00:00
