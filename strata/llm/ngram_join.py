@@ -14,8 +14,10 @@ which lists count as long, any common order gives the same links.
 
 Equal sets are one class.  The result wants components, not pairs: a first pass checks
 each posting against its two predecessors and the first of its list, then the largest component of each
-list against the others on it; the second pass compares, inside lists that still hold several components, what is not yet connected, in blocks of ``BLOCK``
-postings.  Parity bitmaps of the sets bound the overlap from above before any set is fetched.
+list against the others on it.  The second pass takes lists that still hold several components in blocks of
+``BLOCK`` postings: inside blocks, then members outside the largest component across blocks.  Parity bitmaps bound the
+overlap from above; members with a possible partner travel once, as groups, and are verified with their sets in one
+task that joins components as it goes, so a group gives fewer links than it has members.
 
 Words are runs without ASCII white space, A-Z lowered.  Defined cases: a document with fewer words
 than ``k`` has its whole sequence as one shingle; null, empty and blank texts have the empty set
@@ -37,11 +39,12 @@ from ._common import Words, _mix, components, drop_table, shuffle_partitions, sp
 
 #: Most frequent shingles whose counts order the lists (8 + 8 bytes each).
 HOT = 1 << 16
-#: Postings of one list that meet in one task, twice.
+#: Postings of one list, and shingles of their documents, in one block; two blocks meet in a task.
 BLOCK = 512
+SHINGLES = 1 << 20
 BITS = 1024
 #: Rounds that check the largest component of each list against the rest; they only save work later.
-HEAD_ROUNDS = 3
+HEAD_ROUNDS = 1
 #: Document ids up to which they are broadcast to pick texts; beyond it the texts are shuffled.
 SMALL = 1 << 20
 #: Text bytes shingled in one step: word arrays take some 80 bytes for each of them.
@@ -189,86 +192,147 @@ def _possible(percent: int):
     return run
 
 
-def _apart(percent: int):
-    """Groups of postings of one list -> pairs of different components whose bitmaps allow a link."""
-
-    def pairs(n: np.ndarray, doc: np.ndarray, comp: np.ndarray, side: np.ndarray, bitmaps: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        order = np.lexsort((doc, n))
-        n, doc, comp, side = n[order], doc[order], comp[order], side[order]
-        raw = [np.frombuffer(bitmaps[i], np.uint64) for i in order.tolist()]
-        for x in range(len(n)):
-            # partners are behind x in size order and at most n / similarity large
-            end = int(np.searchsorted(n, n[x] * 100 // percent, side="right"))
-            y = np.arange(x + 1, end)
-            y = y[(comp[y] != comp[x]) & ((side[y] != side[x]) | (side[x] == 0)) & (doc[y] != doc[x])]
+def _partners(percent: int, n: np.ndarray, doc: np.ndarray, side: np.ndarray, raw: list, label: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member (ascending by ``n``) the later ones of another label that its bitmap allows to
+    link with; ``label`` may be changed by the reader on the way.  Members of one side (1 or 2) do not meet."""
+    for x in range(len(n)):
+        # partners are behind x in size order and at most n / similarity large
+        end = int(np.searchsorted(n, n[x] * 100 // percent, side="right"))
+        y = np.arange(x + 1, end)
+        y = y[(label[y] != label[x]) & ((side[y] != side[x]) | (side[x] == 0)) & (doc[y] != doc[x])]
+        if len(y):
+            words = min(len(raw[x]), min(len(raw[i]) for i in y.tolist()))
+            mine = _fold(raw[x], words)
+            theirs = np.array([raw[i] if len(raw[i]) == words else _fold(raw[i], words) for i in y.tolist()])
+            y = y[_near(percent, n[x], n[y], np.bitwise_count(theirs ^ mine).sum(axis=1).astype(np.int64))]
             if len(y):
-                words = min(len(raw[x]), min(len(raw[i]) for i in y.tolist()))
-                mine = _fold(raw[x], words)
-                theirs = np.array([raw[i] if len(raw[i]) == words else _fold(raw[i], words) for i in y.tolist()])
-                y = y[_near(percent, n[x], n[y], np.bitwise_count(theirs ^ mine).sum(axis=1).astype(np.int64))]
-                if len(y):
-                    yield np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])
+                yield x, y
+
+
+def _by_group(keys: list[str], one):
+    """A function over batches sorted by ``keys`` that gives ``one(group)`` of every whole group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
+        def edges(t: pa.Table) -> np.ndarray:
+            moved = np.zeros(max(len(t) - 1, 0), bool)
+            for k in keys:
+                c = t.column(k).to_numpy()
+                moved |= c[1:] != c[:-1]
+            return np.flatnonzero(moved) + 1
+
         def groups(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            key, i, j, part, n, doc, comp = (t.column(c).to_numpy() for c in ("key", "i", "j", "part", "n", "doc", "comp"))
-            cut = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            out = []
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
+            cut = edges(t).tolist()
+            for a, b in zip([0, *cut], [*cut, len(t)]):
                 if b - a > 1:
-                    side = np.zeros(b - a, int) if i[a] == j[a] else 1 + (part[a:b] == j[a])
-                    out += pairs(n[a:b], doc[a:b], comp[a:b], side, t.column("bitmap").slice(a, b - a).to_pylist())
-            if out:
-                found = np.unique(np.column_stack([np.concatenate(c) for c in zip(*out)]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+                    yield from one(t.slice(a, b - a))
 
         for batch in batches:
             if not len(batch):
                 continue
             t = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-            before = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
-            end = int(before[-1]) + 1 if len(before) else 0
+            cut = edges(t)
+            end = int(cut[-1]) if len(cut) else 0
             if end:
                 yield from groups(t.slice(0, end))
-            held = t.slice(end)  # the last group may go on in the next batch; it has 2 * BLOCK rows at most
+            held = t.slice(end)  # the last group may go on in the next batch; it has two blocks of rows at most
         if held is not None:
             yield from groups(held)
 
     return run
 
 
-def _links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: the smaller set's shingles are probed in the larger sorted set."""
+def _candidates(percent: int):
+    """Postings of one list that meet -> those with a partner that bitmaps allow, in groups joined by such
+    partners.  At most one row a posting; a group that many lists give has one id."""
+
+    def one(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        n, doc, comp, part = (t.column(c).to_numpy() for c in ("n", "doc", "comp", "part"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        order = np.lexsort((doc, n))
+        n, doc, comp, part = n[order], doc[order], comp[order], part[order]
+        bitmaps = t.column("bitmap").to_pylist()
+        raw = [np.frombuffer(bitmaps[r], np.uint64) for r in order.tolist()]
+        side = np.zeros(len(n), np.int32) if i == j else (1 + (part == j)).astype(np.int32)
+        group, found = np.arange(len(n)), np.zeros(len(n), bool)
+        for x, y in _partners(percent, n, doc, side, raw, comp):
+            found[x] = found[y] = True
+            old = np.unique(np.append(group[y], group[x]))
+            if len(old) > 1:
+                group[np.isin(group, old)] = old[0]
+        at = np.flatnonzero(found)
+        if len(at):
+            with np.errstate(over="ignore"):
+                member = _mix(doc[at].view(np.uint64) * np.uint64(3) + side[at].astype(np.uint64))
+                total = np.zeros(len(n), np.uint64)
+                np.add.at(total, group[at], member)
+                gid = _mix(total[group[at]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gid.view(np.int64)), pa.array(side[at]), pa.array(doc[at]), pa.array(comp[at])], ["gid", "side", "doc", "comp"])
+
+    return _by_group(["key", "i", "j"], one)
+
+
+def _joined(percent: int):
+    """Groups of candidates with their sets -> the links that join their components: fewer than members."""
+
+    def one(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("shingles")]
+        n, doc, comp, side = np.array([len(s) for s in sets]), *(t.column(c).to_numpy() for c in ("doc", "comp", "side"))
+        order = np.lexsort((doc, n))
+        n, doc, label, side = n[order], doc[order], comp[order].copy(), side[order]
+        sets = [sets[r] for r in order.tolist()]
+        out = []
+        for x, y in _partners(percent, n, doc, side, [_bitmap(s) for s in sets], label):
+            for z in y.tolist():
+                if label[z] != label[x] and _linked(percent, sets[x], sets[z]):
+                    out.append((doc[x], doc[z]))
+                    label[label == label[z]] = label[x]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in out], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    return _by_group(["gid"], one)
+
+
+def _linked(percent: int, x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the similarity: the smaller one is probed in the larger."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _set_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, shingles) of the documents in ``ids`` (distinct doc_id)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), []
             for i, s in _sets(batch.column(1), k):
-                rows.append((ids[i], s.tobytes()))
+                if len(s):
+                    rows.append((ids[i], s.tobytes()))
                 if len(rows) == 256 or i + 1 == len(batch):
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["id", "shingles"])
                     rows = []
 
+    ids = write_table(ids, "ngram-ids")
+    if ids.count() <= SMALL:
+        ids = F.broadcast(ids)  # checked: 8 bytes each
+    return write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+                       .select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "ngram-sets")
+
+
+def _links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link."""
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(keep, pa.bool_())
+            keep = pa.array([_linked(percent, *(np.frombuffer(v.as_buffer(), np.uint64) for v in xy))
+                             for xy in zip(batch.column(2), batch.column(3))], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    ids = write_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ngram-ids")
-    if ids.count() <= SMALL:
-        ids = F.broadcast(ids)  # checked: 8 bytes each
-    held = write_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-                       .select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"), "ngram-sets")
+    held = _set_table(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
     left, right = held.toDF("a", "x"), held.toDF("b", "y")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(probe, "a long, b long").distinct()
 
@@ -319,18 +383,42 @@ def join_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
         more = write_table(verified(placed.join(tops, "key").filter("comp <> top").filter(fits).select(F.col("doc").alias("d"), "p")), "ngram-links")
         comp = extended(comp, more)
 
-    # Second pass: what shares a list and is not connected yet.
-    placed = with_components(comp)
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
-             .filter("low < high").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    active = (placed.join(mixed, "key").join(sizes.select(F.col("doc_id").alias("doc"), "n", "bitmap"), ["doc", "n"])
-              .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-              .select("key", "i", "j", "part", "n", "doc", "comp", "bitmap")
-              .repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    late = write_table(active.mapInArrow(_apart(percent), "a long, b long").distinct(), "ngram-late-pairs")
-    comp = extended(comp, write_table(_links(docs, late, k, percent), "ngram-links"))
+    def blocks(count: str, shingles: str):
+        return F.ceil(F.greatest(F.col(count) / BLOCK, F.col(shingles) / SHINGLES)).cast("int")
+
+    def met(comp: DataFrame, across: bool) -> DataFrame:
+        """Postings of lists with several components, once for each block that they meet.  Inside: a list is cut
+        into blocks.  Across: the members outside its largest component, in blocks, meet one another and the
+        blocks of the largest component, whose members do not meet."""
+        placed = with_components(comp)
+        parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+        whole = (parts.groupBy("key").agg(F.max(F.struct("c", "comp", "s")).alias("top"), F.sum("c").alias("members"), F.sum("s").alias("size"),
+                                          F.count("*").alias("parts"))
+                 .filter("parts > 1").withColumn("all", blocks("members", "size")))
+        if across:
+            whole = (whole.filter("`all` > 1").selectExpr("key", "top.comp AS top", "top.c AS tc", "top.s AS ts", "members - top.c AS oc", "size - top.s AS os")
+                     .withColumn("low", blocks("tc", "ts")).withColumn("high", blocks("oc", "os")).select("key", "top", "low", "high"))
+            spread = lambda of: F.pmod(F.xxhash64("doc"), F.col(of)).cast("int")
+            rows = (placed.join(whole, "key")
+                    .withColumn("part", F.when(F.col("comp") == F.col("top"), spread("low")).otherwise(F.col("low") + spread("high")))
+                    .withColumn("other", F.explode(F.sequence(F.when(F.col("comp") == F.col("top"), F.col("low")).otherwise(F.lit(0)),
+                                                              F.col("low") + F.col("high") - 1))))
+        else:
+            rows = (placed.join(whole.select("key", "all"), "key")
+                    .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("all")).cast("int")).withColumn("other", F.col("part")))
+        return (rows.join(sizes.select(F.col("doc_id").alias("doc"), "n", "bitmap"), ["doc", "n"])
+                .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+                .select("key", "i", "j", "part", "n", "doc", "comp", "bitmap")
+                .repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+    # Second pass: what shares a list and is not connected yet, first inside blocks, then across them.
+    for across in (False, True):
+        groups = write_table(met(comp, across).mapInArrow(_candidates(percent), "gid long, side int, doc long, comp long").distinct(), "ngram-groups")
+        if not groups.isEmpty():
+            held = _set_table(docs, groups.select(F.col("doc").alias("doc_id")).distinct(), k)
+            links = (groups.join(held.withColumnRenamed("id", "doc"), "doc").select("gid", "side", "doc", "comp", "shingles")
+                     .repartition(n_parts, "gid").sortWithinPartitions("gid").mapInArrow(_joined(percent), "a long, b long"))
+            comp = extended(comp, write_table(links, "ngram-links"))
     drop_table(lists)
 
     o, c = outline.select("doc_id", *whole).alias("o"), classes.join(comp, F.col("rep") == F.col("id"), "left").alias("c")
