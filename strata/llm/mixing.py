@@ -1,18 +1,21 @@
 """Mixing sources to target weights with DataFrame functions only.
 
 Each source's words are packed, in a pseudorandom document order, into blocks of
-``block`` words.  Output shards of ``shard`` slots draw their source counts from a
-multinomial distribution (one uniform offset a shard, then equal steps through the
-cumulative weights, which keeps every count within one of its expectation).  Slot i of
-a source reads block perm(i mod n_blocks) of pass i / n_blocks, perm being an affine
-permutation of the source's block indices; blocks meet their documents by index.
-
-Targets stop at ``cap`` times a source's size, so no block is read more than ``cap``
+``block`` words.  The slots that the targets give the sources lie on one line, which a
+pseudorandom permutation deals over the output shards of ``shard`` slots: the source counts of
+a shard are a multinomial draw given the totals (so the totals meet the targets, which free
+draws would miss).  Slot i of a source reads block perm(i mod n_blocks) of pass i / n_blocks;
+every source and pass has a permutation of its own, and blocks meet their documents by index.
+Permutations are swap-or-not shuffles: bijections on any number of indices, computed from the index alone.
+
+Targets stop at ``cap`` times a source's size, so no block is read more than ``ceil(cap)``
 times.  All draws are hashes of indices: reruns agree, whatever the partitioning.
 
 Defined cases: a null text has no words; a null source is a source of its own, last in
-order; rows that share a doc_id are separate documents with equal texts ordered by a
-hash of the text; sources without words get target 0; an empty table gives no rows.
+order; rows that share a doc_id are separate documents, equal ones too: copies of a row are
+numbered, each reads its own blocks; sources without words get target 0; an empty table gives
+no rows; other columns pass through, whatever their names.  One row per source passes one task
+(running sums over sources).
 """
 
 from __future__ import annotations
@@ -25,13 +28,13 @@ from pyspark.sql import Window
 
 from ._common import WHITESPACE, shuffle_partitions, write_table
 
-#: Multipliers of the index permutations: primes above any block count below 2**61, so coprime to it.
-PRIMES = (2305843009213693951, 4611686018427387847, 9223372036854775783)
 WORD = rf"[^{WHITESPACE}]+"
 #: Documents in one bucket of the running sums.
 BUCKET = 2048
-#: Shards in one chunk of the draw.
-CHUNK = 256
+#: Slots, or copies of a row, that are made from one row.
+CHUNK = 1 << 16
+#: Rounds of a permutation.
+ROUNDS = 24
 
 
 def _size(text: Column) -> Column:
@@ -60,71 +63,76 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     return s.select("source", "source_size", "w", F.least("limit", F.coalesce(level * F.col("w"), F.col("limit"))).alias("target"))
 
 
+def _sizes(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, text_id, copies) of the distinct documents."""
+    rows = docs.select("doc_id", "source", _size(F.col("text")).alias("size"), F.xxhash64("text").alias("text_id"))
+    return write_table(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")), "mix-sizes")
+
+
+def _chunked(df: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row of ``df`` ``count`` times, numbered by ``name``; large counts are dealt over tasks."""
+    few, many = df.filter(F.col(count).between(1, CHUNK)), df.filter(F.col(count) > CHUNK)
+    few = few.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
+    many = (many.withColumn(name, F.explode(F.expr(f"sequence(0L, ({count} - 1) div {CHUNK})")))
+            .repartition(shuffle_partitions(df.sparkSession))
+            .withColumn(name, F.explode(F.expr(f"sequence({name} * {CHUNK}, least({name} * {CHUNK} + {CHUNK}, {count}) - 1)"))))
+    return few.unionByName(many).drop(count)
+
+
 def _packed(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents with their place in the word stream of their source, and the sizes by source.
 
     Running sums go over (source, bucket) groups of bounded size, then over buckets.
     """
-    buckets = max(1, base.count() // BUCKET)
-    base = base.withColumn("at", F.xxhash64("doc_id", "text_id")).withColumn("bucket", F.pmod(F.col("at"), F.lit(buckets)))
+    buckets = max(1, (base.agg(F.sum("copies")).first()[0] or 0) // BUCKET)
+    base = (_chunked(base, "copies", "copy").withColumn("at", F.xxhash64("doc_id", "text_id", "copy"))
+            .withColumn("bucket", F.pmod(F.col("at"), F.lit(buckets))))
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     starts = sums.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n")).drop("n")
-    inside = Window.partitionBy("source", "bucket").orderBy("at", "doc_id", "text_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("at", "doc_id", "text_id", "copy").rowsBetween(Window.unboundedPreceding, 0)
     placed = (base.withColumn("run", F.sum("size").over(inside) - F.col("size")).alias("d")
               .join(starts.alias("s"), F.expr("d.source <=> s.source AND d.bucket = s.bucket"))
-              .select("d.doc_id", "d.text_id", "d.source", "d.size", (F.col("run") + F.col("base")).alias("start")))
+              .select("d.doc_id", "d.text_id", "d.copy", "d.source", "d.size", (F.col("run") + F.col("base")).alias("start")))
     return placed, sums.groupBy("source").agg(F.sum("n").alias("source_size"))
 
 
+def permuted(index: Column, n: Column, key: Column) -> Column:
+    """A pseudorandom bijection of 0 .. n - 1, chosen by ``key`` (a long): in each round an index and its
+    mirror image change places or not, by a hash of the larger of the two."""
+
+    def turn(x: Column, r: Column) -> Column:
+        mirror = F.pmod(F.pmod(F.xxhash64(key, r), n) - x, n)
+        return F.when(F.xxhash64(key, r, F.greatest(x, mirror)) >= 0, mirror).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, turn)
+
+
 def block_reads(sources: DataFrame, block: int, shard: int, cap: float, seed: int) -> DataFrame:
     """(source, block, pass, k, i): the block that slot i of each source reads, in shard k.
 
     ``sources`` has one row per source with source_size and target.
     """
     all_, order = Window.partitionBy(), Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
-    s = (sources.withColumn("n_blocks", F.ceil(F.col("source_size") / block).cast("long"))
-         # the last block is shorter than the others: count slots in mean blocks, so words meet the target
-         .withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
-         .withColumn("hi", F.sum("slots").over(order)).withColumn("lo", F.col("hi") - F.col("slots"))
-         .withColumn("all_slots", F.max("hi").over(all_)))
-    # Shard k owns the slots [k * shard, (k + 1) * shard) of a line on which source s is repeated
-    # in proportion; its own uniform offset shifts the equal steps of the draw.  Shards are made and
-    # summed in chunks, so that no task makes or orders all of them.
-    n_shards = F.ceil(F.col("all_slots") / shard).cast("long")
-    n = shuffle_partitions(sources.sparkSession)
-    shards = (s.withColumn("n_shards", n_shards)
-              .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n_shards - 1) div {CHUNK})"))).filter("n_shards > 0")
-              .repartition(n, "source", "chunk")
-              .withColumn("k", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(chunk * {CHUNK} + {CHUNK}, n_shards) - 1)"))))
-    u = F.pmod(F.xxhash64(F.lit(seed), "k"), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    width = F.least(F.lit(float(shard)), F.col("all_slots") - F.col("k") * float(shard))
-    point = lambda edge: F.ceil(edge / F.col("all_slots") * F.col("width") - F.col("u"))
-    drawn = (shards.withColumn("u", u).withColumn("width", width)
-             .withColumn("n", (point(F.col("hi")) - point(F.col("lo"))).cast("long")).filter("n > 0"))
-    chunks = drawn.groupBy("source", "chunk").agg(F.sum("n").alias("m"))
-    chunks = chunks.withColumn("base", F.sum("m").over(Window.partitionBy("source").orderBy("chunk")) - F.col("m"))
-    run = Window.partitionBy("source", "chunk").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    drawn = (drawn.withColumn("run", F.sum("n").over(run) - F.col("n")).alias("d")
-             .join(chunks.alias("c"), F.expr("d.source <=> c.source AND d.chunk = c.chunk"))
-             .select("d.source", "d.k", "d.n", "d.n_blocks", (F.col("d.run") + F.col("c.base")).alias("from")))
-    slot = (drawn.repartition(n, "source", "k")
-            .select("source", "n_blocks", "k", F.explode(F.expr("sequence(`from`, `from` + n - 1)")).alias("i")))
-    # Never beyond cap passes: the few slots that rounding adds past the last pass have no block.
-    slot = slot.filter(F.col("i") < F.col("n_blocks") * int(cap))
-    a = F.element_at(F.array(*[F.lit(p) for p in PRIMES]), (F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(len(PRIMES))) + 1).cast("int"))
-    shift = F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.col("n_blocks"))
-    index = ((F.col("i") % F.col("n_blocks")).cast("decimal(38,0)") * (a % F.col("n_blocks")).cast("decimal(19,0)")
-             + shift.cast("decimal(19,0)")) % F.col("n_blocks").cast("decimal(19,0)")
-    return (slot.select("source", index.cast("long").alias("block"), F.floor(F.col("i") / F.col("n_blocks")).cast("int").alias("pass"), "k", "i"))
+    n_blocks = F.ceil(F.col("source_size") / block).cast("long")
+    # the last block is shorter than the others: count slots in mean blocks, so words meet the target
+    slots = F.least(F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")), F.floor(F.col("n_blocks") * float(cap))).cast("long")
+    s = (sources.filter("source_size > 0").withColumn("n_blocks", n_blocks).withColumn("slots", slots)
+         .withColumn("lo", F.sum("slots").over(order) - F.col("slots")).withColumn("line", F.sum("slots").over(all_))
+         .select("source", "n_blocks", "lo", "line", "slots"))
+    at = permuted(F.col("lo") + F.col("i"), F.col("line"), F.lit(seed).cast("long"))
+    turn = F.expr("i div n_blocks")
+    index = permuted(F.col("i") % F.col("n_blocks"), F.col("n_blocks"), F.xxhash64(F.lit(seed + 1), "source", turn))
+    return _chunked(s, "slots", "i").select("source", index.alias("block"), turn.cast("int").alias("pass"),
+                                            F.floor(at / shard).cast("long").alias("k"), "i")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
         block: int = 64, shard: int = 4096, seed: int = 17) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(segments, sources, sizes).  A segment is a run of words that one slot reads from one
-    document: doc_id, text_id, source, pass, shard, slot, block, offset, from_word, n_words
+    document: doc_id, text_id, copy, source, pass, shard, slot, block, offset, from_word, n_words
     (a document without words has none).  ``sources`` has source, source_size, w, target;
-    ``sizes`` one row per document: doc_id, source, size, text_id."""
-    base = write_table(docs.select("doc_id", "source", _size(F.col("text")).alias("size"), F.xxhash64("text").alias("text_id")), "mix-sizes")
+    ``sizes`` one row per distinct document: doc_id, source, size, text_id, copies."""
+    base = _sizes(docs)
     placed, totals = _packed(base)
     sources = write_table(targets(totals, weights, share, cap), "mix-targets")
     reads = block_reads(sources, block, shard, cap, seed)
@@ -134,33 +142,61 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
               .withColumn("n_words", F.least(F.col("size"), (F.col("block") + 1) * block - F.col("start")) - F.col("from_word"))
               .withColumn("offset", F.col("start") + F.col("from_word") - F.col("block") * block))
     segments = (pieces.alias("p").join(reads.alias("r").hint("merge"), F.expr("p.block = r.block AND p.source <=> r.source"))
-                .select("p.doc_id", "p.text_id", "p.source", "r.pass", F.col("r.k").alias("shard"), F.col("r.i").alias("slot"),
+                .select("p.doc_id", "p.text_id", "p.copy", "p.source", "r.pass", F.col("r.k").alias("shard"), F.col("r.i").alias("slot"),
                         "p.block", "p.offset", "p.from_word", "p.n_words"))
     return segments, sources, base
 
 
+_ROW = ("doc_id", "text_id", "source", "copy")
+
+
+def _same(a: str, b: str, names: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"{a}.{c} <=> {b}.{c}" for c in names))
+
+
 def words_taken(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     segments, sources, sizes = mix(docs, **options)
-    taken = segments.groupBy("doc_id", "text_id").agg(F.sum("n_words").alias("taken"))
-    return (sizes.alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"), "left")
-            .join(taken.alias("t"), F.expr("d.doc_id <=> t.doc_id AND d.text_id <=> t.text_id"), "left")
+    taken = segments.groupBy(*_ROW).agg(F.sum("n_words").alias("taken"))
+    return (_chunked(sizes, "copies", "copy").alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"), "left")
+            .join(taken.alias("t"), _same("d", "t", _ROW), "left")
             .select("d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken")))
 
 
+def _numbered(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(text_id, copy, row): ``docs`` as structs, copies of a document numbered from 0.
+
+    Copies are numbered inside input partitions, then partitions by their counts, so that no document's
+    copies meet in one task; the numbers are written before they are used.
+    """
+    rows = docs.select("doc_id", "source", F.xxhash64("text").alias("text_id"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))
+    many = write_table(sizes.filter("copies > 1 AND size > 0").select("doc_id", "text_id", "source"), "mix-copies")
+    if many.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    own = _ROW[:3]
+    inside = Window.partitionBy(*own, "part").orderBy(F.xxhash64("row"))
+    repeated = write_table(rows.alias("d").join(many.alias("m"), _same("d", "m", own), "left_semi").withColumn("part", F.spark_partition_id())
+                           .withColumn("number", F.row_number().over(inside)), "mix-copies")
+    counts = repeated.groupBy(*own, "part").agg(F.count("*").alias("c"))
+    counts = counts.withColumn("base", F.sum("c").over(Window.partitionBy(*own).orderBy("part")) - F.col("c")).drop("c")
+    repeated = (repeated.alias("d").join(counts.alias("m"), _same("d", "m", (*own, "part")))
+                .select("d.doc_id", "d.source", "d.text_id", "d.row", (F.col("number") + F.col("base") - 1).alias("copy")))
+    once = rows.alias("d").join(many.alias("m"), _same("d", "m", own), "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    return once.unionByName(repeated)
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix reads them, in its own columns: per document and pass one row whose text
     is what the pass reads of it, whole blocks in text order (white space inside and between kept)."""
-    segments, _, _ = mix(docs, **options)
-    runs = (segments.groupBy("doc_id", "text_id", "pass")
-            .agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("_runs"))
-            .toDF("_mix_doc", "_mix_text", "_mix_pass", "_runs"))
-    words = F.regexp_extract_all("text", F.lit(rf"[{WHITESPACE}]*[^{WHITESPACE}]+"), F.lit(0))
-    out = docs.join(runs, F.expr("doc_id <=> _mix_doc") & F.xxhash64("text").eqNullSafe(F.col("_mix_text")))
+    segments, _, sizes = mix(docs, **options)
+    runs = segments.groupBy(*_ROW, "pass").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("runs"))
+    words = F.regexp_extract_all("d.row.text", F.lit(rf"[{WHITESPACE}]*[^{WHITESPACE}]+"), F.lit(0))
     # a lambda variable holds the words, so that they are split once and not for every run
-    text = F.get(F.transform(F.array(words), lambda w: F.array_join(F.transform("_runs", lambda r: F.array_join(
+    text = F.get(F.transform(F.array(words), lambda w: F.array_join(F.transform("r.runs", lambda r: F.array_join(
         F.slice(w, (r["from_word"] + 1).cast("int"), r["n_words"].cast("int")), "")), "")), 0)
-    out = out.withColumn("text", F.btrim(text, F.lit(" \t\n\x0b\f\r")))
+    out = (_numbered(docs, sizes).alias("d").join(runs.alias("r"), _same("d", "r", _ROW))
+           .select("d.row", F.btrim(text, F.lit(" \t\n\x0b\f\r")).alias("read")))
+    new = {"text": F.col("read")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("read").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
