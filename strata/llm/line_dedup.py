@@ -1,15 +1,17 @@
 """Line dedup with DataFrame functions only.
 
-Lines are hashed, range-partitioned by (hash, document) and sorted by document and
+Lines are hashed once, range-partitioned by (hash, document) and sorted by document and
 position inside each range; one streaming pass marks the first line of every
-(hash, document).  Per hash that leaves a document count and the largest document;
-the decision comes back as one compressed bitmap per document (64 lines a word, only
-words with a dropped line), never as text.
+(hash, document).  Per hash and range that leaves a document count and the largest document, and
+few rows join the ranges of a hash that spans several; lines are answered inside their range, so
+that a hot line stays spread.  The decision comes back as one compressed bitmap per document
+(64 lines a word, only words with a dropped line), never as text.
 
 Defined cases: a null text is one empty line; rows without doc_id keep all their lines
 and do not count as holders; rows that share a doc_id are one document for the count,
 and each keeps its own text; an empty table gives empty results; extra columns pass
-through ``apply_bitmaps`` untouched, whatever their names.
+through ``apply_bitmaps`` untouched, whatever their names: where the input has a column
+``n_lines`` or ``n_dropped``, the added one takes underscores in front until its name is free.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ._common import write_table
+from ._common import drop_table, write_table
 
 _SPACES = " \t\n\x0b\f\r"
 _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,14 +52,18 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
              .filter(F.length("line") >= min_chars)
              .select("doc_id", "text_id", "pos", F.xxhash64("line").alias("h1"),
                      F.xxhash64(F.lit("line"), "line").alias("h2")))
+    # Written first: the bounds of the ranges are sampled from hashes, not by cutting the texts again.
+    keyed = write_table(keyed, "line-hashes")
     # Equal (hash, document) rows share a range, a hot hash spans many ranges; the window reads them as sorted.
     first = F.row_number().over(Window.partitionBy("h1", "h2", "doc_id").orderBy("pos", "text_id")) == 1
     ranged = write_table(keyed.repartitionByRange("h1", "h2", "doc_id")
-                         .sortWithinPartitions("h1", "h2", "doc_id", "pos", "text_id").withColumn("first", first), "line-ranges")
-    holders = (ranged.filter("first")
-               .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
-               .filter(F.col("n") >= min_docs).drop("n"))
-    gone = ranged.join(holders, ["h1", "h2"]).filter("doc_id < last")
+                         .sortWithinPartitions("h1", "h2", "doc_id", "pos", "text_id").withColumn("first", first)
+                         .withColumn("range", F.spark_partition_id()), "line-ranges")
+    drop_table(keyed)
+    parts = write_table(ranged.filter("first").groupBy("h1", "h2", "range").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")), "line-holders")
+    holders = parts.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("last").alias("last")).filter(F.col("n") >= min_docs).drop("n")
+    answers = parts.select("h1", "h2", "range").join(holders, ["h1", "h2"])
+    gone = ranged.join(answers, ["h1", "h2", "range"]).filter("doc_id < last")
     word = F.floor(F.col("pos") / 64).cast("int")
     return (gone.groupBy("doc_id", "text_id", word.alias("index"))
             .agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
@@ -70,25 +76,22 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with the kept lines as text (a null text stays null when nothing goes),
     plus ``n_lines`` and ``n_dropped``."""
     taken = set(docs.columns)
-    tag = lambda c: c if c not in taken else tag("_" + c)
-    tid, n_drop, words = tag("text_id"), tag("n_dropped"), tag("words")
-    marks = bitmaps.select(F.col("doc_id").alias("_mark_doc"), F.col("text_id").alias("_mark_text"),
-                           F.col("n_dropped").alias(n_drop), F.col("words").alias(words))
+    free = lambda c: c if c not in taken else free("_" + c)
+    tid, count, dropped, words, doc, mark = (free(c) for c in ("text_id", "n_lines", "n_dropped", "words", "mark_doc", "mark_text"))
+    marks = bitmaps.select(F.col("doc_id").alias(doc), F.col("text_id").alias(mark), F.col("n_dropped").alias(dropped), F.col("words").alias(words))
     out = docs.withColumn(tid, _text_id(F.col("text")))
-    out = out.join(marks, (out["doc_id"] == marks["_mark_doc"]) & (out[tid] == marks["_mark_text"]), "left")
+    out = out.join(marks, (F.col("doc_id") == F.col(doc)) & (F.col(tid) == F.col(mark)), "left")
     gone = F.flatten(F.transform(words, lambda w: F.filter(
         F.sequence(w["index"] * 64, w["index"] * 64 + 63),
         lambda p: F.expr("1").cast("long").eqNullSafe(_bit(w["bits"], p)))))
-    lines = _lines(F.col("text"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    text = F.when(F.col(words).isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda p: F.get(lines, p)), "\n"))
-    out = (out.withColumn("n_lines", F.size(lines).cast("long"))
-           .withColumn("_kept_text", text)
-           .withColumn("n_dropped", F.coalesce(F.col(n_drop), F.lit(0)).cast("long"))
-           .withColumn("text", F.col("_kept_text")))
-    drop = {"_mark_doc", "_mark_text", "_kept_text", tid, words} | ({n_drop} - {"n_dropped"})
-    return out.drop(*drop)
+    # a lambda variable holds the lines, so that they are split once and not for every kept line
+    kept = F.get(F.transform(F.array(_lines(F.col("text"))), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda p: F.get(lines, p)), "\n")), 0)
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    new = {"text": F.when(F.col(words).isNull(), F.col("text")).otherwise(kept)}
+    return out.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns),
+                      (F.coalesce(breaks, F.lit(0)) + 1).cast("long").alias(count),
+                      F.coalesce(F.col(dropped), F.lit(0)).cast("long").alias(dropped))
 
 
 def _bit(bits: Column, p: Column) -> Column:

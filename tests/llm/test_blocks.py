@@ -70,3 +70,22 @@ def test_candidates_and_links_are_fewer_than_members():
     held = found.append_column("shingles", pa.array([sets[d].tobytes() for d in found.column("doc").to_pylist()], pa.binary())).sort_by("gid")
     links = [tuple(r.values()) for b in ngram_join._joined(85)(iter(held.to_batches())) for r in b.to_pylist()]
     assert len(links) == m - 3 and all(a // 40 == b // 40 for a, b in links)
+
+
+def test_line_dedup_of_long_texts_hot_lines_and_clashing_names(spark):
+    """A text of 32,000 lines, a line that spans ranges, and inputs named like the helper columns."""
+    import time
+    from strata.llm import line_dedup
+    hot = "a line that a third of all rows hold"
+    long_text = "\n".join(f"line number {i} of a long text" for i in range(32_000))
+    rows = [(i, long_text + f"\nown line {i} of the text", 1, 2, "x", 3, 4) for i in range(4)]
+    rows += [(10 + i, f"{hot}\nshort\nonly in text {i} of them all\n{hot.upper()}  ", 1, 2, "x", 3, 4) for i in range(3000)]
+    schema = "doc_id long, text string, n_lines int, n_dropped int, mark_doc string, _text_id int, words int"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    t0 = time.time()
+    got = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
+    assert time.time() - t0 < 40  # seconds; quadratic work would take minutes
+    assert [got[i].text.count("\n") for i in range(4)] == [0, 0, 0, 32_000] and got[0]._n_dropped == 32_000 and got[0]._n_lines == 32_001
+    assert all(got[10 + i].text == f"short\nonly in text {i} of them all" and got[10 + i]._n_dropped == 2 for i in range(2999))
+    assert got[3009].text.count(hot) == 1 and got[3009]._n_dropped == 0
+    assert all((r.n_lines, r.n_dropped, r.mark_doc, r._text_id, r.words) == (1, 2, "x", 3, 4) for r in got.values())
