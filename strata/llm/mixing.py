@@ -32,7 +32,7 @@ WORD = rf"[^{WHITESPACE}]+"
 #: Documents in one bucket of the running sums.
 BUCKET = 2048
 #: Slots, or copies of a row, that are made from one row.
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 #: Rounds of a permutation.
 ROUNDS = 24
 
@@ -69,14 +69,16 @@ def _sizes(docs: DataFrame) -> DataFrame:
     return write_table(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")), "mix-sizes")
 
 
-def _chunked(df: DataFrame, count: str, name: str) -> DataFrame:
-    """Each row of ``df`` ``count`` times, numbered by ``name``; large counts are dealt over tasks."""
-    few, many = df.filter(F.col(count).between(1, CHUNK)), df.filter(F.col(count) > CHUNK)
-    few = few.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
-    many = (many.withColumn(name, F.explode(F.expr(f"sequence(0L, ({count} - 1) div {CHUNK})")))
-            .repartition(shuffle_partitions(df.sparkSession))
-            .withColumn(name, F.explode(F.expr(f"sequence({name} * {CHUNK}, least({name} * {CHUNK} + {CHUNK}, {count}) - 1)"))))
-    return few.unionByName(many).drop(count)
+def _dealt(df: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row of ``df`` ``count`` times, numbered by ``name``, dealt over tasks in chunks."""
+    return (df.withColumn(name, F.explode(F.expr(f"sequence(0L, ({count} - 1) div {CHUNK})"))).repartition(shuffle_partitions(df.sparkSession))
+            .withColumn(name, F.explode(F.expr(f"sequence({name} * {CHUNK}, least({name} * {CHUNK} + {CHUNK}, {count}) - 1)"))).drop(count))
+
+
+def _copied(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as often as ``copies`` says, numbered by ``copy``; only rows of many copies are dealt."""
+    few = df.filter(F.col("copies") <= CHUNK).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    return few.drop("copies").unionByName(_dealt(df.filter(F.col("copies") > CHUNK), "copies", "copy"))
 
 
 def _packed(base: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,7 +87,7 @@ def _packed(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     Running sums go over (source, bucket) groups of bounded size, then over buckets.
     """
     buckets = max(1, (base.agg(F.sum("copies")).first()[0] or 0) // BUCKET)
-    base = (_chunked(base, "copies", "copy").withColumn("at", F.xxhash64("doc_id", "text_id", "copy"))
+    base = (_copied(base).withColumn("at", F.xxhash64("doc_id", "text_id", "copy"))
             .withColumn("bucket", F.pmod(F.col("at"), F.lit(buckets))))
     sums = base.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     starts = sums.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n")).drop("n")
@@ -122,7 +124,7 @@ def block_reads(sources: DataFrame, block: int, shard: int, cap: float, seed: in
     at = permuted(F.col("lo") + F.col("i"), F.col("line"), F.lit(seed).cast("long"))
     turn = F.expr("i div n_blocks")
     index = permuted(F.col("i") % F.col("n_blocks"), F.col("n_blocks"), F.xxhash64(F.lit(seed + 1), "source", turn))
-    return _chunked(s, "slots", "i").select("source", index.alias("block"), turn.cast("int").alias("pass"),
+    return _dealt(s.filter("slots > 0"), "slots", "i").select("source", index.alias("block"), turn.cast("int").alias("pass"),
                                             F.floor(at / shard).cast("long").alias("k"), "i")
 
 
@@ -158,7 +160,7 @@ def words_taken(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     segments, sources, sizes = mix(docs, **options)
     taken = segments.groupBy(*_ROW).agg(F.sum("n_words").alias("taken"))
-    return (_chunked(sizes, "copies", "copy").alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"), "left")
+    return (_copied(sizes).alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"), "left")
             .join(taken.alias("t"), _same("d", "t", _ROW), "left")
             .select("d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("t.taken", F.lit(0)).cast("long").alias("taken")))
 
