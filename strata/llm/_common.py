@@ -41,6 +41,11 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores in front as make it none of ``taken`` (in any case of letters)."""
+    return name if name.lower() not in {c.lower() for c in taken} else free_name("_" + name, taken)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

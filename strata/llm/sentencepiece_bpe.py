@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ._common import text_slices
+from ._common import free_name, text_slices
 from ._pieces import PieceTable
 
 _SPACE = "▁"
@@ -259,7 +259,9 @@ def model(path: str) -> Model:
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with columns ``ids`` (array of int, the ids of ``text``) and ``exact`` (whether decoding
-    them gives ``text`` back: not so where the text has U+2581, the model's own sign for a space)."""
+    them gives ``text`` back: not so where the text has U+2581, the model's own sign for a space).
+    Where ``docs`` has a column of such a name, the added one takes underscores in front until its name is free."""
+    added = [free_name(c, docs.columns) for c in ("ids", "exact")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
@@ -272,25 +274,25 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 flat = np.concatenate(ids).astype(np.int32)
                 exact = [m.decode(x) == t for x, t in zip(ids, some)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pa.array(exact)],
-                                                 [*batch.schema.names, "ids", "exact"])
+                                                 [*batch.schema.names, *added])
         m.table.clear()
 
-    base = docs.drop("ids", "exact")
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("exact", T.BooleanType())]))
+    types = (T.ArrayType(T.IntegerType()), T.BooleanType())
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *map(T.StructField, added, types)]))
 
 
-def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``encoded`` with a column ``decoded``: the text of ``ids`` (null: empty)."""
+def decode(encoded: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
+    """``encoded`` with a column ``decoded`` (named as in ``encode``): the text of the ids in column ``ids`` (null: empty)."""
+    added = free_name("decoded", encoded.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            text = [m.decode(x.values.to_numpy(zero_copy_only=False) if x.is_valid else []) for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, "decoded"])
+            coded = batch.column(batch.schema.get_field_index(ids))
+            text = [m.decode(x.values.to_numpy(zero_copy_only=False) if x.is_valid else []) for x in coded]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, added])
 
-    base = encoded.drop("decoded")
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("decoded", T.StringType())]))
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(added, T.StringType())]))
 
 
 def round_trip(docs: DataFrame, model_path: str) -> DataFrame:

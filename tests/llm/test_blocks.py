@@ -89,3 +89,25 @@ def test_line_dedup_of_long_texts_hot_lines_and_clashing_names(spark):
     assert all(got[10 + i].text == f"short\nonly in text {i} of them all" and got[10 + i]._n_dropped == 2 for i in range(2999))
     assert got[3009].text.count(hot) == 1 and got[3009]._n_dropped == 0
     assert all((r.n_lines, r.n_dropped, r.mark_doc, r._text_id, r.words) == (1, 2, "x", 3, 4) for r in got.values())
+
+
+def test_sentencepiece_keeps_columns_of_clashing_names(spark):
+    from strata.llm import sentencepiece_bpe
+    from strata.llm.queries import tokenizer_path
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "some words here", 7, "e", "d"), (2, None, 8, None, None)], "doc_id long, text string, ids int, Exact string, decoded string")
+    coded = sentencepiece_bpe.encode(docs, path)
+    assert coded.columns == [*docs.columns, "_ids", "_exact"]
+    rows = {r.doc_id: r for r in sentencepiece_bpe.decode(coded, path, "_ids").collect()}
+    assert (rows[1].ids, rows[1].Exact, rows[1].decoded, rows[1]._decoded, rows[1]._exact) == (7, "e", "d", "some words here", True)
+    assert (rows[2].ids, rows[2]._decoded, rows[2]._ids) == (8, "", [])
+
+
+def test_pipeline_mixing_of_clashing_names(spark):
+    """A corpus whose columns are named like helper columns passes the mixing stage whole."""
+    from strata.llm import mixing
+    names = ["_runs", "_mix_doc", "row", "runs", "copy", "read", "pass"]
+    docs = spark.createDataFrame([(i, f"some words {i} " * 40, "a", *range(7)) for i in range(20)],
+                                 "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and all(tuple(r)[3:] == tuple(range(7)) for r in out.collect()) and out.count() >= 20
