@@ -564,6 +564,8 @@ WHERE h.id IS NULL OR c.updated_at > h.dbt_updated_at""", SNAP_CTES)
 
 # ---------------------------------------------------------------- sources, sinks, pipeline
 ORACLES["src_csv_scan"] = ORACLES["br_players"]
+reg("src_csv_line_breaks", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, NULLIF(text, '') AS text, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source FROM documents""")
 reg("src_csv_dir", """
 SELECT 'affiliates' AS table_name, COUNT(*) AS row_count FROM raw_affiliates
 UNION ALL SELECT 'players', COUNT(*) FROM raw_players

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from strata.plans import binding
 from strata.plans import layers as L
 from strata.session import configure
+from strata.sources.csv_records import read_csv_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -715,6 +716,14 @@ def _src01(spark, sf_dir):
     return L.br_players(back)
 
 
+@query("src_csv_line_breaks")
+def _src01_records(spark, sf_dir):
+    """documents (texts with line breaks and quotes) → CSV → read by splits."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    path = IO.write_raw_csv(docs, _scratch(spark, "documents.csv"), multi_line=True)
+    return read_csv_records(spark, path)
+
+
 @query("src_csv_dir")
 def _src02(spark, sf_dir):
     d = D(spark, sf_dir, "raw")

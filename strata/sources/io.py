@@ -27,7 +27,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
     header decides the names (every file's header is checked against the first); ``columns``
     selects from them by name and fails for a missing one.  ``multi_line`` reads line
     breaks inside quoted fields; such a file cannot be split, so one task reads each
-    file.  ``with_order`` adds ``_input_order`` — a struct of (file, block start, row id)
+    file (``csv_records.read_csv_records`` reads it by splits).  ``with_order`` adds ``_input_order`` — a struct of (file, block start, row id)
     that restores line order for keep-first rules.
     """
     df = (spark.read.option("header", True).option("mode", "FAILFAST").option("inferSchema", False)
@@ -89,13 +89,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 # SRC-04
-def csv_to_parquet(spark: SparkSession, src: str, dst: str) -> str:
-    drop_unnamed(read_raw_csv(spark, src)).write.mode("overwrite").parquet(dst)
+def csv_to_parquet(spark: SparkSession, src: str, dst: str, line_breaks: bool = False) -> str:
+    """``line_breaks``: quoted fields hold line breaks (read by splits, see ``csv_records``)."""
+    from strata.sources.csv_records import read_csv_records
+    read = read_csv_records if line_breaks else read_raw_csv
+    drop_unnamed(read(spark, src)).write.mode("overwrite").parquet(dst)
     return dst
 
 
 # SRC-02 / SRC-05
-def ingest_dir(spark: SparkSession, src: str, dst: str) -> dict[str, str]:
+def ingest_dir(spark: SparkSession, src: str, dst: str, line_breaks: bool = False) -> dict[str, str]:
     """Every ``*.csv`` of ``src`` (sorted) → ``<dst>/raw_<stem>.parquet``; error when none."""
     files = list_csv(spark, src)
     if not files:
@@ -103,7 +106,7 @@ def ingest_dir(spark: SparkSession, src: str, dst: str) -> dict[str, str]:
     out = {}
     for f in files:
         stem = re.sub(r"\.csv$", "", f.rstrip("/").rsplit("/", 1)[-1], flags=re.IGNORECASE)
-        out[stem] = csv_to_parquet(spark, f, f"{dst.rstrip('/')}/raw_{stem}.parquet")
+        out[stem] = csv_to_parquet(spark, f, f"{dst.rstrip('/')}/raw_{stem}.parquet", line_breaks)
     return out
 
 
