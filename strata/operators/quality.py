@@ -47,6 +47,19 @@ def _signs_pred(type_col: str, amount_col: str, deposit: str, withdraw: str) ->
     return ((t == deposit) & (a < 0)) | ((t == withdraw) & (a > 0))
 
 
+def _varies(*cols: str) -> Column:
+    """Aggregate: whether the rows hold more than one combination of ``cols`` (a NULL is a value).
+
+    So it is when one of them has two values or a value and a NULL: extremes and counts tell, without
+    the second exchange of a distinct count.
+    """
+    out = F.lit(False)
+    for c in cols:
+        some = F.count(F.col(c))
+        out = out | F.coalesce(F.min(c) != F.max(c), F.lit(False)) | ((some > 0) & (some < F.count(F.lit(1))))
+    return out
+
+
 # ---------------------------------------------------------------- checks
 # DQ-01
 def unique(df: DataFrame, col: str) -> DataFrame:
@@ -100,8 +113,8 @@ def one_to_one(df: DataFrame, left: str, right: str) -> DataFrame:
     """Left values with several right values, then right values with several left ones."""
     pairs = df.where(F.col(left).isNotNull() & F.col(right).isNotNull()) \
               .select(F.col(left).alias("l"), F.col(right).alias("r"))
-    vl = pairs.groupBy("l").agg(F.count_distinct("r").alias("_n")).where("_n > 1").select("l")
-    vr = pairs.groupBy("r").agg(F.count_distinct("l").alias("_n")).where("_n > 1").select(F.col("r").alias("l"))
+    vl = pairs.groupBy("l").agg(_varies("r").alias("_v")).where("_v").select("l")
+    vr = pairs.groupBy("r").agg(_varies("l").alias("_v")).where("_v").select(F.col("r").alias("l"))
     return vl.unionAll(vr)
 
 
@@ -258,7 +271,7 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check] | None = Non
             aggs = [F.count(F.lit(1)).alias("_n")]
             for j, c in enumerate(kcs):
                 if c.kind == "functional_dependency":
-                    aggs.append(F.count_distinct(F.struct(*[F.col(v) for v in c.args["dependents"]])).alias(f"_fd{j}"))
+                    aggs.append(_varies(*c.args["dependents"]).alias(f"_fd{j}"))
             with_rows = gi == 0 and rl
             g = df.groupBy(*keys).agg(*aggs, *(row_aggs if with_rows else []))
             flags = []
@@ -268,7 +281,7 @@ def dq_report(tables: dict[str, DataFrame], checks: Sequence[Check] | None = Non
                 elif c.kind == "unique_by_key":
                     flags.append(F.count_if(F.col("_n") > 1).alias(f"_k{j}"))
                 else:
-                    flags.append(F.count_if(F.col(f"_fd{j}") > 1).alias(f"_k{j}"))
+                    flags.append(F.count_if(F.col(f"_fd{j}")).alias(f"_k{j}"))
             pairs = [(c, f"_k{j}") for j, c in enumerate(kcs)]
             if with_rows:
                 flags += [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(rl))]

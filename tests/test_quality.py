@@ -111,3 +111,21 @@ def test_report_severity_error(d):
     c = DQ.Check("silver", "br_players", "unique", ("id",), severity="error")
     r = DQ.dq_report(d, [c]).first()
     assert (r.violations, r.status) == (150, "fail")
+
+
+def test_dependency_by_extremes_counts_as_distinct_combinations(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, None, 1), (2, "x", 1), (3, None, None), (3, None, None), (4, "a", 1), (4, "a", 2),
+            (5, "a", 1), (None, "a", 1), (None, "b", 1)]
+    df = spark.createDataFrame(rows, "k int, a string, b int")
+    check = DQ.Check("x", "t", "functional_dependency", ("k",), {"dependents": ("a", "b")})
+    report = DQ.dq_report({"t": df}, [check])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert [r.violations for r in report.collect()] == [DQ.functional_dependency(df, "k", ["a", "b"]).count()] == [3]
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_one_to_one_takes_one_exchange_a_side(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (2, 2), (2, 3), (4, 3), (5, None), (None, 6)], "l int, r int")
+    v = DQ.one_to_one(df, "l", "r")
+    assert v._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert sorted(r.l for r in v.collect()) == [2, 3]
