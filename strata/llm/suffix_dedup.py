@@ -2,11 +2,18 @@
 
 Of each document only the suffixes at minimiser positions are retained: places whose
 ``GRAM``-word hash is the smallest of a window, so that every run of ``min_words`` words
-holds one, chosen by its content alone.  The retained suffixes are sorted by their leading
-words and neighbours compared; a suffix survives when a neighbour of another document
-starts alike.  Around the survivors the match is extended left and right to the
-``min_words``-word windows they are the minimiser of, windows equal in two documents are
-found by one pre-aggregated grouping, and overlapping windows join to spans.
+holds one, chosen by its content alone.  A first sort of the retained suffixes by their
+leading ``GRAM`` words drops those without a neighbour of another document.  The others are
+sorted by all their words and compared with their neighbours: the number of leading words
+that two have in common, over the sorted order, tells how far any of them match to the
+right.  Matches are then extended to the left a word at a time, and what reaches
+``min_words`` words in all and is found in two documents is repeated.
+
+A suffix carries the words that its windows of ``min_words`` words can reach (fewer than
+2 * ``min_words``).  Ranges are worked on in pieces of about ``PIECE`` suffixes.  Suffixes whose
+leading words go on in another piece, or may do so in another range, hand on one row a window;
+these are answered by one small row per window and piece, so a passage in a third of all
+documents meets in no task.
 
 Words are runs without ASCII white space, A-Z lowered; spans count words, end exclusive.
 A result row is a document with at least one repeated span.  Documents equal as a whole are
@@ -14,7 +21,8 @@ one class: a single copy takes part in the search, and each member is repeated a
 
 Defined cases: null, empty and short texts have no span; rows without doc_id take no
 part; rows that share a doc_id are one document (equal texts do not repeat each other, the
-spans of unequal ones are joined); an empty table gives no rows; other columns are not read.
+spans of unequal ones are joined); an empty table gives no rows; other columns are not read;
+``min_words`` below ``GRAM`` is refused.
 """
 
 from __future__ import annotations
@@ -23,12 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Words, _mix, ngram_hash, shuffle_partitions, splitmix, text_slices, write_table
+from ._common import Words, _mix, drop_table, ngram_hash, shuffle_partitions, splitmix, text_slices, write_table
 
 GRAM = 11
+#: Suffixes of a sorted range that are compared in one step.
+PIECE = 8192
 
 
 def _sliding(x: np.ndarray, w: int, op) -> np.ndarray:
@@ -104,69 +115,196 @@ def _surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(held[0][-1:]), pa.array(held[1][-1:])], ["key", "doc_id"])
 
 
-def _windows(min_words: int):
+def _suffixes(min_words: int):
+    """Texts with their surviving minimisers -> (doc_id, at, left, right): the words before the place ``at``,
+    backward, and those from it on, as far as windows reach whose smallest gram is there."""
+    w = min_words - GRAM + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = batch.column(0).to_pylist(), batch.column(2)
             for i, h in _documents(batch):
-                if len(h) < min_words:
-                    continue
-                _, low, _ = minimisers(h, min_words)
-                start = np.flatnonzero(np.isin(low, keys[i].values.to_numpy().view(np.uint64)))
-                if len(start):
-                    window = ngram_hash(h, min_words)[start].view(np.int64)
-                    for a in range(0, len(start), 1 << 16):
-                        n = len(start[a:a + (1 << 16)])
-                        yield pa.RecordBatch.from_arrays([pa.array(window[a:a + n]), pa.array(np.full(n, ids[i])),
-                                                          pa.array(start[a:a + n].astype(np.int64))], ["window", "doc_id", "start"])
+                g, low, at = minimisers(h, min_words)
+                at = at[np.isin(g[at], keys[i].values.to_numpy().view(np.uint64))]
+                for x in range(0, len(at), 4096):
+                    p = at[x:x + 4096]
+                    start = p[:, None] - np.arange(w - 1, -1, -1)  # windows that hold the place; those it is smallest in are a run
+                    fits = (start >= 0) & (start < len(low))
+                    fits &= low[np.clip(start, 0, len(low) - 1)] == g[p][:, None]
+                    first = start[np.arange(len(p)), fits.argmax(axis=1)]
+                    end = first + fits.sum(axis=1) - 1 + min_words
+                    left = [h[b:a][::-1].tobytes() for a, b in zip(p.tolist(), first.tolist())]
+                    right = [h[a:b].tobytes() for a, b in zip(p.tolist(), end.tolist())]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), ids[i])), pa.array(p.astype(np.int64)), pa.array(left, pa.binary()),
+                                                      pa.array(right, pa.binary())], ["doc_id", "at", "left", "right"])
     return run
 
 
-def _joined(min_words: int):
-    def spans(start: np.ndarray) -> list[dict]:
-        if not len(start):
-            return []
-        cut = np.flatnonzero(np.diff(start) > min_words)
-        return [{"start": int(a), "end": int(b) + min_words} for a, b in zip(start[np.append(0, cut + 1)], start[np.append(cut, len(start) - 1)])]
+def _matrix(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each row (0 behind the last), and their number."""
+    column = column.combine_chunks().cast(pa.large_binary())
+    _, at, data = column.buffers()
+    at = np.frombuffer(at, np.int64)[column.offset:column.offset + len(column) + 1]
+    words = np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(np.uint64) if at[-1] > at[0] else np.zeros(0, np.uint64)
+    n = np.diff(at) // 8
+    out = np.zeros((len(n), width), np.uint64)
+    row = np.repeat(np.arange(len(n)), n)
+    out[row, np.arange(len(words)) - (np.cumsum(n) - n)[row]] = words
+    return out, n
+
+
+def _common_words(right: np.ndarray) -> np.ndarray:
+    """Leading words that each row has in common with the one before."""
+    differ = np.append(right[1:] != right[:-1], np.ones((len(right) - 1, 1), bool), axis=1)
+    return np.append(0, differ.argmax(axis=1))
+
+
+def _matches(doc: np.ndarray, left: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, common: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix and each number of words to its left: whether that window of ``min_words`` words is
+    found in another document, and in one of smaller doc_id.  Rows are in the order of the suffixes."""
+    m, w = len(doc), min_words - GRAM + 1
+    found, later = np.zeros((m, w), bool), np.zeros((m, w), bool)
+    before = np.zeros(m, np.int64)  # numbers the distinct runs of words to the left
+    for words in range(w):
+        if words:
+            _, x = np.unique(left[:, words - 1], return_inverse=True)
+            _, before = np.unique(before * m + x, return_inverse=True)
+        behind = np.cumsum(common < min_words - words)  # numbers the distinct runs to the right
+        at = np.flatnonzero((n_left >= words) & (n_right >= min_words - words))
+        if not len(at):
+            continue
+        key = behind[at] * m + before[at]
+        order = np.lexsort((doc[at], key))
+        at, key = at[order], key[order]
+        begin = np.append(True, key[1:] != key[:-1])
+        group = np.cumsum(begin) - 1
+        low, high = doc[at][begin], doc[at][np.append(begin[1:], True)]
+        found[at, words] = (low < high)[group]
+        later[at, words] = doc[at] > low[group]
+    return found, later
+
+
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last) of the runs of true flags in each row."""
+    edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, first = np.nonzero(edge == 1)
+    return row, first, np.nonzero(edge == -1)[1] - 1
+
+
+_EXTENDED = "doc_id long, start long, end long, removed boolean, window long, piece long"
+
+
+def _extended(min_words: int):
+    """Sorted suffixes -> spans (``window`` null), and, of those whose leading words may go on elsewhere,
+    their windows by piece."""
+    names = ["doc_id", "start", "end", "removed", "window", "piece"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+
+    def work(t: pa.Table, common: np.ndarray, elsewhere: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
+        doc, at = (t.column(c).to_numpy() for c in ("doc_id", "at"))
+        left, n_left = _matrix(t.column("left"), min_words - GRAM)
+        right, n_right = _matrix(t.column("right"), min_words)
+        found, later = _matches(doc, left, n_left, n_right, common, min_words)
+        for flags, removed in ((found, False), (later, True)):
+            row, first, last = _runs(flags & ~elsewhere[:, None])
+            n = len(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[row]), pa.array(at[row] - last), pa.array(at[row] - first + min_words), pa.array(np.full(n, removed)),
+                 pa.nulls(n, types[4]), pa.nulls(n, types[5])], names)
+        rest = np.flatnonzero(elsewhere)
+        if len(rest):
+            # all windows of a suffix lie in one row of its words, the place itself in column min_words - GRAM
+            line = np.concatenate([left[rest, ::-1], right[rest]], axis=1)
+            hashes = ngram_hash(line.ravel(), min_words)
+            words = np.arange(min_words - GRAM + 1)
+            row, words = np.nonzero((n_left[rest, None] >= words) & (n_right[rest, None] >= min_words - words))
+            window = hashes[row * line.shape[1] + min_words - GRAM - words].view(np.int64)
+            doc, start = doc[rest][row], at[rest][row] - words
+            for a in range(0, len(row), 1 << 16):
+                k = slice(a, min(a + (1 << 16), len(row)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[k]), pa.array(start[k]), pa.array(start[k] + min_words), pa.nulls(k.stop - a, types[3]), pa.array(window[k]),
+                     pa.array(np.full(k.stop - a, piece))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        piece = TaskContext.get().partitionId() << 32
+        held: pa.Table | None = None
+        begun = True  # the first suffixes held may go on from a range or piece before
         for batch in batches:
-            repeated, removed = [], []
-            for x in batch.column(1):
-                start = x.values.field("start").to_numpy()
-                later = x.values.field("later").to_numpy(zero_copy_only=False)
-                repeated.append(spans(np.unique(start)))
-                removed.append(spans(np.unique(start[later])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(repeated, kind), pa.array(removed, kind)], ["doc_id", "repeated", "removed"])
+            t = pa.Table.from_batches([batch])
+            for a in range(0, len(t), PIECE):
+                part = t.slice(a, PIECE)
+                held = part if held is None else pa.concat_tables([held, part])
+                if len(held) < PIECE:
+                    continue
+                common = _common_words(_matrix(held.column("right"), min_words)[0])
+                cut = np.flatnonzero(common < GRAM)
+                end = int(cut[-1]) or len(held)
+                first = int(cut[1]) if len(cut) > 1 else end
+                yield from work(held.slice(0, end), common[:end], begun & (np.arange(end) < first) | (end == len(held)), piece)
+                begun, piece, held = end == len(held), piece + 1, held.slice(end)
+        if held is not None and len(held):
+            common = _common_words(_matrix(held.column("right"), min_words)[0])
+            cut = np.flatnonzero(common < GRAM)
+            place = np.arange(len(held))
+            first = cut[1] if len(cut) > 1 else len(held)
+            yield from work(held, common, begun & (place < first) | (place >= cut[-1]), piece)
+
     return run
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of each document -> those that touch as one."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def union(start: np.ndarray, end: np.ndarray) -> list[dict]:
+        if not len(start):
+            return []
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], np.maximum.accumulate(end[order])
+        cut = np.flatnonzero(start[1:] > end[:-1])
+        return [{"start": a, "end": b} for a, b in zip(start[np.append(0, cut + 1)].tolist(), end[np.append(cut, len(start) - 1)].tolist())]
+
+    for batch in batches:
+        repeated, removed = [], []
+        for x in batch.column(1):
+            start, end = (x.values.field(c).to_numpy() for c in ("start", "end"))
+            gone = x.values.field("removed").to_numpy(zero_copy_only=False)
+            repeated.append(union(start[~gone], end[~gone]))
+            removed.append(union(start[gone], end[gone]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(repeated, kind), pa.array(removed, kind)], ["doc_id", "repeated", "removed"])
+
+
 def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """doc_id, repeated, removed for each document with a run of ``min_words`` words that another
     document has too.  ``repeated`` are the joined runs; ``removed`` those that a smaller doc_id has."""
+    if min_words < GRAM:
+        raise ValueError(f"min_words must be {GRAM} or more")
     outline = write_table(_outline(docs, min_words), "suffix-outline")
     whole = ["n_words", "w1", "w2"]
-    classes = (outline.groupBy(*whole).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")))
-    member = outline.drop("keys").join(classes, whole)
-    span = lambda cond: F.when(cond, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"))))
-    empty = F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")
-    copies = (member.filter("rep < last").dropDuplicates(["doc_id"])
-              .select("doc_id", span(F.lit(True)).alias("repeated"), F.coalesce(span(F.col("doc_id") > F.col("rep")), empty).alias("removed")))
+    classes = outline.groupBy(*whole).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    member = outline.drop("keys").join(classes, whole).filter("rep < last")
+    both = lambda later: F.explode(F.when(later, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("removed")
+    copies = member.select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), both(F.col("doc_id") > F.col("rep")))
 
     reps = outline.join(classes.select(*whole, F.col("rep").alias("doc_id")), [*whole, "doc_id"], "left_semi")
     n = shuffle_partitions(docs.sparkSession)
-    suffixes = write_table(reps.select(F.explode("keys").alias("key"), "doc_id"), "suffixes")
-    alike = (suffixes.repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
+    keys = write_table(reps.select(F.explode("keys").alias("key"), "doc_id"), "suffix-keys")
+    alike = (keys.repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
              .mapInArrow(_surviving, "key long, doc_id long").groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
-    texts = docs.select("doc_id", "text").join(alike, "doc_id")
-    windows = write_table(texts.select("doc_id", "text", "keys").mapInArrow(_windows(min_words), "window long, doc_id long, start long"), "windows")
-    twice = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    found = (windows.join(twice, "window").groupBy("doc_id")
-             .agg(F.collect_list(F.struct("start", (F.col("doc_id") > F.col("low")).alias("later"))).alias("windows"))
-             .mapInArrow(_joined(min_words), "doc_id long, repeated array<struct<start:long,end:long>>, removed array<struct<start:long,end:long>>"))
-    # A class's first member may have spans of its own search; it is repeated as a whole anyway, but
-    # what a smaller doc_id of another class has is removed from it too.
-    both = copies.alias("c").join(found.alias("f"), "doc_id", "full_outer")
-    return both.select("doc_id", F.coalesce("c.repeated", "f.repeated").alias("repeated"),
-                       F.when(F.size(F.coalesce("c.removed", empty)) > 0, F.col("c.removed")).otherwise(F.coalesce("f.removed", empty)).alias("removed"))
+    texts = docs.select("doc_id", "text").join(alike, "doc_id").select("doc_id", "text", "keys")
+    # Written first: the bounds of the ranges are sampled from suffixes, not by reading the texts again.
+    suffixes = write_table(texts.mapInArrow(_suffixes(min_words), "doc_id long, at long, left binary, right binary"), "suffixes")
+    order = ["right", "doc_id", "at", "left"]
+    spans = write_table(suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_extended(min_words), _EXTENDED), "suffix-spans")
+    drop_table(keys)
+    drop_table(suffixes)
+
+    windows = spans.filter("window IS NOT NULL")
+    parts = windows.groupBy("window", "piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    twice = parts.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("window", "low")
+    answers = parts.select("window", "piece").join(twice, "window")
+    handed = windows.drop("removed").join(answers, ["window", "piece"]).select("doc_id", "start", "end", both(F.col("doc_id") > F.col("low")))
+    found = spans.filter("window IS NULL").select("doc_id", "start", "end", "removed")
+    return (found.unionByName(handed).unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "removed")).alias("spans"))
+            .mapInArrow(_joined, "doc_id long, repeated array<struct<start:long,end:long>>, removed array<struct<start:long,end:long>>"))

@@ -209,28 +209,66 @@ def test_secrets(docs, empty, odd):
     assert secrets_scan.scan(empty, model).count() == 0 and secrets_scan.scan(odd, model).count() == odd.count()
 
 
-def test_suffix_dedup(docs, empty, odd):
-    words = {r[0]: words_of((r[1] or "").translate(LOW)) for r in corpus()}
+def repeated_by_hand(rows: list[tuple], size: int = 50) -> dict:
+    """doc_id -> (repeated, removed), every window of every text compared."""
     low, high = {}, {}
-    for i, w in words.items():
-        for k in range(len(w) - 49):
-            x = tuple(w[k:k + 50])
+    words = [(i, words_of((t or "").translate(LOW))) for i, t in rows]
+    for i, w in words:
+        for k in range(len(w) - size + 1):
+            x = tuple(w[k:k + size])
             low[x], high[x] = min(low.get(x, i), i), max(high.get(x, i), i)
-    want = {}
-    for i, w in words.items():
-        spans = []
-        for k in range(len(w) - 49):
-            if low[tuple(w[k:k + 50])] < high[tuple(w[k:k + 50])]:
-                if spans and k <= spans[-1][1]:
-                    spans[-1][1] = k + 50
-                else:
-                    spans.append([k, k + 50])
-        if spans:
-            want[i] = spans
-    got = {r.doc_id: [[s.start, s.end] for s in r.repeated] for r in suffix_dedup.repeated_spans(docs).collect()}
-    assert got == want and len(want) > 10
+    out = {}
+    for i, w in words:
+        spans = [[], []]
+        for k in range(len(w) - size + 1):
+            x = tuple(w[k:k + size])
+            for found, into in ((low[x] < high[x], spans[0]), (low[x] < i, spans[1])):
+                if found and into and k <= into[-1][1]:
+                    into[-1][1] = k + size
+                elif found:
+                    into.append([k, k + size])
+        if spans[0]:
+            out[i] = spans
+    return out
+
+
+def spans_found(df) -> dict:
+    return {r.doc_id: [[[s.start, s.end] for s in x] for x in (r.repeated, r.removed)] for r in df.collect()}
+
+
+def test_suffix_dedup(docs, empty, odd):
+    want = repeated_by_hand([(r[0], r[1]) for r in corpus()])
+    assert spans_found(suffix_dedup.repeated_spans(docs)) == want and len(want) > 10
     assert suffix_dedup.repeated_spans(empty).count() == 0
     assert 5 not in {r.doc_id for r in suffix_dedup.repeated_spans(odd.filter("doc_id = 5")).collect()}
+    with pytest.raises(ValueError):
+        suffix_dedup.repeated_spans(docs, 10)
+
+
+@pytest.mark.parametrize("piece", [8192, 7])
+def test_suffix_dedup_two_sided_matches(spark, monkeypatch, piece):
+    """Partners that are no neighbours in the array: same words on the left, other words on the right, a hot
+    passage over many pieces and ranges, texts of repeated words, and passages at both ends of a text."""
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(400)]
+    some = lambda n: rng.choices(vocab, k=n)
+    core = [some(30) for _ in range(4)]
+    lefts, rights = [some(45) for _ in range(4)], [some(45) for _ in range(4)]
+    rows = []
+    for _ in range(150):
+        x = rng.choice(core)
+        left, right = rng.choice(lefts), rng.choice(rights)
+        w = some(rng.randint(0, 30)) + left[rng.randint(0, 45):] + x + right[:rng.randint(0, 45)] + some(rng.randint(0, 30))
+        rows.append((len(rows) + 1, " ".join(w)))
+    rows += [(200 + i, " ".join(["same"] * (40 + 7 * i))) for i in range(5)] + [(300, None), (301, "")]
+    rows += [(400 + i, " ".join(core[0] + rights[0] + some(5))) for i in range(60)]
+    rows += [(500, " ".join(some(60))), (500, " ".join(core[1] + rights[1]))]
+    want = repeated_by_hand(rows[:-2])
+    table = spark.createDataFrame(rows[:-2], "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    assert spans_found(suffix_dedup.repeated_spans(table)) == want and len(want) > 100
+    both = spans_found(suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert 500 in both  # spans of both texts of one doc_id
 
 
 def test_token_records(docs, empty, odd, tmp_path):
