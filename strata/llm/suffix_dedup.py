@@ -4,16 +4,16 @@ Of each document only the suffixes at minimiser positions are retained: places w
 ``GRAM``-word hash is the smallest of a window, so that every run of ``min_words`` words
 holds one, chosen by its content alone.  A first sort of the retained suffixes by their
 leading ``GRAM`` words drops those without a neighbour of another document.  The others are
-sorted by all their words and compared with their neighbours: the number of leading words
-that two have in common, over the sorted order, tells how far any of them match to the
-right.  Matches are then extended to the left a word at a time, and what reaches
-``min_words`` words in all and is found in two documents is repeated.
+dealt by their leading words, sorted by all their words and compared with their neighbours: the
+number of leading words that two have in common, over the sorted order, tells how far any of
+them match to the right.  Matches are then extended to the left a word at a time, and what
+reaches ``min_words`` words in all and is found in two documents is repeated.
 
 A suffix carries the words that its windows of ``min_words`` words can reach (fewer than
-2 * ``min_words``).  Ranges are worked on in pieces of about ``PIECE`` suffixes.  Suffixes whose
-leading words go on in another piece, or may do so in another range, hand on one row a window;
-these are answered by one small row per window and piece, so a passage in a third of all
-documents meets in no task.
+2 * ``min_words``).  Ranges are worked on in pieces of about ``PIECE`` suffixes.  Where leading words
+go on in another piece, or may do so in another range, all is known of a window but whether the
+smallest document of the piece has a smaller one, or any other, elsewhere: that document's row is
+handed on, one a window and piece, so a passage in a third of all documents meets in no task.
 
 Words are runs without ASCII white space, A-Z lowered; spans count words, end exclusive.
 A result row is a document with at least one repeated span.  Documents equal as a whole are
@@ -31,7 +31,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,8 +115,8 @@ def _surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _suffixes(min_words: int):
-    """Texts with their surviving minimisers -> (doc_id, at, left, right): the words before the place ``at``,
-    backward, and those from it on, as far as windows reach whose smallest gram is there."""
+    """Texts with their surviving minimisers -> (key, doc_id, at, left, right): the hash of the leading words, the
+    place, the words before it, backward, and those from it on, as far as windows reach whose smallest gram is there."""
     w = min_words - GRAM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +134,9 @@ def _suffixes(min_words: int):
                     end = first + fits.sum(axis=1) - 1 + min_words
                     left = [h[b:a][::-1].tobytes() for a, b in zip(p.tolist(), first.tolist())]
                     right = [h[a:b].tobytes() for a, b in zip(p.tolist(), end.tolist())]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), ids[i])), pa.array(p.astype(np.int64)), pa.array(left, pa.binary()),
-                                                      pa.array(right, pa.binary())], ["doc_id", "at", "left", "right"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(g[p].view(np.int64)), pa.array(np.full(len(p), ids[i])), pa.array(p.astype(np.int64)), pa.array(left, pa.binary()),
+                         pa.array(right, pa.binary())], ["key", "doc_id", "at", "left", "right"])
     return run
 
 
@@ -159,11 +159,12 @@ def _common_words(right: np.ndarray) -> np.ndarray:
     return np.append(0, differ.argmax(axis=1))
 
 
-def _matches(doc: np.ndarray, left: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, common: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each suffix and each number of words to its left: whether that window of ``min_words`` words is
-    found in another document, and in one of smaller doc_id.  Rows are in the order of the suffixes."""
+def _matches(doc: np.ndarray, left: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, common: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """For each suffix and each number of words to its left, whether that window of ``min_words`` words is
+    there, and the smallest and the largest document with it.  Rows are in the order of the suffixes."""
     m, w = len(doc), min_words - GRAM + 1
-    found, later = np.zeros((m, w), bool), np.zeros((m, w), bool)
+    there = np.zeros((m, w), bool)
+    low, high = np.zeros((m, w), np.int64), np.zeros((m, w), np.int64)
     before = np.zeros(m, np.int64)  # numbers the distinct runs of words to the left
     for words in range(w):
         if words:
@@ -178,10 +179,10 @@ def _matches(doc: np.ndarray, left: np.ndarray, n_left: np.ndarray, n_right: np.
         at, key = at[order], key[order]
         begin = np.append(True, key[1:] != key[:-1])
         group = np.cumsum(begin) - 1
-        low, high = doc[at][begin], doc[at][np.append(begin[1:], True)]
-        found[at, words] = (low < high)[group]
-        later[at, words] = doc[at] > low[group]
-    return found, later
+        there[at, words] = True
+        low[at, words] = doc[at][begin][group]
+        high[at, words] = doc[at][np.append(begin[1:], True)][group]
+    return there, low, high
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,45 +192,42 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(edge == -1)[1] - 1
 
 
-_EXTENDED = "doc_id long, start long, end long, removed boolean, window long, piece long"
+_EXTENDED = "doc_id long, start long, end long, removed boolean, window long, high long"
 
 
 def _extended(min_words: int):
-    """Sorted suffixes -> spans (``window`` null), and, of those whose leading words may go on elsewhere,
-    their windows by piece."""
-    names = ["doc_id", "start", "end", "removed", "window", "piece"]
+    """Sorted suffixes -> spans (``window`` null), and windows handed on: the smallest document of a piece,
+    its place, the hash of the words and the largest document of the piece."""
+    names = ["doc_id", "start", "end", "removed", "window", "high"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
 
-    def work(t: pa.Table, common: np.ndarray, elsewhere: np.ndarray, piece: int) -> Iterator[pa.RecordBatch]:
+    def work(t: pa.Table, elsewhere: np.ndarray) -> Iterator[pa.RecordBatch]:
         doc, at = (t.column(c).to_numpy() for c in ("doc_id", "at"))
         left, n_left = _matrix(t.column("left"), min_words - GRAM)
         right, n_right = _matrix(t.column("right"), min_words)
-        found, later = _matches(doc, left, n_left, n_right, common, min_words)
-        for flags, removed in ((found, False), (later, True)):
-            row, first, last = _runs(flags & ~elsewhere[:, None])
+        there, low, high = _matches(doc, left, n_left, n_right, _common_words(right), min_words)
+        later = there & (doc[:, None] > low)
+        for flags, removed in ((there & (low < high), False), (later, True)):
+            row, first, last = _runs(flags)
             n = len(row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[row]), pa.array(at[row] - last), pa.array(at[row] - first + min_words), pa.array(np.full(n, removed)),
                  pa.nulls(n, types[4]), pa.nulls(n, types[5])], names)
-        rest = np.flatnonzero(elsewhere)
-        if len(rest):
-            # all windows of a suffix lie in one row of its words, the place itself in column min_words - GRAM
-            line = np.concatenate([left[rest, ::-1], right[rest]], axis=1)
-            hashes = ngram_hash(line.ravel(), min_words)
-            words = np.arange(min_words - GRAM + 1)
-            row, words = np.nonzero((n_left[rest, None] >= words) & (n_right[rest, None] >= min_words - words))
-            window = hashes[row * line.shape[1] + min_words - GRAM - words].view(np.int64)
-            doc, start = doc[rest][row], at[rest][row] - words
+        row, words = np.nonzero(there & ~later & elsewhere[:, None])
+        if len(row):
+            # all windows of a suffix lie in one line of its words, the place itself in column min_words - GRAM
+            line = np.concatenate([left[:, ::-1], right], axis=1)
+            window = ngram_hash(line.ravel(), min_words)[row * line.shape[1] + min_words - GRAM - words].view(np.int64)
+            start, high = at[row] - words, high[row, words]
             for a in range(0, len(row), 1 << 16):
                 k = slice(a, min(a + (1 << 16), len(row)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[k]), pa.array(start[k]), pa.array(start[k] + min_words), pa.nulls(k.stop - a, types[3]), pa.array(window[k]),
-                     pa.array(np.full(k.stop - a, piece))], names)
+                    [pa.array(doc[row[k]]), pa.array(start[k]), pa.array(start[k] + min_words), pa.nulls(k.stop - a, types[3]), pa.array(window[k]),
+                     pa.array(high[k])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = TaskContext.get().partitionId() << 32
         held: pa.Table | None = None
-        begun = True  # the first suffixes held may go on from a range or piece before
+        begun = True  # the first key held may go on from a range or piece before
         for batch in batches:
             t = pa.Table.from_batches([batch])
             for a in range(0, len(t), PIECE):
@@ -237,18 +235,13 @@ def _extended(min_words: int):
                 held = part if held is None else pa.concat_tables([held, part])
                 if len(held) < PIECE:
                     continue
-                common = _common_words(_matrix(held.column("right"), min_words)[0])
-                cut = np.flatnonzero(common < GRAM)
-                end = int(cut[-1]) or len(held)
-                first = int(cut[1]) if len(cut) > 1 else end
-                yield from work(held.slice(0, end), common[:end], begun & (np.arange(end) < first) | (end == len(held)), piece)
-                begun, piece, held = end == len(held), piece + 1, held.slice(end)
+                key = held.column("key").to_numpy()
+                end = int(np.flatnonzero(key == key[-1])[0]) or len(key)  # the last key may go on; a piece of one key goes as it is
+                yield from work(held.slice(0, end), begun & (key[:end] == key[0]) | (end == len(key)))
+                begun, held = end == len(key), held.slice(end)
         if held is not None and len(held):
-            common = _common_words(_matrix(held.column("right"), min_words)[0])
-            cut = np.flatnonzero(common < GRAM)
-            place = np.arange(len(held))
-            first = cut[1] if len(cut) > 1 else len(held)
-            yield from work(held, common, begun & (place < first) | (place >= cut[-1]), piece)
+            key = held.column("key").to_numpy()
+            yield from work(held, begun & (key == key[0]) | (key == key[-1]))
 
     return run
 
@@ -294,17 +287,15 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
              .mapInArrow(_surviving, "key long, doc_id long").groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
     texts = docs.select("doc_id", "text").join(alike, "doc_id").select("doc_id", "text", "keys")
     # Written first: the bounds of the ranges are sampled from suffixes, not by reading the texts again.
-    suffixes = write_table(texts.mapInArrow(_suffixes(min_words), "doc_id long, at long, left binary, right binary"), "suffixes")
-    order = ["right", "doc_id", "at", "left"]
-    spans = write_table(suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_extended(min_words), _EXTENDED), "suffix-spans")
+    suffixes = write_table(texts.mapInArrow(_suffixes(min_words), "key long, doc_id long, at long, left binary, right binary"), "suffixes")
+    spans = write_table(suffixes.repartitionByRange(n, "key", "doc_id", "at").sortWithinPartitions("key", "right", "doc_id", "at", "left")
+                        .mapInArrow(_extended(min_words), _EXTENDED), "suffix-spans")
     drop_table(keys)
     drop_table(suffixes)
 
     windows = spans.filter("window IS NOT NULL")
-    parts = windows.groupBy("window", "piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    twice = parts.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("window", "low")
-    answers = parts.select("window", "piece").join(twice, "window")
-    handed = windows.drop("removed").join(answers, ["window", "piece"]).select("doc_id", "start", "end", both(F.col("doc_id") > F.col("low")))
+    twice = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("high").alias("most")).filter("low < most")
+    handed = windows.join(twice, "window").select("doc_id", "start", "end", both(F.col("doc_id") > F.col("low")))
     found = spans.filter("window IS NULL").select("doc_id", "start", "end", "removed")
     return (found.unionByName(handed).unionByName(copies).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "removed")).alias("spans"))
             .mapInArrow(_joined, "doc_id long, repeated array<struct<start:long,end:long>>, removed array<struct<start:long,end:long>>"))
