@@ -10,10 +10,12 @@ them match to the right.  Matches are then extended to the left a word at a time
 reaches ``min_words`` words in all and is found in two documents is repeated.
 
 A suffix carries the words that its windows of ``min_words`` words can reach (fewer than
-2 * ``min_words``).  Ranges are worked on in pieces of about ``PIECE`` suffixes.  Where leading words
-go on in another piece, or may do so in another range, all is known of a window but whether the
-smallest document of the piece has a smaller one, or any other, elsewhere: that document's row is
-handed on, one a window and piece, so a passage in a third of all documents meets in no task.
+2 * ``min_words``); a window belongs to its first smallest place.  Equal leading words go to one task,
+unless more than ``PIECE`` documents have them (more than a ``HOT``-th of all, in large inputs): these are dealt
+over as many tasks as their count needs.  Tasks work on pieces of about ``PIECE`` suffixes.  Where leading
+words go on in another task or piece, all is known of a window but whether the smallest document of
+the piece has a smaller one, or any other, elsewhere: that document's row is handed on, so a passage in a
+third of all documents meets in no task.
 
 Words are runs without ASCII white space, A-Z lowered; spans count words, end exclusive.
 A result row is a document with at least one repeated span.  Documents equal as a whole are
@@ -39,6 +41,8 @@ from ._common import Words, _mix, drop_table, ngram_hash, shuffle_partitions, sp
 GRAM = 11
 #: Suffixes of a sorted range that are compared in one step.
 PIECE = 8192
+#: Most runs of leading words that can be dealt over several tasks (8 + 8 bytes each are sent to the tasks).
+HOT = 1 << 16
 
 
 def _sliding(x: np.ndarray, w: int, op) -> np.ndarray:
@@ -125,11 +129,17 @@ def _suffixes(min_words: int):
             for i, h in _documents(batch):
                 g, low, at = minimisers(h, min_words)
                 at = at[np.isin(g[at], keys[i].values.to_numpy().view(np.uint64))]
+                order = np.lexsort((at, g[at]))
+                same = np.append(False, g[at][order][1:] == g[at][order][:-1])
+                ahead = np.full(len(at), -1)  # the last place before with the same gram; a window belongs to its first smallest one
+                ahead[order[1:]] = np.where(same[1:], at[order[:-1]], -1)
                 for x in range(0, len(at), 4096):
                     p = at[x:x + 4096]
                     start = p[:, None] - np.arange(w - 1, -1, -1)  # windows that hold the place; those it is smallest in are a run
                     fits = (start >= 0) & (start < len(low))
-                    fits &= low[np.clip(start, 0, len(low) - 1)] == g[p][:, None]
+                    fits &= (low[np.clip(start, 0, len(low) - 1)] == g[p][:, None]) & (start > ahead[x:x + 4096, None])
+                    owns = fits.any(axis=1)
+                    p, start, fits = p[owns], start[owns], fits[owns]
                     first = start[np.arange(len(p)), fits.argmax(axis=1)]
                     end = first + fits.sum(axis=1) - 1 + min_words
                     left = [h[b:a][::-1].tobytes() for a, b in zip(p.tolist(), first.tolist())]
@@ -225,9 +235,12 @@ def _extended(min_words: int):
                     [pa.array(doc[row[k]]), pa.array(start[k]), pa.array(start[k] + min_words), pa.nulls(k.stop - a, types[3]), pa.array(window[k]),
                      pa.array(high[k])], names)
 
+    def wide(t: pa.Table) -> np.ndarray:
+        return t.column("wide").to_numpy()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        begun = True  # the first key held may go on from a range or piece before
+        begun = False  # the first key held goes on from the piece before
         for batch in batches:
             t = pa.Table.from_batches([batch])
             for a in range(0, len(t), PIECE):
@@ -237,11 +250,11 @@ def _extended(min_words: int):
                     continue
                 key = held.column("key").to_numpy()
                 end = int(np.flatnonzero(key == key[-1])[0]) or len(key)  # the last key may go on; a piece of one key goes as it is
-                yield from work(held.slice(0, end), begun & (key[:end] == key[0]) | (end == len(key)))
+                yield from work(held.slice(0, end), begun & (key[:end] == key[0]) | (end == len(key)) | wide(held)[:end])
                 begun, held = end == len(key), held.slice(end)
         if held is not None and len(held):
             key = held.column("key").to_numpy()
-            yield from work(held, begun & (key == key[0]) | (key == key[-1]))
+            yield from work(held, begun & (key == key[0]) | wide(held))
 
     return run
 
@@ -286,12 +299,14 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     alike = (keys.repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
              .mapInArrow(_surviving, "key long, doc_id long").groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
     texts = docs.select("doc_id", "text").join(alike, "doc_id").select("doc_id", "text", "keys")
-    # Written first: the bounds of the ranges are sampled from suffixes, not by reading the texts again.
-    suffixes = write_table(texts.mapInArrow(_suffixes(min_words), "key long, doc_id long, at long, left binary, right binary"), "suffixes")
-    spans = write_table(suffixes.repartitionByRange(n, "key", "doc_id", "at").sortWithinPartitions("key", "right", "doc_id", "at", "left")
+    suffixes = texts.mapInArrow(_suffixes(min_words), "key long, doc_id long, at long, left binary, right binary")
+    bound = max(PIECE, -(-keys.count() // HOT))
+    hot = keys.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > bound).select("key", F.ceil(F.col("c") / bound).alias("tasks"))
+    dealt = (suffixes.join(F.broadcast(hot), "key", "left")  # checked: fewer than HOT rows
+             .withColumn("wide", F.col("tasks").isNotNull()).withColumn("task", F.coalesce(F.pmod(F.xxhash64("doc_id"), "tasks"), F.lit(0))).drop("tasks"))
+    spans = write_table(dealt.repartition(n, "key", "task").sortWithinPartitions("key", "right", "doc_id", "at", "left")
                         .mapInArrow(_extended(min_words), _EXTENDED), "suffix-spans")
     drop_table(keys)
-    drop_table(suffixes)
 
     windows = spans.filter("window IS NOT NULL")
     twice = windows.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("high").alias("most")).filter("low < most")
