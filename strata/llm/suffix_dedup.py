@@ -11,7 +11,7 @@ reaches ``min_words`` words in all and is found in two documents is repeated.
 
 A suffix carries the words that its windows of ``min_words`` words can reach (fewer than
 2 * ``min_words``); a window belongs to its first smallest place.  Equal leading words go to one task,
-unless more than ``PIECE`` documents have them (more than a ``HOT``-th of all, in large inputs): these are dealt
+unless more than ``PIECE`` suffixes have them (more than a ``HOT``-th of all, in large inputs): these are dealt
 over as many tasks as their count needs.  Tasks work on pieces of about ``PIECE`` suffixes.  Where leading
 words go on in another task or piece, all is known of a window but whether the smallest document of
 the piece has a smaller one, or any other, elsewhere: that document's row is handed on, so a passage in a
@@ -76,7 +76,8 @@ def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _outline(docs: DataFrame, min_words: int) -> DataFrame:
-    """Per document of ``min_words`` words: its length, two hashes of all its words, its distinct minimisers."""
+    """Per document of ``min_words`` words: its length, two hashes of all its words, its distinct minimisers and
+    how many places each has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,13 +88,14 @@ def _outline(docs: DataFrame, min_words: int) -> DataFrame:
                     with np.errstate(over="ignore"):
                         m = splitmix(len(h), 5)
                         whole = [int(x.view(np.int64)) for x in (_mix((h * m).sum(keepdims=True))[0], _mix((_mix(h + m) ^ m).sum(keepdims=True))[0])]
-                    rows.append((ids[i], len(h), *whole, np.unique(g[at]).view(np.int64)))
+                    keys, places = np.unique(g[at], return_counts=True)
+                    rows.append((ids[i], len(h), *whole, keys.view(np.int64), places))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(4)), pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "w1", "w2", "keys"])
+                [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(4)), *(pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (4, 5))],
+                ["doc_id", "n_words", "w1", "w2", "keys", "places"])
 
     return (docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-            .mapInArrow(run, "doc_id long, n_words long, w1 long, w2 long, keys array<long>"))
+            .mapInArrow(run, "doc_id long, n_words long, w1 long, w2 long, keys array<long>, places array<long>"))
 
 
 def _surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,21 +291,21 @@ def repeated_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     outline = write_table(_outline(docs, min_words), "suffix-outline")
     whole = ["n_words", "w1", "w2"]
     classes = outline.groupBy(*whole).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
-    member = outline.drop("keys").join(classes, whole).filter("rep < last")
+    member = outline.drop("keys", "places").join(classes, whole).filter("rep < last")
     both = lambda later: F.explode(F.when(later, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))).alias("removed")
     copies = member.select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), both(F.col("doc_id") > F.col("rep")))
 
     reps = outline.join(classes.select(*whole, F.col("rep").alias("doc_id")), [*whole, "doc_id"], "left_semi")
     n = shuffle_partitions(docs.sparkSession)
-    keys = write_table(reps.select(F.explode("keys").alias("key"), "doc_id"), "suffix-keys")
-    alike = (keys.repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
+    keys = write_table(reps.select(F.explode(F.arrays_zip("keys", "places")).alias("k"), "doc_id").select("k.keys", "k.places", "doc_id").toDF("key", "places", "doc_id"), "suffix-keys")
+    alike = (keys.drop("places").repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
              .mapInArrow(_surviving, "key long, doc_id long").groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
     texts = docs.select("doc_id", "text").join(alike, "doc_id").select("doc_id", "text", "keys")
     suffixes = texts.mapInArrow(_suffixes(min_words), "key long, doc_id long, at long, left binary, right binary")
-    bound = max(PIECE, -(-keys.count() // HOT))
-    hot = keys.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > bound).select("key", F.ceil(F.col("c") / bound).alias("tasks"))
+    bound = max(PIECE, -(-(keys.agg(F.sum("places")).first()[0] or 0) // HOT))
+    hot = keys.groupBy("key").agg(F.sum("places").alias("c")).filter(F.col("c") > bound).select("key", F.ceil(F.col("c") / bound).alias("tasks"))
     dealt = (suffixes.join(F.broadcast(hot), "key", "left")  # checked: fewer than HOT rows
-             .withColumn("wide", F.col("tasks").isNotNull()).withColumn("task", F.coalesce(F.pmod(F.xxhash64("doc_id"), "tasks"), F.lit(0))).drop("tasks"))
+             .withColumn("wide", F.col("tasks").isNotNull()).withColumn("task", F.coalesce(F.pmod(F.xxhash64("doc_id", "at"), "tasks"), F.lit(0))).drop("tasks"))
     spans = write_table(dealt.repartition(n, "key", "task").sortWithinPartitions("key", "right", "doc_id", "at", "left")
                         .mapInArrow(_extended(min_words), _EXTENDED), "suffix-spans")
     drop_table(keys)
