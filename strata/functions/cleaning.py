@@ -68,9 +68,12 @@ def _to_utc_ntz(text: Column, strict: bool) -> Column:
     # zone-less text is taken as UTC wall clock. Result: timestamp_ntz.
     # The cast reads text without a date ("12:30:00", "T1") as a time of the current
     # day: only text that begins with a year is a timestamp.
-    dated = text.rlike(r"^\s*\d{4}(-|\s*$)")
-    ts = (F.when(text.isNull() | dated, text.cast("timestamp")).otherwise(F.raise_error(F.concat(F.lit("not a timestamp: "), text)))
-          if strict else F.when(dated, text.try_cast("timestamp")))
+    if strict:
+        dated = text.isNull() | text.rlike(r"^\s*\d{4}(-|\s*$)")
+        ts = F.when(dated, text.cast("timestamp")).otherwise(F.raise_error(F.concat(F.lit("not a timestamp: "), text)))
+    else:
+        # other text is extracted as '', which casts to NULL: one pass, where a guard would evaluate ``text`` twice
+        ts = F.regexp_extract(text, r"(?s)^\s*\d{4}(?:-.*|\s*)\z", 0).try_cast("timestamp")
     return ts.cast("timestamp_ntz")
 
 
@@ -185,9 +188,9 @@ def parse_datetime_utc(c, fmt: str = ISO) -> Column:
 
     With a format (see ``infer_datetime_formats``) text of any other shape is NULL.
     """
-    s = F.nullif(_strip(_as_text(c)), F.lit(""))
     if fmt == ISO:
-        return _to_utc_ntz(s, strict=False)
+        return _to_utc_ntz(_as_text(c), strict=False)    # the cast ignores white space at both ends
+    s = F.nullif(_strip(_as_text(c)), F.lit(""))
     return F.when(s.rlike(_shape(fmt)), F.try_to_timestamp(s, F.lit(fmt))).cast("timestamp_ntz")
 
 

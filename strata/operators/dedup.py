@@ -114,9 +114,9 @@ def keep_first(df: DataFrame, keys, order, hot_rows: int = HOT_ROWS) -> tuple[Da
 
 
 # WN-04 (kept rows only)
-def first_per_key(df: DataFrame, keys, order, dup_col: str | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, keys, order, dup_col: str | None = None, sums: Sequence[str] = ()) -> DataFrame:
     """First row per key under ``order`` (unique within a key) and, in ``dup_col``,
-    how many other rows the key had.
+    how many other rows the key had.  The columns ``sums`` are added up over the key's rows.
 
     One grouped aggregate over ``min(struct(order, row))``: map-side partial
     aggregation leaves one row per key and map partition, so a key holding a
@@ -124,11 +124,11 @@ def first_per_key(df: DataFrame, keys, order, dup_col: str | None = None) -> Dat
     once (no join back).  NULL keys form one group, as with ``keep_first``.
     """
     ks = _names(keys)
-    rest = [c for c in df.columns if c not in ks]
+    rest = [c for c in df.columns if c not in ks and c not in sums]
     packed = F.struct(F.struct(*_cols(order)).alias("o"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("r"))
     aggs = [F.min(packed).alias("_m")]
     if dup_col:
         aggs.append((F.count(F.lit(1)) - 1).alias(dup_col))
-    g = df.groupBy(*ks).agg(*aggs)
-    out = [F.col(f"`{c}`") if c in ks else F.col("_m.r").getField(c).alias(c) for c in df.columns]
+    g = df.groupBy(*ks).agg(*aggs, *[F.sum(f"`{c}`").alias(c) for c in sums])
+    out = [F.col(f"`{c}`") if c in ks or c in sums else F.col("_m.r").getField(c).alias(c) for c in df.columns]
     return g.select(*out, *([dup_col] if dup_col else []))

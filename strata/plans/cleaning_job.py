@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import ISO, coerce_bool, infer_datetime_formats, parse_datetime_utc
-from strata.operators.dedup import first_per_key, keep_first
+from strata.operators.dedup import first_per_key
 from strata.operators.joins import left_join
 
 
@@ -76,15 +76,6 @@ def coerce_types(p: DataFrame, t: DataFrame, roles: Roles, p_formats: dict[str,
     return p, t
 
 
-def _first_flag(df: DataFrame, key: str | None, order: Sequence) -> DataFrame:
-    """Add boolean ``_first_<key>``: row is the first of its key (CL-02/CL-04 building block)."""
-    name = f"_first_{key}"
-    if not key or key not in df.columns:
-        return df.withColumn(name, F.lit(True))
-    kept, removed = keep_first(df, key, order)
-    return kept.withColumn(name, F.lit(True)).unionByName(removed.withColumn(name, F.lit(False)))
-
-
 def _label(*pairs: tuple[Column, str]) -> Column:
     expr = None
     for cond, name in pairs:
@@ -92,12 +83,12 @@ def _label(*pairs: tuple[Column, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def _first_rows(df: DataFrame, key: str | None, order: Sequence) -> DataFrame:
-    """First row per ``key`` with ``_dups`` = rows of the key dropped (rule 2 on a
-    large table: one partial aggregate, the dropped rows only counted)."""
+def _first_rows(df: DataFrame, key: str | None, order: Sequence, dups: str = "_dups", sums: Sequence[str] = ()) -> DataFrame:
+    """First row per ``key`` with ``dups`` = rows of the key dropped (CL-02/CL-04: one
+    partial aggregate, the dropped rows only counted; their ``sums`` stay in the total)."""
     if not key or key not in df.columns:
-        return df.withColumn("_dups", F.lit(0).cast("bigint"))
-    return first_per_key(df, key, order, "_dups")
+        return df.withColumn(dups, F.lit(0).cast("bigint"))
+    return first_per_key(df, key, order, dups, sums)
 
 
 def label_players(p: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
@@ -106,24 +97,16 @@ def label_players(p: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
 
 
 def label_affiliates(a: DataFrame, players_kept: DataFrame, roles: Roles, order: Sequence) -> DataFrame:
-    """Affiliates labelled by rules 2, 4, 6."""
-    la = _first_flag(a, roles.aff_id, order)
-    fid = f"_first_{roles.aff_id}"
-    # rule 4 sees only the survivors of rule 2
-    survivors = la.where(F.col(fid)).drop(fid)
-    dropped = la.where(~F.col(fid)).drop(fid).withColumn("_rule", F.lit("unique_ids"))
-    if roles.aff_code and roles.aff_code in a.columns:
-        sc = _first_flag(survivors, roles.aff_code, order)
-        fcode = f"_first_{roles.aff_code}"
-        survivors = sc.where(F.col(fcode)).drop(fcode)
-        dropped = dropped.unionByName(sc.where(~F.col(fcode)).drop(fcode).withColumn("_rule", F.lit("unique_codes")))
+    """First affiliate per id (rule 2, ``_dups`` = dropped), of those the first per code (rule 4, ``_code_dups`` =
+    dropped), labelled by rule 6."""
+    survivors = _first_rows(_first_rows(a, roles.aff_id, order), roles.aff_code, order, "_code_dups", ["_dups"])
     if roles.aff_owner and roles.ply_id and roles.aff_owner in a.columns:
         ids = players_kept.select(F.col(roles.ply_id).alias("_owner_id")).where(F.col("_owner_id").isNotNull())
         j = left_join(survivors, ids, roles.aff_owner, "_owner_id")
         survivors = j.withColumn("_rule", _label((F.col("_owner_id").isNull(), "drop_bad_owner"))).drop("_owner_id")
     else:
         survivors = survivors.withColumn("_rule", F.lit(None).cast("string"))
-    return survivors.unionByName(dropped)
+    return survivors
 
 
 def null_unknown_codes(players: DataFrame, affiliates_kept: DataFrame, roles: Roles) -> DataFrame:
@@ -180,18 +163,18 @@ def clean_domain(a: DataFrame, p: DataFrame, t: DataFrame, roles: Roles = Roles(
     lp = label_players(p, roles, order_cols.get("players", [roles.ply_id]))
     players_kept = lp.where(F.col("_rule").isNull()).drop("_rule", "_dups")
     la = label_affiliates(a, players_kept, roles, order_cols.get("affiliates", [roles.aff_id]))
-    aff_kept = la.where(F.col("_rule").isNull()).drop("_rule")
+    aff_kept = la.where(F.col("_rule").isNull()).drop("_rule", "_dups", "_code_dups")
     # rule 5 runs before rule 6: codes of affiliates that only lack an owner are known
-    known = la.where(F.col("_rule").isNull() | (F.col("_rule") == "drop_bad_owner")).drop("_rule")
-    players_final = null_unknown_codes(players_kept, known, roles)
+    players_final = null_unknown_codes(players_kept, la, roles)
     lt = label_transactions(t, players_final, roles, order_cols.get("transactions", [roles.txn_id]))
     txn_kept = lt.where(F.col("_rule").isNull()).drop("_rule", "_dups")
 
     def counts(df: DataFrame, table: str, rules: list[str]) -> DataFrame | None:
         if not rules:
             return None
-        # rule 2 drops are counted in ``_dups`` where the table keeps first rows only
-        agg = df.agg(*[F.coalesce(F.sum("_dups"), F.lit(0)).alias(r) if r == "unique_ids" and "_dups" in df.columns
+        # the drops of rules 2 and 4 are counted on the rows that stay
+        dups = {"unique_ids": "_dups", "unique_codes": "_code_dups"}
+        agg = df.agg(*[F.coalesce(F.sum(dups[r]), F.lit(0)).alias(r) if r in dups
                        else F.count_if(F.col("_rule") == r).alias(r) for r in rules])
         rows = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).cast("bigint").alias("rows_affected"))
                                    for r in rules]))
