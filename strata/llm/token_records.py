@@ -29,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from strata.session import scratch_path
 
-from ._common import shuffle_partitions, text_slices, write_table
+from ._common import free_name, shuffle_partitions, text_slices, write_table
 from ._pieces import PieceTable
 
 
@@ -219,6 +221,35 @@ def write_index(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     return spark.read.parquet(index_path)
 
 
+def read_at(path: str, wanted: DataFrame) -> DataFrame:
+    """The records that ``wanted`` names by the index's columns file, offset and length, with their token
+    ids in a column ``ids`` (``_ids`` where that name is taken): one ranged read a record, in the order
+    of the rows, so an index in shuffled order is a shuffled read of the corpus.
+
+    ``path`` is the folder of the record files, on a file system that pyarrow opens.  Checksums are
+    verified.  A row that is named twice is read twice; one without a file has null ids; other columns
+    pass through.
+    """
+    name = free_name("ids", wanted.columns)
+    out = StructType([*wanted.schema.fields, StructField(name, ArrayType(IntegerType()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(path)
+        for whole in batches:
+            for a in range(0, len(whole), 256):     # the ids of so many records are held at once
+                batch, found = whole.slice(a, 256), []
+                for file, offset, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length"))):
+                    if file is None:
+                        found.append(None)
+                        continue
+                    with system.open_input_file(f"{root}/{file}") as source:
+                        _, body = next(frames(memoryview(source.read_at(length, offset))))
+                    found.append(np.frombuffer(body, "<u4" if body[0] & 2 else "<u2", offset=9).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], [*batch.schema.names, name])
+
+    return wanted.mapInArrow(read, out)
+
+
 def encode_corpus(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None,
                   added_tokens: bool = True) -> DataFrame:
     """Write record files and index below ``path`` (by default a fresh shared folder); returns the index."""

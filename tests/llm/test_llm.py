@@ -382,6 +382,34 @@ def test_secrets_without_digit_and_beside_matches(spark):
     assert [got[1000 + i] for i in range(4)] == want
 
 
+def test_records_read_by_shuffled_index(spark, tmp_path):
+    """100 records at random places of several files, by offset; repeated, null and clashing cases."""
+    from pyspark.errors import PythonException
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+    path, rng = tokenizer_path("byte_bpe_50k.json"), random.Random(8)
+    tok = Tokenizer.from_file(path)
+    texts = [None, "", "word " * 20_000, *(" ".join(rng.choices(["a", "bé", "\n", "12"], k=rng.randint(0, 40))) for _ in range(600))]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_records.write_records(d, f"{tmp_path}/records", path, records_per_file=50)
+    index = token_records.write_index(spark, f"{tmp_path}/records", f"{tmp_path}/index").select("doc_id", "file", "offset", "length")
+    assert index.select("file").distinct().count() >= 12
+    some = [0, 1, 2, *rng.sample(range(3, len(texts)), 97)]
+    wanted = index.filter(F.col("doc_id").isin(some)).orderBy(F.xxhash64("doc_id"))
+    wanted = wanted.union(wanted.filter("doc_id = 2")).union(spark.sql("SELECT -1L, NULL, 0L, 0L"))
+    got = token_records.read_at(f"{tmp_path}/records", wanted)
+    rows = got.collect()
+    assert got.columns == [*wanted.columns, "ids"] and len(rows) == 102
+    assert [r.doc_id for r in rows] == [r.doc_id for r in wanted.collect()]      # in the order of the rows
+    for r in rows:
+        assert r.ids == (None if r.doc_id < 0 else [*tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2])
+    clash = token_records.read_at(f"file://{tmp_path}/records", wanted.limit(3).withColumn("ids", F.lit("own")))
+    assert clash.columns[-2:] == ["ids", "_ids"] and all(r.ids == "own" and r._ids for r in clash.collect())
+    assert token_records.read_at(f"{tmp_path}/records", wanted.limit(0)).collect() == []
+    with pytest.raises(PythonException):
+        token_records.read_at(f"{tmp_path}/records", wanted.limit(3).withColumn("offset", F.col("offset") + 1)).collect()
+
+
 def test_token_records_follow_the_plain_library_call(spark):
     from tokenizers import Tokenizer
     path = tokenizer_path("byte_bpe_50k.json")
