@@ -201,3 +201,63 @@ def test_null_orphans_counted_without_join(spark):
     parent = spark.createDataFrame([(1,)], "id int")
     assert JN.orphan_count(child, parent, "fk", "id", null_is_orphan=True).first().orphans == 3
     assert JN.orphan_count(child, parent, "fk", "id").first().orphans == 1
+
+
+def test_codes_in_generated_code(spark, capfd):
+    """Codes and their places need no lambda (evaluated without generated code), whatever reads them, and code that is
+    too large to compile is no way out."""
+    have = spark.createDataFrame([("AB",), ("q9",)], "code string")
+    df = EX.unique_codes(spark.range(1, 41), "id", "code", have, 7, length=2)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "lambda" not in EX.random_code(7, "id")._jc.toString()
+    assert {r.id: r.code for r in df.collect()} == {r.id: r.code for r in spark.range(1, 41).select("id", EX.random_code(7, "id", 2).alias("code")).collect()}
+    assert "Failed to compile" not in capfd.readouterr().err
+    rows = spark.range(-5, 36 ** 2 - 5)
+    for back in (False, True):
+        got = EX.with_permuted(rows, 7, F.col("id"), "n", 2, back).withColumn("m", EX.permuted(7, F.col("id"), 2, back))
+        assert got.where("n != m").count() == 0 and got.count() == 36 ** 2
+
+
+def test_extension_with_shared_codes(spark):
+    """Input affiliates that share a code after it is normalised: the largest id counts, and all get the first use."""
+    a, p, t = _domain(spark)
+    a = spark.createDataFrame([(1, "AAAA", None, None, None), (2, " aaaa", None, None, None), (3, None, "X", None, None),
+                               (4, "BBBB", None, DAY[3], None)], a.schema)
+    ext = EX.extend_domain(a.drop("owner"), p.drop("verified"), t, n=200, seed=1, now=NOW, keep_code=True)
+    users = {}
+    for r in ext.players.where("affiliate_code_redeemed IS NOT NULL").collect():
+        users.setdefault(r.affiliate_code_redeemed, []).append(r)
+    affiliates = {r.id: r for r in ext.affiliates.collect()}
+    largest = {}
+    for r in affiliates.values():
+        largest[r.code] = max(r.id, largest.get(r.code, 0))
+    assert largest["AAAA"] == 2 and affiliates[3].code is None and affiliates[3].redeemed_at is None
+    assert affiliates[4].redeemed_at == DAY[3] and all(r.affiliate_id == largest[c] for c, rs in users.items() for r in rs)
+    for r in affiliates.values():
+        if r.id != 4 and r.code is not None:
+            first = min((u.created_at for u in users.get(r.code, [])), default=None)
+            assert (r.redeemed_at is None) == (first is None)
+            assert first is None or dt.timedelta(0) <= r.redeemed_at - first < dt.timedelta(days=1)
+    assert EX.validate_extension(ext, 200).where("check_name = 'code_consistent' AND violations > 0").count() == 0
+
+
+def test_extension_work_is_done_once(spark, monkeypatch):
+    """The checks read written transactions, and the players are written with their affiliate, not joined by code again."""
+    written = []
+    monkeypatch.setattr(EX, "materialize", lambda df, name: written.append(name) or IO.materialize(df, name))
+    ext = EX.extend_domain(*_domain(spark), n=60, seed=1, now=NOW)
+    assert written.count("ext-players") == 2                           # the input, the result
+    EX.validate_extension(ext, 60)
+    assert written[-1] == "ext-transactions"
+
+
+def test_first_per_key_carries_order_columns_once(spark):
+    rows = [(1, 2, "b", None), (1, 2, "a", 5), (1, 3, "a", 1), (None, 1, "x", 1), (None, None, "y", 2)]
+    df = spark.createDataFrame(rows, "k long, pos long, v string, w long")
+    want = {1: (2, "a", 5), None: (None, "y", 2)}
+    for order in ("pos", ["pos", "v", "w"]):
+        out = WN.first_per_key(df, "k", order, "d")
+        assert out.columns == ["k", "pos", "v", "w", "d"]
+        assert {r.k: (r.pos, r.v, r.w) for r in out.collect()} == want and out.agg(F.sum("d")).first()[0] == 3
+        aggregate = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in x)
+        assert aggregate.count("pos#") == 1
