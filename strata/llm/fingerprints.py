@@ -15,6 +15,7 @@ own next document.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,40 +28,77 @@ from ._common import SLICE_BYTES, Words, _mix, range_buckets, shuffle_partitions
 
 SHINGLE = 5
 BINS, BITS = 512, 4
+STEPS = 64     # of the walks of a block's texts taken at once
+BLOCK = 256    # texts whose bins are filled at once
 _FIRST = -(1 << 63)  # orders rows without doc_id
 
 
-def _densify(low: np.ndarray, filled: np.ndarray) -> np.ndarray:
-    empty = np.flatnonzero(filled == 0)
-    if len(empty) == BINS - 1:
-        return np.full(BINS, low[filled][0], low.dtype)
-    out, step = low.copy(), 0
+def _walk(steps: np.ndarray) -> np.ndarray:
+    """The bins (a row for each bin) that the fixed random walks of all bins come to at ``steps``."""
     with np.errstate(over="ignore"):
-        while len(empty):
-            step += 1
-            source = (_mix(empty.astype(np.uint64) * np.uint64(1 << 32) + np.uint64(step)) % np.uint64(BINS)).astype(np.int64)
-            hit = filled[source]
-            out[empty[hit]] = low[source[hit]]
-            empty = empty[~hit]
-    return out
+        at = np.arange(BINS, dtype=np.uint64)[:, None] * np.uint64(1 << 32) + steps.astype(np.uint64)
+        return (_mix(at) % np.uint64(BINS)).astype(np.int64)
+
+
+@functools.cache
+def _walks() -> tuple[np.ndarray, np.ndarray]:
+    """The first ``STEPS`` bins of every walk, a row for each step, and the step at which the walk of
+    a bin (row) first comes to another one (column)."""
+    first, start = np.full((BINS, BINS), np.iinfo(np.int32).max, np.int32), 1
+    rows = np.arange(BINS)
+    missing = True
+    while missing:
+        bins = _walk(np.arange(start, start + BINS))
+        for k in range(BINS):
+            at = bins[:, k]
+            first[rows, at] = np.minimum(first[rows, at], start + k)
+        start += BINS
+        missing = bool((first == np.iinfo(np.int32).max).any())
+    return np.ascontiguousarray(_walk(np.arange(1, STEPS + 1)).T), first
+
+
+def _densify(low: np.ndarray, filled: np.ndarray) -> None:
+    """Fill the empty bins of texts (rows, at least one bin filled in each) in place: ``STEPS`` steps of the
+    walks of all texts at once; the few bins left, of texts with few filled ones, by the table of first steps."""
+    steps, first = _walks()
+    flat, full = low.ravel(), filled.ravel()
+    empty = np.flatnonzero(~full)
+    for bins in steps:
+        if not len(empty):
+            return
+        own = empty & (BINS - 1)
+        source = empty - own + bins[own]
+        hit = full[source]
+        flat[empty[hit]] = flat[source[hit]]
+        empty = empty[~hit]
+    if not len(empty):
+        return
+    text, own = empty // BINS, empty % BINS
+    cuts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(text)]):
+        have = np.flatnonzero(filled[text[a]])
+        low[text[a], own[a:b]] = low[text[a], have[first[own[a:b][:, None], have].argmin(axis=1)]]
 
 
 def signatures(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Low bits of the densified bins of each text; an empty array for a text without words."""
     h, bounds = Words(data, offsets, lower=True).shingles(SHINGLE)
     shift = np.uint64(64 - BINS.bit_length() + 1)
-    out = []
-    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-        if a == b:
-            out.append(np.zeros(0, np.uint8))
-            continue
-        s = np.sort(h[a:b])
-        bins = (s >> shift).astype(np.int64)
-        first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))
-        low, filled = np.zeros(BINS, np.uint8), np.zeros(BINS, bool)
-        low[bins[first]] = (s[first] & np.uint64((1 << BITS) - 1)).astype(np.uint8)
-        filled[bins[first]] = True
-        out.append(_densify(low, filled))
+    out: list[np.ndarray] = [np.zeros(0, np.uint8)] * (len(bounds) - 1)
+    some = np.flatnonzero(np.diff(bounds))
+    for a in range(0, len(some), BLOCK):
+        block = some[a:a + BLOCK]
+        lo, hi = bounds[block[0]], bounds[block[-1] + 1]           # texts between two of them have no shingles
+        part = h[lo:hi]
+        place = np.repeat(np.arange(len(block)) * BINS, bounds[block + 1] - bounds[block]) + (part >> shift).astype(np.int64)
+        smallest = np.full(len(block) * BINS, np.iinfo(np.uint64).max, np.uint64)
+        np.minimum.at(smallest, place, part)
+        filled = np.zeros(len(block) * BINS, bool)
+        filled[place] = True
+        low = (smallest & np.uint64((1 << BITS) - 1)).astype(np.uint8).reshape(-1, BINS)
+        _densify(low, filled.reshape(-1, BINS))
+        for k, row in zip(block.tolist(), low):
+            out[k] = row
     return out
 
 

@@ -298,3 +298,39 @@ def test_piece_table_is_bounded_in_bytes():
         assert (len(calls) == len(set(pieces))) == (limit == 1 << 28)
     t.clear()
     assert t.n == 0 and t.held() < 2 << 20
+
+
+def test_fingerprints_fill_bins_by_blocks(monkeypatch):
+    """Empty bins are filled for a block of texts at once, with the values of the walks taken one by one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from strata.llm import fingerprints as fp
+    from strata.llm._common import Words, _mix, text_slices
+
+    def plain(text):
+        (_, _, data, offsets), = text_slices(pa.array([text], pa.large_string()))
+        h, _ = Words(data, offsets, lower=True).shingles(fp.SHINGLE)
+        bins, mask = {}, (1 << fp.BITS) - 1
+        for x in h.tolist():
+            bins[x >> 55] = min(x, bins.get(x >> 55, x))
+        if not bins:
+            return []
+        out = []
+        for i in range(fp.BINS):
+            step, at = 0, i
+            while at not in bins and len(bins) > 1:
+                step += 1
+                with np.errstate(over="ignore"):
+                    at = int(_mix(np.array([(i << 32) + step], np.uint64))[0] % np.uint64(fp.BINS))
+            out.append((bins[at] if at in bins else next(iter(bins.values()))) & mask)
+        return out
+
+    texts = ["", " \n", "one", "a b c d e", "a b c d e f", "x " * 300, *(" ".join(f"w{i * k}" for k in range(i)) for i in (7, 9, 30, 200, 900))]
+    got = fp._of(texts)
+    assert [g.tolist() for g in got] == [plain(t) for t in texts]
+    calls, densify = [], fp._densify
+    monkeypatch.setattr(fp, "_densify", lambda *a: calls.append(1) or densify(*a))
+    many = fp._of([texts[i % len(texts)] for i in range(len(texts) * 50)])
+    assert all((many[i] == got[i % len(texts)]).all() for i in range(len(many)))
+    assert len(calls) <= 4
