@@ -261,3 +261,16 @@ def test_first_per_key_carries_order_columns_once(spark):
         assert {r.k: (r.pos, r.v, r.w) for r in out.collect()} == want and out.agg(F.sum("d")).first()[0] == 3
         aggregate = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in x)
         assert aggregate.count("pos#") == 1
+
+
+def test_parsed_timestamps_stay(spark):
+    """Bronze transactions take a parsed time as it is: the same values as by way of its text, without that text."""
+    from strata.functions import cleaning as fn
+    from strata.plans import layers as L
+    ts = ["2024-01-02 03:04:05.123456", "0000-01-01 00:00:00", "-0001-12-31 23:59:59", "9999-12-31 23:59:59.999999", "+10000-01-01 00:00:00", None]
+    raw = spark.createDataFrame([(str(i), x, "1", "bet", "2") for i, x in enumerate(ts)], "id string, x string, player_id string, type string, amount string")
+    raw = raw.withColumn("timestamp", F.col("x").cast("timestamp_ntz"))
+    got = L.br_transactions(raw)
+    assert got.join(raw.select(F.col("id").cast("long"), fn.parse_timestamp_safe("timestamp").alias("want")), "id").where("NOT timestamp <=> want").count() == 0
+    assert got.where("timestamp IS NOT NULL").count() == 3
+    assert "regexp_extract" not in got.select("timestamp")._jdf.queryExecution().optimizedPlan().toString()
