@@ -274,3 +274,21 @@ def test_parsed_timestamps_stay(spark):
     assert got.join(raw.select(F.col("id").cast("long"), fn.parse_timestamp_safe("timestamp").alias("want")), "id").where("NOT timestamp <=> want").count() == 0
     assert got.where("timestamp IS NOT NULL").count() == 3
     assert "regexp_extract" not in got.select("timestamp")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_draws_and_codes_from_constant_parts(spark):
+    """Draws and codes are those of their definitions, ids that are NULL included.  Codes join their constant parts beforehand:
+    no text is joined by separator, and no code is translated character by character."""
+    import hashlib
+    rows = spark.createDataFrame([(0,), (-5,), (10 ** 12,), (None,)], "id long")
+    for r in rows.select("id", EX.draw(7, "id", "kyc").alias("u")).collect():
+        text = "|".join(["7", *([str(r.id)] if r.id is not None else []), "kyc"])
+        assert r.u == int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    for length in (1, 2, 5, 8):
+        top = len(EX.CODE_ALPHABET) ** length
+        numbers = spark.createDataFrame([(n % top,) for n in (0, 1, 35, 36, 1295, 123_456_789, top - 1)] + [(None,)], "n long")
+        for r in numbers.select("n", EX.code_text(F.col("n"), length).alias("code")).collect():
+            digits = None if r.n is None else "".join(EX.CODE_ALPHABET[r.n // 36 ** k % 36] for k in reversed(range(length)))
+            assert r.code == digits
+    plan = spark.range(5).select(EX.random_code(7, "id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in plan and "translate(" not in plan and plan.count("conv(") == plan.count("md5(")
