@@ -292,3 +292,13 @@ def test_draws_and_codes_from_constant_parts(spark):
             assert r.code == digits
     plan = spark.range(5).select(EX.random_code(7, "id"))._jdf.queryExecution().optimizedPlan().toString()
     assert "concat_ws" not in plan and "translate(" not in plan and plan.count("conv(") == plan.count("md5(")
+
+
+def test_first_per_key_compares_order_then_row(spark):
+    """The order decides before the rest of the row, which is in the same flat struct."""
+    df = spark.createDataFrame([(1, "z", 1, "b"), (1, "z", 1, "a"), (1, "a", 2, "a"), (2, None, None, "q")],
+                               "k long, v string, pos long, w string")
+    out = WN.first_per_key(df, "k", [F.col("pos") + 0], "d")
+    assert sorted((r.k, r.v, r.pos, r.w, r.d) for r in out.collect()) == [(1, "z", 1, "a", 2), (2, None, None, "q", 0)]
+    aggregate = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in x)
+    assert aggregate.count("struct(") == 1
