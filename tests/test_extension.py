@@ -302,3 +302,12 @@ def test_first_per_key_compares_order_then_row(spark):
     assert sorted((r.k, r.v, r.pos, r.w, r.d) for r in out.collect()) == [(1, "z", 1, "a", 2), (2, None, None, "q", 0)]
     aggregate = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in x)
     assert aggregate.count("struct(") == 1
+
+
+def test_a_pick_is_drawn_once(spark):
+    """Rows that must have a pick: the test of that does not draw it again, and every row has one."""
+    keys, n = EX.index_keys(spark.range(100, 107), "id")
+    picked = EX.choose_numbered(spark.range(50), "id", 1, "x", keys, n, {"id": "pid"}).where("pid IS NOT NULL")
+    assert picked._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    want = {r.id: 100 + r.u % 7 for r in spark.range(50).select("id", EX.draw(1, "id", "x").alias("u")).collect()}
+    assert {r.id: r.pid for r in picked.collect()} == want
