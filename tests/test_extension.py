@@ -311,3 +311,24 @@ def test_a_pick_is_drawn_once(spark):
     assert picked._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
     want = {r.id: 100 + r.u % 7 for r in spark.range(50).select("id", EX.draw(1, "id", "x").alias("u")).collect()}
     assert {r.id: r.pid for r in picked.collect()} == want
+
+
+def test_draws_of_whole_batches(spark):
+    """Draws and rounds of codes are computed for whole batches, in one pass for all draws of a table; the values are those
+    of the SQL expression: texts of several lengths, not ASCII, empty, NULL, and too long for one block of md5."""
+    texts = ["", "1", "22", "é1", "x" * 40, "x" * 55, "y" * 200, None]
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(texts * 3)] + [(str(i), i) for i in range(-2000, 12_000)], "id string, n long")
+    tags = ["kyc", "a much longer tag", "x" * 60]
+    df = rows.select("*", *[EX.draw(42, "id", t).alias(f"u{i}") for i, t in enumerate(tags)])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "conv(" not in plan
+    for i, t in enumerate(tags):
+        text = F.concat_ws("|", F.lit("42"), "id", F.lit(t))
+        want = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+        assert df.where(~F.col(f"u{i}").eqNullSafe(want)).count() == 0
+    for back in (False, True):
+        numbers = rows.select(F.when(F.col("id").isNotNull(), F.col("n") * 7_919_000_003).alias("x"))
+        got = EX.with_permuted(numbers, 42, F.col("x"), "y", back=back)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "conv(" not in plan
+        assert got.where(~F.col("y").eqNullSafe(EX.permuted(42, F.col("x"), back=back))).count() == 0
