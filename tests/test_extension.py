@@ -332,3 +332,16 @@ def test_draws_of_whole_batches(spark):
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("ArrowEvalPython") == 1 and "conv(" not in plan
         assert got.where(~F.col("y").eqNullSafe(EX.permuted(42, F.col("x"), back=back))).count() == 0
+
+
+def test_draws_of_a_row_are_made_at_once(spark, monkeypatch):
+    """One pass for all draws of the players (input and new ones apart), before their join; the affiliates are written a
+    second time without any."""
+    written = []
+    monkeypatch.setattr(EX, "materialize", lambda df, name: written.append(
+        (name, df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython"))) or IO.materialize(df, name))
+    a, p, t = _domain(spark)
+    ext = EX.extend_domain(a.drop("owner"), p.drop("verified"), t, n=60, seed=1, now=NOW)
+    assert [k for name, k in written if name == "ext-players"] == [0, 2]
+    assert [k for name, k in written if name == "ext-affiliates"] == [0, 2, 0]      # codes are in the pass of new ones
+    assert not [c for df in (ext.affiliates, ext.players_with_code) for c in df.columns if c.startswith("_")]
